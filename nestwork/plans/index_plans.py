@@ -99,3 +99,78 @@ QUERIES = {
     "allowed_amount_index": q_allowed_amount_index,
     "index_quarantine": q_index_quarantine,
 }
+
+
+# ------------------------------------------------- step 2-3: reshape + rules
+from ..operators import quality as qa  # noqa: E402
+from ..operators import reshape as rs  # noqa: E402
+
+# The expectations declared on the three index tables.
+INDEX_RULES = [
+    ("in_network_file_index", "file_type LIKE 'in_network%'",
+     {"valid_file_type": "file_type = 'in_network_files'", "file_location_not_null": "file_location IS NOT NULL"}),
+    ("reporting_plans", "file_type LIKE 'reporting%'",
+     {"valid_file_type": "file_type = 'reporting_plans'", "file_location_is_null": "file_location IS NULL"}),
+    ("allowed_amount_file_index", "file_type LIKE 'allowed%'",
+     {"valid_file_type": "file_type = 'allowed_amount_file'", "file_location_not_null": "file_location IS NOT NULL"}),
+]
+
+ORDER_KEYS = ["o_custkey", "o_orderstatus", "o_orderpriority", "o_comment"]
+
+
+def q_pivot_keys(spark, sf_dir):
+    """Explode each order object into (key, value) rows, pivot back by key."""
+    orders = table(spark, sf_dir, "orders")
+    docs = orders.select("o_orderkey", F.try_parse_json(F.to_json(F.struct(
+        "o_custkey", "o_orderstatus", "o_orderpriority"))).alias("v"))
+    kv = rs.explode_object(docs, "v", keep=["o_orderkey"])
+    return rs.pivot_values(kv, ["o_orderkey"], "key", "value", ORDER_KEYS)
+
+
+def q_explode_outer_rows(spark, sf_dir):
+    """In-network entries per structure element, keeping elements with none."""
+    parsed = fl.parse_documents(index_bronze(spark, sf_dir))
+    elems = parsed.select("index_file_source_id",
+                          F.posexplode(fl._structure_array("doc")).alias("structure_pos", "structure"))
+    files = elems.select(
+        "index_file_source_id", "structure_pos",
+        F.posexplode_outer(F.expr("try_cast(try_variant_get(structure, '$.in_network_files', 'variant') AS ARRAY<VARIANT>)"))
+        .alias("entry_pos", "entry"))
+    return files.select(
+        "index_file_source_id", F.col("structure_pos").cast("bigint").alias("structure_pos"),
+        F.col("entry_pos").cast("bigint").alias("entry_pos"),
+        F.try_variant_get("entry", "$.location", "string").alias("file_location"))
+
+
+def q_expectation_counts(spark, sf_dir):
+    """Q1: per-table, per-rule failure counts over the flat index rows (one pass)."""
+    return qa.rule_counts(flat_index(spark, sf_dir), INDEX_RULES)
+
+
+ORACLE.update({
+    "pivot_keys": """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority,
+       CAST(NULL AS VARCHAR) AS o_comment FROM orders""",
+    "explode_outer_rows": f"""
+WITH {_ORDERS_POS},
+  f AS (SELECT l_orderkey, CAST(l_linenumber AS VARCHAR) AS file_description,
+               'https://h/' || l_partkey || '-' || l_suppkey || '.json.gz' AS file_location FROM lineitem),
+  fp AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY file_description, file_location) - 1 AS entry_pos FROM f)
+SELECT d.index_file_source_id, o.structure_pos, fp.entry_pos, fp.file_location
+FROM o JOIN d ON d.c_custkey = o.o_custkey LEFT JOIN fp ON fp.l_orderkey = o.o_orderkey""",
+    "expectation_counts": """
+WITH n AS (SELECT (SELECT count(*) FROM lineitem) AS n_in, (SELECT count(*) FROM orders) AS n_plan,
+                  (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS n_aa)
+SELECT 'in_network_file_index' AS table_name, 'valid_file_type' AS rule, n_in AS n_rows, 0::BIGINT AS n_failed FROM n
+UNION ALL SELECT 'in_network_file_index', 'file_location_not_null', n_in, 0 FROM n
+UNION ALL SELECT 'reporting_plans', 'valid_file_type', n_plan, 0 FROM n
+UNION ALL SELECT 'reporting_plans', 'file_location_is_null', n_plan, 0 FROM n
+UNION ALL SELECT 'allowed_amount_file_index', 'valid_file_type', n_aa, 0 FROM n
+UNION ALL SELECT 'allowed_amount_file_index', 'file_location_not_null', n_aa, 0 FROM n""",
+})
+
+QUERIES.update({
+    "pivot_keys": q_pivot_keys,
+    "explode_outer_rows": q_explode_outer_rows,
+    "expectation_counts": q_expectation_counts,
+})

@@ -15,6 +15,7 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # duplicate keys inside one JSON object keep the last value instead of failing
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
