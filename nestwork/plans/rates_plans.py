@@ -86,3 +86,30 @@ QUERIES = {
     "provider_groups": q_provider_groups,
     "resolved_rates": q_resolved_rates,
 }
+
+
+# ------------------------------------------------------------ step 12: audit
+from ..operators import contract as ct  # noqa: E402
+
+
+def q_contract_audit(spark, sf_dir):
+    """Q4: one row per contract violation over the rate files."""
+    return ct.audit(valid_rates(spark, sf_dir))
+
+
+_PRICE = "'$.in_network[0].negotiated_rates[' || rate_pos || '].negotiated_prices[0]'"
+ORACLE["contract_audit"] = f"""
+WITH r AS (SELECT *, {_RATE_POS} AS rate_pos FROM lineitem)
+SELECT {_PATH} AS file_path, 'negotiated_prices.billing_class.enum' AS rule, {_PRICE} || '.billing_class' AS path
+FROM r WHERE l_linenumber = 7
+UNION ALL SELECT {_PATH}, 'negotiated_prices.oneOf', {_PRICE} FROM r
+WHERE l_linenumber = 7 OR (l_quantity = 1 AND l_returnflag = 'A')
+UNION ALL SELECT {_PATH}, 'negotiated_prices.expiration_date.required', {_PRICE} || '.expiration_date' FROM r
+WHERE l_partkey % 50 = 0
+UNION ALL SELECT {_PATH}, 'negotiated_prices.expiration_date.date', {_PRICE} || '.expiration_date' FROM r
+WHERE l_linenumber = 6 AND l_partkey % 50 <> 0
+UNION ALL SELECT {_PATH}, 'negotiated_prices.billing_code_modifier.uniqueItems', {_PRICE} || '.billing_code_modifier'
+FROM r WHERE l_linenumber = 5
+UNION ALL SELECT DISTINCT {_PATH}, 'root.plan_name.dependentRequired', '$.plan_name'
+FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size = 50"""
+QUERIES["contract_audit"] = q_contract_audit
