@@ -59,7 +59,7 @@ class Scd1Target:
         if not versions:
             return None
         paths = [f"{self.root}/data/v={v}/bucket={b}" for b, v in sorted(versions.items())]
-        return self.spark.read.parquet(*paths)
+        return self.spark.read.parquet(*paths).where(~F.col("_marker")).drop("_marker")
 
     # --------------------------------------------------------------- reduce
     def _reduce(self, rows: DataFrame) -> DataFrame:
@@ -92,7 +92,13 @@ class Scd1Target:
         if cut is not None:
             cut_col = F.struct(*[F.lit(cut[i]).alias(f"s{i}") for i in range(len(self.sequence_by))])
             rows = rows.where(F.col("_seq") > cut_col)
-        merged = self._reduce(rows).withColumn("bucket", self._bucket())
+        merged = self._reduce(rows).withColumn("bucket", self._bucket()).withColumn("_marker", F.lit(False))
+        # one marker row per touched bucket, so a bucket emptied by deletes or a
+        # truncate still gets its (empty) version folder
+        markers = self.spark.createDataFrame([(b,) for b in touched], "bucket int").select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in merged.schema.fields
+              if f.name not in ("bucket", "_marker")], "bucket", F.lit(True).alias("_marker"))
+        merged = merged.unionByName(markers)
         (merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.root}/data/v={batch_id}"))
         ptr = self.spark.range(1).select(F.explode(F.array(*[F.lit(b) for b in touched])).alias("bucket"))
