@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import chunking as ch
-from ..sources.rates_docs import rate_sort_key, rates_documents
+from ..sources.bronze import rates_bronze_table
+from ..sources.rates_docs import rate_sort_key
 
 RATE_PATH = "in_network.item.negotiated_rates.item"
 PRICE_PATH = "in_network.item.negotiated_rates.item.negotiated_prices.item"
@@ -17,7 +18,7 @@ CLASS_CHUNK = 5
 
 
 def rate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rates_documents(spark, sf_dir).select("file_path", F.try_parse_json("value").alias("doc"))
+    return rates_bronze_table(spark, sf_dir).select("file_path", F.col("vdoc").alias("doc"))
 
 
 def _rate_sum(items: str, price_path: str = "$.negotiated_prices[0].negotiated_rate") -> F.Column:

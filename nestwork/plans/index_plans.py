@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key, sql_hash_key
 from ..operators import flatten as fl
-from ..sources.index_docs import index_documents
+from ..sources.bronze import index_bronze_table
 from ..sources.tables import table
 
 
 def index_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows (source id, path, JSON text) for the table-derived index files."""
-    docs = index_documents(spark, sf_dir)
-    return docs.select(hash_key("file_path").alias("index_file_source_id"), "file_path", "value")
+    return index_bronze_table(spark, sf_dir).select("index_file_source_id", "file_path", "value")
+
+
+def index_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows with the stored VARIANT (no re-parse)."""
+    return index_bronze_table(spark, sf_dir).select("index_file_source_id", "file_path", "doc")
 
 
 def landing_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +30,7 @@ def landing_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fl.flatten_index(index_bronze(spark, sf_dir))
+    return fl.flatten_parsed(index_parsed(spark, sf_dir))
 
 
 def q_in_network_file_index(spark, sf_dir):
@@ -129,7 +133,7 @@ def q_pivot_keys(spark, sf_dir):
 
 def q_explode_outer_rows(spark, sf_dir):
     """In-network entries per structure element, keeping elements with none."""
-    parsed = fl.parse_documents(index_bronze(spark, sf_dir))
+    parsed = index_parsed(spark, sf_dir)
     elems = parsed.select("index_file_source_id",
                           F.posexplode(fl._structure_array("doc")).alias("structure_pos", "structure"))
     files = elems.select(

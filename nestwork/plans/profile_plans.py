@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import flatten as fl
 from ..operators import profile as pf
 from ..sources.tables import table
-from .index_plans import _ORDERS_POS, index_bronze
+from .index_plans import _ORDERS_POS, index_parsed
 
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -18,7 +18,7 @@ def q_column_profile(spark, sf_dir):
 
 
 def q_json_array_paths(spark, sf_dir):
-    docs = fl.parse_documents(index_bronze(spark, sf_dir), keep=("index_file_source_id",))
+    docs = index_parsed(spark, sf_dir)
     return pf.array_paths(docs, key="index_file_source_id").select("path", "depth", "n_docs")
 
 
@@ -27,7 +27,7 @@ def q_plan_file_links(spark, sf_dir):
 
     The association stays one row per file with the plan ids as a list: no
     pairing of every plan with every file is emitted."""
-    parsed = fl.parse_documents(index_bronze(spark, sf_dir))
+    parsed = index_parsed(spark, sf_dir)
     elems = parsed.select("index_file_source_id",
                           F.posexplode(fl._structure_array("doc")).alias("structure_pos", "s"))
     with_plans = elems.select(

@@ -6,18 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rates as rt
-from ..sources.rates_docs import rate_sort_key, rates_documents
+from ..sources.bronze import rates_bronze_table
+from ..sources.rates_docs import rate_sort_key
 from ..sources.tables import table
 
 
 def rates_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landing folder of rate files plus saved HTML pages from failed downloads."""
     pages = table(spark, sf_dir, "pages").select(F.col("url").alias("file_path"), F.col("html").alias("value"))
-    return rates_documents(spark, sf_dir).unionByName(pages)
+    return rates_bronze_table(spark, sf_dir).select("file_path", "value").unionByName(pages)
 
 
 def valid_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept, _ = rt.split_valid(rt.parse_rates(rates_documents(spark, sf_dir)))
+    """Typed rate documents that passed the parse (stored typed, read leaf by leaf)."""
+    kept, _ = rt.split_valid(rates_bronze_table(spark, sf_dir).select("file_path", "doc"))
     return kept
 
 

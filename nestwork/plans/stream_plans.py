@@ -14,7 +14,7 @@ from ..operators import quality as qa
 from ..session import scratch_path
 from ..sources.change_log import change_log
 from ..sources.files import stream_lines
-from ..sources.index_docs import index_documents
+from ..sources.bronze import index_bronze_table
 from ..sources.sinks import stream_to_table
 from ..sources.tables import table
 from ..streaming.scd1 import Scd1Target
@@ -30,7 +30,7 @@ FLAT_OUT = ["reporting_entity_name", "reporting_entity_type", "file_type", "file
 def q_stream_flatten(spark, sf_dir):
     """JSON Lines index files -> stream -> in-network rows."""
     root = scratch_path(spark, "stream_flatten")
-    index_documents(spark, sf_dir).select("value").repartition(4).write.text(f"{root}/landing")
+    index_bronze_table(spark, sf_dir).select("value").repartition(4).write.text(f"{root}/landing")
     src = stream_lines(spark, f"{root}/landing", max_files_per_trigger=1)
     flat = fl.flatten_index(src.select("index_file_source_id", "value"))
     rows = flat.where(F.col("file_type").startswith("in_network")).select(*FLAT_OUT)
