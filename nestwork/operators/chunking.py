@@ -54,9 +54,8 @@ def array_chunks(docs: DataFrame, json_path: str, chunk_size: int = 1000, first_
                  doc: str = "doc", keep: Sequence[str] = ("file_path",), prefix: str = "chunk") -> DataFrame:
     """One row per (document, chunk) with its items (ARRAY<VARIANT>)."""
     keep = list(keep)
-    items = F.expr(items_sql(doc, json_path))
-    step = docs.select(*keep, items.alias("_items"))
-    out = step.select(*keep, F.posexplode(F.expr(_chunks_sql("_items", chunk_size))).alias("_c", "items"))
+    chunks = F.expr(_let(items_sql(doc, json_path), "its", _chunks_sql("its", chunk_size)))
+    out = docs.select(*keep, F.posexplode(chunks).alias("_c", "items"))
     chunk_id = F.col("_c") + F.lit(first_chunk)
     return out.select(
         *keep, F.lit(json_path).alias("json_path"), chunk_id.cast("int").alias("chunk_id"),
@@ -99,7 +98,7 @@ def multi_path_chunks(docs: DataFrame, path_configs: Sequence[dict], first_chunk
         sub = cfg.get("output_subdir", path.replace(".", "_"))
         per_path.append(
             f"struct('{path}' AS json_path, '{sub}' AS output_subdir, "
-            f"{_chunks_sql(items_sql(doc, path), size)} AS chunks, {size} AS chunk_size)")
+            f"{_let(items_sql(doc, path), 'its', _chunks_sql('its', size))} AS chunks, {size} AS chunk_size)")
     step = docs.select(*keep, F.explode(F.expr(f"array({', '.join(per_path)})")).alias("p"))
     out = step.select(*keep, "p.json_path", "p.output_subdir", "p.chunk_size",
                       F.posexplode("p.chunks").alias("_c", "items"))

@@ -59,6 +59,7 @@ def array_paths(docs: DataFrame, doc: str = "doc", key: str = "file_path", max_d
             .otherwise(F.expr(_CHILDREN))).alias("n")).select(
             "_key", F.col("n.path").alias("_path"), F.col("n.v").alias("_v"),
             F.col("n.rec").alias("_rec"), F.col("n.is_array").alias("_arr"))
+        nodes = nodes.where(~F.col("_rec") | F.col("_arr"))  # recorded leaves and objects are done
     found = nodes.where(F.col("_rec") & F.col("_arr")).select(
         "_key", F.when(F.col("_path") == "", F.lit("item")).otherwise(F.concat("_path", F.lit(".item"))).alias("path"))
     return (found.distinct().groupBy("path").agg(F.count(F.lit(1)).alias("n_docs"))
