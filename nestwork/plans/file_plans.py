@@ -31,18 +31,18 @@ def landed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_file_names(spark, sf_dir):
     """X7-X11, X18 (U1/U3 re-aimed as native columns)."""
     df = landed_names(spark, sf_dir)
-    json_name = nm.json_file_name("file_path")
-    return df.select(
-        "file_path",
-        nm.base_name("file_path").alias("base_name"),
-        json_name.alias("json_name"),
-        nm.url_stem("file_path").alias("url_stem"),
-        nm.strip_gz(nm.base_name("file_path")).alias("gz_stripped"),
+    # base and JSON names are computed once; the other columns read them
+    named = df.select("file_path", nm.base_name("file_path").alias("base_name"))
+    named = named.select("file_path", "base_name", nm.json_file_name("base_name").alias("json_name"))
+    ok = F.col("json_name").isNotNull()
+    return named.select(
+        "file_path", "base_name", "json_name",
+        nm.url_stem("base_name").alias("url_stem"),
+        nm.strip_gz("base_name").alias("gz_stripped"),
         nm.is_compressed("file_path").alias("is_compressed"),
-        F.when(json_name.isNotNull(), nm.join_path(F.lit(OUTPUT_FOLDER), json_name)).alias("output_path"),
-        json_name.isNotNull().alias("status_success"),
-        F.when(json_name.isNull(), F.lit("Error: The file is not a JSON file")).otherwise(F.lit("ok"))
-        .alias("status_message"),
+        F.when(ok, nm.join_path(F.lit(OUTPUT_FOLDER), F.col("json_name"))).alias("output_path"),
+        ok.alias("status_success"),
+        F.when(ok, F.lit("ok")).otherwise(F.lit("Error: The file is not a JSON file")).alias("status_message"),
     )
 
 
