@@ -30,6 +30,13 @@ def _piece(count: Column, salt: Column, size: int) -> Column:
     return F.pmod(F.xxhash64(salt), n).cast("int")
 
 
+def row_salt() -> Column:
+    """A per-row value that is unique and identical on every task retry: the
+    source file and the row's position in it (exact copies of a row still get
+    different salts, so a group of copies is spread too)."""
+    return F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+
+
 def index_file_path(custkey: Column, part: Column) -> Column:
     return F.concat(F.lit("index/"), custkey.cast("string"), F.lit("/part-"), part.cast("string"), F.lit(".json"))
 
@@ -39,7 +46,7 @@ def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int =
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", row_salt().alias("salt"))
 
     # Line count per order: partial aggregation, one small row per order.
     per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
@@ -55,7 +62,7 @@ def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int =
                    lines.l_orderkey == F.col("o_orderkey"))
         .select(
             "o_custkey", "o_orderkey",
-            _piece(F.col("n_lines"), F.monotonically_increasing_id(), entries_per_element).alias("piece"),
+            _piece(F.col("n_lines"), F.col("salt"), entries_per_element).alias("piece"),
             entry.alias("file"),
             F.lit(None).cast("struct<plan_name:string,plan_id_type:string,plan_id:string,plan_market_type:string>").alias("plan"),
             F.lit(None).cast("struct<description:string,location:string>").alias("allowed"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .index_docs import _piece
+from .index_docs import _piece, row_salt
 from .tables import table
 
 # Fixed values of the fixture layout.
@@ -70,7 +70,7 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
     """Rows of (file_path, value) with ``value`` the JSON text of one rate file."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate")
+        "l_extendedprice", "l_returnflag", "l_shipdate", row_salt().alias("salt"))
     per_part = lines.groupBy(F.col("l_partkey").alias("pk")).agg(F.count(F.lit(1)).alias("n_rates"))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey")
     rate = F.struct(
@@ -89,7 +89,7 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
         .join(supplier, lines.l_suppkey == supplier.s_suppkey, "left")
         .select(
             "l_partkey",
-            _piece(F.col("n_rates"), F.monotonically_increasing_id(), rates_per_doc).alias("piece"),
+            _piece(F.col("n_rates"), F.col("salt"), rates_per_doc).alias("piece"),
             F.struct(*[F.col(c) for c in rate_sort_key()], rate.alias("r")).alias("keyed_rate"),
             provider.alias("provider"),
             F.col("l_shipdate"),
