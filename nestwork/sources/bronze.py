@@ -26,13 +26,20 @@ _WRITTEN: dict[tuple[str, str, str], str] = {}
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
-def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Write ``build()`` once per application and source folder; read it back."""
+def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
+                 key_col: str = "file_path") -> DataFrame:
+    """Write ``build()`` once per application and source folder; read it back.
+
+    Documents are hash-spread over ``defaultParallelism`` files by their path:
+    every later stage explodes each document into many rows, so balanced input
+    files (not AQE-coalesced, skewed ones) decide its parallelism.  The hash
+    is deterministic, so a retried task writes the same rows."""
     key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, f"bronze-{name}")
-        build().write.mode("overwrite").parquet(path)
+        n = max(1, spark.sparkContext.defaultParallelism)
+        build().repartition(n, key_col).write.mode("overwrite").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)
 
