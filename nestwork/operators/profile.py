@@ -47,9 +47,11 @@ CASE WHEN _v IS NULL THEN array() ELSE concat(
                   false AS rec, false AS is_array)), array())) END"""
 
 
-def array_paths(docs: DataFrame, doc: str = "doc", key: str = "file_path", max_depth: int = 8) -> DataFrame:
+def array_paths(docs: DataFrame, doc: str = "doc", key: str = "file_path", max_depth: int = 8,
+                limit: int | None = None) -> DataFrame:
     """Every distinct array path (``a.item.b.item`` form) with the number of
-    documents that contain it, up to ``max_depth`` levels."""
+    documents that contain it, up to ``max_depth`` levels.  ``limit`` keeps the
+    first paths in path order (L1); by default every path is returned."""
     nodes = docs.select(F.col(key).alias("_key"), F.lit("").alias("_path"), F.col(doc).alias("_v"),
                         F.lit(False).alias("_rec"), F.lit(False).alias("_arr"))
     for _ in range(max_depth + 1):
@@ -62,13 +64,15 @@ def array_paths(docs: DataFrame, doc: str = "doc", key: str = "file_path", max_d
         nodes = nodes.where(~F.col("_rec") | F.col("_arr"))  # recorded leaves and objects are done
     found = nodes.where(F.col("_rec") & F.col("_arr")).select(
         "_key", F.when(F.col("_path") == "", F.lit("item")).otherwise(F.concat("_path", F.lit(".item"))).alias("path"))
-    return (found.distinct().groupBy("path").agg(F.count(F.lit(1)).alias("n_docs"))
-            .withColumn("depth", F.size(F.filter(F.split("path", r"\."), lambda x: x == "item"))))
+    out = (found.distinct().groupBy("path").agg(F.count(F.lit(1)).alias("n_docs"))
+           .withColumn("depth", F.size(F.filter(F.split("path", r"\."), lambda x: x == "item"))))
+    return out.orderBy("path").limit(limit) if limit else out
 
 
 def root_type(docs: DataFrame, doc: str = "doc") -> DataFrame:
     """Root kind per document ('object', 'array', scalar type name) with counts."""
-    kind = F.expr(f"CASE WHEN try_cast({doc} AS MAP<STRING, VARIANT>) IS NOT NULL THEN 'object' "
+    kind = F.expr(f"CASE WHEN {doc} IS NULL THEN 'not JSON' "
+                  f"WHEN try_cast({doc} AS MAP<STRING, VARIANT>) IS NOT NULL THEN 'object' "
                   f"WHEN try_cast({doc} AS ARRAY<VARIANT>) IS NOT NULL THEN 'array' "
                   f"ELSE lower(schema_of_variant({doc})) END")
     return docs.groupBy(kind.alias("root_type")).agg(F.count(F.lit(1)).alias("n_docs"))

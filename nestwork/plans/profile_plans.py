@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import flatten as fl
 from ..operators import profile as pf
 from ..sources.tables import table
-from .index_plans import _ORDERS_POS, index_parsed
+from .index_plans import _ORDERS_POS, index_parsed, landing_bronze
 
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -22,6 +22,12 @@ def q_json_array_paths(spark, sf_dir):
     return pf.array_paths(docs, key="index_file_source_id").select("path", "depth", "n_docs")
 
 
+def q_json_root_types(spark, sf_dir):
+    """A6 (root type): kinds of landed documents, index files and saved pages."""
+    landed = landing_bronze(spark, sf_dir).select(F.try_parse_json("value").alias("doc"))
+    return pf.root_type(landed)
+
+
 def q_plan_file_links(spark, sf_dir):
     """M3: each in-network file with the plans of its own structure element.
 
@@ -61,6 +67,9 @@ WITH n AS (SELECT count(DISTINCT o_custkey) AS n FROM orders)
 SELECT 'reporting_structure.item' AS path, 1 AS depth, n AS n_docs FROM n
 UNION ALL SELECT 'reporting_structure.item.reporting_plans.item', 2, n FROM n
 UNION ALL SELECT 'reporting_structure.item.in_network_files.item', 2, n FROM n""",
+    "json_root_types": """
+SELECT 'object' AS root_type, count(DISTINCT o_custkey) AS n_docs FROM orders
+UNION ALL SELECT 'not JSON', count(*) FROM pages""",
     "plan_file_links": f"""
 WITH {_ORDERS_POS},
   f AS (SELECT l_orderkey, CAST(l_linenumber AS VARCHAR) AS file_description,
@@ -75,4 +84,5 @@ QUERIES = {
     "column_profile": q_column_profile,
     "json_array_paths": q_json_array_paths,
     "plan_file_links": q_plan_file_links,
+    "json_root_types": q_json_root_types,
 }
