@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,12 +79,15 @@ class Scd1Target:
             cut = cut_row[0] if cut_row else None
         reduced = apply_scd1(batch, self.keys, self.sequence_by, self.delete_when, self.truncate_when,
                              except_columns=("_change_type",), keep_tombstones=True)
-        reduced = reduced.withColumn("bucket", self._bucket())
+        # used twice below (touched buckets, merge): keep the batch-sized result for
+        # this batch only; a lost executor recomputes it from the micro-batch source
+        reduced = reduced.withColumn("bucket", self._bucket()).persist(StorageLevel.MEMORY_AND_DISK)
         if cut is not None:
             touched = list(range(self.n_buckets))
         else:
             touched = [r[0] for r in reduced.select("bucket").distinct().collect()]  # <= n_buckets values
         if not touched:
+            reduced.unpersist()
             return
         state = self._read_state(self._latest_versions(batch_id, touched))
         rows = reduced.drop("bucket")
@@ -103,6 +107,7 @@ class Scd1Target:
          .parquet(f"{self.root}/data/v={batch_id}"))
         ptr = self.spark.range(1).select(F.explode(F.array(*[F.lit(b) for b in touched])).alias("bucket"))
         ptr.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/pointer/v={batch_id}")
+        reduced.unpersist()
 
     def current(self, keep_tombstones: bool = False) -> DataFrame:
         versions = self._latest_versions(None, None)

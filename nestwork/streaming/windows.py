@@ -16,13 +16,16 @@ def event_time(df: DataFrame, ts_col: str) -> DataFrame:
 def tumbling_counts(df: DataFrame, ts_col: str, window: str, delay: str,
                     group_cols: Sequence[str] = (), value_col: str | None = None) -> DataFrame:
     """Counts (and sums) per tumbling window; rows older than the watermark are
-    dropped by Spark and reported as ``numRowsDroppedByWatermark``."""
+    dropped by Spark and reported as ``numRowsDroppedByWatermark``.  Window
+    bounds come out as TIMESTAMP_NTZ (wall time in the session zone), so they
+    read the same in any client time zone."""
     aggs = [F.count(F.lit(1)).alias("n_events")]
     if value_col:
         aggs.append(F.sum(value_col).alias("sum_value"))
     return (event_time(df, ts_col).withWatermark(ts_col, delay)
             .groupBy(F.window(ts_col, window).alias("w"), *group_cols).agg(*aggs)
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                     *group_cols, *[a for a in ["n_events", "sum_value"] if a == "n_events" or value_col]))
 
 
