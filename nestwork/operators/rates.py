@@ -2,9 +2,9 @@
 
 Parsing is the built-in JSON reader logic (``from_json`` with the declared
 schema, PERMISSIVE, corrupt-record column), so text that does not fit is kept
-aside instead of vanishing.  Flattening is ``posexplode`` over typed arrays,
-and provider references are resolved inside each file row through a map built
-once per file, so none of this needs an exchange.
+aside instead of vanishing.  Flattening is ``posexplode`` over typed arrays
+with no exchange; only provider-reference resolution (M2) shuffles, as an
+equi-join on (file, provider_group_id).
 """
 
 from __future__ import annotations
