@@ -41,32 +41,48 @@ def index_file_path(custkey: Column, part: Column) -> Column:
     return F.concat(F.lit("index/"), custkey.cast("string"), F.lit("/part-"), part.cast("string"), F.lit(".json"))
 
 
-def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int = 1000) -> DataFrame:
-    """One row per reporting_structure element: (o_custkey, o_orderkey, piece, element struct)."""
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+def _order_layout(spark: SparkSession, sf_dir: str, entries_per_element: int, elements_per_doc: int) -> DataFrame:
+    """Order-sized table: each order with its customer, its number of pieces and
+    the customer's number of elements (all counts are partial aggregations)."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    per_order = (table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+                 .agg(F.count(F.lit(1)).alias("n_lines")))
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    x = (orders.join(per_order, "o_orderkey", "left").join(customer, "o_custkey")
+         .withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
+         .withColumn("n_pieces", F.greatest(F.lit(1), F.ceil(F.col("n_lines") / F.lit(entries_per_element)))))
+    per_cust = x.groupBy("o_custkey").agg(F.sum("n_pieces").alias("n_elements"))
+    return x.join(per_cust, "o_custkey")
+
+
+def _doc_part(n_elements_col: str, elements_per_doc: int) -> Column:
+    return _piece(F.col(n_elements_col), F.struct("o_orderkey", "piece"), elements_per_doc)
+
+
+def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int = 1000,
+                   elements_per_doc: int = 1000) -> DataFrame:
+    """One row per reporting_structure element, already placed in its document:
+    (o_custkey, c_name, c_mktsegment, doc_part, o_orderkey, piece, element parts).
+
+    The rows are hash-partitioned once on (customer, document part); the
+    element grouping and the document grouping both reuse that partitioning."""
+    layout = _order_layout(spark, sf_dir, entries_per_element, elements_per_doc)
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", row_salt().alias("salt"))
-
-    # Line count per order: partial aggregation, one small row per order.
-    per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    orders_n = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left").drop("l_orderkey")
-
     entry = F.struct(
         F.col("l_linenumber").cast("string").alias("description"),
         F.concat(F.lit(LOCATION_PREFIX), F.col("l_partkey").cast("string"), F.lit("-"),
                  F.col("l_suppkey").cast("string"), F.lit(".json.gz")).alias("location"),
     )
+    keys = ["o_custkey", "c_name", "c_mktsegment", "o_orderkey"]
     file_rows = (
-        lines.join(orders_n.select("o_orderkey", "o_custkey", "n_lines"),
-                   lines.l_orderkey == F.col("o_orderkey"))
-        .select(
-            "o_custkey", "o_orderkey",
-            _piece(F.col("n_lines"), F.col("salt"), entries_per_element).alias("piece"),
-            entry.alias("file"),
-            F.lit(None).cast("struct<plan_name:string,plan_id_type:string,plan_id:string,plan_market_type:string>").alias("plan"),
-            F.lit(None).cast("struct<description:string,location:string>").alias("allowed"),
-        )
+        lines.join(layout.select(*keys, "n_pieces", "n_elements"), lines.l_orderkey == F.col("o_orderkey"))
+        .withColumn("piece", F.pmod(F.xxhash64("salt"), F.col("n_pieces")).cast("int"))
+        .select(*keys, "piece", _doc_part("n_elements", elements_per_doc).alias("doc_part"),
+                entry.alias("file"),
+                F.lit(None).cast("struct<plan_name:string,plan_id_type:string,plan_id:string,plan_market_type:string>").alias("plan"),
+                F.lit(None).cast("struct<description:string,location:string>").alias("allowed"))
     )
     plan = F.struct(
         F.col("o_orderpriority").alias("plan_name"),
@@ -79,15 +95,15 @@ def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int =
         F.struct(F.lit(ALLOWED_DESCRIPTION).alias("description"),
                  F.concat(F.lit(ALLOWED_PREFIX), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("location")),
     )
-    plan_rows = orders.select(
-        "o_custkey", "o_orderkey", F.lit(0).alias("piece"),
+    plan_rows = layout.withColumn("piece", F.lit(0)).select(
+        *keys, "piece", _doc_part("n_elements", elements_per_doc).alias("doc_part"),
         F.lit(None).cast("struct<description:string,location:string>").alias("file"),
         plan.alias("plan"), allowed.alias("allowed"),
     )
-    # One grouping over (order, piece): every group is bounded by the piece size.
     return (
         file_rows.unionByName(plan_rows)
-        .groupBy("o_custkey", "o_orderkey", "piece")
+        .repartition("o_custkey", "doc_part")
+        .groupBy("o_custkey", "c_name", "c_mktsegment", "doc_part", "o_orderkey", "piece")
         .agg(
             F.sort_array(F.collect_list("plan")).alias("reporting_plans"),
             F.sort_array(F.collect_list("file")).alias("in_network_files"),
@@ -99,12 +115,7 @@ def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int =
 def index_documents(spark: SparkSession, sf_dir: str, entries_per_element: int = 1000,
                     elements_per_doc: int = 1000) -> DataFrame:
     """Rows of (file_path, value) where ``value`` is the JSON text of one index file."""
-    elements = index_elements(spark, sf_dir, entries_per_element)
-    per_cust = elements.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_elements"))
-    elements = (
-        elements.join(per_cust, "o_custkey")
-        .withColumn("doc_part", _piece(F.col("n_elements"), F.struct("o_orderkey", "piece"), elements_per_doc))
-    )
+    elements = index_elements(spark, sf_dir, entries_per_element, elements_per_doc)
     element = F.struct(
         F.col("o_orderkey"), F.col("piece"),
         F.struct(
@@ -113,19 +124,13 @@ def index_documents(spark: SparkSession, sf_dir: str, entries_per_element: int =
             F.col("allowed_amount_file"),
         ).alias("e"),
     )
-    docs = (
-        elements.groupBy("o_custkey", "doc_part")
-        .agg(F.sort_array(F.collect_list(element)).alias("rs"))
-    )
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return (
-        docs.join(customer, docs.o_custkey == customer.c_custkey)
-        .select(
-            index_file_path(F.col("c_custkey"), F.col("doc_part")).alias("file_path"),
-            F.to_json(F.struct(
-                F.col("c_name").alias("reporting_entity_name"),
-                F.col("c_mktsegment").alias("reporting_entity_type"),
-                F.transform("rs", lambda x: x["e"]).alias("reporting_structure"),
-            )).alias("value"),
-        )
+    docs = (elements.groupBy("o_custkey", "c_name", "c_mktsegment", "doc_part")
+            .agg(F.sort_array(F.collect_list(element)).alias("rs")))
+    return docs.select(
+        index_file_path(F.col("o_custkey"), F.col("doc_part")).alias("file_path"),
+        F.to_json(F.struct(
+            F.col("c_name").alias("reporting_entity_name"),
+            F.col("c_mktsegment").alias("reporting_entity_type"),
+            F.transform("rs", lambda x: x["e"]).alias("reporting_structure"),
+        )).alias("value"),
     )
