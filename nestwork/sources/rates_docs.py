@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .index_docs import row_salt
+from .index_docs import _piece, row_salt
 from .tables import table
 
 # Fixed values of the fixture layout.
@@ -69,17 +69,14 @@ def rate_sort_key() -> list[str]:
 def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000) -> DataFrame:
     """Rows of (file_path, value) with ``value`` the JSON text of one rate file.
 
-    Part-level figures (rate count, name, brand, type, size) are joined once
-    into a part-sized table; lines join it once and are grouped once by
-    (part, piece).  Provider fields all derive from the supplier key on the
-    line, so no supplier join is needed."""
+    Lines join the per-part counts (a partial aggregate, one row per part) and
+    are grouped once by (part, piece); part names join the grouped files.
+    Provider fields all derive from the supplier key on the line, so no
+    supplier join is needed."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_shipdate", row_salt().alias("salt"))
-    per_part = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("n_rates"))
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    parts = part.join(per_part, "p_partkey").withColumn(
-        "n_pieces", F.greatest(F.lit(1), F.ceil(F.col("n_rates") / F.lit(rates_per_doc))))
+    per_part = lines.groupBy(F.col("l_partkey").alias("pk")).agg(F.count(F.lit(1)).alias("n_rates"))
     rate = F.struct(
         F.array(_price()).alias("negotiated_prices"),
         F.array(F.col("l_suppkey")).alias("provider_references"),
@@ -91,23 +88,22 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
             F.struct(F.lit("ein").alias("type"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0").alias("value")).alias("tin"),
         )).alias("provider_groups"),
     )
-    part_cols = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
     keyed = (
-        lines.join(parts, lines.l_partkey == parts.p_partkey)
+        lines.join(per_part, lines.l_partkey == per_part.pk)
         .select(
-            *part_cols,
-            F.pmod(F.xxhash64("salt"), F.col("n_pieces")).cast("int").alias("piece"),
+            "l_partkey",
+            _piece(F.col("n_rates"), F.col("salt"), rates_per_doc).alias("piece"),
             F.struct(*[F.col(c) for c in rate_sort_key()], rate.alias("r")).alias("keyed_rate"),
             provider.alias("provider"),
             F.col("l_shipdate"),
         )
     )
-    docs = keyed.groupBy("p_partkey", "piece").agg(
-        *[F.first(c).alias(c) for c in part_cols[1:]],  # functionally dependent on the part key
+    docs = keyed.groupBy("l_partkey", "piece").agg(
         F.transform(F.sort_array(F.collect_list("keyed_rate")), lambda x: x["r"]).alias("negotiated_rates"),
         F.sort_array(F.collect_set("provider")).alias("provider_references"),
         F.date_format(F.max("l_shipdate"), "yyyy-MM-dd").alias("last_updated_on"),
     )
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     item = F.struct(
         F.lit("ffs").alias("negotiation_arrangement"),
         F.col("p_name").alias("name"),
@@ -117,8 +113,8 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
         F.col("p_type").alias("description"),
         F.col("negotiated_rates"),
     )
-    return docs.select(
-        rates_file_path(F.col("p_partkey"), F.col("piece")).alias("file_path"),
+    return docs.join(part, docs.l_partkey == part.p_partkey).select(
+        rates_file_path(F.col("l_partkey"), F.col("piece")).alias("file_path"),
         F.to_json(F.struct(
             F.col("p_brand").alias("reporting_entity_name"),
             F.lit(ENTITY_TYPE).alias("reporting_entity_type"),
