@@ -9,23 +9,32 @@ from pyspark.sql import functions as F
 
 
 def event_time(df: DataFrame, ts_col: str) -> DataFrame:
-    """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ): cast in the session zone."""
-    return df.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    """Watermarks need TIMESTAMP, not TIMESTAMP_NTZ.  A wall-clock (NTZ) time is
+    turned into the instant with the same wall clock in UTC, so window bounds fall
+    on wall-clock boundaries whatever the session time zone is."""
+    if dict(df.dtypes).get(ts_col) == "timestamp_ntz":
+        return df.withColumn(ts_col, F.from_utc_timestamp(F.col(ts_col).cast("timestamp"), F.current_timezone()))
+    return df
+
+
+def wall_clock(c) -> F.Column:
+    """Inverse of ``event_time``: the UTC wall clock of an instant, as TIMESTAMP_NTZ."""
+    return F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
 
 
 def tumbling_counts(df: DataFrame, ts_col: str, window: str, delay: str,
                     group_cols: Sequence[str] = (), value_col: str | None = None) -> DataFrame:
     """Counts (and sums) per tumbling window; rows older than the watermark are
     dropped by Spark and reported as ``numRowsDroppedByWatermark``.  Window
-    bounds come out as TIMESTAMP_NTZ (wall time in the session zone), so they
-    read the same in any client time zone."""
+    bounds come out as TIMESTAMP_NTZ wall-clock times, the same in any session
+    or client time zone."""
     aggs = [F.count(F.lit(1)).alias("n_events")]
     if value_col:
         aggs.append(F.sum(value_col).alias("sum_value"))
     return (event_time(df, ts_col).withWatermark(ts_col, delay)
             .groupBy(F.window(ts_col, window).alias("w"), *group_cols).agg(*aggs)
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            .select(wall_clock(F.col("w.start")).alias("window_start"),
+                    wall_clock(F.col("w.end")).alias("window_end"),
                     *group_cols, *[a for a in ["n_events", "sum_value"] if a == "n_events" or value_col]))
 
 
