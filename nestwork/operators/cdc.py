@@ -88,3 +88,34 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
                       F.struct(F.lit("update_postimage").alias("ct"), F.col("_a").alias("v"))))
     return (j.select(*keys, F.explode(rows).alias("_x"))
             .select(*keys, "_x.v.*", F.col("_x.ct").alias("_change_type")))
+
+
+def changes_between(log: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], value_cols: Sequence[str],
+                    from_version, version_col: str = "_commit_version",
+                    delete_when: str | None = "_change_type = 'delete'") -> DataFrame:
+    """T4 from ONE aggregation: the state after ``from_version`` and the latest
+    state come from two conditional ``max_by`` in the same partial aggregation
+    (rows past ``from_version`` have a NULL order for the first and are
+    skipped), then each key yields its change rows.  No second pass, no join.
+    ``from_version`` may be a literal or a scalar-subquery Column."""
+    if "_change_type" in log.columns:
+        log = log.where(F.col("_change_type") != "update_preimage")
+    seq = sequence_struct(sequence_by)
+    rank = op_rank() if "_change_type" in log.columns else F.lit(1)
+    order = F.struct(seq.alias("seq"), rank.alias("rank"), F.xxhash64(*[F.col(c) for c in log.columns]).alias("h"))
+    is_delete = F.coalesce(F.expr(delete_when), F.lit(False)) if delete_when else F.lit(False)
+    row = F.struct(*[F.col(c) for c in value_cols], is_delete.alias("_deleted"))
+    in_before = F.col(version_col) <= (from_version if isinstance(from_version, Column) else F.lit(from_version))
+    both = log.groupBy(*keys).agg(F.max_by(row, F.when(in_before, order)).alias("_b"),
+                                  F.max_by(row, order).alias("_a"))
+    live_b = F.col("_b").isNotNull() & ~F.col("_b._deleted")
+    live_a = F.col("_a").isNotNull() & ~F.col("_a._deleted")
+    vb = F.struct(*[F.col(f"_b.{c}").alias(c) for c in value_cols])
+    va = F.struct(*[F.col(f"_a.{c}").alias(c) for c in value_cols])
+    rows = (F.when(~live_b & live_a, F.array(F.struct(F.lit("insert").alias("ct"), va.alias("v"))))
+            .when(live_b & ~live_a, F.array(F.struct(F.lit("delete").alias("ct"), vb.alias("v"))))
+            .when(live_b & live_a & ~va.eqNullSafe(vb),
+                  F.array(F.struct(F.lit("update_preimage").alias("ct"), vb.alias("v")),
+                          F.struct(F.lit("update_postimage").alias("ct"), va.alias("v")))))
+    return (both.select(*keys, F.explode(rows).alias("_x"))
+            .select(*keys, "_x.v.*", F.col("_x.ct").alias("_change_type")))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cdc
-from ..sources.change_log import change_log, with_truncate_at_middle
+from ..sources.bronze import change_log_table
+from ..sources.change_log import with_truncate_at_middle
 
 KEYS = ["user_id"]
 SEQ = ["ts", "event_id"]
@@ -13,31 +14,29 @@ VALUES = ["value", "event_type", "ts", "event_id"]
 
 
 def q_scd1_current(spark, sf_dir):
-    return cdc.apply_scd1(change_log(spark, sf_dir), KEYS, SEQ).select(*KEYS, *VALUES)
+    return cdc.apply_scd1(change_log_table(spark, sf_dir), KEYS, SEQ).select(*KEYS, *VALUES)
 
 
 def q_scd1_truncate(spark, sf_dir):
-    return cdc.apply_scd1(with_truncate_at_middle(change_log(spark, sf_dir)), KEYS, SEQ).select(*KEYS, *VALUES)
+    return cdc.apply_scd1(with_truncate_at_middle(change_log_table(spark, sf_dir)), KEYS, SEQ).select(*KEYS, *VALUES)
 
 
 def q_changes_since(spark, sf_dir):
-    log = change_log(spark, sf_dir)
+    log = change_log_table(spark, sf_dir)
     return cdc.changes_since(log, 1).select("user_id", "event_id", "ts", "value", "_change_type",
                                             "_commit_version", "_commit_timestamp")
 
 
 def q_change_feed(spark, sf_dir):
     """T4: changes between the state at the middle version and the final state."""
-    log = change_log(spark, sf_dir)
+    log = change_log_table(spark, sf_dir)
     middle = log.agg(F.floor(F.max("_commit_version") / 2)).scalar()
-    before = cdc.apply_scd1(log.where(F.col("_commit_version") <= middle), KEYS, SEQ)
-    after = cdc.apply_scd1(log, KEYS, SEQ)
-    return cdc.snapshot_diff(before, after, KEYS, ["value", "event_id"])
+    return cdc.changes_between(log, KEYS, SEQ, ["value", "event_id"], middle)
 
 
 def q_latest_per_key(spark, sf_dir):
     """W1 on its own: the latest event per user, deletes included."""
-    log = change_log(spark, sf_dir)
+    log = change_log_table(spark, sf_dir)
     return cdc.latest_per_key(log, KEYS, SEQ, ["event_id", "value", "_change_type"])
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
 from ..session import scratch_path
+from .change_log import change_log
 from .index_docs import index_documents
 from .rates_docs import rates_documents
 from .schemas import RATES_SCHEMA_WITH_CORRUPT
@@ -27,7 +28,7 @@ JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_rec
 
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
-                 key_col: str = "file_path") -> DataFrame:
+                 key_col: str = "file_path", layout: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
     """Write ``build()`` once per application and source folder; read it back.
 
     Documents are hash-spread over ``defaultParallelism`` files by their path:
@@ -39,7 +40,9 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[]
     if path is None:
         path = scratch_path(spark, f"bronze-{name}")
         n = max(1, spark.sparkContext.defaultParallelism)
-        build().repartition(n, key_col).write.mode("overwrite").parquet(path)
+        df = build()
+        df = layout(df, n) if layout else df.repartition(n, key_col)
+        df.write.mode("overwrite").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)
 
@@ -61,3 +64,13 @@ def rates_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.from_json("value", RATES_SCHEMA_WITH_CORRUPT, JSON_OPTIONS).alias("doc"),
                            F.try_parse_json("value").alias("vdoc"))
     return materialized(spark, "rates", sf_dir, build)
+
+
+def change_log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed as an append-only table, range-clustered on
+    (_commit_version, event_id): each file holds a contiguous version range, so
+    a version filter skips files and row groups from parquet statistics.  (A
+    folder per version would explode at scale; statistics do not.)"""
+    return materialized(spark, "change_log", sf_dir, lambda: change_log(spark, sf_dir),
+                        layout=lambda df, n: df.repartitionByRange(n, "_commit_version", "event_id")
+                        .sortWithinPartitions("_commit_version", "event_id"))

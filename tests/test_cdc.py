@@ -62,3 +62,19 @@ def test_stream_target_batches_replays_and_truncate(spark, scratch):
     assert got == {1: "a2", 3: "c"}
     t.apply_batch(rows(spark, [(0, 5, None, "truncate"), (4, 6, "d", "insert")]), 3)
     assert {r.k: r.v for r in t.current().collect()} == {4: "d"}
+
+
+def test_single_pass_change_feed_equals_two_snapshot_diff(spark):
+    schema = "k long, seq long, v string, _change_type string, _commit_version long"
+    log = spark.createDataFrame([
+        (1, 1, "a", "insert", 0), (2, 1, "b", "insert", 0), (3, 1, "c", "insert", 0),
+        (1, 2, "a2", "update_postimage", 1), (2, 2, None, "delete", 1), (4, 2, "d", "insert", 1),
+        (3, 3, "c", "update_postimage", 1), (5, 1, "e", "insert", 0), (5, 4, None, "delete", 2)], schema)
+    one = cdc.changes_between(log, ["k"], ["seq"], ["v"], 0)
+    before = cdc.apply_scd1(log.where("_commit_version <= 0"), ["k"], ["seq"])
+    after = cdc.apply_scd1(log, ["k"], ["seq"])
+    two = cdc.snapshot_diff(before, after, ["k"], ["v"])
+    norm = lambda df: sorted((r.k, r.v, r._change_type) for r in df.collect())
+    assert norm(one) == norm(two) == [
+        (1, "a", "update_preimage"), (1, "a2", "update_postimage"), (2, "b", "delete"), (4, "d", "insert"),
+        (5, "e", "delete")]
