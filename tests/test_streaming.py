@@ -62,3 +62,25 @@ def test_late_rows_are_dropped_and_counted(spark, scratch):
     assert dropped == 1
     days = {r.window_start.day for r in spark.read.parquet(scratch + "/w").collect()}
     assert days == {10}
+
+
+def test_stream_json_gz_multiline_with_corrupt_file(spark, scratch):
+    """Pretty-printed .json.gz documents streamed with the declared
+    schema; a broken file is kept in the corrupt-record column, not lost."""
+    import gzip
+
+    from nestwork.sources.files import stream_json
+    from nestwork.sources.schemas import RATES_SCHEMA
+
+    landing = scratch + "/rates"
+    os.makedirs(landing)
+    doc = {"reporting_entity_name": "e", "in_network": [{"billing_code": "1", "negotiated_rates": []}]}
+    with gzip.open(f"{landing}/a.json.gz", "wt") as f:
+        f.write(json.dumps(doc, indent=2))
+    with gzip.open(f"{landing}/b.json.gz", "wt") as f:
+        f.write('{"reporting_entity_name": "x", "in_network": [')
+    s = stream_json(spark, landing, RATES_SCHEMA, multi_line=True, max_files_per_trigger=1)
+    stream_to_table(s.select("reporting_entity_name", "_corrupt_record",
+                             F.col("file_metadata.file_name").alias("f")), scratch + "/out", scratch + "/ck")
+    got = {r.f: (r.reporting_entity_name, r._corrupt_record is not None) for r in spark.read.parquet(scratch + "/out").collect()}
+    assert got == {"a.json.gz": ("e", False), "b.json.gz": (None, True)}
