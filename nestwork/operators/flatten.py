@@ -19,6 +19,10 @@ from ..functions.variant import array_items, as_entries, get_path, get_string, o
 ENTRY_LEAVES = ("description", "plan_id_type", "plan_id", "plan_market_type", "plan_name", "location")
 FILE_TYPES = ("in_network_files", "reporting_plans", "allowed_amount_file")
 
+# Fixed value: above this many characters a failed parse is reported as too large
+# (VARIANT parsing gives up on single documents somewhere above ~120 MB).
+PARSE_LIMIT_CHARS = 100_000_000
+
 FLAT_COLUMNS = [
     "index_file_source_id", "reporting_entity_name", "reporting_entity_type", "file_type",
     "structure_pos", "entry_pos", "file_description", "file_location",
@@ -35,10 +39,12 @@ def _structure_array(doc: str = "doc") -> Column:
     return array_items(f"try_variant_get({doc}, '$.reporting_structure', 'variant')")
 
 
-def quarantine_reason(doc: str = "doc") -> Column:
+def quarantine_reason(doc: str = "doc", chars: str | None = None) -> Column:
     """Why a parsed document cannot be flattened, or NULL when it can."""
+    too_large = (F.col(chars) > PARSE_LIMIT_CHARS) if chars else F.lit(False)
     return (
-        F.when(F.col(doc).isNull(), F.lit("not valid JSON"))
+        F.when(F.col(doc).isNull() & too_large, F.lit("document too large to parse; land it as JSON Lines"))
+        .when(F.col(doc).isNull(), F.lit("not valid JSON"))
         .when(object_entries(doc).isNull(), F.lit("root is not an object"))
         .when(F.expr(f"try_variant_get({doc}, '$.reporting_structure', 'variant')").isNull(),
               F.lit("no reporting_structure"))
@@ -84,8 +90,9 @@ def flatten_index(bronze: DataFrame, value_col: str = "value", carry=("index_fil
 def index_quarantine(bronze: DataFrame, value_col: str = "value",
                      carry=("index_file_source_id",)) -> DataFrame:
     """Documents that cannot be flattened, with the reason; nothing vanishes silently."""
-    parsed = parse_documents(bronze, value_col, keep=carry)
-    return (parsed.select(*carry, quarantine_reason("doc").alias("reason"))
+    parsed = bronze.select(*carry, F.try_parse_json(F.col(value_col)).alias("doc"),
+                           F.length(value_col).alias("_chars"))
+    return (parsed.select(*carry, quarantine_reason("doc", "_chars").alias("reason"))
             .where(F.col("reason").isNotNull()))
 
 
