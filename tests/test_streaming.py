@@ -84,3 +84,22 @@ def test_stream_json_gz_multiline_with_corrupt_file(spark, scratch):
                              F.col("file_metadata.file_name").alias("f")), scratch + "/out", scratch + "/ck")
     got = {r.f: (r.reporting_entity_name, r._corrupt_record is not None) for r in spark.read.parquet(scratch + "/out").collect()}
     assert got == {"a.json.gz": ("e", False), "b.json.gz": (None, True)}
+
+
+def test_clean_source_archives_processed_files(spark, scratch):
+    """S3: after a committed batch the processed files move to the archive folder."""
+    landing = scratch + "/land"
+    _write_docs(landing, 3)
+    s = fl.flatten_index(stream_whole_files(spark, landing, max_files_per_trigger=1, clean_source="archive",
+                                            archive_dir=scratch + "/archive"))
+    # the files of a batch are cleaned when a later batch runs, so the last one stays
+    stream_to_table(s, scratch + "/out", scratch + "/ck")
+    assert spark.read.parquet(scratch + "/out").count() == 3
+    import time
+    for _ in range(20):  # the cleaner runs on its own thread after the commit
+        archived = [f for _, _, fs in os.walk(scratch + "/archive") for f in fs if f.endswith(".json")]
+        if archived:
+            break
+        time.sleep(0.5)
+    assert len(archived) >= 1
+    assert len([f for f in os.listdir(landing) if f.endswith(".json")]) + len(archived) == 3
