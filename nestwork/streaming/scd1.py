@@ -73,26 +73,24 @@ class Scd1Target:
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.select(*self.keys, *[c for c in self.columns if c not in self.keys],
                              *[c for c in ("_change_type",) if c in batch.columns and c not in self.columns])
-        cut = None
-        if self.truncate_when:
-            cut_row = batch.where(F.expr(self.truncate_when)).agg(F.max(sequence_struct(self.sequence_by))).first()
-            cut = cut_row[0] if cut_row else None
-        reduced = apply_scd1(batch, self.keys, self.sequence_by, self.delete_when, self.truncate_when,
-                             except_columns=("_change_type",), keep_tombstones=True)
-        # used twice below (touched buckets, merge): keep the batch-sized result for
-        # this batch only; a lost executor recomputes it from the micro-batch source
-        reduced = reduced.withColumn("bucket", self._bucket()).persist(StorageLevel.MEMORY_AND_DISK)
-        if cut is not None:
-            touched = list(range(self.n_buckets))
-        else:
-            touched = [r[0] for r in reduced.select("bucket").distinct().collect()]  # <= n_buckets values
+        # the micro-batch is read twice (facts, merge): keep it for this batch only;
+        # a lost executor recomputes it from the micro-batch source
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        seq = sequence_struct(self.sequence_by)
+        is_trunc = F.coalesce(F.expr(self.truncate_when), F.lit(False)) if self.truncate_when else F.lit(False)
+        # one small job: the latest truncate and the touched buckets (<= n_buckets ids)
+        facts = batch.agg(F.max(F.when(is_trunc, seq)).alias("cut"),
+                          F.collect_set(F.when(~is_trunc, self._bucket())).alias("buckets")).first()
+        cut = facts["cut"]
+        touched = list(range(self.n_buckets)) if cut is not None else sorted(facts["buckets"])
         if not touched:
-            reduced.unpersist()
+            batch.unpersist()
             return
+        changes = batch.where(~is_trunc)
+        reduced = apply_scd1(changes, self.keys, self.sequence_by, self.delete_when, None,
+                             except_columns=("_change_type",), keep_tombstones=True)
         state = self._read_state(self._latest_versions(batch_id, touched))
-        rows = reduced.drop("bucket")
-        if state is not None:
-            rows = rows.unionByName(state.select(*rows.columns))
+        rows = reduced if state is None else reduced.unionByName(state.select(*reduced.columns))
         if cut is not None:
             cut_col = F.struct(*[F.lit(cut[i]).alias(f"s{i}") for i in range(len(self.sequence_by))])
             rows = rows.where(F.col("_seq") > cut_col)
@@ -105,9 +103,9 @@ class Scd1Target:
         merged = merged.unionByName(markers)
         (merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.root}/data/v={batch_id}"))
-        ptr = self.spark.range(1).select(F.explode(F.array(*[F.lit(b) for b in touched])).alias("bucket"))
+        ptr = self.spark.createDataFrame([(b,) for b in touched], "bucket int")
         ptr.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/pointer/v={batch_id}")
-        reduced.unpersist()
+        batch.unpersist()
 
     def current(self, keep_tombstones: bool = False) -> DataFrame:
         versions = self._latest_versions(None, None)
