@@ -9,7 +9,7 @@ from ..operators import flatten as fl
 from ..operators import quality as qa
 from ..session import scratch_path
 from ..sources.files import list_files
-from ..sources.sinks import write_json_chunks, write_partitioned
+from ..sources.sinks import write_index_split, write_json_chunks, write_partitioned
 from .chunk_plans import ORACLE as CHUNK_ORACLE
 from .chunk_plans import CLASS_CHUNK, PRICE_PATH, rate_docs
 from .index_plans import ORACLE as INDEX_ORACLE
@@ -51,7 +51,17 @@ def q_manifest(spark, sf_dir):
                         qa.passes("length > 0").alias("non_empty"))
 
 
+def q_index_split_sink(spark, sf_dir):
+    """One flatten written once by file type; the in-network table is read back
+    with partition pruning (``PartitionFilters`` on ``file_type``)."""
+    root = scratch_path(spark, "index_split")
+    write_index_split(flat_index(spark, sf_dir), f"{root}/index_files")
+    back = spark.read.parquet(f"{root}/index_files").where(F.col("file_type") == "in_network_files")
+    return fl.in_network_file_index(back)
+
+
 ORACLE = {
+    "index_split_sink": INDEX_ORACLE["in_network_file_index"],
     "chunk_sink": INDEX_ORACLE["in_network_file_index"],
     "partition_sink": f"""
 SELECT file_path, category_dir, chunk_name, n_objects, n_objects AS n_parsed
@@ -62,4 +72,5 @@ QUERIES = {
     "chunk_sink": q_chunk_sink,
     "partition_sink": q_partition_sink,
     "manifest": q_manifest,
+    "index_split_sink": q_index_split_sink,
 }

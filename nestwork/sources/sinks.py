@@ -80,3 +80,10 @@ def temp_view(df: DataFrame, name: str) -> DataFrame:
     """K8: pipeline-scoped view."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def write_index_split(flat: DataFrame, path: str) -> None:
+    """One flatten, three tables: the flat index rows are written ONCE,
+    partitioned by ``file_type``; each table is then a partition-pruned read
+    (the reference explodes the same input again for every sibling table)."""
+    flat.write.mode("overwrite").partitionBy("file_type").parquet(path)
