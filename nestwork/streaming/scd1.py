@@ -6,7 +6,9 @@ buckets.  For micro-batch ``b`` the sink:
 1. reduces the batch per key (``max_by`` on sequence, partial aggregation);
 2. reads the touched buckets at their latest version below ``b``;
 3. reduces batch + state again and writes ``data/v=b/bucket=k`` for the
-   touched buckets, then a small pointer ``pointer/v=b`` naming them.
+   touched buckets, then a small pointer ``pointer/v=b``: the complete
+   bucket -> version map (at most ``n_buckets`` rows), so batch ``b+1`` reads
+   one small file instead of listing every earlier pointer.
 
 Reads only ever look at versions below the running batch, and a replayed
 batch overwrites its own version, so a retried or replayed batch is
@@ -45,16 +47,31 @@ class Scd1Target:
         except Exception:  # no batch committed yet
             return None
 
+    def _pointer_map(self, version: int) -> dict[int, int] | None:
+        """The complete bucket -> version map written by batch ``version`` (<= n_buckets rows)."""
+        try:
+            rows = self.spark.read.parquet(f"{self.root}/pointer/v={version}").collect()
+        except Exception:
+            return None
+        return {r["bucket"]: r["version"] for r in rows}
+
     def _latest_versions(self, below: int | None, buckets: Sequence[int] | None) -> dict[int, int]:
+        """Latest version per bucket below ``below``: the previous batch's pointer
+        when it exists (one small read), else the latest pointer found by listing."""
+        if below is not None and below > 0:
+            prev = self._pointer_map(below - 1)
+            if prev is not None:
+                return {b: v for b, v in prev.items() if buckets is None or b in set(buckets)}
         ptr = self._pointers()
         if ptr is None:
             return {}
         if below is not None:
             ptr = ptr.where(F.col("v") < below)
-        if buckets is not None:
-            ptr = ptr.where(F.col("bucket").isin(list(buckets)))
-        rows = ptr.groupBy("bucket").agg(F.max("v").alias("v")).collect()  # <= n_buckets rows
-        return {r["bucket"]: r["v"] for r in rows}
+        latest = ptr.agg(F.max("v")).first()[0]
+        if latest is None:
+            return {}
+        full = self._pointer_map(latest) or {}
+        return {b: v for b, v in full.items() if buckets is None or b in set(buckets)}
 
     def _read_state(self, versions: dict[int, int]) -> DataFrame | None:
         if not versions:
@@ -84,12 +101,14 @@ class Scd1Target:
         cut = facts["cut"]
         touched = list(range(self.n_buckets)) if cut is not None else sorted(facts["buckets"])
         if not touched:
+            self._write_pointer(batch_id, self._latest_versions(batch_id, None))  # carry the map forward
             batch.unpersist()
             return
         changes = batch.where(~is_trunc)
         reduced = apply_scd1(changes, self.keys, self.sequence_by, self.delete_when, None,
                              except_columns=("_change_type",), keep_tombstones=True)
-        state = self._read_state(self._latest_versions(batch_id, touched))
+        before = self._latest_versions(batch_id, None)
+        state = self._read_state({b: v for b, v in before.items() if b in set(touched)})
         rows = reduced if state is None else reduced.unionByName(state.select(*reduced.columns))
         if cut is not None:
             cut_col = F.struct(*[F.lit(cut[i]).alias(f"s{i}") for i in range(len(self.sequence_by))])
@@ -103,10 +122,15 @@ class Scd1Target:
         merged = merged.unionByName(markers)
         (merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.root}/data/v={batch_id}"))
-        ptr = self.spark.createDataFrame([(b,) for b in touched], "bucket int")
-        ptr.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/pointer/v={batch_id}")
+        self._write_pointer(batch_id, {**before, **{b: batch_id for b in touched}})
         batch.unpersist()
 
+    def _write_pointer(self, batch_id: int, versions: dict[int, int]) -> None:
+        """Written after the data: the complete map, so readers need only this file."""
+        rows = [(b, v) for b, v in sorted(versions.items())]
+        (self.spark.createDataFrame(rows, "bucket int, version long").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.root}/pointer/v={batch_id}"))
+
     def current(self, keep_tombstones: bool = False) -> DataFrame:
         versions = self._latest_versions(None, None)
         state = self._read_state(versions)
