@@ -30,9 +30,9 @@ def stream_to_table(df: DataFrame, path: str, checkpoint: str, partition_by: Seq
 
 def conform(df: DataFrame, schema_ddl: str, defaults: dict | None = None) -> DataFrame:
     """K2: select and cast to a declared schema; missing columns take their default."""
-    from pyspark.sql.types import _parse_datatype_string
+    from pyspark.sql.types import StructType
 
-    schema = _parse_datatype_string(schema_ddl)
+    schema = StructType.fromDDL(schema_ddl)
     defaults = defaults or {}
     cols = []
     for f in schema.fields:
