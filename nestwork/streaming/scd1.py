@@ -30,6 +30,10 @@ from ..operators.cdc import apply_scd1, sequence_struct
 
 
 class Scd1Target:
+    """SCD type 1 target folder.  Size ``n_buckets`` so one bucket of state is
+    roughly 128-512 MB (state bytes / 256 MB): each touched bucket is rewritten by
+    one task, and a micro-batch touches only the buckets its keys hash to."""
+
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence_by: Sequence[str],
                  columns: Sequence[str], n_buckets: int = 16,
                  delete_when: str = "_change_type = 'delete'", truncate_when: str = "_change_type = 'truncate'"):
