@@ -13,7 +13,7 @@ from ..operators import flatten as fl
 from ..operators import quality as qa
 from ..session import scratch_path
 from ..sources.change_log import change_log
-from ..sources.files import stream_lines
+from ..sources.files import stream_lines, stream_whole_files
 from ..sources.bronze import index_bronze_table
 from ..sources.sinks import stream_to_table
 from ..sources.tables import table
@@ -39,6 +39,22 @@ def q_stream_flatten(spark, sf_dir):
     return spark.read.parquet(f"{root}/in_network")
 
 
+def q_stream_whole_files(spark, sf_dir):
+    """S1-S4 with file semantics: every index document is its own file (written
+    with ``maxRecordsPerFile=1``, no driver loop), streamed back whole
+    (``wholetext``, up to 5,000 files per micro-batch) and flattened.  Its cost
+    is dominated by creating thousands of tiny files; at scale, land JSON Lines
+    (``q_stream_flatten``)."""
+    root = scratch_path(spark, "stream_whole_files")
+    (index_bronze_table(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 1)
+     .text(f"{root}/landing"))
+    src = stream_whole_files(spark, f"{root}/landing", max_files_per_trigger=5000)
+    flat = fl.flatten_index(src.select("index_file_source_id", "value"))
+    rows = flat.where(F.col("file_type").startswith("in_network")).select(*FLAT_OUT)
+    stream_to_table(rows, f"{root}/in_network", f"{root}/_checkpoints/in_network")
+    return spark.read.parquet(f"{root}/in_network")
+
+
 def q_stream_tumbling(spark, sf_dir):
     """Watermarked daily windows per event type, update mode."""
     root = scratch_path(spark, "stream_tumbling")
@@ -79,6 +95,7 @@ FROM fp JOIN o ON fp.l_orderkey = o.o_orderkey JOIN customer ON c_custkey = o.o_
 
 ORACLE = {
     "stream_flatten": _ORDERS_POS_SQL,
+    "stream_whole_files": _ORDERS_POS_SQL,
     "stream_tumbling": """
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
        CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end, event_type, count(*) AS n_events
@@ -88,6 +105,7 @@ FROM events GROUP BY 1, 2, 3""",
 
 QUERIES = {
     "stream_flatten": q_stream_flatten,
+    "stream_whole_files": q_stream_whole_files,
     "stream_tumbling": q_stream_tumbling,
     "stream_scd1": q_stream_scd1,
 }
