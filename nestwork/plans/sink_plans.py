@@ -38,7 +38,9 @@ def q_partition_sink(spark, sf_dir):
     chunks = ch.split_by_field(rate_docs(spark, sf_dir), PRICE_PATH, "billing_class", CLASS_CHUNK)
     out = chunks.select("category_dir", "file_path", "chunk_name", "n_objects", ch.chunk_json().alias("json"))
     write_partitioned(out, f"{root}/by_category", ["category_dir"])
-    back = spark.read.json(f"{root}/by_category")
+    # the schema written is known: no inference pass; category_dir comes from the folders
+    back = spark.read.schema("file_path string, chunk_name string, n_objects int, json string").json(
+        f"{root}/by_category")
     return back.select("file_path", "category_dir", "chunk_name", F.col("n_objects").cast("int").alias("n_objects"),
                        F.size(F.from_json("json", "array<string>")).alias("n_parsed"))
 
