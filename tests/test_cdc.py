@@ -78,3 +78,14 @@ def test_single_pass_change_feed_equals_two_snapshot_diff(spark):
     assert norm(one) == norm(two) == [
         (1, "a", "update_preimage"), (1, "a2", "update_postimage"), (2, "b", "delete"), (4, "d", "insert"),
         (5, "e", "delete")]
+
+
+def test_stream_target_empty_batch_and_pointer_fallback(spark, scratch):
+    t = Scd1Target(spark, scratch, ["k"], ["seq"], ["k", "seq", "v", "_change_type"], n_buckets=4)
+    t.apply_batch(rows(spark, [(1, 1, "a", "insert"), (2, 1, "b", "insert")]), 0)
+    t.apply_batch(rows(spark, []), 1)  # no rows: the bucket map is carried forward
+    t.apply_batch(rows(spark, [(1, 2, "a2", "update_postimage")]), 2)
+    assert {r.k: r.v for r in t.current().collect()} == {1: "a2", 2: "b"}
+    # batch ids with a gap (no pointer for id 4): the latest pointer is found by listing
+    t.apply_batch(rows(spark, [(3, 1, "c", "insert")]), 5)
+    assert {r.k: r.v for r in t.current().collect()} == {1: "a2", 2: "b", 3: "c"}
