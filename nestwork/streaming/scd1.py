@@ -26,7 +26,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cdc import apply_scd1, sequence_struct
+from ..operators.cdc import op_rank, sequence_struct
 
 
 class Scd1Target:
@@ -85,7 +85,10 @@ class Scd1Target:
 
     # --------------------------------------------------------------- reduce
     def _reduce(self, rows: DataFrame) -> DataFrame:
-        order = F.struct(F.col("_seq"), F.col("_deleted"),
+        """Latest row per key over batch and state rows together.  ``max_by`` is
+        associative, so reducing (earlier winners + new rows) equals reducing
+        the whole history: one shuffle per micro-batch."""
+        order = F.struct(F.col("_seq"), F.col("_rank"),
                          F.xxhash64(*[F.col(c) for c in rows.columns]).alias("h"))
         vals = [c for c in rows.columns if c not in self.keys]
         return (rows.groupBy(*self.keys).agg(F.max_by(F.struct(*[F.col(c) for c in vals]), order).alias("_r"))
@@ -109,11 +112,16 @@ class Scd1Target:
             batch.unpersist()
             return
         changes = batch.where(~is_trunc)
-        reduced = apply_scd1(changes, self.keys, self.sequence_by, self.delete_when, None,
-                             except_columns=("_change_type",), keep_tombstones=True)
+        has_type = "_change_type" in changes.columns
+        if has_type:
+            changes = changes.where(F.col("_change_type") != "update_preimage")
+        is_delete = F.coalesce(F.expr(self.delete_when), F.lit(False)) if self.delete_when else F.lit(False)
+        values = [c for c in changes.columns if c not in self.keys and c != "_change_type"]
+        batch_rows = changes.select(*self.keys, *values, is_delete.alias("_deleted"), seq.alias("_seq"),
+                                    (op_rank() if has_type else F.lit(1)).alias("_rank"))
         before = self._latest_versions(batch_id, None)
         state = self._read_state({b: v for b, v in before.items() if b in set(touched)})
-        rows = reduced if state is None else reduced.unionByName(state.select(*reduced.columns))
+        rows = batch_rows if state is None else batch_rows.unionByName(state.select(*batch_rows.columns))
         if cut is not None:
             cut_col = F.struct(*[F.lit(cut[i]).alias(f"s{i}") for i in range(len(self.sequence_by))])
             rows = rows.where(F.col("_seq") > cut_col)
@@ -142,7 +150,7 @@ class Scd1Target:
             raise ValueError("no batch has been applied yet")
         if keep_tombstones:
             return state
-        return state.where(~F.col("_deleted")).drop("_deleted", "_seq")
+        return state.where(~F.col("_deleted")).drop("_deleted", "_seq", "_rank")
 
     def foreach_batch(self):
         return lambda df, batch_id: self.apply_batch(df, batch_id)
