@@ -65,3 +65,14 @@ def test_readers(spark, scratch):
     listing = list_files(spark, scratch + "/j", glob="*.json")
     assert sorted(os.path.basename(r.path) for r in listing.collect()) == ["a.json", "b.json"]
     assert listing.where(F.col("length") > 0).count() == 2
+
+
+def test_json_chunks_cap_rows_per_file(spark, scratch):
+    """K4/K6: at most n rows per JSON file, 2,500 rows at 1,000 give 3+ files."""
+    from nestwork.sources.sinks import write_json_chunks
+
+    df = spark.range(2500).withColumn("v", F.col("id") * 2)
+    write_json_chunks(df, scratch + "/chunks", max_records=1000, partitions=1)
+    counts = (spark.read.json(scratch + "/chunks").groupBy(F.input_file_name().alias("f")).count().collect())
+    assert sum(r["count"] for r in counts) == 2500
+    assert max(r["count"] for r in counts) <= 1000 and len(counts) == 3
