@@ -165,24 +165,28 @@ def _subset(rows: DataFrame) -> DataFrame:
     return rows.join(cut, by).where(F.col("d2") <= F.col("cut")).drop("cut", "d2")
 
 
-def judge(figures: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Add base_failed, distance and kept to a table of text figures.
-
-    ``figures`` is scanned several times: pass a written table.
-    """
+def _keyed(figures: DataFrame, lang: Column, source: Column) -> DataFrame:
     none = F.lit("\x00")
-    keyed = _vector(figures.withColumns({
-        "base_failed": base_failed(), "g_lang": F.coalesce(F.col(lang), none),
-        "g_source": F.coalesce(F.col(source), none)}))
-    rows = keyed.where(~F.col("base_failed")).select("g_lang", "g_source", *STATS)
-    near = _start(rows)
-    fit = None
+    return _vector(figures.withColumns({
+        "base_failed": base_failed(), "g_lang": F.coalesce(lang, none), "g_source": F.coalesce(source, none)}))
+
+
+def group_fits(figures: DataFrame) -> DataFrame:
+    """MCD fits per language and source.  ``figures`` is scanned several times: pass a written table."""
+    rows = (_keyed(figures, F.col("lang"), F.col("source")).where(~F.col("base_failed"))
+            .select("g_lang", "g_source", *STATS))
+    near, fit = _start(rows), None
     for _ in range(STEPS):
         fit = _fit(_subset(near), CONSISTENCY)
         near = _distance(rows, fit)
-    judged = _distance(keyed, fit)
+    return fit
+
+
+def judged(figures: DataFrame, fit: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """Add base_failed, distance and kept to a table of text figures."""
+    out = _distance(_keyed(figures, F.col(lang), F.col(source)), fit)
     kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= CUTOFF)
-    return judged.withColumn("kept", kept).withColumnRenamed("d2", "distance").drop("g_lang", "g_source", *STATS)
+    return out.withColumn("kept", kept).withColumnRenamed("d2", "distance").drop("g_lang", "g_source", *STATS)
 
 
 def quality_table(docs: DataFrame) -> DataFrame:
@@ -190,23 +194,18 @@ def quality_table(docs: DataFrame) -> DataFrame:
 
     The texts are read once; the figures are written and all fits work on them.
     """
-    narrow = docs.select("doc_id", "lang", "source", "text")
-    figures = written(text_figures(narrow).drop("text"), "quality-figures")
-    return judge(figures)
+    figures = written(text_figures(docs.select("doc_id", "lang", "source", "text")).drop("text"), "quality-figures")
+    return judged(figures, group_fits(figures))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns.
 
-    Verdicts are joined by doc_id and a text hash, so rows that share a doc_id keep their own.
+    The fits come from a narrow table of figures; a second pass over the texts applies them
+    where the rows are, so no text is shuffled.
     """
-    marked = docs.select(row_struct(docs), F.coalesce(F.col("doc_id"), F.lit(-2 ** 63)).alias("q_doc"),
-                         F.xxhash64(text_of()).alias("q_hash"), "lang", "source", text_of().alias("text"))
-    figures = written(text_figures(marked.drop("row")).drop("text"), "quality-figures")
-    bad = (judge(figures).where("NOT kept")
-           .select("q_doc", "q_hash", F.coalesce("lang", F.lit("\x00")).alias("q_lang"),
-                   F.coalesce("source", F.lit("\x00")).alias("q_source")).distinct())
-    keyed = marked.select("row", "q_doc", "q_hash", F.coalesce("lang", F.lit("\x00")).alias("q_lang"),
-                          F.coalesce("source", F.lit("\x00")).alias("q_source"))
-    kept = keyed.join(bad, ["q_doc", "q_hash", "q_lang", "q_source"], "left_anti")
+    narrow = text_figures(docs.select("lang", "source", "text")).drop("text")
+    fit = group_fits(written(narrow, "quality-figures"))
+    rows = text_figures(docs.select(row_struct(docs)), "row.text")
+    kept = judged(rows, fit, "row.lang", "row.source").where("kept")
     return kept.select(*unpacked(kept, docs.columns))

@@ -6,13 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from nestwork.sources.tables import table
 
-from . import bagminhash, line_dedup, mixing, quality, sentencepiece_trie
+from . import (bagminhash, chat_format, line_dedup, mixing, quality, secret_scan, sentencepiece_trie, sharding,
+               voronoi_knn, warc)
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_trie.token_table(table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_table(table(spark, sf_dir, "documents"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.chat_table(spark, table(spark, sf_dir, "conversations"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_table(table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_table(spark, table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_table(table(spark, sf_dir, "documents"))
 
@@ -29,6 +46,13 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_dup_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op6_line_dedup, op7_mixing, op8_quality, op9_near_dedup)}
+def op10_exact_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi_knn.knn_table(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_sentencepiece, op2_secrets, op3_chat_format, op4_sharding, op5_warc, op6_line_dedup, op7_mixing, op8_quality,
+    op9_near_dedup, op10_exact_knn)}
 
-ORACLE = {"op6_line_dedup": line_dedup.ORACLE, "op7_mixing": mixing.ORACLE}
+ORACLE = {"op3_chat_format": chat_format.ORACLE, "op5_warc": warc.ORACLE, "op6_line_dedup": line_dedup.ORACLE,
+          "op7_mixing": mixing.ORACLE, "op10_exact_knn": voronoi_knn.ORACLE}
