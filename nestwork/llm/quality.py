@@ -185,8 +185,10 @@ def group_fits(figures: DataFrame) -> DataFrame:
 def judged(figures: DataFrame, fit: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """Add base_failed, distance and kept to a table of text figures."""
     out = _distance(_keyed(figures, F.col(lang), F.col(source)), fit)
-    kept = ~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= CUTOFF)
-    return out.withColumn("kept", kept).withColumnRenamed("d2", "distance").drop("g_lang", "g_source", *STATS)
+    # one comparison over both sides of the join: a filter on it stays above the join, and the
+    # planner does not copy the figures' expressions into a predicate below it
+    reach = F.when(F.col("base_failed"), F.lit(float("inf"))).otherwise(F.coalesce(F.col("d2"), F.lit(0.0)))
+    return out.withColumn("kept", reach <= CUTOFF).withColumnRenamed("d2", "distance").drop("g_lang", "g_source", *STATS)
 
 
 def quality_table(docs: DataFrame) -> DataFrame:
