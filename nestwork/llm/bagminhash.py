@@ -170,11 +170,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], names=["a", "b"])
 
 
-def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified (a, b) of the candidate pairs.  Only texts in some pair are moved, each once."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = written(docs.join(ends, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-    side = lambda k: texts.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}"))
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified (a, b) of the candidate pairs."""
+    side = lambda k: texts.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}")).hint("merge")
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
 
@@ -261,17 +259,19 @@ def _bucket_links(part: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
 
-def _late_links(placed: DataFrame, docs: DataFrame) -> DataFrame:
+def _late_links(placed: DataFrame, texts: DataFrame) -> DataFrame:
     """Links that join classes inside buckets which still hold several.
 
-    A bucket is cut into blocks of at most about ``BLOCK_TEXTS`` texts and ``BLOCK_TOKENS``
+    ``placed`` leaves out each bucket's first text, which all others were checked against;
+    buckets with the same texts are looked at once.  A bucket is cut into blocks of at most about ``BLOCK_TEXTS`` texts and ``BLOCK_TOKENS``
     shingles, and each pair of blocks is a group of its own; small buckets share groups.
     """
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    digest = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node")), F.sum(F.shiftright(F.xxhash64(F.lit(1), "node"), 20)))
+    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), digest.alias("digest"))
+             .where("lo < hi").groupBy("digest").agg(F.min("bucket").alias("bucket")))
     held = written(placed.join(mixed.select("bucket"), "bucket"), "near-open")
     nodes = held.select("node").distinct()
-    tokens = written(docs.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-                     .mapInArrow(_tokens, "node long, size long, tokens binary"), "near-tokens")
+    tokens = written(texts.join(nodes, "node", "left_semi").mapInArrow(_tokens, "node long, size long, tokens binary"), "near-tokens")
     sizes = held.join(tokens.select("node", "size"), "node").groupBy("bucket").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_TOKENS)).alias("blocks"))
     groups = F.lit(max(1, held.count() // BLOCK_TEXTS))
@@ -294,12 +294,15 @@ def near_classes(docs: DataFrame) -> DataFrame:
     bands = written(base.select("node", "text").mapInArrow(_bands, "node long, bucket long"), "near-bands")
     shared = bands.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     members = written(bands.join(shared.select("bucket", "first"), "bucket").distinct(), "near-members")
-    texts = base.select("node", "text")
+    # the texts in shared buckets, each once; a merge join at any size, so its cost grows as the input
+    wanted = members.select("node").distinct().hint("merge")
+    texts = written(base.select("node", "text").join(wanted, "node", "left_semi")
+                    .groupBy("node").agg(F.first("text").alias("text")), "near-texts")
     stars = written(members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(),
                     "near-stars")
     links = written(_linked(stars, texts), "near-links")
     labels = components(links)
-    placed = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    placed = members.where("node <> first").join(labels, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
     labels = components(links.unionAll(_late_links(placed, texts)))
     return ids.join(labels, "node", "left").select("doc_id", "node", F.coalesce("comp", "node").alias("comp"))
 
