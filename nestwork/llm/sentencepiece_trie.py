@@ -31,6 +31,7 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -273,8 +274,6 @@ def decode(ids: Column, spark: SparkSession, model_path: str, kind: str | None =
     """A column with the text of a column of token ids (null: null)."""
     shared = spark.sparkContext.broadcast(read_model(model_path))
 
-    import pandas as pd
-
     def run(column: pd.Series) -> pd.Series:
         pieces = _pieces(shared.value, kind)
         return column.map(lambda x: None if x is None else pieces.decode(list(x)))
