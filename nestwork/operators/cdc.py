@@ -35,7 +35,11 @@ def sequence_struct(sequence_by: Sequence[str]) -> Column:
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                    columns: Sequence[str] | None = None) -> DataFrame:
-    """The row with the greatest ``order_by`` per key (partial aggregation)."""
+    """The row with the greatest ``order_by`` per key (partial aggregation).
+
+    Truncate marks and update preimages are not rows of a key and are left out."""
+    if "_change_type" in df.columns:
+        df = df.where(~F.coalesce(F.col("_change_type").isin("truncate", "update_preimage"), F.lit(False)))
     columns = [c for c in (columns or df.columns) if c not in keys]
     order = F.struct(*[F.col(c) for c in order_by], F.xxhash64(*[F.col(c) for c in df.columns]))
     return (df.groupBy(*keys).agg(F.max_by(F.struct(*columns), order).alias("_r"))
@@ -92,22 +96,32 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
 
 def changes_between(log: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], value_cols: Sequence[str],
                     from_version, version_col: str = "_commit_version",
-                    delete_when: str | None = "_change_type = 'delete'") -> DataFrame:
+                    delete_when: str | None = "_change_type = 'delete'",
+                    truncate_when: str | None = "_change_type = 'truncate'") -> DataFrame:
     """T4 from ONE aggregation: the state after ``from_version`` and the latest
     state come from two conditional ``max_by`` in the same partial aggregation
     (rows past ``from_version`` have a NULL order for the first and are
     skipped), then each key yields its change rows.  No second pass, no join.
-    ``from_version`` may be a literal or a scalar-subquery Column."""
+    ``from_version`` may be a literal or a scalar-subquery Column.  A truncate ends every row at
+    or below its sequence, in the first state only if it was committed by then; the two cuts are
+    scalar subqueries."""
     if "_change_type" in log.columns:
         log = log.where(F.col("_change_type") != "update_preimage")
     seq = sequence_struct(sequence_by)
+    in_before = F.col(version_col) <= (from_version if isinstance(from_version, Column) else F.lit(from_version))
+    alive_b = alive_a = F.lit(True)
+    if truncate_when and "_change_type" in log.columns:
+        is_trunc = F.coalesce(F.expr(truncate_when), F.lit(False))
+        cut_b = log.where(is_trunc & in_before).agg(F.max(seq)).scalar()
+        cut_a = log.where(is_trunc).agg(F.max(seq)).scalar()
+        log = log.where(~is_trunc)
+        alive_b, alive_a = cut_b.isNull() | (seq > cut_b), cut_a.isNull() | (seq > cut_a)
     rank = op_rank() if "_change_type" in log.columns else F.lit(1)
     order = F.struct(seq.alias("seq"), rank.alias("rank"), F.xxhash64(*[F.col(c) for c in log.columns]).alias("h"))
     is_delete = F.coalesce(F.expr(delete_when), F.lit(False)) if delete_when else F.lit(False)
     row = F.struct(*[F.col(c) for c in value_cols], is_delete.alias("_deleted"))
-    in_before = F.col(version_col) <= (from_version if isinstance(from_version, Column) else F.lit(from_version))
-    both = log.groupBy(*keys).agg(F.max_by(row, F.when(in_before, order)).alias("_b"),
-                                  F.max_by(row, order).alias("_a"))
+    both = log.groupBy(*keys).agg(F.max_by(row, F.when(in_before & alive_b, order)).alias("_b"),
+                                  F.max_by(row, F.when(alive_a, order)).alias("_a"))
     live_b = F.col("_b").isNotNull() & ~F.col("_b._deleted")
     live_a = F.col("_a").isNotNull() & ~F.col("_a._deleted")
     vb = F.struct(*[F.col(f"_b.{c}").alias(c) for c in value_cols])

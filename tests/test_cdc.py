@@ -89,3 +89,16 @@ def test_stream_target_empty_batch_and_pointer_fallback(spark, scratch):
     # batch ids with a gap (no pointer for id 4): the latest pointer is found by listing
     t.apply_batch(rows(spark, [(3, 1, "c", "insert")]), 5)
     assert {r.k: r.v for r in t.current().collect()} == {1: "a2", 2: "b", 3: "c"}
+
+
+def test_changes_between_sees_a_truncate(spark):
+    from nestwork.operators import cdc
+
+    log = spark.createDataFrame(
+        [(1, 1, "a", "insert", 0), (2, 2, "b", "insert", 0), (None, 3, None, "truncate", 1), (3, 4, "c", "insert", 2), (2, 1, "x", "insert", 2)],
+        "k int, s int, v string, _change_type string, _commit_version long")
+    got = {(r["k"], r["v"], r["_change_type"]) for r in cdc.changes_between(log, ["k"], ["s"], ["v"], 0).collect()}
+    assert got == {(1, "a", "delete"), (2, "b", "delete"), (3, "c", "insert")}
+    after = {(r["k"], r["v"], r["_change_type"]) for r in cdc.changes_between(log, ["k"], ["s"], ["v"], 1).collect()}
+    assert after == {(3, "c", "insert")}
+    assert {r["k"] for r in cdc.latest_per_key(log, ["k"], ["s"]).collect()} == {1, 2, 3}
