@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import flatten as fl
 from ..operators import quality as qa
 from ..session import scratch_path
-from ..sources.change_log import change_log
+from ..sources.change_log import change_log, with_truncate_at_middle
 from ..sources.files import stream_lines, stream_whole_files
 from ..sources.bronze import index_bronze_table
 from ..sources.sinks import stream_to_table
@@ -68,11 +68,8 @@ def q_stream_tumbling(spark, sf_dir):
     return latest_updates(spark, f"{root}/updates", ["window_start", "window_end", "event_type"])
 
 
-def q_stream_scd1(spark, sf_dir):
-    """S11, T5-T8 in a stream: the change log, one file per micro-batch, applied
-    to a versioned, bucketed SCD1 target through ``foreachBatch``."""
+def _stream_scd1(spark, log):
     root = scratch_path(spark, "stream_scd1")
-    log = change_log(spark, sf_dir)
     log.repartitionByRange(5, "event_id").write.parquet(f"{root}/change_log")
     src = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/change_log")
     target = Scd1Target(spark, f"{root}/target", KEYS, SEQ,
@@ -83,6 +80,19 @@ def q_stream_scd1(spark, sf_dir):
     return target.current().select(*KEYS, *VALUES)
 
 
+def q_stream_scd1(spark, sf_dir):
+    """S11, T5-T8 in a stream: the change log, one file per micro-batch, applied
+    to a versioned, bucketed SCD1 target through ``foreachBatch``."""
+    return _stream_scd1(spark, change_log(spark, sf_dir))
+
+
+def q_stream_scd1_truncate(spark, sf_dir):
+    """T7 in a stream: the truncate of the log's middle comes in one micro-batch, and the
+    batches come in the order of file times, so rows below it can also come later."""
+    log = with_truncate_at_middle(change_log(spark, sf_dir))
+    return _stream_scd1(spark, log)
+
+
 _ORDERS_POS_SQL = """
 WITH o AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS structure_pos
            FROM orders),
@@ -101,6 +111,7 @@ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
        CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end, event_type, count(*) AS n_events
 FROM events GROUP BY 1, 2, 3""",
     "stream_scd1": CDC_ORACLE["scd1_current"],
+    "stream_scd1_truncate": CDC_ORACLE["scd1_truncate"],
 }
 
 QUERIES = {
@@ -108,4 +119,5 @@ QUERIES = {
     "stream_whole_files": q_stream_whole_files,
     "stream_tumbling": q_stream_tumbling,
     "stream_scd1": q_stream_scd1,
+    "stream_scd1_truncate": q_stream_scd1_truncate,
 }

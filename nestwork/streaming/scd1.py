@@ -15,7 +15,11 @@ batch overwrites its own version, so a retried or replayed batch is
 idempotent and the file sink's commit protocol keeps partial output invisible.
 Deletes stay as tombstones, so a late lower-sequence row cannot revive a
 deleted key; a truncate drops every state and batch row at or below its
-sequence.  The driver only ever handles bucket numbers and version numbers.
+sequence, also when that row only arrives in a later batch: the highest truncate
+so far is stored beside each pointer.  The number of buckets is stored with the
+target, and another number is refused.  Only a missing path means "no batch
+yet"; any other failure of a read is raised.  The driver only ever handles
+bucket numbers, version numbers and one sequence value.
 """
 
 from __future__ import annotations
@@ -23,12 +27,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.cdc import op_rank, sequence_struct
 
 
+def _none_first(sequence) -> tuple:
+    """A sequence value that Python can compare, nulls lowest."""
+    return tuple((v is not None, v) if v is not None else (False, 0) for v in sequence)
+
+
 class Scd1Target:
     """SCD type 1 target folder.  Size ``n_buckets`` so one bucket of state is
     roughly 128-512 MB (state bytes / 256 MB): each touched bucket is rewritten by
@@ -45,19 +56,39 @@ class Scd1Target:
     def _bucket(self):
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.n_buckets)).cast("int")
 
-    def _pointers(self) -> DataFrame | None:
+    def _read_or_none(self, path: str) -> DataFrame | None:
+        """The table at ``path``, None if there is no such path; other failures are raised."""
         try:
-            return self.spark.read.parquet(f"{self.root}/pointer")
-        except Exception:  # no batch committed yet
-            return None
+            return self.spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _check_buckets(self, store: bool) -> None:
+        """The number of buckets belongs to the target's layout."""
+        meta = self._read_or_none(f"{self.root}/meta")
+        if meta is None:
+            if store:
+                self.spark.createDataFrame([(self.n_buckets,)], "n_buckets int").write.mode("overwrite").parquet(f"{self.root}/meta")
+            return
+        stored = meta.first()["n_buckets"]
+        if stored != self.n_buckets:
+            raise ValueError(f"the target has {stored} buckets, not {self.n_buckets}")
+
+    def _latest_cut(self, below: int) -> tuple | None:
+        """The highest truncate sequence of all batches before ``below``."""
+        cuts = self._read_or_none(f"{self.root}/cut")
+        row = None if cuts is None else cuts.where(F.col("v") < below).orderBy(F.desc("v")).limit(1).first()
+        return None if row is None or row["cut"] is None else tuple(row["cut"])
+
+    def _pointers(self) -> DataFrame | None:
+        return self._read_or_none(f"{self.root}/pointer")
 
     def _pointer_map(self, version: int) -> dict[int, int] | None:
         """The complete bucket -> version map written by batch ``version`` (<= n_buckets rows)."""
-        try:
-            rows = self.spark.read.parquet(f"{self.root}/pointer/v={version}").collect()
-        except Exception:
-            return None
-        return {r["bucket"]: r["version"] for r in rows}
+        table = self._read_or_none(f"{self.root}/pointer/v={version}")
+        return None if table is None else {r["bucket"]: r["version"] for r in table.collect()}
 
     def _latest_versions(self, below: int | None, buckets: Sequence[int] | None) -> dict[int, int]:
         """Latest version per bucket below ``below``: the previous batch's pointer
@@ -95,6 +126,7 @@ class Scd1Target:
                 .select(*self.keys, "_r.*"))
 
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
+        self._check_buckets(store=True)
         batch = batch.select(*self.keys, *[c for c in self.columns if c not in self.keys],
                              *[c for c in ("_change_type",) if c in batch.columns and c not in self.columns])
         # the micro-batch is read twice (facts, merge): keep it for this batch only;
@@ -105,10 +137,13 @@ class Scd1Target:
         # one small job: the latest truncate and the touched buckets (<= n_buckets ids)
         facts = batch.agg(F.max(F.when(is_trunc, seq)).alias("cut"),
                           F.collect_set(F.when(~is_trunc, self._bucket())).alias("buckets")).first()
-        cut = facts["cut"]
-        touched = list(range(self.n_buckets)) if cut is not None else sorted(facts["buckets"])
+        known, new = self._latest_cut(batch_id), facts["cut"]
+        raised = new is not None and (known is None or _none_first(new) > _none_first(known))
+        cut = tuple(new) if raised else known
+        touched = list(range(self.n_buckets)) if raised else sorted(facts["buckets"])
+        cut_type = T.StructType([T.StructField(f"s{i}", batch.schema[c].dataType) for i, c in enumerate(self.sequence_by)])
         if not touched:
-            self._write_pointer(batch_id, self._latest_versions(batch_id, None))  # carry the map forward
+            self._write_pointer(batch_id, self._latest_versions(batch_id, None), cut, cut_type)  # carry the map forward
             batch.unpersist()
             return
         changes = batch.where(~is_trunc)
@@ -132,18 +167,21 @@ class Scd1Target:
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in merged.schema.fields
               if f.name not in ("bucket", "_marker")], "bucket", F.lit(True).alias("_marker"))
         merged = merged.unionByName(markers)
-        (merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket")
+        (merged.repartitionByRange(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.root}/data/v={batch_id}"))
-        self._write_pointer(batch_id, {**before, **{b: batch_id for b in touched}})
+        self._write_pointer(batch_id, {**before, **{b: batch_id for b in touched}}, cut, cut_type)
         batch.unpersist()
 
-    def _write_pointer(self, batch_id: int, versions: dict[int, int]) -> None:
-        """Written after the data: the complete map, so readers need only this file."""
+    def _write_pointer(self, batch_id: int, versions: dict[int, int], cut: tuple | None, cut_type: T.StructType) -> None:
+        """Written after the data: the truncate so far, then the complete map, so readers need only this file."""
+        self.spark.createDataFrame([(cut,)], T.StructType([T.StructField("cut", cut_type)])).write.mode("overwrite").parquet(
+            f"{self.root}/cut/v={batch_id}")
         rows = [(b, v) for b, v in sorted(versions.items())]
         (self.spark.createDataFrame(rows, "bucket int, version long").coalesce(1)
          .write.mode("overwrite").parquet(f"{self.root}/pointer/v={batch_id}"))
 
     def current(self, keep_tombstones: bool = False) -> DataFrame:
+        self._check_buckets(store=False)
         versions = self._latest_versions(None, None)
         state = self._read_state(versions)
         if state is None:

@@ -103,3 +103,51 @@ def test_clean_source_archives_processed_files(spark, scratch):
         time.sleep(0.5)
     assert len(archived) >= 1
     assert len([f for f in os.listdir(landing) if f.endswith(".json")]) + len(archived) == 3
+
+
+def _scd1_target(spark, root, n_buckets=4):
+    from nestwork.streaming.scd1 import Scd1Target
+
+    return Scd1Target(spark, root, ["k"], ["s"], columns=["k", "s", "v", "_change_type"], n_buckets=n_buckets)
+
+
+def _changes(spark, *rows):
+    return spark.createDataFrame(list(rows), "k int, s int, v string, _change_type string")
+
+
+def test_late_row_stays_below_an_earlier_truncate(spark, scratch):
+    target = _scd1_target(spark, scratch)
+    target.apply_batch(_changes(spark, (1, 1, "a", "insert"), (2, 6, "b", "insert")), 0)
+    target.apply_batch(_changes(spark, (None, 5, None, "truncate")), 1)
+    target.apply_batch(_changes(spark, (1, 3, "late", "update_postimage"), (3, 4, "late", "insert"), (4, 7, "d", "insert")), 2)
+    target.apply_batch(_changes(spark, (1, 3, "late", "update_postimage"), (3, 4, "late", "insert"), (4, 7, "d", "insert")), 2)  # replay
+    target.apply_batch(_changes(spark, (5, 2, "late", "insert")), 3)
+    assert sorted((r["k"], r["v"]) for r in target.current().collect()) == [(2, "b"), (4, "d")]
+
+
+def test_another_bucket_count_is_refused(spark, scratch):
+    import pytest
+
+    _scd1_target(spark, scratch).apply_batch(_changes(spark, (1, 1, "a", "insert")), 0)
+    with pytest.raises(ValueError, match="4 buckets"):
+        _scd1_target(spark, scratch, 7).apply_batch(_changes(spark, (2, 1, "a", "insert")), 1)
+    with pytest.raises(ValueError, match="4 buckets"):
+        _scd1_target(spark, scratch, 7).current()
+
+
+def test_a_failing_pointer_read_is_raised(spark, scratch):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    target = _scd1_target(spark, scratch)
+    target.apply_batch(_changes(spark, (1, 1, "a", "insert")), 0)
+
+    class Broken:
+        class read:
+            @staticmethod
+            def parquet(path):
+                raise AnalysisException("storage is away", errorClass="CANNOT_READ_FILE_FOOTER", messageParameters={})
+
+    target.spark = Broken
+    with pytest.raises(Exception):
+        target._pointer_map(0)
