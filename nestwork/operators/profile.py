@@ -47,14 +47,26 @@ CASE WHEN _v IS NULL THEN array() ELSE concat(
                   false AS rec, false AS is_array)), array())) END"""
 
 
-def array_paths(docs: DataFrame, doc: str = "doc", key: str = "file_path", max_depth: int = 8,
-                limit: int | None = None) -> DataFrame:
+def nesting(docs: DataFrame, doc: str = "doc") -> int:
+    """The deepest nesting of any document, from the brackets of its inferred schema (one aggregation)."""
+    brackets = F.split(F.regexp_replace(F.schema_of_variant(doc), "[^<>]", ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc, c):
+        now = acc["now"] + F.when(c == "<", 1).when(c == ">", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    return docs.agg(F.max(F.aggregate(brackets, start, step, lambda acc: acc["most"])).alias("d")).first()["d"] or 0
+
+
+def array_paths(docs: DataFrame, doc: str = "doc", key: str = "file_path", limit: int | None = None) -> DataFrame:
     """Every distinct array path (``a.item.b.item`` form) with the number of
-    documents that contain it, up to ``max_depth`` levels.  ``limit`` keeps the
-    first paths in path order (L1); by default every path is returned."""
+    documents that contain it, at any depth.  ``limit`` keeps the first paths in
+    path order (L1); by default every path is returned."""
+    levels = nesting(docs, doc)
     nodes = docs.select(F.col(key).alias("_key"), F.lit("").alias("_path"), F.col(doc).alias("_v"),
                         F.lit(False).alias("_rec"), F.lit(False).alias("_arr"))
-    for _ in range(max_depth + 1):
+    for _ in range(levels + 1):
         nodes = nodes.select("_key", F.explode(
             F.when(F.col("_rec"), F.array(F.struct(F.col("_path").alias("path"), F.lit(None).cast("variant").alias("v"),
                                                    F.lit(True).alias("rec"), F.col("_arr").alias("is_array"))))

@@ -30,9 +30,13 @@ def load_definitions(spark: SparkSession, config_dir: str, prefix: str | None =
 
 def ingest_definitions(spark: SparkSession, defs: DataFrame, landing_root: str, out_root: str,
                        whole_file: bool = True, wait: bool = True) -> dict[str, StreamingQuery]:
-    """Start one triggered bronze stream per valid definition."""
+    """Start one triggered bronze stream per definition; an invalid one stops the run before any starts."""
     started: dict[str, StreamingQuery] = {}
-    for d in defs.where("valid").collect():  # a few definition rows
+    rows = defs.collect()  # a few definition rows
+    bad = [d.file_type or "(no file_type)" for d in rows if not d.valid]
+    if bad:
+        raise ValueError(f"invalid ingestion definitions: {', '.join(sorted(bad))}")
+    for d in rows:
         src_path = f"{landing_root.rstrip('/')}/{d.volume_sub_path}"
         reader = stream_whole_files if whole_file else stream_lines
         kwargs = {"max_files_per_trigger": d.maxFilesPerTrigger}

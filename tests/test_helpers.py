@@ -77,3 +77,26 @@ def test_pivot_inside_a_stream(spark, scratch):
     q.awaitTermination()
     got = {(r.id, r.x, r.y) for r in spark.read.parquet(scratch + "/o").collect()}
     assert got == {("d1", "1", "2"), ("d2", "3", None)}
+
+
+def test_array_paths_at_any_depth(spark):
+    from pyspark.sql import functions as F
+
+    from nestwork.operators.profile import array_paths
+
+    deep = "1"
+    for i in range(12):
+        deep = f'{{"a{i}": [{deep}]}}'
+    docs = spark.createDataFrame([("f", deep), ("g", '{"a11": []}'), ("h", "7")], "file_path string, t string")
+    out = array_paths(docs.select("file_path", F.try_parse_json("t").alias("doc"))).collect()
+    assert len(out) == 12 and max(r["depth"] for r in out) == 12
+
+
+def test_invalid_definition_is_an_error(spark, scratch):
+    import pytest
+
+    from nestwork.sources.config import DEFINITION_SCHEMA, ingest_definitions
+
+    defs = spark.createDataFrame([("index", "", "json", "off", "1 day", "in", 1, False)], DEFINITION_SCHEMA + ", valid boolean")
+    with pytest.raises(ValueError, match="index"):
+        ingest_definitions(spark, defs, scratch, scratch)
