@@ -33,9 +33,8 @@ def hash_key(*cols) -> Column:
 
 
 def source_id(metadata_col: str = "file_metadata") -> Column:
-    """Key of one source file from every field of its metadata struct."""
-    fields = ["file_path", "file_name", "file_size", "file_block_start",
-              "file_block_length", "file_modification_time"]
+    """Key of one source file: path, name, size and time, the same however the file is split."""
+    fields = ["file_path", "file_name", "file_size", "file_modification_time"]
     return hash_key(*[F.col(f"{metadata_col}.{f}") for f in fields])
 
 

@@ -1,16 +1,12 @@
-"""The few Python helpers.
+"""Small column helpers.
 
-Everything on the hot path is a built-in expression; the Arrow-batched pandas
-UDF below is the example of the slow path kept for parity (U3) and is never
-row-at-a-time.
+All of them are built-in expressions: no data goes to a Python worker.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from ..sources.schemas import FILE_STATUS
 
@@ -24,17 +20,15 @@ def distance_km(miles) -> Column:
     return (c * F.lit(KM_PER_MILE)).cast("float")
 
 
-@pandas_udf(FILE_STATUS)
-def name_status(paths: pd.Series) -> pd.DataFrame:
-    """(success, message) per file name, one Arrow batch at a time."""
-    lower = paths.fillna("").str.lower().str.split("?").str[0]
-    is_gz = lower.str.endswith(".gz") | lower.str.endswith(".gzip")
-    is_json = lower.str.endswith(".json")
-    ok = (is_gz | is_json) & (paths.notna())
-    msg = pd.Series("ok", index=paths.index).where(ok, "Error: The file is not a JSON file")
-    return pd.DataFrame({"success": ok.astype(bool), "message": msg})
+def name_status(path) -> Column:
+    """(success, message) of a file name; built-in expressions only."""
+    p = F.col(path) if isinstance(path, str) else path
+    stem = F.split(F.lower(p), r"\?")[0]
+    ok = F.coalesce(stem.endswith(".gz") | stem.endswith(".gzip") | stem.endswith(".json"), F.lit(False))
+    message = F.when(ok, "ok").otherwise("Error: The file is not a JSON file")
+    return F.struct(ok.alias("success"), message.alias("message")).cast(FILE_STATUS)
 
 
 def with_name_status(df: DataFrame, source_column: str, out: str = "name_status") -> DataFrame:
-    """U4: add the UDF column (use with ``df.transform``)."""
+    """U4: add the status column (use with ``df.transform``)."""
     return df.withColumn(out, name_status(F.col(source_column)))

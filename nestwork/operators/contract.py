@@ -106,7 +106,9 @@ RULES: dict[str, list[tuple[str, str, str]]] = {
         ("service_code", "enum", "(x.service_code IS NULL OR forall(x.service_code, s -> s IN ("
          + ", ".join(f"'{c}'" for c in SERVICE_CODES) + ")))"),
         _unique("service_code"), _unique("billing_code_modifier"), _date("expiration_date"),
-        ("", "oneOf", "((coalesce(x.billing_class = 'professional' AND x.service_code IS NOT NULL, false)) <> "
+        # an absent class breaks ``required`` alone
+        ("", "oneOf", "(x.billing_class IS NULL OR "
+                      "(coalesce(x.billing_class = 'professional' AND x.service_code IS NOT NULL, false)) <> "
                       "(coalesce(x.billing_class IN ('institutional', 'both'), false)))"),
     ],
 }

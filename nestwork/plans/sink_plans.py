@@ -46,11 +46,15 @@ def q_partition_sink(spark, sf_dir):
 
 
 def q_manifest(spark, sf_dir):
-    """List the written chunk files and check each exists with size > 0."""
-    root, _ = _write_index_chunks(spark, sf_dir)
-    files = list_files(spark, f"{root}/in_network", glob="*.json")
-    return files.select(F.col("path").endswith(".json").alias("is_json"),
-                        qa.passes("length > 0").alias("non_empty"))
+    """List the written chunk files; count empty and misnamed ones, over-long chunks and rows read back."""
+    root, schema = _write_index_chunks(spark, sf_dir)
+    files = list_files(spark, f"{root}/in_network", glob="part-*")
+    checks = files.agg(F.count_if(~qa.passes("length > 0")).alias("n_empty"),
+                       F.count_if(~F.col("path").endswith(".json")).alias("n_not_json"))
+    back = spark.read.schema(schema).json(f"{root}/in_network").groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        F.count(F.lit(1)).alias("n"))
+    sizes = back.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count_if(F.col("n") > CHUNK_ROWS).alias("n_too_long"))
+    return sizes.select("*", checks.select(F.struct("*")).scalar().alias("c")).select("n_rows", "n_too_long", "c.*")
 
 
 def q_index_split_sink(spark, sf_dir):
@@ -65,6 +69,9 @@ def q_index_split_sink(spark, sf_dir):
 ORACLE = {
     "index_split_sink": INDEX_ORACLE["in_network_file_index"],
     "chunk_sink": INDEX_ORACLE["in_network_file_index"],
+    "manifest": f"""
+SELECT count(*) AS n_rows, 0::BIGINT AS n_too_long, 0::BIGINT AS n_empty, 0::BIGINT AS n_not_json
+FROM ({INDEX_ORACLE['in_network_file_index']})""",
     "partition_sink": f"""
 SELECT file_path, category_dir, chunk_name, n_objects, n_objects AS n_parsed
 FROM ({CHUNK_ORACLE['split_by_field']})""",
