@@ -29,11 +29,14 @@ def q_json_root_types(spark, sf_dir):
 
 
 def q_plan_file_links(spark, sf_dir):
+    return plan_file_links(index_parsed(spark, sf_dir))
+
+
+def plan_file_links(parsed):
     """M3: each in-network file with the plans of its own structure element.
 
     The association stays one row per file with the plan ids as a list: no
     pairing of every plan with every file is emitted."""
-    parsed = index_parsed(spark, sf_dir)
     elems = parsed.select("index_file_source_id",
                           F.posexplode(fl._structure_array("doc")).alias("structure_pos", "s"))
     with_plans = elems.select(

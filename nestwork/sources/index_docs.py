@@ -95,10 +95,12 @@ def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int =
         F.struct(F.lit(ALLOWED_DESCRIPTION).alias("description"),
                  F.concat(F.lit(ALLOWED_PREFIX), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("location")),
     )
-    plan_rows = layout.withColumn("piece", F.lit(0)).select(
+    # every piece of a split order carries its plan; the allowed-amount file stands on the first only
+    pieces = F.explode(F.sequence(F.lit(0), F.col("n_pieces").cast("int") - 1))
+    plan_rows = layout.withColumn("piece", pieces).select(
         *keys, "piece", _doc_part("n_elements", elements_per_doc).alias("doc_part"),
         F.lit(None).cast("struct<description:string,location:string>").alias("file"),
-        plan.alias("plan"), allowed.alias("allowed"),
+        plan.alias("plan"), F.when(F.col("piece") == 0, allowed).alias("allowed"),
     )
     return (
         file_rows.unionByName(plan_rows)

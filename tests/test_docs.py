@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from nestwork.functions.keys import hash_key
 from nestwork.operators import flatten as fl
+from nestwork.plans.profile_plans import plan_file_links
 from nestwork.sources.index_docs import index_documents
 from nestwork.sources.rates_docs import rates_documents
 
@@ -25,7 +26,13 @@ def test_split_index_documents_keep_every_entry(spark):
     flat = fl.flatten_index(bronze)
     n_lines, n_orders, n_f = _counts()
     by_type = {r.file_type: r["count"] for r in flat.groupBy("file_type").count().collect()}
-    assert by_type == {"in_network_files": n_lines, "reporting_plans": n_orders, "allowed_amount_file": n_f}
+    n_pieces = duckdb.sql(f"SELECT sum(p)::INT FROM (SELECT ceil(count(*) / 3.0) p FROM '{SF_SMALL}/lineitem.parquet' "
+                          "GROUP BY l_orderkey)").fetchall()[0][0]
+    lineless = n_orders - duckdb.sql(f"SELECT count(DISTINCT l_orderkey) FROM '{SF_SMALL}/lineitem.parquet'").fetchall()[0][0]
+    assert by_type == {"in_network_files": n_lines, "reporting_plans": n_pieces + lineless, "allowed_amount_file": n_f}
+    # no file of a split order loses its plan
+    links = plan_file_links(bronze.select("index_file_source_id", F.try_parse_json("value").alias("doc")))
+    assert {r.n_plans: r["count"] for r in links.groupBy("n_plans").count().collect()} == {1: n_lines}
     assert docs.select("file_path").distinct().count() == docs.count() > 0
 
 
