@@ -43,7 +43,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 4
 M = BANDS * ROWS
 #: Bounds of a block of one bucket, in texts and shingles.
-BLOCK_TEXTS, BLOCK_TOKENS = 1024, 1_000_000
+BLOCK_TEXTS, BLOCK_TOKENS = 512, 500_000
 
 _U = np.uint64
 _SOLID = np.ones(256, bool)
@@ -141,17 +141,19 @@ def band_hashes(signature: np.ndarray) -> np.ndarray:
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, buckets, seen = [], [], set()
+        nodes, sizes, buckets, seen = [], [], [], set()
         for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
             if node in seen:
                 continue
             seen.add(node)
             if len(s := shingles(text)):
                 nodes.append(node)
+                sizes.append(len(s))
                 buckets.append(band_hashes(bag_signature(s)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(np.array(nodes, np.int64), BANDS)),
-             pa.array(np.concatenate(buckets) if buckets else np.empty(0, np.int64))], names=["node", "bucket"])
+             pa.array(np.concatenate(buckets) if buckets else np.empty(0, np.int64)),
+             pa.array(np.repeat(np.array(sizes, np.int32), BANDS))], names=["node", "bucket", "size"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,21 +179,26 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
 
 
+def _narrow(df: DataFrame) -> DataFrame:
+    """Two numbers for each linked text need no more files than the cluster has cores."""
+    return written(df.coalesce(df.sparkSession.sparkContext.defaultParallelism), "near-labels")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the least node of each linked group, by least-label steps with pointer jumping.
 
-    Each step is written; only a count of changed labels comes to the driver.
+    Each step is written; only whether a label changed comes to the driver.  ``edges`` is a
+    written table.
     """
-    both = written(edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "near-edges")
-    labels = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp"))
-                     .select(F.col("a").alias("node"), "comp"), "near-labels")
+    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = _narrow(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp"))
+                     .select(F.col("a").alias("node"), "comp"))
     while True:
         offers = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("offer"))
         better = labels.join(offers, labels["node"] == offers["a"], "left").select(
             "node", F.col("comp").alias("old"), F.least("comp", "offer").alias("comp"))
         up = labels.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
-        new = written(better.join(up, "comp", "left").select("node", "old", F.least("comp", "up").alias("comp")),
-                      "near-labels")
+        new = _narrow(better.join(up, "comp", "left").select("node", "old", F.least("comp", "up").alias("comp")))
         changed = new.where("old <> comp").limit(1).count()
         labels = new.select("node", "comp")
         if not changed:
@@ -201,15 +208,13 @@ def components(edges: DataFrame) -> DataFrame:
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles as a set: the n-th occurrence of one is a token of its own."""
     for batch in batches:
-        sizes, tokens = [], []
+        tokens = []
         for text in batch.column("text").to_pylist():
             s = shingles(text)
             run = np.arange(len(s)) - np.searchsorted(s, s)
-            sizes.append(len(s))
             tokens.append(_mix(s + run.astype(_U) * _U(0x9E3779B97F4A7C15)).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), pa.array(sizes, pa.int64()), pa.array(tokens, pa.binary())],
-            names=["node", "size", "tokens"])
+            [batch.column("node"), pa.array(tokens, pa.binary())], names=["node", "tokens"])
 
 
 def _bucket_links(part: pa.Table) -> pa.Table:
@@ -267,21 +272,20 @@ def _late_links(placed: DataFrame, texts: DataFrame) -> DataFrame:
     shingles, and each pair of blocks is a group of its own; small buckets share groups.
     """
     digest = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node")), F.sum(F.shiftright(F.xxhash64(F.lit(1), "node"), 20)))
-    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), digest.alias("digest"))
-             .where("lo < hi").groupBy("digest").agg(F.min("bucket").alias("bucket")))
-    held = written(placed.join(mixed.select("bucket"), "bucket"), "near-open")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_TOKENS))
+    mixed = (placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), digest.alias("digest"), blocks.alias("blocks"))
+             .where("lo < hi").groupBy("digest").agg(F.min("bucket").alias("bucket"), F.max("blocks").alias("blocks")))
+    held = written(placed.join(mixed.select("bucket", "blocks"), "bucket"), "near-open")
     nodes = held.select("node").distinct()
-    tokens = written(texts.join(nodes, "node", "left_semi").mapInArrow(_tokens, "node long, size long, tokens binary"), "near-tokens")
-    sizes = held.join(tokens.select("node", "size"), "node").groupBy("bucket").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_TOKENS)).alias("blocks"))
+    tokens = written(texts.join(nodes, "node", "left_semi").mapInArrow(_tokens, "node long, tokens binary"), "near-tokens")
     groups = F.lit(max(1, held.count() // BLOCK_TEXTS))
-    cut = held.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cut = held.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     single = F.col("blocks") == 1
     parts = cut.select(
         "bucket", "node", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         single.alias("single"), F.when(single, F.pmod(F.xxhash64("bucket"), groups)).otherwise(F.col("bucket")).alias("part"))
-    return written(parts.join(tokens.select("node", "tokens"), "node").groupBy("single", "part", "i", "j")
+    return written(parts.join(tokens, "node").groupBy("single", "part", "i", "j")
                    .applyInArrow(_bucket_links, "a long, b long"), "near-late")
 
 
@@ -290,21 +294,20 @@ def near_classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     base = docs.select("doc_id", F.xxhash64(text_of()).alias("node"), text_of().cast("binary").alias("text"))
-    ids = written(base.select("doc_id", "node"), "near-ids")
-    bands = written(base.select("node", "text").mapInArrow(_bands, "node long, bucket long"), "near-bands")
+    bands = written(base.select("node", "text").mapInArrow(_bands, "node long, bucket long, size int"), "near-bands")
     shared = bands.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
     members = written(bands.join(shared.select("bucket", "first"), "bucket").distinct(), "near-members")
-    # the texts in shared buckets, each once; a merge join at any size, so its cost grows as the input
+    # the texts in shared buckets: copies collapse before they are dealt out by node.  A merge join
+    # at any size, so its cost grows as the input
     wanted = members.select("node").distinct().hint("merge")
-    texts = written(base.select("node", "text").join(wanted, "node", "left_semi")
-                    .groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-    stars = written(members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(),
-                    "near-stars")
+    texts = written(base.select("node", "text").groupBy("node").agg(F.first("text").alias("text")).join(wanted, "node"), "near-texts")
+    stars = members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     links = written(_linked(stars, texts), "near-links")
-    labels = components(links)
-    placed = members.where("node <> first").join(labels, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    # the least linked first text: labels that mean one class, and so save comparisons
+    labels = links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp"))
+    placed = members.where("node <> first").join(labels, "node", "left").select("bucket", "node", "size", F.coalesce("comp", "node").alias("comp"))
     labels = components(links.unionAll(_late_links(placed, texts)))
-    return ids.join(labels, "node", "left").select("doc_id", "node", F.coalesce("comp", "node").alias("comp"))
+    return base.select("doc_id", "node").join(labels, "node", "left").select("doc_id", "node", F.coalesce("comp", "node").alias("comp"))
 
 
 def near_dup_table(docs: DataFrame) -> DataFrame:
