@@ -13,7 +13,7 @@ which the planner broadcasts only when its known size is small; otherwise it is
 AQE can split.  No group is gathered anywhere.
 
 Defined cases: a null text has no words; null language or source is a group of its own;
-small groups lean on the pooled scatter (``PRIOR_ROWS`` rows of weight), so a group of one
+small groups lean on the pooled scatter (``PRIOR_ROWS`` rows of weight) and a little on the pooled centre, so a group of one
 row is judged by it; repeated rows are judged one by one and alike; an empty table gives an
 empty result; extra columns are ignored by the statistics.
 """
@@ -33,6 +33,8 @@ STEPS = 3
 CONSISTENCY = 1.41
 #: Rows of pooled scatter added to each group's own.
 PRIOR_ROWS = 50
+#: Rows of the pooled centre added to each group's own, so that a lone odd text is not its own measure.
+CENTRE_ROWS = 3
 #: Squared Mahalanobis distance beyond which a text is rejected (chi-squared of 5 degrees: 1 in 10^9).
 CUTOFF = 51.0
 #: Statistic -> least standard deviation assumed, so that a statistic that is constant in
@@ -136,9 +138,10 @@ def _fit(inner: DataFrame, factor: float) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(STATS) for b in STATS[: i + 1]]
     # one row: the mean scatter within groups, weighted by their rows
     pool = own.agg(*[F.coalesce(F.sum(F.col("n") * F.col(f"c_{a}_{b}")) / F.sum("n"), F.lit(0.0)).alias(f"c_{a}_{b}")
-                     for a, b in pairs])
+                     for a, b in pairs],
+                   *[F.coalesce(F.sum(F.col("n") * F.col(f"m_{s}")) / F.sum("n"), F.lit(0.0)).alias(f"m_{s}") for s in STATS])
     prior = pool.select(F.struct("*")).scalar()
-    smooth = {}
+    smooth = {f"m_{s}": (F.col("n") * F.col(f"m_{s}") + CENTRE_ROWS * prior[f"m_{s}"]) / (F.col("n") + CENTRE_ROWS) for s in STATS}
     for a, b in pairs:
         name = f"c_{a}_{b}"
         mixed = (F.col("n") * F.col(name) + PRIOR_ROWS * prior[name]) / (F.col("n") + PRIOR_ROWS) * factor
