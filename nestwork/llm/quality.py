@@ -35,11 +35,15 @@ CONSISTENCY = 1.41
 PRIOR_ROWS = 50
 #: Rows of the pooled centre added to each group's own, so that a lone odd text is not its own measure.
 CENTRE_ROWS = 3
-#: Squared Mahalanobis distance beyond which a text is rejected (chi-squared of 5 degrees: 1 in 10^9).
-CUTOFF = 51.0
-#: Statistic -> least standard deviation assumed, so that a statistic that is constant in
-#: nearly all texts does not make every other value an outlier.
-FLOORS = {"s_len": 1.0, "s_word": 0.12, "s_sym": 0.03, "s_line": 0.15, "s_rep": 0.08}
+#: Squared Mahalanobis distance beyond which a text is rejected (chi-squared of 5 degrees: 1 in 1,000).
+CUTOFF = 20.5
+#: Statistic -> least standard deviation assumed, which keeps the scatter regular where a statistic
+#: is constant: about what one symbol, repeated line or repeated window moves it in a common text.
+#: Each statistic alone can reach more than sqrt(CUTOFF) of them.
+FLOORS = {"s_len": 0.05, "s_word": 0.03, "s_sym": 0.03, "s_line": 0.04, "s_rep": 0.03}
+#: Lines and words without repeats added to each text's shares, so that one repeated line of a
+#: short text is no share to judge by.
+EVEN_LINES, EVEN_WORDS = 10, 100
 STATS = list(FLOORS)
 
 
@@ -90,8 +94,8 @@ def _vector(df: DataFrame) -> DataFrame:
     n, c = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
     return df.withColumns({
         "s_len": F.log(n), "s_word": F.log(c / n), "s_sym": F.sqrt(F.col("n_symbols") / c),
-        "s_line": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-        "s_rep": F.col("n_repeat_words") / n})
+        "s_line": F.col("n_dup_lines") / (F.col("n_lines") + EVEN_LINES),
+        "s_rep": F.col("n_repeat_words") / (n + EVEN_WORDS)})
 
 
 def _moments(df: DataFrame, by: list[str]) -> DataFrame:

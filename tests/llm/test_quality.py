@@ -46,6 +46,39 @@ def test_clean_stays_and_outliers_go(spark):
     assert {r["doc_id"] for r in quality.quality_table(docs).where("kept").collect()} == set(kept)
 
 
+def one_odd_figure():
+    """Statistic -> a text in which only that statistic is far from clean prose."""
+    words = prose(300, 21).split()
+    pairs = [f"{w} kappa" for w in words[:4]]
+    return {
+        "s_len": prose(20_000, 20),
+        "s_word": "\n".join(" ".join(a + b for a, b in zip(words[i:i + 18:2], words[i + 1:i + 18:2])) for i in range(0, 300, 18)),
+        "s_sym": " ".join(w + "#" * (i % 4 == 0) for i, w in enumerate(words)),
+        # the repeated lines are two words between lines of their own, so no window of three words repeats
+        "s_line": "\n".join(f"{words[i]}z{i}\n{pairs[i % 4]}" for i in range(100)),
+        "s_rep": "\n".join(f"{words[i]}z{i} one two three {words[i + 1]}z{i} {words[i + 2]}z{i} {words[i + 3]}z{i}" for i in range(30)),
+    }
+
+
+def test_each_statistic_alone_can_reject(spark):
+    clean = [(i, prose(80 + 7 * (i % 60), i), "en", "big") for i in range(240)]
+    odd = {1000 + k: (name, text) for k, (name, text) in enumerate(one_odd_figure().items())}
+    docs = docs_frame(spark, clean + [(i, text, "en", "big") for i, (_, text) in odd.items()])
+    got = {r["doc_id"]: r for r in quality.quality_table(docs).collect()}
+    assert not any(got[i]["base_failed"] for i in odd)
+    assert [name for i, (name, _) in odd.items() if got[i]["kept"]] == []
+    assert all(got[i]["n_repeat_words"] == 0 for i, (name, _) in odd.items() if name == "s_line")
+    assert all(got[i]["n_dup_lines"] == 0 for i, (name, _) in odd.items() if name == "s_rep")
+    assert all(got[i[0]]["kept"] for i in clean)
+
+
+def test_one_repeated_line_of_a_short_text_stays(spark):
+    clean = [(i, prose(80 + 7 * (i % 60), i), "en", "big") for i in range(240)]
+    short = prose(120, 30)
+    docs = docs_frame(spark, clean + [(1000, short + "\n" + short.split("\n")[2], "en", "big")])
+    assert quality.keep_good(docs).count() == 241
+
+
 def test_nulls_and_empty_table(spark):
     rows = [(None, None, None, None), (None, prose(90, 1), None, None), (1, prose(90, 2), None, "s")]
     out = quality.quality_table(docs_frame(spark, rows)).collect()
