@@ -15,7 +15,8 @@ The forward state of a prefix is its best last piece:
   itself; so every prefix has exactly one state, and prefixes share it just as well.
 
 Each task works on its own rows with bounded memory: a memo of at most ``MEMO_WORDS`` words
-is kept for each Python worker and emptied when full.  Nothing is shuffled.
+(more only for a batch that holds more) is kept for each Python worker and emptied when full,
+always before a batch's words are learnt, never while they are used.  Nothing is shuffled.
 
 Defined cases: null and empty texts have no tokens; characters outside the vocabulary
 become byte pieces (or the unknown piece); U+2581 itself reads back as a space; repeated rows
@@ -201,16 +202,15 @@ class Pieces:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and flat ids of a batch of texts."""
         split = [self.words_of(self.marked(t)) for t in texts]
-        if new := {w for words in split for w in words if w not in self.memo}:
+        distinct = {w for words in split for w in words}
+        new = {w for w in distinct if w not in self.memo}
+        if len(self.memo) + len(new) > MEMO_WORDS:  # it will be emptied: the batch's known words are learnt again
+            self.memo.clear()
+            new = distinct
+        if new:
             self.learn(new)
-        get = self.memo.get
-        rows = []
-        for words in split:
-            found = [get(w) for w in words]
-            if None in found:  # the memo was emptied for the new words
-                self.learn({w for w in words if w not in self.memo})
-                found = [get(w) for w in words]
-            rows.append(np.fromiter(chain.from_iterable(found), np.int32))
+        get = self.memo.__getitem__
+        rows = [np.fromiter(chain.from_iterable(map(get, words)), np.int32) for words in split]
         offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
         return offsets, np.concatenate(rows) if rows else np.empty(0, np.int32)
 

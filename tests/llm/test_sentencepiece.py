@@ -61,6 +61,15 @@ def test_states_are_shared_and_the_memo_stays_bounded(monkeypatch):
     assert steps == [6, 1, 4, 3]  # only what the common prefix with the word before does not have
 
 
+def test_a_batch_with_more_new_words_than_the_memo(monkeypatch):
+    monkeypatch.setattr(S, "MEMO_WORDS", 6)
+    pieces, library = S.Pieces(MODEL), sentencepiece.SentencePieceProcessor(model_proto=MODEL)
+    batches = [["old words here"], ["a b c d e f g h i j", "old a words b k l"], ["old words here", ""], [], ["old m", "words n here o p", "old q m"]]
+    for texts in batches * 2:
+        offsets, ids = pieces.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [library.encode(t) for t in texts]
+
+
 def test_table(spark):
     library = sentencepiece.SentencePieceProcessor(model_proto=MODEL)
     rows = list(enumerate([None, *HOSTILE])) + [(3, HOSTILE[2])] * 2 + [(None, "no id")]
