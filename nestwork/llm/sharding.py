@@ -5,8 +5,9 @@ doc_id.  The documents of one group and one start shard move together as a unit,
 iterations work on at most ``shards`` rows for each linked group, however many copies it has.
 In each step every unit proposes the shard where most of its neighbours are (a group larger
 than a shard has as many such centres as it needs), and shards accept proposals up to their
-free capacity: units move with the chance that the quota leaves, so every shard is joined
-against a table of ``shards`` rows only.
+free capacity plus what leaves them in the same step, so full shards swap units.  Units move
+with the chance that these quotas leave; they come from the flows between shards, ``shards``
+times ``shards`` numbers at most.
 
 Counts are then made exact: each shard ranks its documents, linked ones first; those beyond
 its quota take the free places of other shards in order.  Law ``rows``: shard counts are at
@@ -21,6 +22,8 @@ repeated; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ from .common import text_of, written
 
 SHARDS = 40
 STEPS = 4
+#: Rounds in which the chances of one step settle.
+ROUNDS = 100
 #: Share of a shard that the centres of a large group are planned to fill.
 FILL = 0.9
 #: Rows for which one hash bucket of the ranking is planned.
@@ -42,11 +47,28 @@ def _rows(docs: DataFrame, shards: int) -> DataFrame:
     return out.withColumn("start", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(shards)).cast("int"))
 
 
+def _chances(flows: list, loads: dict[int, int], target: float) -> dict[int, float]:
+    """For each wished shard the greatest chance of its proposals at which no shard's expected load passes ``target``.
+
+    Chances start at 1 and fall until what a shard takes in is its room plus its own departures;
+    a shard beyond ``target`` takes in less than it gives.
+    """
+    wish, leaving = defaultdict(float), defaultdict(list)
+    for r in flows:
+        wish[r["to"]] += r["n"]
+        leaving[r["shard"]].append((r["to"], r["n"]))
+    chance = dict.fromkeys(wish, 1.0)
+    for _ in range(ROUNDS):
+        chance = {t: min(1.0, max(0.0, target - loads.get(t, 0) + sum(n * chance[u] for u, n in leaving[t])) / w)
+                  for t, w in wish.items()}
+    return chance
+
+
 def _step(units: DataFrame, total: int, shards: int, number: int) -> DataFrame:
     """One step of label propagation over units (g, start, n, shard)."""
     cells = units.groupBy("g", "shard").agg(F.sum("n").alias("n"))
     by_group = Window.partitionBy("g")  # at most ``shards`` rows each
-    order = by_group.orderBy(F.desc("n"), F.xxhash64("g", "shard"), "shard")
+    order = by_group.orderBy(F.desc("n"), F.xxhash64("g", "shard", F.lit(~number)), "shard")  # ties fall anew in each step
     ranked = cells.select(
         "g", "shard", "n", F.row_number().over(order).alias("rank"),
         F.greatest(F.ceil(F.sum("n").over(by_group) * shards / (FILL * total)), F.lit(1)).alias("centres"))
@@ -55,13 +77,12 @@ def _step(units: DataFrame, total: int, shards: int, number: int) -> DataFrame:
     moves = (ranked.where("rank > centres")
              .select("g", "shard", "n", F.element_at("ranking", (F.pmod(F.col("rank") - 1, F.col("centres")) + 1).cast("int")).alias("to")))
     moves = written(moves, "shard-moves")
-    load = units.groupBy("shard").agg(F.sum("n").alias("load"))
-    wish = moves.groupBy(F.col("to").alias("shard")).agg(F.sum("n").alias("wish"))
-    free = F.greatest(F.lit(total / shards) - F.coalesce("load", F.lit(0)), F.lit(0))
-    quota = (wish.join(load, "shard", "left").select("shard", F.least(F.lit(1.0), free / F.col("wish")).alias("chance"))
-             .agg(F.map_from_entries(F.collect_list(F.struct("shard", "chance"))).alias("q")).scalar())  # at most ``shards`` entries
+    loads = {r["shard"]: r["n"] for r in units.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # at most ``shards`` rows
+    flows = moves.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()  # at most ``shards`` squared
+    chance = _chances(flows, loads, total / shards)
+    quota = F.create_map(*[F.lit(x) for t in sorted(chance) for x in (t, chance[t])]).cast("map<int,double>")
     draw = F.pmod(F.xxhash64("g", "shard", F.lit(number)), F.lit(1_000_000)) / 1_000_000
-    accepted = moves.withColumn("q", quota).where(draw < F.element_at("q", F.col("to"))).select("g", "shard", "to")
+    accepted = moves.where(draw < F.element_at(quota, F.col("to"))).select("g", "shard", "to")
     return written(units.join(accepted, ["g", "shard"], "left").select("g", "start", "n", F.coalesce("to", "shard").alias("shard")),
                    "shard-units")
 

@@ -45,6 +45,16 @@ def test_a_group_of_a_third_of_all_rows(spark):
     assert len({r["shard"] for r in out if r["text_crc32"] == hot}) <= 20  # 14 shards would hold it exactly
 
 
+def test_pairs_come_together_when_every_document_has_a_copy(spark):
+    rows = [(i, f"text {i // 2}") for i in range(8000)]
+    out = sharding.assign_shards(docs_frame(spark, rows)).collect()
+    check(out, rows, 40)
+    where = defaultdict(set)
+    for r in out:
+        where[r["doc_id"] // 2].add(r["shard"])
+    assert sum(len(v) > 1 for v in where.values()) <= 400  # of 4,000 pairs, about 3,900 of which start apart
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "a")], [(1, "a")] * 90])
 def test_small_and_uniform_tables(spark, rows):
     table = sharding.shard_table(docs_frame(spark, rows))
