@@ -4,7 +4,8 @@ The largest inner product becomes the nearest neighbour in one more dimension: d
 turn into (x, sqrt(M - |x|^2)) with M the largest squared norm, queries into (q, 0).  Data
 and queries are grouped by their nearest of at most ``MAX_PIVOTS`` pivots (a documented,
 hashed sample of rows; it steers work, not results).  Summaries of each group are its size,
-radii and the k smallest distances to its pivot.  From them each query gets an upper bound
+radii and the k + 1 smallest distances to its pivot over different vec_ids (of which one may be
+a query's own, and is left out for it).  From them each query gets an upper bound
 for its k-th distance and, by the triangle inequality and the bisecting planes, a lower bound
 for each group; only groups that may hold an answer are searched.  Such groups are cut into
 blocks, met by the queries that need them, and solved there by one matrix product; the best k
@@ -96,7 +97,7 @@ def _assigner(pivots: np.ndarray, top: float, data: bool) -> Callable:
     return run
 
 
-def _router(pivots: np.ndarray, top: float, groups: dict[int, tuple], wanted: int) -> Callable:
+def _router(pivots: np.ndarray, top: float, groups: dict[int, tuple], k: int) -> Callable:
     """For each query the groups that may hold one of its answers."""
     p = pivots.astype(np.float64)
     lift = np.sqrt(np.maximum(top - (p * p).sum(1), 0))
@@ -106,16 +107,17 @@ def _router(pivots: np.ndarray, top: float, groups: dict[int, tuple], wanted: in
     high = np.array([groups[g][1] for g in names])
     owner = np.concatenate([np.full(len(groups[g][2]), i) for i, g in enumerate(names)]) if len(names) else np.empty(0, int)
     small = np.concatenate([groups[g][2] for g in names]) if len(names) else np.empty(0)
+    whose = np.concatenate([groups[g][4] for g in names]) if len(names) else np.empty(0, int)
     slack = 1e-6 * (1 + math.sqrt(top))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, to = [], []
-            for n, dists in enumerate(batch.column("dists").to_pylist()):
+            for n, (query, dists) in enumerate(zip(batch.column("vec_id").to_pylist(), batch.column("dists").to_pylist())):
                 d = np.array(dists)
                 near = int(d.argmin())
-                bounds = d[names[owner]] + small
-                limit = np.partition(bounds, wanted - 1)[wanted - 1] if len(bounds) >= wanted else math.inf
+                bounds = (d[names[owner]] + small)[whose != query]
+                limit = np.partition(bounds, k - 1)[k - 1] if len(bounds) >= k else math.inf
                 with np.errstate(divide="ignore", invalid="ignore"):
                     plane = (d[names] ** 2 - d[near] ** 2) / (2 * between[near, names])
                 plane = np.where(between[near, names] > slack, plane, 0)
@@ -167,27 +169,29 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     facts = data.select(F.size("v").alias("d"), F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x).alias("n2")).agg(
         F.count(F.lit(1)).alias("n"), F.max("d").alias("d"), F.max("n2").alias("top")).first()
     dims, top = max(1, facts["d"] or 1), facts["top"] or 0.0
-    repeats = data.groupBy("vec_id").count().agg(F.max("count").alias("m")).first()["m"] or 1
     count = max(1, min(MAX_PIVOTS, int(math.sqrt(facts["n"]))))
     sample = data.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(count).select("v").toArrow()  # bounded by MAX_PIVOTS
     pivots = _matrix(sample.column("v"), dims) if sample.num_rows else np.zeros((1, dims), np.int64)
-    placed = written(data.mapInArrow(_assigner(pivots, top, True), "vec_id long, v array<long>, grp int, dist double"), "knn-placed")
-    wanted = k + repeats  # the query's own rows may be among the nearest
-    nearest = Window.partitionBy("grp").orderBy("dist")
-    smallest = (placed.select("grp", "dist").withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= wanted)
-                .groupBy("grp").agg(F.sort_array(F.collect_list("dist")).alias("small")))
+    placed = written(data.mapInArrow(_assigner(pivots, top, True), "vec_id long, v array<long>, grp int, dist double")
+                     .withColumn("row", F.monotonically_increasing_id()), "knn-placed")
+    nearest = Window.partitionBy("grp").orderBy("dist", "vec_id")
+    smallest = (placed.groupBy("grp", "vec_id").agg(F.min("dist").alias("dist"))
+                .withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1)
+                .groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("dist", "vec_id"))).alias("small")))
     summary = (placed.groupBy("grp").agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.count(F.lit(1)).alias("n"))
                .join(smallest, "grp"))
-    groups = {r["grp"]: (r["low"], r["high"], np.array(r["small"]), r["n"]) for r in summary.collect()}  # a row for each pivot
+    # a row for each pivot, with k + 1 distances at most
+    groups = {r["grp"]: (r["low"], r["high"], np.array([x["dist"] for x in r["small"]]), r["n"],
+                         np.array([x["vec_id"] for x in r["small"]], np.int64)) for r in summary.collect()}
     asked = queries.groupBy(F.col("vec_id")).agg(F.min("v").alias("v"))
     routed = written(asked.mapInArrow(_assigner(pivots, top, False), "vec_id long, v array<long>, dists array<double>")
-                     .mapInArrow(_router(pivots, top, groups, wanted), "query_id long, v array<long>, grp int"), "knn-routed")
+                     .mapInArrow(_router(pivots, top, groups, k), "query_id long, v array<long>, grp int"), "knn-routed")
     blocks = spark.createDataFrame([(g, max(1, -(-x[3] // BLOCK))) for g, x in groups.items()] or [(0, 1)], "grp int, blocks long")
     parts = routed.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     plan = written(blocks.join(parts, "grp"), "knn-plan")  # a row for each pivot
     number = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    left = (placed.select("vec_id", "v", "grp").join(plan, "grp")
-            .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks"))).withColumn("part", number("parts")))
+    left = (placed.join(plan, "grp")  # by row number: rows of one vec_id, or equal rows, are spread too
+            .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks"))).withColumn("part", number("parts")))
     right = (routed.join(plan, "grp").withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")))
              .withColumn("block", number("blocks")))
     unit = ["grp", "block", "part"]

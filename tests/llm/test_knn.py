@@ -44,6 +44,34 @@ def test_equals_brute_force(spark, monkeypatch, block):
     assert got == brute(rows)
 
 
+def test_a_third_of_all_rows_has_one_vec_id(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK", 32)
+    rng = np.random.default_rng(3)
+    f = lambda v: [float(np.float32(x)) for x in v]
+    rows = [(i, f(rng.normal(size=6))) for i in range(1, 601)]
+    rows += [(50, f(rng.normal(size=6))) for _ in range(150)] + [(50, f(np.ones(6)))] * 150  # other and equal vectors
+    kept, router, solver = [], V._router, V._solver
+
+    def routed(pivots, top, groups, k):
+        kept.extend(len(x[2]) for x in groups.values())
+        return router(pivots, top, groups, k)
+
+    def bounded(dims, k):
+        solve = solver(dims, k)
+
+        def run(data, queries):
+            assert data.num_rows <= 100, data.num_rows
+            return solve(data, queries)
+
+        return run
+
+    monkeypatch.setattr(V, "_router", routed)
+    monkeypatch.setattr(V, "_solver", bounded)
+    got = sorted(map(tuple, V.knn_table(frame(spark, rows)).collect()))
+    assert got == brute(rows)
+    assert max(kept) <= V.K + 1
+
+
 def test_huge_components_stay_exact(spark):
     rows = [(i, [float(2 ** 20 + i), float(i % 3), 1.0]) for i in range(60)]
     assert sorted(map(tuple, V.knn_table(frame(spark, rows)).collect())) == brute(rows)
