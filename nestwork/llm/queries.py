@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from nestwork.sources.tables import table
 
-from . import (bagminhash, chat_format, line_dedup, mixing, quality, secret_scan, sentencepiece_trie, sharding,
+from . import (bagminhash, chat_format, language_id, line_dedup, mixing, quality, secret_scan, sentencepiece_trie, sharding,
                voronoi_knn, warc)
 
 
@@ -50,9 +50,13 @@ def op10_exact_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi_knn.knn_table(table(spark, sf_dir, "embeddings"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_secrets, op3_chat_format, op4_sharding, op5_warc, op6_line_dedup, op7_mixing, op8_quality,
-    op9_near_dedup, op10_exact_knn)}
+    op9_near_dedup, op10_exact_knn, op11_language_id)}
 
 ORACLE = {"op3_chat_format": chat_format.ORACLE, "op5_warc": warc.ORACLE, "op6_line_dedup": line_dedup.ORACLE,
           "op7_mixing": mixing.ORACLE, "op10_exact_knn": voronoi_knn.ORACLE}
