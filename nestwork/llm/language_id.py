@@ -22,7 +22,6 @@ A null doc_id is held out (as the crc32 of an empty text).
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -47,10 +46,14 @@ UNKNOWN = "und"
 STEP, MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
-@functools.cache
+_LETTERS: dict[str, np.ndarray] = {}
+
+
 def _letters() -> np.ndarray:
-    """Each code point itself if it is a letter, else 0."""
-    return np.fromiter((i if chr(i).isalpha() else 0 for i in range(0x110000)), np.uint32, 0x110000)
+    """Each code point itself if it is a letter, else 0; made once for each task."""
+    if "all" not in _LETTERS:
+        _LETTERS["all"] = np.fromiter((i if chr(i).isalpha() else 0 for i in range(0x110000)), np.uint32, 0x110000)
+    return _LETTERS["all"]
 
 
 def _pieces(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
