@@ -4,8 +4,8 @@ Rows are range-partitioned by sequence and order, so a sequence with a third of
 spread over many tasks.  Each task walks its rows once and gives every row its place and the
 hash of its prefix, counted from the task's first row of that sequence.  Hashes are
 polynomials modulo the prime 2^61 - 1 under two bases, so the prefix of what came before can be
-put in front afterwards: of the sequences that cross a border between tasks (at most one for
-each border) the parts' lengths and hashes are brought together, two rows for each task at most.
+put in front afterwards: only the last sequence of a task can go on in the next one, so one row for
+each task, with its length and hash there, tells what came before.
 """
 
 from __future__ import annotations
@@ -103,18 +103,20 @@ def scan(rows: DataFrame, key: str, order: list[Column], name: str, hashed: bool
                            *[T.StructField(c, T.LongType()) for c in ["pos", *longs]]])
     order = [F.col(key), *order]
     walked = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_walk(key, hashed), schema), name)
-    last = walked.groupBy(key, "part").agg(F.max("pos").alias("n"), *[F.max_by(c, "pos").alias(c) for c in longs[:2]])
-    # only sequences that go on in another task: at most one for each border between tasks
-    crossing = last.groupBy(key).agg(F.count(F.lit(1)).alias("parts"), F.collect_list(F.struct("part", "n", *longs[:2])).alias("each")).where("parts > 1")
-    before = {}
-    for r in crossing.collect():
-        n, h = 0, EMPTY
-        for x in sorted(r["each"]):
-            if n:
-                before[r[key], x["part"]] = (n, h)
-            if hashed:
-                h = joined(h, (x["k1"], x["k2"]), x["n"])
-            n += x["n"]
+    # one row for each task: its first sequence, and its last one with place and hash
+    bounds = sorted(walked.groupBy("part").agg(F.min(F.struct(key)).alias("first"), F.max(F.struct(key, "pos", *longs[:2])).alias("last")).collect())
+    before, open_, n, h = {}, object(), 0, EMPTY
+    for b in bounds:
+        first, last = b["first"][0], b["last"]
+        if first == open_:
+            before[first, b["part"]] = (n, h)
+        else:
+            n, h = 0, EMPTY
+        if last[0] != first:
+            n, h = 0, EMPTY
+        if hashed:
+            h = joined(h, (last["k1"], last["k2"]), last["pos"])
+        open_, n = last[0], n + last["pos"]
     if not before:
         return walked
     return walked.mapInArrow(_shift(key, rows.sparkSession.sparkContext.broadcast(before), hashed), schema)

@@ -44,12 +44,12 @@ from .prefix_scan import digest_of, scan
 
 #: Least rows below a shard's root, levels of a band of the crown, messages that a queue holds in memory.
 SHARD, BAND, QUEUE = 4096, 1024, 500_000
-#: Characters of a part of a list of ids.
+#: Ids of a part of a list: those that agree when divided by it.
 PART = 1 << 16
 # Fixed values of the contract: conversations of five ids share a head of up to eight turns.
 FAMILY, HEADS = 5, 9
 
-_FORWARD = "depth long, k1 long, k2 long, p1 long, p2 long, top boolean, n_children long, n_leaves long, saved_tokens long"
+_FORWARD = "depth long, k1 long, k2 long, p1 long, p2 long, top boolean, conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long"
 
 
 class SpillingQueue:
@@ -103,8 +103,8 @@ def _forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 queue.push((1 - depth, p1, p2, leaves, saved))
             for column, value in zip(totals, (children, leaves, saved)):
                 column.append(value)
-        kept = [batch.column(c) for c in names[:6]]
-        yield pa.RecordBatch.from_arrays([*kept, *(pa.array(t, pa.int64()) for t in totals)], names=names)
+        kept = [*names[:6], "conv_id", "n_convs"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(t, pa.int64()) for t in totals)], names=kept + names[6:])
 
 
 def forward(nodes: DataFrame, *shard: str) -> DataFrame:
@@ -127,29 +127,6 @@ def _received(nodes: DataFrame, inbox: DataFrame) -> DataFrame:
     return out.withColumns({a: F.col(a) + F.coalesce(F.col(b), F.lit(0)) for a, b in sums.items()}).drop(*sums.values())
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of ids of one node as comma-joined strings of bounded length."""
-    names = ["depth", "k1", "k2", "first", "ids"]
-    types = [pa.int64()] * 4 + [pa.string()]
-    now, ids, size = None, [], 0
-
-    def closed() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((*now, ids[0], ",".join(map(str, ids))), types)], names=names)
-
-    for batch in batches:
-        out = []
-        for *node, c in zip(*(batch.column(x).to_pylist() for x in ("depth", "k1", "k2", "conv_id"))):
-            if node != now or size > PART:
-                if now is not None:
-                    out.append(closed())
-                now, ids, size = node, [], 0
-            ids.append(c)
-            size += len(str(c)) + 1
-        yield from out
-    if now is not None:
-        yield closed()
-
-
 def _ends_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One SHA-256 per node over its parts in order."""
     names = ["depth", "k1", "k2", "ends_sha256"]
@@ -172,15 +149,13 @@ def _ends_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def ends(rows: DataFrame) -> DataFrame:
     """SHA-256 of the ascending ids of the conversations that end at each node.
 
-    The ids are sorted by range, so a node with a third of all ends is read by many tasks; one task then hashes
-    its joined parts (a hash is a sequence), one string for each part.
+    The ids of a node are first joined in parts of ``PART`` possible ids, so a node with a third of all ends is read by
+    many tasks; one task then hashes its parts in order (a hash is a sequence), one string for each part.
     """
-    order = ["depth", "k1", "k2", "conv_id"]
-    own = rows.where("depth = size").select(*order)
-    parts = own.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _parts, "depth long, k1 long, k2 long, first long, ids string")
-    order = ["depth", "k1", "k2"]
-    return parts.repartition(*order).sortWithinPartitions(*order, "first").mapInArrow(
+    key = ["depth", "k1", "k2"]
+    parts = rows.where("depth = size").groupBy(*key, F.floor(F.col("conv_id") / PART).alias("part")).agg(
+        F.array_join(F.sort_array(F.collect_list("conv_id")).cast("array<string>"), ",").alias("ids"))
+    return parts.repartition(*key).sortWithinPartitions(*key, "part").mapInArrow(
         _ends_digest, "depth long, k1 long, k2 long, ends_sha256 string")
 
 
@@ -206,42 +181,42 @@ def trie(turns: DataFrame, sizes: DataFrame) -> DataFrame:
     own = nodes.withColumns({
         "n_children": F.lit(0).cast("long"), "n_leaves": (F.col("n_ends") == F.col("n_convs")).cast("long"),
         "saved_tokens": (F.col("n_convs") - 1) * F.col("bytes")})
-    # light nodes: the shard of a node is the first light node on the way to its smallest member's end
-    crown_keys = nodes.where(F.col("below") > most).select(*key)
-    cut = rows.select("conv_id", *key).join(crown_keys, key, "left_semi").groupBy("conv_id").agg((F.max("depth") + 1).alias("depth"))
-    cut = sizes.select("conv_id").join(cut, "conv_id", "left").select("conv_id", F.coalesce("depth", F.lit(0).cast("long")).alias("depth"))
-    shards = rows.join(cut, ["conv_id", "depth"]).select("conv_id", *[F.col(c).alias(f"s_{c}") for c in key])
-    light = own.where(F.col("below") <= most).join(shards, "conv_id").withColumn(
-        "top", (F.col("depth") == F.col("s_depth")) & (F.col("k1") == F.col("s_k1")) & (F.col("k2") == F.col("s_k2")))
-    light = written(forward(light, "s_depth", "s_k1", "s_k2"), "trie-light")
-    done = light
-    crown = own.where(F.col("below") > most)
-    deepest = crown.agg(F.max("depth")).first()[0]
-    if deepest is not None:
-        band = F.floor(F.col("depth") / BAND)
-        crown = _received(crown, _sent_up(light.where("top"))).withColumns({"band": band, "top": F.col("depth") % BAND == 0})
-        crown = written(crown, "trie-crown")
-        totals = forward(crown, "band")
-        if deepest >= BAND:  # totals of band roots go up from band to band, then each band is walked again with them
-            owners = crown.where("top").select("conv_id", *key)
-            roots = totals.where("top").join(owners, key)
-            above = rows.select("conv_id", F.col("depth").alias("up_depth"), F.col("k1").alias("up_k1"), F.col("k2").alias("up_k2"))
-            roots = roots.withColumn("up_depth", F.col("depth") - BAND).join(above, ["conv_id", "up_depth"], "left")
-            level = written(roots.select("depth", *key[1:], "p1", "p2", "up_k1", "up_k2", "n_children", "n_leaves", "saved_tokens"), "trie-bands")
-            across = forward(level.select((F.col("depth") / BAND).cast("long").alias("depth"), "k1", "k2", F.col("up_k1").alias("p1"), F.col("up_k2").alias("p2"),
-                                          (F.col("depth") == 0).alias("top"), "n_children", "n_leaves", "saved_tokens"))
-            whole = across.select((F.col("depth") * BAND).alias("depth"), "k1", "k2", "n_leaves", "saved_tokens").join(
-                level.select(*key, "p1", "p2"), key)
-            totals = forward(_received(crown, _sent_up(whole)), "band")
-        done = light.unionByName(totals)
+    if root["below"] <= most:
+        done = forward(own.withColumn("top", F.col("depth") == 0))
+    else:
+        done = _sharded(rows, own, most)
     parents = nodes.select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv_id").alias("parent_conv_id"))
-    facts = nodes.select(*key, "conv_id", "n_convs")
-    out = done.drop("top").join(facts, key).join(ends(rows), key, "left").join(parents, ["depth", "p1", "p2"], "left")
+    out = done.join(ends(rows), key, "left").join(parents, ["depth", "p1", "p2"], "left")
     nothing = hashlib.sha256(b"").hexdigest()
     return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
                       F.coalesce("ends_sha256", F.lit(nothing)).alias("ends_sha256"))
 
 
+def _sharded(rows: DataFrame, own: DataFrame, most: int) -> DataFrame:
+    """Totals of all nodes ``own``: of the shards (at most ``most`` rows below a root) first, then of the crown above them."""
+    key = ["depth", "k1", "k2"]
+    crown, light = own.where(F.col("below") > most), own.where(F.col("below") <= most)
+    # the shard of a node is the first node below the crown on the way to its smallest member's end
+    first = rows.join(crown.select(*key), key, "left_anti").groupBy("conv_id").agg(F.min(F.struct(*key)).alias("s"))
+    shards = first.select("conv_id", *[F.col(f"s.{c}").alias(f"s_{c}") for c in key])
+    light = light.join(shards, "conv_id").withColumn(
+        "top", (F.col("depth") == F.col("s_depth")) & (F.col("k1") == F.col("s_k1")) & (F.col("k2") == F.col("s_k2")))
+    light = written(forward(light, "s_depth", "s_k1", "s_k2"), "trie-light")
+    crown = written(_received(crown, _sent_up(light.where("top"))).withColumns(
+        {"band": F.floor(F.col("depth") / BAND), "top": F.col("depth") % BAND == 0}), "trie-crown")
+    if crown.agg(F.max("depth")).first()[0] < BAND:
+        return light.unionByName(forward(crown))
+    # totals of band roots go up from band to band, then each band is walked again with what they bring
+    roots = forward(crown, "band").where("top")
+    above = rows.select("conv_id", F.col("depth").alias("up_depth"), F.col("k1").alias("up_k1"), F.col("k2").alias("up_k2"))
+    roots = written(roots.withColumn("up_depth", F.col("depth") - BAND).join(above, ["conv_id", "up_depth"], "left"), "trie-bands")
+    across = forward(roots.withColumns({"depth": (F.col("depth") / BAND).cast("long"), "p1": F.col("up_k1"), "p2": F.col("up_k2"),
+                                        "top": F.col("depth") == 0}))
+    whole = across.select((F.col("depth") * BAND).alias("depth"), "k1", "k2", "n_leaves", "saved_tokens").join(
+        roots.select(*key, "p1", "p2"), key)
+    return light.unionByName(forward(_received(crown, _sent_up(whole)), "band"))
+
+
 def ordered_turns(conversations: DataFrame) -> DataFrame:
     """conv_id, pos (from 1), digest, bytes of every turn; no text moves."""
     role, text = text_of("role"), text_of()

@@ -85,7 +85,7 @@ def hostile():
 def test_trie_equals_plain_dictionaries(spark, monkeypatch, shard, band, queue):
     monkeypatch.setattr(P, "SHARD", shard)
     monkeypatch.setattr(P, "BAND", band)
-    monkeypatch.setattr(P, "PART", 50)
+    monkeypatch.setattr(P, "PART", 50 if shard > 1 else 7)
     monkeypatch.setattr(P.SpillingQueue.__init__, "__defaults__", (queue,))
     rows = hostile()
     got = P.conversation_trie(frame(spark, rows))
