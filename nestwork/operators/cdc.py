@@ -29,6 +29,11 @@ def op_rank(change_col: str = "_change_type") -> Column:
     return out
 
 
+def not_preimage(change_col: str = "_change_type") -> Column:
+    """Rows to apply: everything but the image before an update; a row without a type counts."""
+    return ~F.coalesce(F.col(change_col) == "update_preimage", F.lit(False))
+
+
 def sequence_struct(sequence_by: Sequence[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"s{i}") for i, c in enumerate(sequence_by)])
 
@@ -57,7 +62,7 @@ def apply_scd1(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[st
         is_trunc = F.coalesce(F.expr(truncate_when), F.lit(False))
         cut = changes.where(is_trunc).agg(F.max(seq)).scalar()
         changes = changes.where(~is_trunc).where(cut.isNull() | (seq > cut))
-    changes = changes.where(F.col("_change_type") != "update_preimage") if "_change_type" in changes.columns else changes
+    changes = changes.where(not_preimage()) if "_change_type" in changes.columns else changes
     is_delete = F.coalesce(F.expr(delete_when), F.lit(False)) if delete_when else F.lit(False)
     rank = op_rank() if "_change_type" in changes.columns else F.lit(1)
     value_cols = [c for c in changes.columns if c not in keys and c not in except_columns]
@@ -106,7 +111,7 @@ def changes_between(log: DataFrame, keys: Sequence[str], sequence_by: Sequence[s
     or below its sequence, in the first state only if it was committed by then; the two cuts are
     scalar subqueries."""
     if "_change_type" in log.columns:
-        log = log.where(F.col("_change_type") != "update_preimage")
+        log = log.where(not_preimage())
     seq = sequence_struct(sequence_by)
     in_before = F.col(version_col) <= (from_version if isinstance(from_version, Column) else F.lit(from_version))
     alive_b = alive_a = F.lit(True)

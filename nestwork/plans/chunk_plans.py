@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import chunking as ch
 from ..sources.bronze import rates_bronze_table
-from ..sources.rates_docs import rate_sort_key
+from ..sources.rates_docs import INLINE, UNRESOLVED, rate_sort_key
 
 RATE_PATH = "in_network.item.negotiated_rates.item"
 PRICE_PATH = "in_network.item.negotiated_rates.item.negotiated_prices.item"
@@ -81,7 +81,7 @@ FROM r GROUP BY l_partkey, rate_pos // {RATE_CHUNK}""",
     "multi_path_split": f"""
 WITH r AS ({_RATED}),
   s AS (SELECT l_partkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey) - 1 AS pos
-        FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))
+        FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE NOT ({INLINE} OR {UNRESOLVED})))
 SELECT {_PATH} AS file_path, 'rates' AS output_subdir, CAST(rate_pos // {RATE_CHUNK} + 1 AS INTEGER) AS chunk_id,
        printf('chunk_%04d.json', rate_pos // {RATE_CHUNK} + 1) AS chunk_name, count(*)::INTEGER AS n_objects,
        min(rate_pos) AS first_pos

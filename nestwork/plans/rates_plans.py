@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rates as rt
 from ..sources.bronze import rates_bronze_table
-from ..sources.rates_docs import rate_sort_key
+from ..sources.rates_docs import BUNDLED, COVERED, INLINE, UNRESOLVED, rate_sort_key
 from ..sources.tables import table
 
 
@@ -37,7 +37,10 @@ def q_expect_or_drop(spark, sf_dir):
 
 
 def q_rates_fact(spark, sf_dir):
-    return rt.rates_fact(valid_rates(spark, sf_dir))
+    """M1 with lists of codes written as text."""
+    codes = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["billing_code"], x["description"])), ",")
+    lists = {c: F.array_join(c, ",") for c in ("service_code", "billing_code_modifier")}
+    return rt.rates_fact(valid_rates(spark, sf_dir)).withColumns(lists | {c: codes(c) for c in ("bundled_codes", "covered_services")})
 
 
 def q_provider_groups(spark, sf_dir):
@@ -52,6 +55,8 @@ _PATH = "'rates/' || l_partkey || '/part-0.json'"
 _RATE_POS = f"row_number() OVER (PARTITION BY l_partkey ORDER BY {', '.join(rate_sort_key())}) - 1"
 _BILLING_CLASS = ("CASE WHEN l_linenumber = 7 THEN 'BAD' WHEN l_returnflag = 'R' THEN 'institutional' "
                   "WHEN l_returnflag = 'A' THEN 'professional' ELSE 'both' END")
+_NPI = "CAST(1000000000 + l_suppkey AS VARCHAR) || ',' || CAST(3000000000 + l_suppkey AS VARCHAR)"
+_TIN = "lpad(CAST(l_suppkey AS VARCHAR), 9, '0')"
 _EXPIRATION = ("CASE WHEN l_partkey % 50 = 0 THEN NULL WHEN l_linenumber = 6 THEN strftime(l_shipdate, '%m/%d/%Y') "
                "ELSE strftime(l_shipdate, '%Y-%m-%d') END")
 
@@ -63,23 +68,34 @@ UNION ALL
 SELECT url, 'dropped', NULL, NULL FROM pages""",
     "rates_fact": f"""
 SELECT {_PATH} AS file_path, 0::BIGINT AS in_network_pos, {_RATE_POS} AS rate_pos, 0::BIGINT AS price_pos,
-       CAST(l_partkey AS VARCHAR) AS billing_code, 'LOCAL' AS billing_code_type, 'ffs' AS negotiation_arrangement,
+       CAST(l_partkey AS VARCHAR) AS billing_code, 'LOCAL' AS billing_code_type, '1' AS billing_code_type_version,
+       CASE WHEN {BUNDLED} THEN 'bundle' WHEN {COVERED} THEN 'capitation' ELSE 'ffs' END AS negotiation_arrangement,
+       p_name AS name, p_type AS description, CASE WHEN {BUNDLED} THEN p_brand || ':' || p_type END AS bundled_codes,
+       CASE WHEN {COVERED} THEN p_brand || ':' || p_type END AS covered_services,
        'negotiated' AS negotiated_type, l_extendedprice AS negotiated_rate, {_EXPIRATION} AS expiration_date,
-       {_BILLING_CLASS} AS billing_class, CAST(l_suppkey AS VARCHAR) AS provider_references
-FROM lineitem""",
+       {_BILLING_CLASS} AS billing_class,
+       CASE WHEN NOT (l_quantity = 1 AND l_returnflag = 'A') THEN lpad(l_linenumber::VARCHAR, 2, '0') END AS service_code,
+       CASE WHEN l_linenumber = 5 THEN '26,26' ELSE '' END AS billing_code_modifier,
+       CASE WHEN l_linenumber = 2 THEN 'order ' || l_orderkey END AS additional_information,
+       CASE WHEN NOT {INLINE} THEN CAST(CASE WHEN {UNRESOLVED} THEN -1 - l_suppkey ELSE l_suppkey END AS VARCHAR) END AS provider_references,
+       ({INLINE})::INTEGER AS n_inline_groups
+FROM lineitem JOIN part ON p_partkey = l_partkey""",
     "provider_groups": f"""
-WITH p AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
-SELECT {_PATH} AS file_path, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey) - 1 AS ref_pos,
-       l_suppkey AS provider_group_id, 0::BIGINT AS group_pos,
-       CAST(1000000000 + l_suppkey AS VARCHAR) || ',' || CAST(3000000000 + l_suppkey AS VARCHAR) AS npi,
-       2 AS n_npi, 'ein' AS tin_type, lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS tin_value
-FROM p""",
+WITH p AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE NOT ({INLINE} OR {UNRESOLVED})),
+  r AS (SELECT *, {_RATE_POS} AS rate_pos FROM lineitem)
+SELECT {_PATH} AS file_path, 'reference' AS source, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey) - 1 AS ref_pos,
+       l_suppkey AS provider_group_id, NULL::BIGINT AS in_network_pos, NULL::BIGINT AS rate_pos, 0::BIGINT AS group_pos,
+       {_NPI} AS npi, 2 AS n_npi, 'ein' AS tin_type, {_TIN} AS tin_value
+FROM p
+UNION ALL SELECT {_PATH}, 'inline', NULL, NULL, 0, rate_pos, 0, {_NPI}, 2, 'ein', {_TIN} FROM r WHERE {INLINE}""",
     "resolved_rates": f"""
-SELECT {_PATH} AS file_path, 0::BIGINT AS in_network_pos, {_RATE_POS} AS rate_pos,
-       CAST(l_partkey AS VARCHAR) AS billing_code, l_suppkey AS provider_group_id, 0::BIGINT AS group_pos,
-       CAST(1000000000 + l_suppkey AS VARCHAR) || ',' || CAST(3000000000 + l_suppkey AS VARCHAR) AS npi,
-       'ein' AS tin_type, lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS tin_value
-FROM lineitem""",
+WITH r AS (SELECT *, {_RATE_POS} AS rate_pos FROM lineitem)
+SELECT {_PATH} AS file_path, 0::BIGINT AS in_network_pos, rate_pos, CAST(l_partkey AS VARCHAR) AS billing_code,
+       CASE WHEN {UNRESOLVED} THEN -1 - l_suppkey WHEN NOT {INLINE} THEN l_suppkey END AS provider_group_id,
+       CASE WHEN {INLINE} THEN 'inline' WHEN {UNRESOLVED} THEN 'unresolved' ELSE 'reference' END AS source,
+       CASE WHEN NOT {UNRESOLVED} THEN 0::BIGINT END AS group_pos, CASE WHEN NOT {UNRESOLVED} THEN {_NPI} END AS npi,
+       CASE WHEN NOT {UNRESOLVED} THEN 'ein' END AS tin_type, CASE WHEN NOT {UNRESOLVED} THEN {_TIN} END AS tin_value
+FROM r""",
 }
 
 QUERIES = {

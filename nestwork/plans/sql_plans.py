@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from ..functions.variant import parse
 from ..operators import chunking as ch
+from ..sources.rates_docs import INLINE, UNRESOLVED
 from ..sources.tables import table
 from .chunk_plans import RATE_CHUNK, RATE_PATH, REF_CHUNK, REF_PATH, rate_docs
 
@@ -46,7 +47,8 @@ SELECT event_type, prop, count(*) AS n_values, count(*) FILTER (WHERE amount >=
 FROM v WHERE amount IS NOT NULL GROUP BY 1, 2""",
     "path_counts": f"""
 WITH r AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey),
-  s AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY l_partkey)
+  s AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS n FROM lineitem
+        WHERE NOT ({INLINE} OR {UNRESOLVED}) GROUP BY l_partkey)
 SELECT '{RATE_PATH}' AS json_path, sum(n)::BIGINT AS n_objects, sum(CAST(ceil(n / {RATE_CHUNK}) AS BIGINT))::BIGINT AS n_chunks FROM r
 UNION ALL
 SELECT '{REF_PATH}', sum(n)::BIGINT, sum(CAST(ceil(n / {REF_CHUNK}) AS BIGINT))::BIGINT FROM s""",

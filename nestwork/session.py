@@ -53,10 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="nestwork-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    # the setting itself cannot be changed in a running session; the context keeps the folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="nestwork-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

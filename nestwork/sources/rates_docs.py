@@ -1,8 +1,8 @@
 """In-network rate documents built inside Spark from the driver tables (F2).
 
 One logical file per part (split into pieces of at most ``rates_per_doc``
-negotiated rates), one negotiated rate per lineitem, one provider reference per
-supplier used in the file.  Contract faults are seeded from row values so an
+negotiated rates), one negotiated rate per lineitem.  Its provider groups stand in the rate
+itself, or it refers to a group of the file (one per supplier so used), or to one that is missing.  Contract faults are seeded from row values so an
 oracle can count them (``SEEDED_FAULTS``).
 """
 
@@ -29,6 +29,11 @@ SEEDED_FAULTS = {
     "plan_name without the other plan fields": "p_size = 50",
 }
 
+# How a rate names its providers, and which items hold further codes (read by the oracles too).
+INLINE = "l_linenumber = 3"  # groups in the rate itself
+UNRESOLVED = "l_linenumber = 4"  # a reference to a group that the file does not hold
+BUNDLED, COVERED = "p_size = 10", "p_size = 11"
+
 
 def rates_file_path(partkey: Column, piece: Column) -> Column:
     return F.concat(F.lit("rates/"), partkey.cast("string"), F.lit("/part-"), piece.cast("string"), F.lit(".json"))
@@ -58,6 +63,7 @@ def _price() -> Column:
         _billing_class().alias("billing_class"),
         service.alias("service_code"),
         modifier.alias("billing_code_modifier"),
+        F.when(F.col("l_linenumber") == 2, F.concat(F.lit("order "), F.col("l_orderkey").cast("string"))).alias("additional_information"),
     )
 
 
@@ -77,17 +83,17 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_shipdate", row_salt().alias("salt"))
     per_part = lines.groupBy(F.col("l_partkey").alias("pk")).agg(F.count(F.lit(1)).alias("n_rates"))
+    groups = F.array(F.struct(
+        F.array(*[(F.lit(b) + F.col("l_suppkey")).cast("string") for b in NPI_BASES]).alias("npi"),
+        F.struct(F.lit("ein").alias("type"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0").alias("value")).alias("tin"),
+    ))
+    inline, unresolved = F.expr(INLINE), F.expr(UNRESOLVED)
     rate = F.struct(
         F.array(_price()).alias("negotiated_prices"),
-        F.array(F.col("l_suppkey")).alias("provider_references"),
-    )
-    provider = F.struct(
-        F.col("l_suppkey").alias("provider_group_id"),
-        F.array(F.struct(
-            F.array(*[(F.lit(b) + F.col("l_suppkey")).cast("string") for b in NPI_BASES]).alias("npi"),
-            F.struct(F.lit("ein").alias("type"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0").alias("value")).alias("tin"),
-        )).alias("provider_groups"),
+        F.when(~inline, F.array(F.when(unresolved, -1 - F.col("l_suppkey")).otherwise(F.col("l_suppkey")))).alias("provider_references"),
+        F.when(inline, groups).alias("provider_groups"),
     )
+    provider = F.when(~inline & ~unresolved, F.struct(F.col("l_suppkey").alias("provider_group_id"), groups.alias("provider_groups")))
     keyed = (
         lines.join(per_part, lines.l_partkey == per_part.pk)
         .select(
@@ -104,14 +110,18 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
         F.date_format(F.max("l_shipdate"), "yyyy-MM-dd").alias("last_updated_on"),
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    code = F.array(F.struct(F.lit("LOCAL").alias("billing_code_type"), F.lit("1").alias("billing_code_type_version"),
+                            F.col("p_brand").alias("billing_code"), F.col("p_type").alias("description")))
+    bundled, covered = F.expr(BUNDLED), F.expr(COVERED)
     item = F.struct(
-        F.lit("ffs").alias("negotiation_arrangement"),
+        F.when(bundled, "bundle").when(covered, "capitation").otherwise("ffs").alias("negotiation_arrangement"),
         F.col("p_name").alias("name"),
         F.lit("LOCAL").alias("billing_code_type"),
         F.lit("1").alias("billing_code_type_version"),
         F.col("p_partkey").cast("string").alias("billing_code"),
         F.col("p_type").alias("description"),
         F.col("negotiated_rates"),
+        F.when(bundled, code).alias("bundled_codes"), F.when(covered, code).alias("covered_services"),
     )
     return docs.join(part, docs.l_partkey == part.p_partkey).select(
         rates_file_path(F.col("l_partkey"), F.col("piece")).alias("file_path"),

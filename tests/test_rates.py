@@ -39,3 +39,23 @@ def test_unresolved_reference_keeps_a_null_row(spark):
 def test_rates_fact_one_row_per_price(spark):
     f = rt.rates_fact(docs(spark, [json.dumps(DOC)])).collect()
     assert len(f) == 1 and f[0].negotiated_rate == 1.5 and f[0].provider_references == "7,8"
+
+
+def test_inline_groups_beside_references(spark):
+    group = {"npi": ["5"], "tin": {"type": "npi", "value": "5"}}
+    price = [{"negotiated_rate": 2.0}]
+    doc = {**DOC, "in_network": [{"billing_code": "B", "name": "n", "bundled_codes": [{"billing_code": "C"}], "negotiated_rates": [
+        {"negotiated_prices": price, "provider_groups": [group, group]},
+        {"negotiated_prices": price, "provider_groups": [group], "provider_references": [7, 9]},
+        {"negotiated_prices": price, "provider_references": []},
+        {"negotiated_prices": [{"negotiated_rate": 1.0, "service_code": ["11"], "additional_information": "i"}]}]}]}
+    d = docs(spark, [json.dumps(doc)])
+    got = sorted((r.rate_pos, r.source, r.provider_group_id or 0, r.group_pos, r.tin_value) for r in rt.resolved_rates(d).collect())
+    assert got == [(0, "inline", 0, 0, "5"), (0, "inline", 0, 1, "5"), (1, "inline", 0, 0, "5"), (1, "reference", 7, 0, "x"),
+                   (1, "unresolved", 9, None, None), (2, "none", 0, None, None), (3, "none", 0, None, None)]
+    groups = rt.provider_groups(d).collect()
+    assert sorted((g.source, g.rate_pos if g.source == "inline" else g.ref_pos, g.group_pos) for g in groups) == [
+        ("inline", 0, 0), ("inline", 0, 1), ("inline", 1, 0), ("reference", 0, 0)]
+    fact = {r.rate_pos: r for r in rt.rates_fact(d).collect()}
+    assert [fact[i].n_inline_groups for i in range(4)] == [2, 1, 0, 0]
+    assert (fact[3].service_code, fact[3].additional_information, fact[3].name, fact[3].bundled_codes[0].billing_code) == (["11"], "i", "n", "C")

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from nestwork.sources import catalog
@@ -25,7 +26,10 @@ def test_config_driven_ingest(spark, scratch):
             f.write(json.dumps({"reporting_structure": []}, indent=1))
     defs = load_definitions(spark, cfg)
     assert sorted((r.file_type, r.valid) for r in defs.collect()) == [("in_network_json", False), ("index_json", True)]
-    started = ingest_definitions(spark, defs, scratch + "/landing", scratch + "/bronze")
+    with pytest.raises(ValueError, match="in_network_json"):
+        ingest_definitions(spark, defs, scratch + "/landing", scratch + "/refused")
+    assert not os.path.exists(scratch + "/refused")  # an invalid definition stops the run before any stream starts
+    started = ingest_definitions(spark, defs.where("valid"), scratch + "/landing", scratch + "/bronze")
     assert list(started) == ["index_json_bronze"]
     out = spark.read.parquet(scratch + "/bronze/index_json_bronze")
     assert out.count() == 3 and out.select("index_file_source_id").distinct().count() == 3
