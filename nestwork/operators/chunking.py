@@ -38,6 +38,49 @@ def items_sql(doc: str, json_path: str) -> str:
     return cur
 
 
+def typed_items_sql(doc: str, json_path: str) -> str:
+    """The same items from a typed document, each made a VARIANT of its own: no VARIANT holds the whole
+    document, so its size limit does not matter.  The path must exist in the declared schema."""
+    cur = f"array({doc})"
+    for i, seg in enumerate(json_path.split(".")):
+        v = f"t{i}"
+        cur = f"flatten({cur})" if seg == "item" else f"transform({cur}, {v} -> {v}.{seg})"
+        cur = f"filter({cur}, {v}x -> {v}x IS NOT NULL)"
+    return f"transform({cur}, t -> to_variant_object(t))"
+
+
+def any_items_sql(doc: str, json_path: str, typed: str | None) -> str:
+    """Items of the VARIANT, or of the typed document where there is no VARIANT."""
+    if typed is None:
+        return items_sql(doc, json_path)
+    return (f"CASE WHEN {doc} IS NOT NULL THEN {items_sql(doc, json_path)} "
+            f"WHEN {typed} IS NOT NULL THEN {typed_items_sql(typed, json_path)} ELSE array() END")
+
+
+def with_typed_fallback(bronze: DataFrame, variant: str, typed: str, flag: str, keep: Sequence[str] = ("file_path",),
+                        corrupt: str = "_corrupt_record") -> DataFrame:
+    """``keep``, ``doc`` (VARIANT) and ``typed`` (only where there is no VARIANT and the typed reader took the text).
+
+    The two kinds are read side by side, so the wide typed column is read only from row groups that hold
+    a document without a VARIANT."""
+    kind = bronze.schema[typed].dataType.simpleString()
+    have = bronze.where(F.col(flag)).select(*keep, F.col(variant).alias("doc"), F.lit(None).cast(kind).alias("typed"))
+    rest = bronze.where(~F.coalesce(F.col(flag), F.lit(False))).select(
+        *keep, F.lit(None).cast("variant").alias("doc"),
+        F.when(F.col(f"{typed}.{corrupt}").isNull(), F.col(typed)).cast(kind).alias("typed"))
+    return have.unionByName(rest)
+
+
+def outcomes(docs: DataFrame, json_paths: Sequence[str], doc: str = "doc", typed: str | None = None) -> DataFrame:
+    """Per path: documents in, chunked, without items, and quarantined (neither form could be read).  One pass."""
+    read = F.col(doc).isNotNull() if typed is None else F.col(doc).isNotNull() | F.col(typed).isNotNull()
+    sizes = F.array(*[F.struct(F.lit(p).alias("json_path"), F.expr(f"size({any_items_sql(doc, p, typed)})").alias("n")) for p in json_paths])
+    rows = docs.select(read.alias("read"), F.explode(sizes).alias("s")).select("read", "s.*")
+    return rows.groupBy("json_path").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.count_if(F.col("read") & (F.col("n") > 0)).alias("n_chunked"),
+        F.count_if(F.col("read") & (F.col("n") <= 0)).alias("n_without_items"), F.count_if(~F.col("read")).alias("n_quarantined"))
+
+
 def _chunks_sql(arr: str, size: int) -> str:
     """ARRAY<ARRAY<...>>: consecutive slices of ``size`` (none for an empty array)."""
     return (f"CASE WHEN size({arr}) <= 0 THEN array() ELSE "
@@ -51,10 +94,11 @@ def wrapper_keys(json_path: str) -> list[str]:
 
 
 def array_chunks(docs: DataFrame, json_path: str, chunk_size: int = 1000, first_chunk: int = 1,
-                 doc: str = "doc", keep: Sequence[str] = ("file_path",), prefix: str = "chunk") -> DataFrame:
+                 doc: str = "doc", keep: Sequence[str] = ("file_path",), prefix: str = "chunk",
+                 typed: str | None = None) -> DataFrame:
     """One row per (document, chunk) with its items (ARRAY<VARIANT>)."""
     keep = list(keep)
-    chunks = F.expr(_let(items_sql(doc, json_path), "its", _chunks_sql("its", chunk_size)))
+    chunks = F.expr(_let(any_items_sql(doc, json_path, typed), "its", _chunks_sql("its", chunk_size)))
     out = docs.select(*keep, F.posexplode(chunks).alias("_c", "items"))
     chunk_id = F.col("_c") + F.lit(first_chunk)
     return out.select(
@@ -80,15 +124,15 @@ def structured_json(json_path: str, items: str = "items") -> Column:
 
 
 def structured_chunks(docs: DataFrame, json_path: str, chunk_size: int = 1000, first_chunk: int = 1,
-                      doc: str = "doc", keep: Sequence[str] = ("file_path",)) -> DataFrame:
+                      doc: str = "doc", keep: Sequence[str] = ("file_path",), typed: str | None = None) -> DataFrame:
     """Chunks named ``structured_NNNN.json`` with the wrapped JSON text."""
-    out = array_chunks(docs, json_path, chunk_size, first_chunk, doc, keep, prefix="structured")
+    out = array_chunks(docs, json_path, chunk_size, first_chunk, doc, keep, prefix="structured", typed=typed)
     return out.withColumn("wrapper", F.lit(".".join(wrapper_keys(json_path)))).withColumn(
         "json", structured_json(json_path))
 
 
 def multi_path_chunks(docs: DataFrame, path_configs: Sequence[dict], first_chunk: int = 1, doc: str = "doc",
-                      keep: Sequence[str] = ("file_path",)) -> DataFrame:
+                      keep: Sequence[str] = ("file_path",), typed: str | None = None) -> DataFrame:
     """Several paths in ONE pass over the documents, each with its own
     output folder and chunk size (``path``, ``output_subdir``, ``chunk_size``)."""
     keep = list(keep)
@@ -98,7 +142,7 @@ def multi_path_chunks(docs: DataFrame, path_configs: Sequence[dict], first_chunk
         sub = cfg.get("output_subdir", path.replace(".", "_"))
         per_path.append(
             f"struct('{path}' AS json_path, '{sub}' AS output_subdir, "
-            f"{_let(items_sql(doc, path), 'its', _chunks_sql('its', size))} AS chunks, {size} AS chunk_size)")
+            f"{_let(any_items_sql(doc, path, typed), 'its', _chunks_sql('its', size))} AS chunks, {size} AS chunk_size)")
     step = docs.select(*keep, F.explode(F.expr(f"array({', '.join(per_path)})")).alias("p"))
     out = step.select(*keep, "p.json_path", "p.output_subdir", "p.chunk_size",
                       F.posexplode("p.chunks").alias("_c", "items"))
@@ -112,14 +156,15 @@ def multi_path_chunks(docs: DataFrame, path_configs: Sequence[dict], first_chunk
 
 
 def split_by_field(docs: DataFrame, json_path: str, split_field: str, chunk_size: int = 1000,
-                   first_chunk: int = 1, doc: str = "doc", keep: Sequence[str] = ("file_path",)) -> DataFrame:
+                   first_chunk: int = 1, doc: str = "doc", keep: Sequence[str] = ("file_path",),
+                   typed: str | None = None) -> DataFrame:
     """Items grouped by the value at ``split_field`` (dotted, NULL -> 'null'),
     each category cut into chunks in document order."""
     keep = list(keep)
     field = dotted_to_json_path(split_field)
     cat = f"coalesce(try_variant_get(x, '{field}', 'string'), CAST(try_variant_get(x, '{field}', 'variant') AS STRING), 'null')"
     runs = _let(
-        items_sql(doc, json_path), "its",
+        any_items_sql(doc, json_path, typed), "its",
         _let(f"array_sort(transform(its, (x, i) -> struct({cat} AS c, i AS p)))", "s",
              "CASE WHEN size(s) = 0 THEN array() ELSE " +
              _let("filter(sequence(0, size(s) - 1), i -> i = 0 OR s[i].c <> s[i - 1].c)", "b",

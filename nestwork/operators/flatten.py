@@ -13,16 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
+from .rescue import unreadable_reason
 from ..functions.variant import array_items, as_entries, get_path, get_string, object_entries
 
 # The leaf keys of an index entry, and the file types of a structure element.
 ENTRY_LEAVES = ("description", "plan_id_type", "plan_id", "plan_market_type", "plan_name", "location")
 FILE_TYPES = ("in_network_files", "reporting_plans", "allowed_amount_file")
 
-# Fixed value: above this many characters a failed parse is reported as too large
-# (VARIANT parsing gives up on single documents somewhere above ~120 MB).
-PARSE_LIMIT_CHARS = 100_000_000
-
 FLAT_COLUMNS = [
     "index_file_source_id", "reporting_entity_name", "reporting_entity_type", "file_type",
     "structure_pos", "entry_pos", "file_description", "file_location",
@@ -39,13 +36,13 @@ def _structure_array(doc: str = "doc") -> Column:
     return array_items(f"try_variant_get({doc}, '$.reporting_structure', 'variant')")
 
 
-def quarantine_reason(doc: str = "doc", chars: str | None = None) -> Column:
-    """Why a parsed document cannot be flattened, or NULL when it can."""
-    too_large = (F.col(chars) > PARSE_LIMIT_CHARS) if chars else F.lit(False)
-    return (
-        F.when(F.col(doc).isNull() & too_large, F.lit("document too large to parse; land it as JSON Lines"))
-        .when(F.col(doc).isNull(), F.lit("not valid JSON"))
-        .when(object_entries(doc).isNull(), F.lit("root is not an object"))
+def quarantine_reason(doc: str = "doc", text: str | None = None) -> Column:
+    """Why a parsed document cannot be flattened, or NULL when it can; a text without a VARIANT is
+    read again by the streaming JSON parser, which tells broken JSON from JSON that a VARIANT cannot hold."""
+    unread = unreadable_reason(doc, text) if text else F.when(F.col(doc).isNull(), F.lit("not valid JSON"))
+    return F.coalesce(
+        unread,
+        F.when(object_entries(doc).isNull(), F.lit("root is not an object"))
         .when(F.expr(f"try_variant_get({doc}, '$.reporting_structure', 'variant')").isNull(),
               F.lit("no reporting_structure"))
         .when(_structure_array(doc).isNull(), F.lit("reporting_structure is not an array"))
@@ -90,9 +87,8 @@ def flatten_index(bronze: DataFrame, value_col: str = "value", carry=("index_fil
 def index_quarantine(bronze: DataFrame, value_col: str = "value",
                      carry=("index_file_source_id",)) -> DataFrame:
     """Documents that cannot be flattened, with the reason; nothing vanishes silently."""
-    parsed = bronze.select(*carry, F.try_parse_json(F.col(value_col)).alias("doc"),
-                           F.length(value_col).alias("_chars"))
-    return (parsed.select(*carry, quarantine_reason("doc", "_chars").alias("reason"))
+    parsed = bronze.select(*carry, F.try_parse_json(F.col(value_col)).alias("doc"), F.col(value_col).alias("_text"))
+    return (parsed.select(*carry, quarantine_reason("doc", "_text").alias("reason"))
             .where(F.col("reason").isNotNull()))
 
 

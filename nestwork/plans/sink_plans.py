@@ -35,7 +35,7 @@ def q_partition_sink(spark, sf_dir):
     """Chunks split by billing class, one folder per
     category, each chunk's JSON written under its file name; read back."""
     root = scratch_path(spark, "partition_sink")
-    chunks = ch.split_by_field(rate_docs(spark, sf_dir), PRICE_PATH, "billing_class", CLASS_CHUNK)
+    chunks = ch.split_by_field(rate_docs(spark, sf_dir), PRICE_PATH, "billing_class", CLASS_CHUNK, typed="typed")
     out = chunks.select("category_dir", "file_path", "chunk_name", "n_objects", ch.chunk_json().alias("json"))
     write_partitioned(out, f"{root}/by_category", ["category_dir"])
     # the schema written is known: no inference pass; category_dir comes from the folders

@@ -35,7 +35,7 @@ def q_event_props_sql(spark, sf_dir):
 def q_path_counts(spark, sf_dir):
     """A3: objects and chunks per path, over one multi-path split."""
     cfg = [{"path": RATE_PATH, "chunk_size": RATE_CHUNK}, {"path": REF_PATH, "chunk_size": REF_CHUNK}]
-    return ch.counts_per(ch.multi_path_chunks(rate_docs(spark, sf_dir), cfg), ["json_path"])
+    return ch.counts_per(ch.multi_path_chunks(rate_docs(spark, sf_dir), cfg, typed="typed"), ["json_path"])
 
 
 ORACLE = {

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from ..operators import flatten as fl
 from ..operators import quality as qa
+from ..operators import rates as rt
+from ..operators import rescue
 from ..session import scratch_path
 from ..sources.change_log import change_log, with_truncate_at_middle
 from ..sources.files import stream_lines, stream_whole_files
-from ..sources.bronze import index_bronze_table
+from ..sources.bronze import index_bronze_table, rates_bronze_table
+from ..sources.schemas import RATES_SCHEMA
 from ..sources.sinks import stream_to_table
 from ..sources.tables import table
 from ..streaming.scd1 import Scd1Target
@@ -22,6 +25,7 @@ from ..streaming.windows import latest_updates, tumbling_counts, updates_to_fold
 from .cdc_plans import KEYS, SEQ, VALUES
 from .cdc_plans import ORACLE as CDC_ORACLE
 from .index_plans import INDEX_RULES
+from .rates_plans import ORACLE as RATES_ORACLE
 
 FLAT_OUT = ["reporting_entity_name", "reporting_entity_type", "file_type", "file_description", "file_location",
             "structure_pos", "entry_pos"]
@@ -55,6 +59,50 @@ def q_stream_whole_files(spark, sf_dir):
     return spark.read.parquet(f"{root}/in_network")
 
 
+def land_rate_lines(spark, sf_dir, root: str) -> None:
+    """Rate files as JSON Lines, half of them gzipped, with saved web pages among them.
+
+    By part number, one in twenty each: a further root field, a further field inside an item, a price that is text, and a text cut off."""
+    docs = rates_bronze_table(spark, sf_dir).select(F.split("file_path", "/")[1].cast("long").alias("pk"), "value")
+    v, kind = F.col("value"), F.col("pk") % 20
+    value = (F.when(kind == 1, F.concat(F.lit('{"vendor_note":"x",'), F.expr("substring(value, 2)")))
+             .when(kind == 2, F.regexp_replace(v, r'^(.*?"in_network":\[\{)', r'$1"surcharge":{"a":[1]},'))
+             .when(kind == 3, F.regexp_replace(v, r'^(.*?"negotiated_rate":)[0-9.E]+', r'$1"n/a"'))
+             .when(kind == 4, F.expr("substring(value, 1, length(value) - 2)")).otherwise(v))
+    pages = table(spark, sf_dir, "pages").select(F.regexp_replace("html", r"[\r\n]+", " ").alias("value"))
+    docs.where("pk % 2 = 0").select(value.alias("value")).unionByName(pages).write.text(f"{root}/landing/plain")
+    docs.where("pk % 2 = 1").select(value.alias("value")).write.option("compression", "gzip").text(f"{root}/landing/gz")
+
+
+def _stream_rates(spark, sf_dir, status: str):
+    """The landed lines streamed, compared with the declared schema, and each micro-batch split."""
+    root = scratch_path(spark, "stream_rates")
+    land_rate_lines(spark, sf_dir, root)
+    src = stream_lines(spark, f"{root}/landing/*", max_files_per_trigger=4)
+    read = rescue.read_with_rescue(src, RATES_SCHEMA, keep=["index_file_source_id"])
+    q = (read.writeStream.foreachBatch(rescue.split_writer(f"{root}/rates"))
+         .option("checkpointLocation", f"{root}/_checkpoints/rates").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return rescue.split_table(spark, f"{root}/rates", read.schema, status)
+
+
+def q_stream_rates(spark, sf_dir):
+    """The kept documents of the rates stream, flattened to prices."""
+    kept = _stream_rates(spark, sf_dir, "kept")
+    return rt.rates_fact(kept, keep=["index_file_source_id"]).select(
+        "billing_code", "rate_pos", "negotiated_rate", "billing_class", "provider_references", "n_inline_groups")
+
+
+def q_rates_quarantine(spark, sf_dir):
+    """What the rates stream set aside, with the reason and the first rescued field."""
+    bad = _stream_rates(spark, sf_dir, "quarantine")
+    paths = F.array_sort(F.expr(f"json_object_keys({rescue.RESCUED})"))
+    rows = bad.select("reason", rescue.RESCUED, F.try_variant_get(F.try_parse_json("value"), "$.in_network[0].billing_code", "string").alias("billing_code"),
+                      F.coalesce(F.size(paths), F.lit(0)).alias("n"), paths[0].alias("rescued_path"))
+    return rows.select("billing_code", "reason", F.greatest("n", F.lit(0)).alias("n_rescued"), "rescued_path",
+                       F.from_json(rescue.RESCUED, "map<string,string>")[F.col("rescued_path")].alias("rescued_json"))
+
+
 def q_stream_tumbling(spark, sf_dir):
     """Watermarked daily windows per event type, update mode."""
     root = scratch_path(spark, "stream_tumbling")
@@ -114,7 +162,23 @@ FROM events GROUP BY 1, 2, 3""",
     "stream_scd1_truncate": CDC_ORACLE["scd1_truncate"],
 }
 
+ORACLE["stream_rates"] = f"""
+WITH f AS ({RATES_ORACLE['rates_fact']})
+SELECT billing_code, rate_pos, negotiated_rate, billing_class, provider_references, n_inline_groups FROM f
+WHERE billing_code::BIGINT % 20 NOT IN (1, 2, 3, 4)"""
+ORACLE["rates_quarantine"] = """
+WITH d AS (SELECT DISTINCT l_partkey AS pk FROM lineitem)
+SELECT CASE WHEN pk % 20 <> 4 THEN pk::VARCHAR END AS billing_code,
+       CASE WHEN pk % 20 = 4 THEN 'not valid JSON' ELSE 'fields outside the schema' END AS reason, (pk % 20 <> 4)::INTEGER AS n_rescued,
+       CASE pk % 20 WHEN 1 THEN '$.vendor_note' WHEN 2 THEN '$.in_network[0].surcharge'
+                    WHEN 3 THEN '$.in_network[0].negotiated_rates[0].negotiated_prices[0].negotiated_rate' END AS rescued_path,
+       CASE pk % 20 WHEN 1 THEN '"x"' WHEN 2 THEN '{"a":[1]}' WHEN 3 THEN '"n/a"' END AS rescued_json
+FROM d WHERE pk % 20 IN (1, 2, 3, 4)
+UNION ALL SELECT NULL, 'not valid JSON', 0, NULL, NULL FROM pages"""
+
 QUERIES = {
+    "stream_rates": q_stream_rates,
+    "rates_quarantine": q_rates_quarantine,
     "stream_flatten": q_stream_flatten,
     "stream_whole_files": q_stream_whole_files,
     "stream_tumbling": q_stream_tumbling,

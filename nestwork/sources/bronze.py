@@ -57,12 +57,16 @@ def index_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rates_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file_path, value, doc typed struct with _corrupt_record, vdoc VARIANT) per rate file."""
+    """(file_path, value, doc typed struct with _corrupt_record, vdoc VARIANT, has_variant) per rate file.
+
+    ``has_variant`` is false for documents that the VARIANT parser refuses (too large, repeated keys): a
+    filter on it skips row groups by their statistics."""
     def build():
         docs = rates_documents(spark, sf_dir)
-        return docs.select("file_path", "value",
-                           F.from_json("value", RATES_SCHEMA_WITH_CORRUPT, JSON_OPTIONS).alias("doc"),
-                           F.try_parse_json("value").alias("vdoc"))
+        parsed = docs.select("file_path", "value",
+                             F.from_json("value", RATES_SCHEMA_WITH_CORRUPT, JSON_OPTIONS).alias("doc"),
+                             F.try_parse_json("value").alias("vdoc"))
+        return parsed.withColumn("has_variant", F.col("vdoc").isNotNull())
     return materialized(spark, "rates", sf_dir, build)
 
 

@@ -17,7 +17,7 @@ def test_bad_json_is_quarantined_not_lost(spark):
     b = bronze(spark, ["not json at all", '{"a": 1, "a": 2}', {"reporting_entity_name": "x"}, [1, 2]])
     assert fl.flatten_index(b).count() == 0
     q = {r.index_file_source_id: r.reason for r in fl.index_quarantine(b).collect()}
-    assert q == {"src0": "not valid JSON", "src1": "not valid JSON",
+    assert q == {"src0": "not valid JSON", "src1": "JSON that a VARIANT cannot hold: too large, or a repeated key",
                  "src2": "no reporting_structure", "src3": "root is not an object"}
 
 
