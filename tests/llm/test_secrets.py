@@ -1,8 +1,11 @@
 """Secret scans: base spans against brute force, added spans on planted and natural runs."""
 
 import hashlib
+import math
 import random
 import re
+import string
+from collections import Counter
 
 from nestwork.llm import secret_scan as S
 
@@ -54,5 +57,81 @@ def test_base_spans_and_random_runs(spark):
     assert not any(by[i] for i in quiet)
 
 
+def plain_tail(z):
+    x = abs(z)
+    tail = math.exp(-x * x / 2) / 2.5066282746310002 / (0.661 * x + 0.339 * math.sqrt(x * x + 5.51))
+    return tail if z >= 0 else 1 - tail
+
+
+def plain_battery(run):
+    """The tests of one run, step by step: (class, bin, random)."""
+    raw = run.rstrip("=")
+    enc = next(e for e, fits in S.INFERRED.items() if re.fullmatch(fits.strip("^$"), raw))
+    token = raw.lower() if enc in S.FOLDED else raw.replace("-", "+").replace("_", "/")
+    alphabet = S.ALPHABETS[enc]
+    n, k = len(token), len(alphabet)
+    counts = Counter(token)
+    chi = sum(v * v for v in counts.values()) * k / n - n
+    ranks = [alphabet.index(c) + 1 for c in token]
+    bits = [r > (k + 1) / 2 for r in ranks]
+    ones = sum(bits)
+    both = 2 * ones * (n - ones)
+    runs = 1 + sum(a != b for a, b in zip(bits, bits[1:]))
+    z_chi = ((max(chi, 0) / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    z_runs = (runs - both / n - 1) / math.sqrt(both * (both - n) / (n * n * (n - 1))) if both > n else 99.0
+    mean = sum(ranks) / n
+    square = sum((r - mean) ** 2 for r in ranks)
+    z_lag = (sum((a - mean) * (b - mean) for a, b in zip(ranks, ranks[1:])) / square + 1 / n) * math.sqrt(n) if square else 99.0
+    p = min(plain_tail(z_chi), 2 * plain_tail(abs(z_runs)), 2 * plain_tail(abs(z_lag)))
+    excess = n * (k * S.COINCIDENCE[enc] - 1)
+    z_text = (chi - (k - 1 + excess)) / math.sqrt(2 * (k - 1) + 4 * excess)
+    shares = [math.log(S.LETTER_SHARES[ord(c) - 97] / sum(S.LETTER_SHARES)) for c in raw.lower() if "a" <= c <= "z"]
+    letters = plain_tail(-(sum(shares) / len(shares) - S.TEXT_MEAN) / S.TEXT_DEVIATION * len(shares) ** 0.5) if len(shares) >= S.MIN_LETTERS else 1
+    like = max(min(1, 2 * min(plain_tail(-z_text), letters)), 1e-300)
+    return f"{enc}:{math.floor(2 * math.log2(n))}", min(math.floor(-math.log10(like) * S.BINS), S.LAST_BIN), 3 * p > S.MIN_RANDOM
+
+
+ENCODINGS = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "base32": string.ascii_uppercase + "234567",
+             "lower base32": string.ascii_lowercase + "234567", "digits+lower": string.digits + string.ascii_lowercase,
+             "digits+upper": string.digits + string.ascii_uppercase, "lower": string.ascii_lowercase, "upper": string.ascii_uppercase,
+             "base62": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/"}
+
+
+def test_battery_equals_plain_arithmetic(spark):
+    rng = random.Random(8)
+    runs = ["".join(rng.choice(a) for _ in range(n)) for a in ENCODINGS.values() for n in (20, 33, 64, 200) for _ in range(3)]
+    runs += [t for t in NATURAL if re.fullmatch(r"[A-Za-z0-9+/_-]{20,}", t)] + ["ab" * 30, "a" * 25, "A-B_" * 9, "x" * 19 + "y=="]
+    runs = [r for r in runs if not re.search("[0-9a-f]{16}", r) or re.search("[^0-9a-f]{10}", r)]
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(r,) for r in runs], "r string").select("r", S._tested(F.struct(
+        F.lit(0).alias("start"), F.length("r").alias("end"), F.col("r").alias("value"))).alias("t"))
+    for row in df.collect():
+        want = plain_battery(row["r"])
+        assert (row["t"]["class"], row["t"]["random"]) == (want[0], want[2]) and abs(row["t"]["bin"] - want[1]) <= 1, row["r"]
+
+
+def test_every_encoding_is_found_at_every_length(spark):
+    """60 of each of ten alphabets at four lengths, among prose and natural runs."""
+    rng = random.Random(6)
+    planted = {(name, n): ["".join(rng.choice(a) for _ in range(n)) for _ in range(60)] for name, a in ENCODINGS.items()
+               for n in (32, 64, 128, 256) if name != "hex"}  # lower-case hex is a base span
+    texts = [(key, f"before {t} after") for key, ts in planted.items() for t in ts]
+    quiet = [(None, f"some {t} here") for t in NATURAL * 20] + [(None, prose(60, i)) for i in range(60)]
+    rows = texts + quiet
+    got = {r["doc_id"]: r["n_random"] for r in S.secret_table(docs_frame(spark, [(i, t) for i, (_, t) in enumerate(rows)])).collect()}
+    found = Counter(rows[i][0] for i, n in got.items() if n)
+    assert found.pop(None, 0) == 0
+    assert [(k, found[k]) for k in planted if found[k] < 54] == []
+
+
+def test_runs_beside_base_spans_are_left_out(spark):
+    rng = random.Random(9)
+    run = "".join(rng.choice(S.ALPHABETS["base62"]) for _ in range(60))
+    texts = [f"token={run}", f"{run}AKIA{'B' * 16}{run}", f"{run[:30]}0123456789abcdef0123{run[30:]}", f"x\0{run}\0y", f"token=short {run}"]
+    got = {r["doc_id"]: r["n_random"] for r in S.secret_table(docs_frame(spark, list(enumerate(texts)))).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1}
+
+
 def test_empty_table(spark):
     assert S.secret_table(docs_frame(spark, [])).count() == 0
