@@ -2,12 +2,14 @@
 
 The writer puts each page in a gzip member of its own, one file for each task.  Pages whose
 payloads are equal are written once: the page with the largest id is the response, the others
-become revisit records that refer to it.  Only digests are compared over the cluster; payloads
-are neither shuffled nor grouped.  A file has a fresh name for each attempt, and only files
+become revisit records that refer to it.  Only digests are grouped.  The table of repeated digests is
+broadcast while it is below Spark's threshold, and no payload moves; beyond it, each payload is shuffled once to meet
+its digest.  A file has a fresh name for each attempt, and only files
 named in the rows that a successful task returns belong to the archive, so lost executors and
 retries leave no double records.
 
-The reader cuts files into byte ranges.  A task scans its range for gzip's magic, takes a
+The reader takes WARC/1.0 and 1.1 with records of any type; a record-id that is none of the writer's gives no page_id, and
+a payload without a length or digest in its header is measured.  It cuts files into byte ranges and deals them out evenly to a set number of tasks.  A task scans its range for gzip's magic, takes a
 candidate for a member only if its first bytes decode to a WARC header, and owns the records
 that start inside the range; it reads past the range's end to finish the last one.
 
@@ -39,9 +41,11 @@ from nestwork.session import scratch_path
 from .common import small_batches, text_of, written
 
 MAGIC = b"\x1f\x8b\x08"
-VERSION = b"WARC/1.1\r\n"
+VERSION, ANY_VERSION = b"WARC/1.1\r\n", b"WARC/1."
 #: Bytes of one reading range, and of one read.
 RANGE, READ = 8 << 20, 1 << 20
+#: Most reading tasks for each core; each takes its share of the ranges.
+TASKS = 32
 #: Payloads of fewer bytes are never looked up for equals.
 MIN_PAYLOAD = 0
 # Fixed value: the profile of a revisit with an equal payload.
@@ -113,7 +117,7 @@ class _Window:
     """Bytes of a file from a position on, read piece by piece."""
 
     def __init__(self, file, at: int, size: int):
-        self.file, self.at, self.size, self.data = file, at, size, b""
+        self.file, self.at, self.size, self.data = file, at, size, bytearray()
 
     def more(self) -> bool:
         here = self.at + len(self.data)
@@ -124,7 +128,8 @@ class _Window:
         return True
 
     def skip(self, n: int) -> None:
-        self.data, self.at = self.data[n:], self.at + n
+        del self.data[:n]  # moves the start, not the bytes
+        self.at += n
 
 
 def _member(window: _Window) -> tuple[bytes, int] | None:
@@ -139,9 +144,9 @@ def _member(window: _Window) -> tuple[bytes, int] | None:
         except zlib.error:
             return None
         fed = min(len(window.data), fed + READ)
-        if out[:len(VERSION)] != VERSION[:len(out)]:
+        if out[:len(ANY_VERSION)] != ANY_VERSION[:len(out)]:
             return None
-    return (bytes(out), fed - len(unpack.unused_data)) if out.startswith(VERSION) else None
+    return (bytes(out), fed - len(unpack.unused_data)) if out.startswith(ANY_VERSION) else None
 
 
 def records_in(file, size: int, start: int, end: int) -> Iterator[bytes]:
@@ -175,16 +180,23 @@ def records_in(file, size: int, start: int, end: int) -> Iterator[bytes]:
 def parse_record(raw: bytes) -> tuple[int | None, int, str, str, int | None, str | None, bytes]:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload)."""
     head, _, block = raw.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    block = block[:int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = int(re.search(rb"(?i)\r\ncontent-length: *(\d+)", http)[1])
-    page = lambda name: (lambda v: None if v in (None, "null") else int(v))(
-        fields[name][len("<urn:page:"):-1] if name in fields else None)
-    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    if fields["WARC-Type"] == "response" and (len(payload) != length or payload_digest(payload) != digest):
+    fields = {name.lower(): value.strip() for name, _, value in (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])}
+    kind = fields.get("warc-type", "")
+    block = block[:int(fields.get("content-length", len(block)))]
+    payload, length = block, len(block)
+    if fields.get("content-type", "").startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        told = re.search(rb"(?i)\r\ncontent-length: *(\d+)", http)
+        length = int(told[1]) if told else len(payload)
+
+    def page(name: str) -> int | None:
+        found = re.fullmatch(r"<urn:page:(-?\d+)>", fields.get(name, ""))
+        return int(found[1]) if found else None
+
+    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or payload_digest(payload)
+    if page("warc-record-id") is not None and kind == "response" and (len(payload) != length or payload_digest(payload) != digest):
         raise ValueError("the payload does not match its header")
-    return (page("WARC-Record-ID"), length, digest, fields["WARC-Type"], page("WARC-Refers-To"), fields.get("WARC-Target-URI"), payload)
+    return page("warc-record-id"), length, digest, kind, page("warc-refers-to"), fields.get("warc-target-uri"), payload
 
 
 def _reader(folder: str, payloads: bool):
@@ -221,7 +233,10 @@ def read_archive(files: DataFrame, folder: str, payloads: bool = False, range_by
     ranges = files.select("file", "bytes", starts.alias("start")).withColumn("end", F.col("start") + range_bytes)
     schema = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
               + ", payload binary" * payloads)
-    return ranges.repartition("file", "start").mapInArrow(_reader(folder, payloads), schema)
+    # a set number of tasks, which adaptive execution leaves alone: the rows are tiny, what they stand for is not
+    some = ranges.agg(F.count(F.lit(1))).first()[0]
+    tasks = max(1, min(some, TASKS * files.sparkSession.sparkContext.defaultParallelism))
+    return ranges.repartition(tasks).mapInArrow(_reader(folder, payloads), schema)
 
 
 def warc_table(spark: SparkSession, pages: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """WARC: records read back by ranges of any size; equal payloads become revisits."""
 
+import gzip
 import io
 import os
 
@@ -52,6 +53,38 @@ def test_table(spark, range_bytes):
     assert all((r["page_id"], bytes(r["payload"]).decode()) in bodies for r in out if r["record_type"] == "response")
 
 
+def test_many_ranges_are_read_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    pages = spark.createDataFrame([(i, "u", f"{i} " + os.urandom(400).hex()) for i in range(200)], "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-test")
+    fs, root = warc._open_folder(folder)
+    fs.create_dir(root)
+    files = warc.write_archive(pages.coalesce(1), folder)
+    back = warc.read_archive(files, folder, range_bytes=2000).select("page_id", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r["page_id"] for r in back) == list(range(200))
+    assert len({r["task"] for r in back}) >= 20
+
+
+def test_other_writers_records():
+    def member(lines, block, version="WARC/1.0"):
+        raw = "\r\n".join([version, *lines, f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+        return gzip.compress(raw)
+
+    http = b"HTTP/1.0 200 OK\r\nServer: x\r\n\r\n<p>no length</p>"
+    data = b"".join([
+        member(["WARC-Type: warcinfo", "WARC-Record-ID: <urn:uuid:1>", "Content-Type: application/warc-fields"], b"software: x\r\n"),
+        member(["WARC-Type:response", "warc-target-uri: http://a/", "WARC-Record-ID: <urn:uuid:2>", "Content-Type: application/http;msgtype=response"], http),
+        warc.record(7, "u", b"own", warc.payload_digest(b"own"), None),
+        member(["WARC-Type: revisit", "WARC-Record-ID: <urn:uuid:3>", "WARC-Refers-To: <urn:uuid:2>"], b""),
+        member(["WARC-Type: metadata"], b"k: v", "WARC/1.1")])
+    for step in (len(data), 50):
+        got = [warc.parse_record(r) for a in range(0, len(data), step) for r in warc.records_in(io.BytesIO(data), len(data), a, a + step)]
+        assert [(g[0], g[3], g[5]) for g in got] == [(None, "warcinfo", None), (None, "response", "http://a/"), (7, "response", "u"),
+                                                      (None, "revisit", None), (None, "metadata", None)]
+        assert (got[1][1], got[1][6], got[1][2]) == (16, b"<p>no length</p>", warc.payload_digest(b"<p>no length</p>"))
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.warc_table(spark, empty).count() == 0
