@@ -1,22 +1,24 @@
-"""Streaming SCD type 1 target without MERGE (T5-T8 in a stream).
+"""Streaming SCD type 1 target without MERGE (T5-T8 in a stream), kept as a log of deltas.
 
-The target is a folder on shared storage.  Keys hash into ``n_buckets``
-buckets.  For micro-batch ``b`` the sink:
+The target is a folder on shared storage.  Keys hash into ``n_buckets`` buckets; a bucket is a base and the
+deltas after it.  For micro-batch ``b`` the sink:
 
-1. reduces the batch per key (``max_by`` on sequence, partial aggregation);
-2. reads the touched buckets at their latest version below ``b``;
-3. reduces batch + state again and writes ``data/v=b/bucket=k`` for the
-   touched buckets, then a small pointer ``pointer/v=b``: the complete
-   bucket -> version map (at most ``n_buckets`` rows), so batch ``b+1`` reads
-   one small file instead of listing every earlier pointer.
+1. reduces the batch per key (``max_by`` on sequence, partial aggregation) and writes the winners
+   to ``data/_version=b/_bucket=k``: deltas, so a batch costs what its rows cost, not what the state does;
+2. a touched bucket that has ``max_deltas`` deltas is compacted in the same write: its base and deltas
+   are reduced together with the batch's rows and become its new base;
+3. writes a small pointer ``pointer/v=b``: for each bucket its base and deltas, and the highest truncate so far.
+
+Batch ``b+1`` reads that one pointer.  A reader takes the files that the latest pointer names and reduces
+them once more; ``max_by`` is associative, so this equals reducing the whole history.
 
 Reads only ever look at versions below the running batch, and a replayed
 batch overwrites its own version, so a retried or replayed batch is
 idempotent and the file sink's commit protocol keeps partial output invisible.
 Deletes stay as tombstones, so a late lower-sequence row cannot revive a
-deleted key; a truncate drops every state and batch row at or below its
-sequence, also when that row only arrives in a later batch: the highest truncate
-so far is stored beside each pointer.  The number of buckets is stored with the
+deleted key; a truncate hides every row at or below its sequence, also one that only arrives in a later
+batch: it is one value in the pointer, no bucket is rewritten for it.  ``retire`` deletes versions that no
+recent pointer names.  The number of buckets is stored with the
 target, and another number is refused.  Only a missing path means "no batch
 yet"; any other failure of a read is raised.  The driver only ever handles
 bucket numbers, version numbers and one sequence value.
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.cdc import op_rank, sequence_struct
+from ..operators.cdc import not_preimage, op_rank, sequence_struct
 
 
 def _none_first(sequence) -> tuple:
@@ -40,17 +42,31 @@ def _none_first(sequence) -> tuple:
     return tuple((v is not None, v) if v is not None else (False, 0) for v in sequence)
 
 
+class Pointer:
+    """What a batch left behind: bucket -> (base version or None, delta versions), and the highest truncate."""
+
+    def __init__(self, buckets: dict[int, tuple[int | None, list[int]]], cut: tuple | None):
+        self.buckets, self.cut = buckets, cut
+
+    def files(self, buckets: Sequence[int] | None = None) -> list[tuple[int, int]]:
+        """(version, bucket) of everything that counts."""
+        return [(v, b) for b, (base, deltas) in sorted(self.buckets.items()) if buckets is None or b in buckets
+                for v in ([] if base is None else [base]) + deltas]
+
+
 class Scd1Target:
     """SCD type 1 target folder.  Size ``n_buckets`` so one bucket of state is
-    roughly 128-512 MB (state bytes / 256 MB): each touched bucket is rewritten by
-    one task, and a micro-batch touches only the buckets its keys hash to."""
+    roughly 128-512 MB (state bytes / 256 MB): a compacted bucket is rewritten by
+    one task, and a micro-batch writes only deltas of the buckets its keys hash to."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence_by: Sequence[str],
                  columns: Sequence[str], n_buckets: int = 16,
-                 delete_when: str = "_change_type = 'delete'", truncate_when: str = "_change_type = 'truncate'"):
+                 delete_when: str = "_change_type = 'delete'", truncate_when: str = "_change_type = 'truncate'",
+                 max_deltas: int = 8):
         self.spark, self.root = spark, root.rstrip("/")
         self.keys, self.sequence_by, self.columns = list(keys), list(sequence_by), list(columns)
         self.n_buckets, self.delete_when, self.truncate_when = n_buckets, delete_when, truncate_when
+        self.max_deltas = max_deltas
 
     # ---------------------------------------------------------------- layout
     def _bucket(self):
@@ -76,49 +92,49 @@ class Scd1Target:
         if stored != self.n_buckets:
             raise ValueError(f"the target has {stored} buckets, not {self.n_buckets}")
 
-    def _latest_cut(self, below: int) -> tuple | None:
-        """The highest truncate sequence of all batches before ``below``."""
-        cuts = self._read_or_none(f"{self.root}/cut")
-        row = None if cuts is None else cuts.where(F.col("v") < below).orderBy(F.desc("v")).limit(1).first()
-        return None if row is None or row["cut"] is None else tuple(row["cut"])
-
-    def _pointers(self) -> DataFrame | None:
-        return self._read_or_none(f"{self.root}/pointer")
-
-    def _pointer_map(self, version: int) -> dict[int, int] | None:
-        """The complete bucket -> version map written by batch ``version`` (<= n_buckets rows)."""
+    def _pointer_at(self, version: int) -> Pointer | None:
         table = self._read_or_none(f"{self.root}/pointer/v={version}")
-        return None if table is None else {r["bucket"]: r["version"] for r in table.collect()}
-
-    def _latest_versions(self, below: int | None, buckets: Sequence[int] | None) -> dict[int, int]:
-        """Latest version per bucket below ``below``: the previous batch's pointer
-        when it exists (one small read), else the latest pointer found by listing."""
-        if below is not None and below > 0:
-            prev = self._pointer_map(below - 1)
-            if prev is not None:
-                return {b: v for b, v in prev.items() if buckets is None or b in set(buckets)}
-        ptr = self._pointers()
-        if ptr is None:
-            return {}
-        if below is not None:
-            ptr = ptr.where(F.col("v") < below)
-        latest = ptr.agg(F.max("v")).first()[0]
-        if latest is None:
-            return {}
-        full = self._pointer_map(latest) or {}
-        return {b: v for b, v in full.items() if buckets is None or b in set(buckets)}
-
-    def _read_state(self, versions: dict[int, int]) -> DataFrame | None:
-        if not versions:
+        if table is None:
+            return None
+        rows = table.collect()  # a row for each bucket, and one for the truncate
+        cut = next((r["cut"] for r in rows if r["bucket"] < 0), None)
+        return Pointer({r["bucket"]: (r["base"], list(r["deltas"])) for r in rows if r["bucket"] >= 0}, None if cut is None else tuple(cut))
+
+    def _versions(self) -> list[int]:
+        table = self._read_or_none(f"{self.root}/pointer")
+        return [] if table is None else [r["v"] for r in table.select(F.col("v").cast("long").alias("v")).distinct().collect()]
+
+    def _latest_pointer(self, below: int | None) -> Pointer:
+        """The pointer before batch ``below``: the previous batch's (one small read), else the latest one found by listing."""
+        if below:
+            found = self._pointer_at(below - 1)
+            if found is not None:
+                return found
+        known = [v for v in self._versions() if below is None or v < below]
+        return (self._pointer_at(max(known)) if known else None) or Pointer({}, None)
+
+    def _read_state(self, pointer: Pointer, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """Rows of the files that count, truncated ones left out; not yet reduced."""
+        files = pointer.files(None if buckets is None else set(buckets))
+        if not files:
             return None
-        paths = [f"{self.root}/data/v={v}/bucket={b}" for b, v in sorted(versions.items())]
-        return self.spark.read.parquet(*paths).where(~F.col("_marker")).drop("_marker")
+        by_version: dict[int, list[int]] = {}
+        for v, b in files:
+            by_version.setdefault(v, []).append(b)
+        rows = self.spark.read.option("basePath", f"{self.root}/data").parquet(*[f"{self.root}/data/_version={v}" for v in sorted(by_version)])
+        counts = F.lit(False)
+        for v, bs in sorted(by_version.items()):  # partition filters: other folders are not read
+            counts = counts | ((F.col("_version") == v) & F.col("_bucket").isin(bs))
+        return self._cut(rows.where(counts).drop("_version", "_bucket"), pointer.cut)
+
+    def _cut(self, rows: DataFrame, cut: tuple | None) -> DataFrame:
+        if cut is None:
+            return rows
+        return rows.where(F.col("_seq") > F.struct(*[F.lit(c).alias(f"s{i}") for i, c in enumerate(cut)]))
 
     # --------------------------------------------------------------- reduce
     def _reduce(self, rows: DataFrame) -> DataFrame:
-        """Latest row per key over batch and state rows together.  ``max_by`` is
-        associative, so reducing (earlier winners + new rows) equals reducing
-        the whole history: one shuffle per micro-batch."""
+        """Latest row per key over batch and state rows together: one shuffle, partial aggregation."""
         order = F.struct(F.col("_seq"), F.col("_rank"),
                          F.xxhash64(*[F.col(c) for c in rows.columns]).alias("h"))
         vals = [c for c in rows.columns if c not in self.keys]
@@ -137,58 +153,70 @@ class Scd1Target:
         # one small job: the latest truncate and the touched buckets (<= n_buckets ids)
         facts = batch.agg(F.max(F.when(is_trunc, seq)).alias("cut"),
                           F.collect_set(F.when(~is_trunc, self._bucket())).alias("buckets")).first()
-        known, new = self._latest_cut(batch_id), facts["cut"]
-        raised = new is not None and (known is None or _none_first(new) > _none_first(known))
-        cut = tuple(new) if raised else known
-        touched = list(range(self.n_buckets)) if raised else sorted(facts["buckets"])
-        cut_type = T.StructType([T.StructField(f"s{i}", batch.schema[c].dataType) for i, c in enumerate(self.sequence_by)])
-        if not touched:
-            self._write_pointer(batch_id, self._latest_versions(batch_id, None), cut, cut_type)  # carry the map forward
-            batch.unpersist()
-            return
-        changes = batch.where(~is_trunc)
-        has_type = "_change_type" in changes.columns
-        if has_type:
-            changes = changes.where(F.col("_change_type") != "update_preimage")
-        is_delete = F.coalesce(F.expr(self.delete_when), F.lit(False)) if self.delete_when else F.lit(False)
-        values = [c for c in changes.columns if c not in self.keys and c != "_change_type"]
-        batch_rows = changes.select(*self.keys, *values, is_delete.alias("_deleted"), seq.alias("_seq"),
-                                    (op_rank() if has_type else F.lit(1)).alias("_rank"))
-        before = self._latest_versions(batch_id, None)
-        state = self._read_state({b: v for b, v in before.items() if b in set(touched)})
-        rows = batch_rows if state is None else batch_rows.unionByName(state.select(*batch_rows.columns))
-        if cut is not None:
-            cut_col = F.struct(*[F.lit(cut[i]).alias(f"s{i}") for i in range(len(self.sequence_by))])
-            rows = rows.where(F.col("_seq") > cut_col)
-        merged = self._reduce(rows).withColumn("bucket", self._bucket()).withColumn("_marker", F.lit(False))
-        # one marker row per touched bucket, so a bucket emptied by deletes or a
-        # truncate still gets its (empty) version folder
-        markers = self.spark.createDataFrame([(b,) for b in touched], "bucket int").select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in merged.schema.fields
-              if f.name not in ("bucket", "_marker")], "bucket", F.lit(True).alias("_marker"))
-        merged = merged.unionByName(markers)
-        (merged.repartitionByRange(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{self.root}/data/v={batch_id}"))
-        self._write_pointer(batch_id, {**before, **{b: batch_id for b in touched}}, cut, cut_type)
+        before, new = self._latest_pointer(batch_id), facts["cut"]
+        raised = new is not None and (before.cut is None or _none_first(new) > _none_first(before.cut))
+        cut = tuple(new) if raised else before.cut
+        touched = sorted(facts["buckets"])
+        after = dict(before.buckets)
+        if touched:
+            changes = batch.where(~is_trunc)
+            has_type = "_change_type" in changes.columns
+            if has_type:
+                changes = changes.where(not_preimage())
+            is_delete = F.coalesce(F.expr(self.delete_when), F.lit(False)) if self.delete_when else F.lit(False)
+            values = [c for c in changes.columns if c not in self.keys and c != "_change_type"]
+            rows = changes.select(*self.keys, *values, is_delete.alias("_deleted"), seq.alias("_seq"),
+                                  (op_rank() if has_type else F.lit(1)).alias("_rank"))
+            full = [b for b in touched if len(before.buckets.get(b, (None, []))[1]) >= self.max_deltas]
+            old = self._read_state(Pointer(before.buckets, cut), full) if full else None
+            rows = self._cut(rows, cut)
+            if old is not None:
+                rows = rows.unionByName(old.select(*rows.columns))
+            (self._reduce(rows).withColumn("_bucket", self._bucket()).repartitionByRange(len(touched), "_bucket")
+             .write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.root}/data/_version={batch_id}"))
+            for b in touched:
+                base, deltas = after.get(b, (None, []))
+                after[b] = (batch_id, []) if b in full else (base, [*deltas, batch_id])
+        self._write_pointer(batch_id, after, cut, batch)
         batch.unpersist()
 
-    def _write_pointer(self, batch_id: int, versions: dict[int, int], cut: tuple | None, cut_type: T.StructType) -> None:
-        """Written after the data: the truncate so far, then the complete map, so readers need only this file."""
-        self.spark.createDataFrame([(cut,)], T.StructType([T.StructField("cut", cut_type)])).write.mode("overwrite").parquet(
-            f"{self.root}/cut/v={batch_id}")
-        rows = [(b, v) for b, v in sorted(versions.items())]
-        (self.spark.createDataFrame(rows, "bucket int, version long").coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.root}/pointer/v={batch_id}"))
+    def _write_pointer(self, batch_id: int, buckets: dict, cut: tuple | None, batch: DataFrame) -> None:
+        """Written after the data; readers need only this file."""
+        cut_type = T.StructType([T.StructField(f"s{i}", batch.schema[c].dataType) for i, c in enumerate(self.sequence_by)])
+        schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("base", T.LongType()),
+                               T.StructField("deltas", T.ArrayType(T.LongType())), T.StructField("cut", cut_type)])
+        rows = [(-1, None, [], cut)] + [(b, base, deltas, None) for b, (base, deltas) in sorted(buckets.items())]
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/pointer/v={batch_id}")
 
+    # ----------------------------------------------------------------- read
     def current(self, keep_tombstones: bool = False) -> DataFrame:
         self._check_buckets(store=False)
-        versions = self._latest_versions(None, None)
-        state = self._read_state(versions)
+        pointer = self._latest_pointer(None)
+        state = self._read_state(pointer)
         if state is None:
             raise ValueError("no batch has been applied yet")
+        state = self._reduce(state)
         if keep_tombstones:
             return state
         return state.where(~F.col("_deleted")).drop("_deleted", "_seq", "_rank")
 
+    def retire(self, keep: int = 2) -> list[int]:
+        """Delete data and pointers that the last ``keep`` pointers don't need; returns the deleted data versions.
+
+        Run it between batches: a reader that began on an older pointer may still need its files."""
+        known = sorted(self._versions())
+        recent = known[-max(1, keep):]
+        needed = {v for p in recent for v, _ in self._pointer_at(p).files()}
+        gone = [v for v in known if v not in needed and v not in recent]
+        for v in gone:
+            self._delete(f"{self.root}/data/_version={v}")
+        for v in known[:-max(1, keep)]:
+            self._delete(f"{self.root}/pointer/v={v}")
+        return gone
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
     def foreach_batch(self):
         return lambda df, batch_id: self.apply_batch(df, batch_id)

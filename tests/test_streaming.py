@@ -125,6 +125,38 @@ def test_late_row_stays_below_an_earlier_truncate(spark, scratch):
     assert sorted((r["k"], r["v"]) for r in target.current().collect()) == [(2, "b"), (4, "d")]
 
 
+def test_batches_write_deltas_and_compact(spark, scratch):
+    """A batch writes its own rows only; a full bucket is compacted; retired versions change nothing."""
+    import random
+
+    rng = random.Random(4)
+    target = _scd1_target(spark, scratch, n_buckets=2)
+    target.max_deltas = 2
+    state, seqs = {}, list(range(200))
+    rng.shuffle(seqs)
+    for b in range(9):
+        rows = [(rng.randrange(12), seqs.pop(), f"{b}", rng.choice(["insert", "update_postimage", "delete", None])) for _ in range(6)]
+        for k, s, v, t in rows:
+            if k not in state or state[k][0] < s:
+                state[k] = (s, v, t)
+        target.apply_batch(_changes(spark, *rows), b)
+        if b == 4:
+            target.apply_batch(_changes(spark, *rows), b)  # a replay
+        written = spark.read.parquet(f"{scratch}/data/_version={b}").count()
+        full = {k for k, (base, _) in target._pointer_at(b).buckets.items() if base == b}
+        assert full or written <= len({r[0] for r in rows})
+        want = sorted((k, v) for k, (_, v, t) in state.items() if t != "delete")
+        assert sorted((r["k"], r["v"]) for r in target.current().collect()) == want
+    pointer = target._latest_pointer(None)
+    assert any(base is not None for base, _ in pointer.buckets.values())
+    assert all(len(deltas) <= target.max_deltas for _, deltas in pointer.buckets.values())
+    gone = target.retire(keep=1)
+    assert gone and not any(os.path.exists(f"{scratch}/data/_version={v}") for v in gone)
+    assert sorted((r["k"], r["v"]) for r in target.current().collect()) == want
+    target.apply_batch(_changes(spark, (99, 1000, "new", "insert")), 9)
+    assert (99, "new") in {(r["k"], r["v"]) for r in target.current().collect()}
+
+
 def test_another_bucket_count_is_refused(spark, scratch):
     import pytest
 
@@ -150,4 +182,4 @@ def test_a_failing_pointer_read_is_raised(spark, scratch):
 
     target.spark = Broken
     with pytest.raises(Exception):
-        target._pointer_map(0)
+        target._pointer_at(0)
