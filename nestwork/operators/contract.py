@@ -66,7 +66,7 @@ _CODE_RULES = [*_required("billing_code_type", "billing_code_type_version", "bil
                ("billing_code_type", "enum", _in("billing_code_type", BILLING_CODE_TYPES))]
 _PROVIDER_RULES = [*_required("npi", "tin"), _unique("npi"),
                    ("tin", "required", "(x.tin IS NULL OR (x.tin.type IS NOT NULL AND x.tin.value IS NOT NULL))"),
-                   ("tin.type", "enum", "(x.tin.type IS NULL OR x.tin.type IN ('ein', 'npi'))")]
+                   ("tin.type", "enum", "(x.tin.type IS NULL OR x.tin.type IN (" + ", ".join(f"'{t}'" for t in TIN_TYPES) + "))")]
 
 # level -> [(field, kind, passing predicate over element x)]
 RULES: dict[str, list[tuple[str, str, str]]] = {
@@ -154,3 +154,71 @@ def audit(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("file_path",
     arrays = [_violations_sql(level, doc) for level in RULES]
     return (docs.select(*keep, F.explode(F.expr(f"concat({', '.join(arrays)})")).alias("v"))
             .select(*keep, "v.rule", "v.path"))
+
+
+# The declared JSON types of the fields that are no arrays of a level; "[x]" is an array of x.
+_CODE_TYPES = dict.fromkeys(["billing_code_type", "billing_code_type_version", "billing_code", "description"], "string")
+_PROVIDER_TYPES = {"npi": "[number]", "tin": "object", "tin.type": "string", "tin.value": "string"}
+TYPES: dict[str, dict[str, str]] = {
+    "root": {**dict.fromkeys(["reporting_entity_name", "reporting_entity_type", "plan_name", "plan_id_type", "plan_id", "plan_market_type",
+                              "last_updated_on", "version"], "string")},
+    "provider_references": {"provider_group_id": "number", "location": "string"},
+    "provider_references.provider_groups": _PROVIDER_TYPES,
+    "in_network": {"negotiation_arrangement": "string", "name": "string", **_CODE_TYPES},
+    "in_network.covered_services": _CODE_TYPES,
+    "in_network.bundled_codes": _CODE_TYPES,
+    "negotiated_rates": {"provider_references": "[number]"},
+    "negotiated_rates.provider_groups": _PROVIDER_TYPES,
+    "negotiated_prices": {"negotiated_type": "string", "billing_class": "string", "negotiated_rate": "number", "expiration_date": "string",
+                          "additional_information": "string", "service_code": "[string]", "billing_code_modifier": "[string]"},
+}
+_KINDS = {"string": "^STRING$", "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$", "object": "^OBJECT", "array": "^ARRAY"}
+_NODE = "STRUCT<rule: STRING, level: STRING, path: STRING, v: VARIANT>"
+
+
+def _type_checks(level: str) -> list[str]:
+    """Arrays of found violations of one level's node ``v`` at ``path``; missing and null values have no type."""
+    out = []
+
+    def wrong(value: str, kind: str) -> str:
+        return f"({value} IS NOT NULL AND NOT is_variant_null({value}) AND NOT schema_of_variant({value}) RLIKE '{_KINDS[kind]}')"
+
+    def found(field: str, at: str) -> str:
+        return f"struct('{level}.{field}.type' AS rule, CAST(NULL AS STRING) AS level, {at} AS path, CAST(NULL AS VARIANT) AS v)"
+
+    none = f"CAST(array() AS ARRAY<{_NODE}>)"
+    fields = dict(TYPES[level]) | {field: "array" for parent, field in LEVELS.values() if parent == level}
+    for field, kind in fields.items():
+        value, at = f"try_variant_get(v, '$.{field}', 'variant')", f"concat(path, '.{field}')"
+        outer = "array" if kind.startswith("[") else kind
+        out.append(f"CASE WHEN {wrong(value, outer)} THEN array({found(field, at)}) ELSE {none} END")
+        if outer != kind:
+            items = f"transform(coalesce(try_cast({value} AS ARRAY<VARIANT>), array()), (x, i) -> CASE WHEN {wrong('x', kind[1:-1])} THEN " \
+                    f"{found(field, f'concat({at}, chr(91), CAST(i AS STRING), chr(93))')} END)"
+            out.append(f"filter({items}, f -> f IS NOT NULL)")
+    for child, (parent, field) in LEVELS.items():
+        if parent == level:
+            items = f"coalesce(try_cast(try_variant_get(v, '$.{field}', 'variant') AS ARRAY<VARIANT>), array())"
+            out.append(f"transform({items}, (x, i) -> struct(CAST(NULL AS STRING) AS rule, '{child}' AS level, "
+                       f"concat(path, '.{field}[', CAST(i AS STRING), ']') AS path, x AS v))")
+            out.append(f"filter(transform({items}, (x, i) -> CASE WHEN {wrong('x', 'object')} THEN "
+                       f"struct('{child}.type' AS rule, CAST(NULL AS STRING) AS level, concat(path, '.{field}[', CAST(i AS STRING), ']') AS path, "
+                       f"CAST(NULL AS VARIANT) AS v) END), f -> f IS NOT NULL)")
+    return out
+
+
+def type_audit(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("file_path",)) -> DataFrame:
+    """One row per value whose JSON type is not the declared one: (keep..., rule, path).
+
+    The VARIANT is read, since a typed reader has already made such a value NULL.  Documents are exploded level by level: each
+    step turns a node into its violations and its children, so no row holds more than one node's; no exchange.
+    """
+    keep = list(keep)
+    nodes = docs.select(*keep, F.lit(None).cast("string").alias("rule"), F.lit("root").alias("level"), F.lit("$").alias("path"), F.col(doc).alias("v"))
+    step = ["root"]
+    while step:
+        cases = " ".join(f"WHEN level = '{x}' THEN concat({', '.join(_type_checks(x))})" for x in step)
+        nodes = nodes.select(*keep, F.explode(F.expr(
+            f"CASE WHEN level IS NULL THEN array(struct(rule, level, path, v)) {cases} END")).alias("n")).select(*keep, "n.*")
+        step = [x for x, (parent, _) in LEVELS.items() if parent in step]
+    return nodes.where("rule IS NOT NULL").select(*keep, "rule", "path")

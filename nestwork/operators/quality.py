@@ -31,17 +31,36 @@ def rule_counts(df: DataFrame, specs) -> DataFrame:
     ``specs`` is a list of ``(table_name, scope_sql_or_None, {rule: sql})``.
     Returns one row per (table_name, rule): n_rows in scope and n_failed.
     """
-    aggs, rows = [], []
-    for t, (label, scope, rules) in enumerate(specs):
-        in_scope = F.expr(scope) if scope else F.lit(True)
-        aggs.append(F.count_if(in_scope).alias(f"n{t}"))
-        for i, (name, rule) in enumerate(rules.items()):
-            aggs.append(F.count_if(in_scope & ~passes(rule)).alias(f"f{t}_{i}"))
-            rows.append(f"'{label}', '{name}', n{t}, f{t}_{i}")
+    aggs, rows = _rule_aggregates(specs), []
+    for t, (label, _, rules) in enumerate(specs):
+        rows += [f"'{label}', '{name}', n{t}, f{t}_{i}" for i, name in enumerate(rules)]
     one = df.agg(*aggs)
     return one.select(F.expr(f"stack({len(rows)}, {', '.join(rows)}) AS (table_name, rule, n_rows, n_failed)"))
 
 
+def _rule_aggregates(specs) -> list[Column]:
+    """n<t> rows in the scope of table t, f<t>_<i> of them fail its rule i."""
+    aggs = []
+    for t, (_, scope, rules) in enumerate(specs):
+        in_scope = F.coalesce(F.expr(scope), F.lit(False)) if scope else F.lit(True)
+        aggs.append(F.count_if(in_scope).alias(f"n{t}"))
+        aggs += [F.count_if(in_scope & ~passes(rule)).alias(f"f{t}_{i}") for i, rule in enumerate(rules.values())]
+    return aggs
+
+
+def observe_specs(df: DataFrame, name: str, specs) -> DataFrame:
+    """The counts of ``rule_counts`` as observed metrics of each micro-batch (or write)."""
+    return df.observe(name, *_rule_aggregates(specs))
+
+
+def observed_counts(metrics: DataFrame, specs) -> DataFrame:
+    """Observed metrics (batch_id, metric, value) as rows: batch_id, table_name, rule, n_rows, n_failed."""
+    wanted = [(label, rule, f"n{t}", f"f{t}_{i}") for t, (label, _, rules) in enumerate(specs) for i, rule in enumerate(rules)]
+    wide = metrics.groupBy("batch_id").pivot("metric", sorted({m for w in wanted for m in w[2:]})).agg(F.max("value"))
+    rows = ", ".join(f"'{label}', '{rule}', {n}, {f}" for label, rule, n, f in wanted)
+    return wide.select("batch_id", F.expr(f"stack({len(wanted)}, {rows}) AS (table_name, rule, n_rows, n_failed)")).where("n_rows IS NOT NULL")
+
+
 def observe_rules(df: DataFrame, name: str, rules: Mapping[str, str]) -> DataFrame:
     """Attach per-rule failure counts as observed metrics (works on streams)."""
     metrics = [F.count(F.lit(1)).alias("n_rows")]

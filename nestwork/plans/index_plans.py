@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import hash_key, sql_hash_key
 from ..operators import flatten as fl
 from ..sources.bronze import index_bronze_table
+from ..sources.index_docs import with_index_faults
 from ..sources.tables import table
 
 
@@ -147,8 +148,9 @@ def q_explode_outer_rows(spark, sf_dir):
 
 
 def q_expectation_counts(spark, sf_dir):
-    """Q1: per-table, per-rule failure counts over the flat index rows (one pass)."""
-    return qa.rule_counts(flat_index(spark, sf_dir), INDEX_RULES)
+    """Q1: per-table, per-rule failure counts over the flat rows of index files with seeded faults (one pass)."""
+    docs = with_index_faults(index_bronze(spark, sf_dir))
+    return qa.rule_counts(fl.flatten_index(docs), INDEX_RULES)
 
 
 ORACLE.update({
@@ -163,14 +165,17 @@ WITH {_ORDERS_POS},
 SELECT d.index_file_source_id, o.structure_pos, fp.entry_pos, fp.file_location
 FROM o JOIN d ON d.c_custkey = o.o_custkey LEFT JOIN fp ON fp.l_orderkey = o.o_orderkey""",
     "expectation_counts": """
-WITH n AS (SELECT (SELECT count(*) FROM lineitem) AS n_in, (SELECT count(*) FROM orders) AS n_plan,
-                  (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS n_aa)
-SELECT 'in_network_file_index' AS table_name, 'valid_file_type' AS rule, n_in AS n_rows, 0::BIGINT AS n_failed FROM n
-UNION ALL SELECT 'in_network_file_index', 'file_location_not_null', n_in, 0 FROM n
+WITH o AS (SELECT o_custkey AS c, count(*) AS n_plan, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_aa FROM orders GROUP BY 1),
+  l AS (SELECT o_custkey AS c, count(*) AS n_in FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1),
+  n AS (SELECT sum(n_in) AS n_in, sum(n_plan) AS n_plan, sum(n_aa) AS n_aa, coalesce(sum(n_in) FILTER (WHERE c % 7 = 0), 0) AS misnamed,
+               coalesce(sum(n_in) FILTER (WHERE c % 5 = 0), 0) AS no_loc, coalesce(sum(n_aa) FILTER (WHERE c % 5 = 0), 0) AS no_aa,
+               coalesce(sum(n_plan) FILTER (WHERE c % 11 = 0 AND c % 5 <> 0), 0) AS plan_loc FROM o LEFT JOIN l USING (c))
+SELECT 'in_network_file_index' AS table_name, 'valid_file_type' AS rule, n_in::BIGINT AS n_rows, misnamed::BIGINT AS n_failed FROM n
+UNION ALL SELECT 'in_network_file_index', 'file_location_not_null', n_in, no_loc FROM n
 UNION ALL SELECT 'reporting_plans', 'valid_file_type', n_plan, 0 FROM n
-UNION ALL SELECT 'reporting_plans', 'file_location_is_null', n_plan, 0 FROM n
+UNION ALL SELECT 'reporting_plans', 'file_location_is_null', n_plan, plan_loc FROM n
 UNION ALL SELECT 'allowed_amount_file_index', 'valid_file_type', n_aa, 0 FROM n
-UNION ALL SELECT 'allowed_amount_file_index', 'file_location_not_null', n_aa, 0 FROM n""",
+UNION ALL SELECT 'allowed_amount_file_index', 'file_location_not_null', n_aa, no_aa FROM n""",
 })
 
 QUERIES.update({

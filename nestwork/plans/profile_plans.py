@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import flatten as fl
 from ..operators import profile as pf
+from ..session import scratch_path
 from ..sources.tables import table
 from .index_plans import _ORDERS_POS, index_parsed, landing_bronze
 
@@ -17,6 +18,19 @@ def q_column_profile(spark, sf_dir):
     return pf.column_profile(table(spark, sf_dir, "lineitem"), LINEITEM_COLUMNS)
 
 
+def q_profile_parts(spark, sf_dir):
+    """A5: statistics with distinct-count sketches, stored for each shipping year, then merged; the estimate is held
+    against the exact count within five standard errors."""
+    lines = table(spark, sf_dir, "lineitem")
+    root = scratch_path(spark, "profile_parts")
+    pf.part_profiles(lines, LINEITEM_COLUMNS, F.year("l_shipdate")).write.partitionBy("part").parquet(root)
+    merged = pf.merged_profile(spark.read.parquet(root))
+    exact = lines.agg(*[F.count_distinct(F.col(c)).alias(c) for c in LINEITEM_COLUMNS])
+    exact = exact.select(F.expr(f"stack({len(LINEITEM_COLUMNS)}, {', '.join(f"'{c}', {c}" for c in LINEITEM_COLUMNS)}) AS (column_name, n_distinct)"))
+    near = F.abs(F.col("approx_distinct") - F.col("n_distinct")) <= F.greatest(F.lit(1.0), 5 * 1.04 / 2 ** (pf.SKETCH_LG / 2) * F.col("n_distinct"))
+    return merged.join(exact, "column_name").select("column_name", "n_rows", "n_nulls", "min_value", "max_value", near.alias("sketch_holds"))
+
+
 def q_json_array_paths(spark, sf_dir):
     docs = index_parsed(spark, sf_dir)
     return pf.array_paths(docs, key="index_file_source_id").select("path", "depth", "n_docs")
@@ -64,6 +78,7 @@ def _profile_sql() -> str:
 
 
 ORACLE = {
+    "profile_parts": f"SELECT *, true AS sketch_holds FROM ({_profile_sql()})",
     "column_profile": _profile_sql(),
     "json_array_paths": """
 WITH n AS (SELECT count(DISTINCT o_custkey) AS n FROM orders)
@@ -84,6 +99,7 @@ FROM fp JOIN o ON fp.l_orderkey = o.o_orderkey JOIN d ON d.c_custkey = o.o_custk
 }
 
 QUERIES = {
+    "profile_parts": q_profile_parts,
     "column_profile": q_column_profile,
     "json_array_paths": q_json_array_paths,
     "plan_file_links": q_plan_file_links,

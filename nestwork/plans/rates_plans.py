@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import rates as rt
 from ..sources.bronze import rates_bronze_table
-from ..sources.rates_docs import BUNDLED, COVERED, INLINE, UNRESOLVED, rate_sort_key
+from ..sources.rates_docs import BUNDLED, COVERED, INLINE, UNRESOLVED, rate_sort_key, with_type_faults
 from ..sources.tables import table
 
 
@@ -131,3 +131,24 @@ FROM r WHERE l_linenumber = 5
 UNION ALL SELECT DISTINCT {_PATH}, 'root.plan_name.dependentRequired', '$.plan_name'
 FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size = 50"""
 QUERIES["contract_audit"] = q_contract_audit
+
+
+def q_contract_types(spark, sf_dir):
+    """Q4, type rules: values of a wrong JSON type in rate files with seeded ones."""
+    docs = with_type_faults(rates_bronze_table(spark, sf_dir).select("file_path", "value"))
+    return ct.type_audit(docs.select("file_path", F.try_parse_json("value").alias("doc")))
+
+
+_RATE = "'$.in_network[0].negotiated_rates[' || rate_pos || ']"
+ORACLE["contract_types"] = f"""
+WITH r AS (SELECT *, {_RATE_POS} AS rate_pos FROM lineitem),
+  g AS (SELECT l_partkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey) - 1 AS pos
+        FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE NOT ({INLINE} OR {UNRESOLVED})))
+SELECT {_PATH} AS file_path, 'negotiated_prices.negotiated_rate.type' AS rule, {_RATE}.negotiated_prices[0].negotiated_rate' AS path FROM r WHERE l_partkey % 20 = 5
+UNION ALL SELECT DISTINCT {_PATH}, 'root.version.type', '$.version' FROM r WHERE l_partkey % 20 = 6
+UNION ALL SELECT {_PATH}, 'negotiated_prices.service_code.type', {_RATE}.negotiated_prices[0].service_code' FROM r
+WHERE l_partkey % 20 = 7 AND NOT (l_quantity = 1 AND l_returnflag = 'A')
+UNION ALL SELECT {_PATH}, 'negotiated_rates.provider_groups.npi.type', {_RATE}.provider_groups[0].npi[0]' FROM r WHERE l_partkey % 20 = 8 AND {INLINE}
+UNION ALL SELECT {_PATH}, 'provider_references.provider_groups.npi.type', '$.provider_references[' || pos || '].provider_groups[0].npi[0]' FROM g
+WHERE l_partkey % 20 = 8"""
+QUERIES["contract_types"] = q_contract_types

@@ -6,9 +6,11 @@ file path, name, size, block and modification time next to the data.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.keys import source_id
 from .schemas import CORRUPT_COLUMN
@@ -67,7 +69,6 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _json_reader(reader, schema: StructType, multi_line: bool, with_corrupt: bool):
     if with_corrupt and CORRUPT_COLUMN not in schema.fieldNames():
-        from pyspark.sql.types import StringType, StructField
         schema = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType())])
     return (reader.schema(schema).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).option("multiLine", multi_line))
@@ -96,6 +97,35 @@ def read_json(spark: SparkSession, path: str, schema: StructType | None = None,
     return r.json(path)
 
 
+def all_strings(variant_schema: str) -> StructType:
+    """The schema text that ``schema_of_variant_agg`` gives, with every leaf (also one whose type differs between documents) as STRING."""
+    pieces = re.split(r"(`(?:[^`]|``)*`)", variant_schema)  # quoted names stay as they are
+    for i in range(0, len(pieces), 2):
+        text = pieces[i].replace("OBJECT<>", "STRING")
+        text = re.sub(r"(: ?|ARRAY<)(?!OBJECT<|ARRAY<|STRING)[A-Z_]+(?:\([0-9, ]+\))?", r"\1STRING", text)
+        pieces[i] = re.sub(r"(: ?|ARRAY<|^)OBJECT<", r"\1STRUCT<", text)
+    parsed = StructType.fromDDL("x " + "".join(pieces))["x"].dataType
+    if not isinstance(parsed, StructType):
+        raise ValueError("the documents are no objects")
+    return parsed
+
+
+def infer_all_strings(texts: DataFrame, value_col: str = "value") -> StructType:
+    """One schema for documents that differ in their fields; a mergeable aggregate, only the schema reaches the driver."""
+    return all_strings(texts.agg(F.schema_of_variant_agg(F.try_parse_json(value_col))).first()[0] or "OBJECT<>")
+
+
+def stream_all_strings(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, whole_files: bool = False) -> DataFrame:
+    """JSON documents streamed with the schema that the landed files have now, every leaf a string.
+
+    Documents that don't parse keep NULL fields and their text in ``_corrupt_record``."""
+    schema = infer_all_strings((read_whole_files if whole_files else read_lines)(spark, path))
+    schema = StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType())])
+    src = (stream_whole_files if whole_files else stream_lines)(spark, path, max_files_per_trigger)
+    doc = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    return src.withColumn("doc", doc).select("index_file_source_id", "doc.*")
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """A directory listing as a DataFrame; contents are pruned from the scan."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)

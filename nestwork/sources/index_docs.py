@@ -136,3 +136,17 @@ def index_documents(spark: SparkSession, sf_dir: str, entries_per_element: int =
             F.transform("rs", lambda x: x["e"]).alias("reporting_structure"),
         )).alias("value"),
     )
+
+
+#: Faults of index files by customer number, as text replacements (the oracles count them by the same numbers).
+INDEX_FAULTS = {7: ('"in_network_files":', '"in_network_file":'), 5: ('"location":', '"url":'), 11: ('"plan_id_type":', '"location":"x","plan_id_type":')}
+
+
+def with_index_faults(docs: DataFrame) -> DataFrame:
+    """Index files of which some have a misnamed type (customers divisible by 7), no locations (by 5), or plans with one (by 11, not 5)."""
+    custkey = F.split("file_path", "/")[1].cast("long")
+    value = F.col("value")
+    for n, (old, new) in INDEX_FAULTS.items():
+        on = (custkey % n == 0) & (custkey % 5 != 0) if n == 11 else custkey % n == 0
+        value = F.when(on, F.replace(value, F.lit(old), F.lit(new))).otherwise(value)
+    return docs.withColumn("value", value)

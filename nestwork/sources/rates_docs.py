@@ -19,6 +19,10 @@ ENTITY_TYPE = "health insurance issuer"
 VERSION = "1.0.0"
 NPI_BASES = (1_000_000_000, 3_000_000_000)  # the second is above 2^31-1 on purpose
 
+#: Wrong JSON types by part number modulo 20, as pattern and replacement (the oracle counts them by the same numbers).
+TYPE_FAULTS = {5: (r'"negotiated_rate":([0-9.E]+)', r'"negotiated_rate":"$1"'), 6: (r'"version":"[^"]*"', r'"version":1'),
+               7: (r'"service_code":\["([0-9]+)"\]', r'"service_code":"$1"'), 8: (r'"npi":\[([0-9]+),', r'"npi":["$1",')}
+
 # Seeded contract faults (documented so the audit oracle can count them).
 SEEDED_FAULTS = {
     "billing_class 'BAD'": "l_linenumber = 7",
@@ -84,7 +88,7 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
         "l_extendedprice", "l_returnflag", "l_shipdate", row_salt().alias("salt"))
     per_part = lines.groupBy(F.col("l_partkey").alias("pk")).agg(F.count(F.lit(1)).alias("n_rates"))
     groups = F.array(F.struct(
-        F.array(*[(F.lit(b) + F.col("l_suppkey")).cast("string") for b in NPI_BASES]).alias("npi"),
+        F.array(*[F.lit(b) + F.col("l_suppkey") for b in NPI_BASES]).alias("npi"),
         F.struct(F.lit("ein").alias("type"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0").alias("value")).alias("tin"),
     ))
     inline, unresolved = F.expr(INLINE), F.expr(UNRESOLVED)
@@ -135,3 +139,11 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
             F.array(item).alias("in_network"),
         )).alias("value"),
     )
+
+
+def with_type_faults(docs: DataFrame) -> DataFrame:
+    """Rate files of which some hold values of a wrong JSON type (``TYPE_FAULTS``)."""
+    part, value = F.split("file_path", "/")[1].cast("long"), F.col("value")
+    for n, (old, new) in TYPE_FAULTS.items():
+        value = F.when(part % 20 == n, F.regexp_replace("value", old, new)).otherwise(value)
+    return docs.withColumn("value", value)

@@ -38,6 +38,17 @@ def tumbling_counts(df: DataFrame, ts_col: str, window: str, delay: str,
                     *group_cols, *[a for a in ["n_events", "sum_value"] if a == "n_events" or value_col]))
 
 
+def closed_windows(df: DataFrame, ts_col: str, window: str, delay: str, group_cols: Sequence[str], id_cols: Sequence[str]) -> DataFrame:
+    """Counts of windows that the watermark has closed, each once (append mode), over rows that came in time.
+
+    Rows pass a keyed ``dropDuplicates`` under the watermark first.  There each row stands for itself, so Spark's
+    number of dropped rows is exact (an aggregation would count its partial sums); repeats of a row within the
+    watermark count once."""
+    rows = event_time(df, ts_col).withWatermark(ts_col, delay).dropDuplicates([*id_cols, ts_col])
+    return (rows.groupBy(F.window(ts_col, window).alias("w"), *group_cols).agg(F.count(F.lit(1)).alias("n_events"))
+            .select(wall_clock(F.col("w.start")).alias("window_start"), wall_clock(F.col("w.end")).alias("window_end"), *group_cols, "n_events"))
+
+
 def updates_to_folder(root: str):
     """foreachBatch sink for update mode: each batch's changed windows go to
     ``root/batch=<id>`` (a replay overwrites its own folder)."""
