@@ -6,7 +6,7 @@ backslashes already stand there, one more, so reading takes exactly one away aga
 
 A batch is put together without a loop over its bytes: the lengths of all segments (headers,
 pieces of text, escapes, ends) give cumulative offsets, these give for each byte of the
-result the place it comes from, and one gather fills the preallocated buffer, which is the
+result the place it comes from, and gathers of a megabyte at a time fill the preallocated buffer, which is the
 data buffer of the Arrow string column.  Code points are counted from the same bytes; the
 loss mask is the span of each assistant text.
 
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +44,9 @@ _INSIDE = "|".join(f"{re.escape(c[0])}\\\\*{re.escape(c[1:])}" for c in CONTROL)
 _FIND = re.compile(f"(?=({_INSIDE}))".encode())
 _ESCAPED = re.compile("|".join(f"(?<={re.escape(c[0])})\\\\(?=\\\\*{re.escape(c[1:])})" for c in CONTROL))
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
-_PARTS = "conv_id long, turn long, role string, tie long, formatted string, loss array<struct<start:long,end:long>>"
+#: Bytes that are gathered at once.
+GATHER = 1 << 20
+_PARTS = "conv_id long, place long, turn long, role string, tie long, formatted string, loss array<struct<start:long,end:long>>"
 
 
 def unescape(text: str) -> str:
@@ -72,10 +75,9 @@ def assemble(roles: list[str], offsets: np.ndarray, content: np.ndarray, first:
     heads = [_role_header(r) for r in names]
     pool = np.frombuffer(b"".join([END, b"\\", *heads]), np.uint8)
     head_at = len(END) + 1 + np.concatenate([[0], np.cumsum([len(h) for h in heads])])
-    source = np.concatenate([pool, content])
-    base = len(pool)
+    base = len(pool)  # places from here on are those of the content
     # escapes: a byte goes in after the first character of each control string that lies in one text
-    spans = np.array([m.span(1) for m in _FIND.finditer(content.tobytes())], np.int64).reshape(-1, 2)
+    spans = np.array([m.span(1) for m in _FIND.finditer(memoryview(content))], np.int64).reshape(-1, 2)
     owner = np.searchsorted(offsets, spans[:, 0], "right") - 1
     inside = spans[:, 1] <= offsets[owner + 1] if len(spans) else np.empty(0, bool)
     cut, owner = spans[inside, 0] + 1, owner[inside]
@@ -97,14 +99,30 @@ def assemble(roles: list[str], offsets: np.ndarray, content: np.ndarray, first:
     stop[escape_at - 1] = base + cut
     length[piece] = (stop - start)[piece]
     place = np.concatenate([[0], np.cumsum(length)])
-    out = source[np.arange(place[-1]) + np.repeat(start - place[:-1], length)]
-    points = np.concatenate([[0], np.cumsum((out & 0xC0) != 0x80)])
-    text_from, text_to = points[place[row_at[:-1] + 1]], points[place[row_at[1:] - 1]]
+    shift = start - place[:-1]
+    out = np.empty(place[-1], np.uint8)
     string_at = place[row_at[np.append(first, n)]]
+    # the borders before which code points are counted
+    borders = np.unique(np.concatenate([place[row_at[:-1] + 1], place[row_at[1:] - 1], string_at, [0, len(out)]]))
+    points, seen = np.zeros(len(borders), np.int64), 0
+    for a in range(0, len(out), GATHER):  # one block of bytes at a time
+        b = min(a + GATHER, len(out))
+        i, j = np.searchsorted(place, a, "right") - 1, np.searchsorted(place, b, "left")
+        here = np.minimum(place[i + 1:j + 1], b) - np.maximum(place[i:j], a)
+        at = np.arange(a, b) + np.repeat(shift[i:j], here)
+        fixed = at < base
+        out[a:b][fixed] = pool[at[fixed]]
+        out[a:b][~fixed] = content[at[~fixed] - base]
+        begun = np.concatenate([[0], np.cumsum((out[a:b] & 0xC0) != 0x80)])
+        i, j = np.searchsorted(borders, a, "left"), np.searchsorted(borders, b, "right")
+        points[i:j] = seen + begun[borders[i:j] - a]
+        seen += begun[-1]
+    counted = lambda x: points[np.searchsorted(borders, x)]
+    text_from, text_to = counted(place[row_at[:-1] + 1]), counted(place[row_at[1:] - 1])
     strings = pa.StringArray.from_buffers(len(first), pa.py_buffer(string_at.astype(np.int32).tobytes()), pa.py_buffer(out))
     string_of = np.repeat(np.arange(len(first)), np.diff(np.append(first, n)))
     scored = np.array([r == LOSS_ROLE for r in names], bool)[role]
-    shift = points[string_at[:-1]][string_of]
+    shift = counted(string_at[:-1])[string_of]
     loss = pa.StructArray.from_arrays(
         [pa.array((text_from - shift)[scored]), pa.array((text_to - shift)[scored])], names=["start", "end"])
     counts = np.bincount(string_of[scored], minlength=len(first))
@@ -112,6 +130,7 @@ def assemble(roles: list[str], offsets: np.ndarray, content: np.ndarray, first:
 
 
 def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    place = TaskContext.get().partitionId() << 40  # range partitions follow each other in order
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -123,12 +142,14 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.empty(0, np.uint8)
         strings, loss = assemble(batch.column("role").to_pylist(), offsets - offsets[0], content, first)
         at = pa.array(first)
-        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in ("conv_id", "turn", "role", "tie")), strings, loss],
-                                         names=["conv_id", "turn", "role", "tie", "formatted", "loss"])
+        places = pa.array(np.arange(place, place + len(first)))
+        place += len(first)
+        yield pa.RecordBatch.from_arrays([batch.column("conv_id").take(at), places, *(batch.column(c).take(at) for c in ("turn", "role", "tie")), strings, loss],
+                                         names=["conv_id", "place", "turn", "role", "tie", "formatted", "loss"])
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
-    """Parts of formatted conversations: conv_id, the first row's place (turn, role, tie), formatted, loss."""
+    """Parts of formatted conversations: conv_id, place (a number that grows with the order), the first row's turn, role and tie, formatted, loss."""
     small_batches(turns.sparkSession)
     order = ["conv_id", "turn", "role", "tie"]
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), text_of("role").alias("role"),
@@ -184,7 +205,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(parts: DataFrame) -> DataFrame:
     """Per conversation the contract's columns, read back from the formatted parts."""
-    order = ["conv_id", "turn", "role", "tie"]
+    order = ["conv_id", "place"]
     return parts.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(
         _digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

@@ -9,7 +9,8 @@ by its own random key, and partitions are sorted by it.
 Scale: rates and distributions are one row per source in a written table, which the planner
 broadcasts only when its known size is small; a source with a third of all rows is then no
 key of any shuffle (beyond that size, AQE splits the join).  Large counts are exploded in two
-steps, so no row makes an unbounded array.
+steps of bounded arrays.  The distribution is an array of about 24 sqrt(rate) numbers, far fewer than the ``rate`` copies that a row
+of such a source becomes.
 
 Defined cases: a null source is a source of its own; sources without any text keep rate 1; a
 null doc_id is hashed as "null"; rows that repeat a doc_id get equal counts; sources missing
@@ -18,6 +19,8 @@ from explicit weights get none; an empty table gives an empty result; all column
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +38,7 @@ def _source(column: str = "source") -> Column:
 
 
 def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE) -> DataFrame:
-    """(mx_source, rate, cdf) per source: mean repetitions and the Poisson distribution function as an array."""
+    """(mx_source, rate, lowest, cdf) per source: mean repetitions, and the Poisson distribution function from ``lowest`` on."""
     volume = written(docs.select(_source().alias("mx_source"), F.octet_length(text_of()).cast("long").alias("b"))
                      .groupBy("mx_source").agg(F.sum("b").alias("bytes")), "mix-bytes")
     if weights is None:
@@ -47,25 +50,57 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, tempe
     total = sums.select(F.struct("*")).scalar()
     rate = F.when(F.col("bytes") > 0, F.col("weight") / total["weight"] * total["bytes"] / F.col("bytes")).otherwise(1.0)
     rated = written(weighted.select("mx_source", rate.alias("rate")), "mix-rates")
-    # terms in logarithms, so large rates do not underflow; the tail beyond 12 deviations is below 1e-16
-    last = (F.ceil(F.col("rate") + 12 * F.sqrt("rate")) + 20).cast("int")
-    state = F.struct((-F.col("rate")).alias("lp"), F.exp(-F.col("rate")).alias("sum"),
-                     F.array(F.exp(-F.col("rate"))).alias("cdf"))
+    return written(rated.select("mx_source", "rate", _lowest().alias("lowest"), _distribution().alias("cdf")), "mix-cdf")
+
+
+def _lowest() -> Column:
+    """The least count in the window about the mean; below it lies less than 1e-30."""
+    return F.greatest(F.floor(F.col("rate") - 12 * F.sqrt("rate") - 20), F.lit(0)).cast("int")
+
+
+def _distribution(chunk: int = 256) -> Column:
+    """The Poisson distribution function from the lowest count to 12 deviations beyond the mean (the rest is below 1e-16).
+
+    Every term is a closed form, so none rests on the one before: for small counts by the logarithm of the factorial, for others by
+    Stirling's series with the large parts taken together (k log(rate / k) + k - rate), which loses no digits at any rate.
+    Sums run in chunks, so the work is linear in the window, about 24 sqrt(rate) counts.
+    """
+    rate = F.col("rate")
+    first, last = _lowest(), (F.ceil(rate + 12 * F.sqrt("rate")) + 20).cast("int")
+    exact = F.array(*[F.lit(math.lgamma(k + 1)) for k in range(20)])
+
+    def term(k: Column) -> Column:
+        x = k.cast("double")
+        small = x * F.log("rate") - rate - F.element_at(exact, F.least(k + 1, F.lit(20)).cast("int"))
+        large = (x * F.log1p((rate - x) / x) + (x - rate) - F.log(2 * math.pi * x) / 2
+                 - 1 / (12 * x) + 1 / (360 * x * x * x) - 1 / (1260 * x * x * x * x * x))
+        return F.exp(F.when(k < 20, small).otherwise(large))
+
+    none = F.array().cast("array<double>")
+
+    def running(values: Column, start: Column) -> Column:
+        return F.aggregate(values, F.struct(start.alias("s"), none.alias("out")), lambda a, x: F.struct(
+            (a["s"] + x).alias("s"), F.concat(a["out"], F.array(a["s"] + x)).alias("out")), lambda a: a["out"])
+
+    zero = F.lit(0.0)
+    starts = F.sequence(first, last, F.lit(chunk))
+    pieces = F.transform(starts, lambda s: F.transform(F.sequence(s, F.least(s + chunk - 1, last)), term))
 
-    def step(acc: Column, k: Column) -> Column:
-        lp = acc["lp"] + F.log("rate") - F.log(k.cast("double"))
-        total_ = acc["sum"] + F.exp(lp)
-        return F.struct(lp.alias("lp"), total_.alias("sum"), F.concat(acc["cdf"], F.array(total_)).alias("cdf"))
+    def summed(p: Column) -> Column:
+        totals = F.transform(p, lambda c: F.aggregate(c, zero, lambda a, x: a + x))
+        before = F.concat(F.array(zero), running(totals, zero))
+        return F.flatten(F.zip_with(p, F.slice(before, F.lit(1), F.size(p)), running))
 
-    cdf = F.when(F.col("rate") > 0, F.aggregate(F.sequence(F.lit(1), last), state, step, lambda acc: acc["cdf"]))
-    return written(rated.withColumn("cdf", F.coalesce(cdf, F.array(F.lit(1.0)))), "mix-cdf")
+    # bound once, as Catalyst would else compute the terms in each place they are used
+    cdf = F.transform(F.array(pieces), summed)[0]
+    return F.when(rate > 0, cdf).otherwise(F.array(F.lit(1.0)))
 
 
 def replicate(docs: DataFrame, rates: DataFrame, seed: str = SEED) -> DataFrame:
     """row (struct), copy (from 0) and mix_key of every copy, not yet shuffled."""
     keyed = docs.select(row_struct(docs), _source().alias("mx_source"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("mx_id"))
     joined = keyed.join(rates, "mx_source").withColumn("mx_u", unit_hash(F.lit(seed), F.col("mx_id")))
-    counted = joined.withColumn("mx_n", F.size(F.filter("cdf", lambda c: c < F.col("mx_u")))).drop("cdf", "mx_u")
+    counted = joined.withColumn("mx_n", F.col("lowest") + F.size(F.filter("cdf", lambda c: c < F.col("mx_u")))).drop("cdf", "lowest", "mx_u")
     blocks = counted.where("mx_n > 0").withColumn(
         "mx_b", F.explode(F.sequence(F.lit(0), F.floor((F.col("mx_n") - 1) / BLOCK).cast("int"))))
     copies = blocks.withColumn("copy", F.explode(F.sequence(

@@ -1,13 +1,13 @@
 """Sharding (operator 4, DataFrame functions only): balanced label propagation.
 
 Documents with equal texts are linked.  Every document starts at a shard hashed from its
-doc_id.  The documents of one group and one start shard move together as a unit, so the
+doc_id, checksum and place in the input (so rows that repeat all of these are spread too).  The documents of one group and one start shard move together as a unit, so the
 iterations work on at most ``shards`` rows for each linked group, however many copies it has.
 In each step every unit proposes the shard where most of its neighbours are (a group larger
-than a shard has as many such centres as it needs), and shards accept proposals up to their
+than a shard has as many such centres as it needs; units outside them propose the emptier ones first), and shards accept proposals up to their
 free capacity plus what leaves them in the same step, so full shards swap units.  Units move
 with the chance that these quotas leave; they come from the flows between shards, ``shards``
-times ``shards`` numbers at most.
+times ``shards`` numbers at most.  Steps go on until hardly any document wishes to move.
 
 Counts are then made exact: each shard ranks its documents, linked ones first; those beyond
 its quota take the free places of other shards in order.  Law ``rows``: shard counts are at
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from .common import text_of, written
 
 SHARDS = 40
-STEPS = 4
+#: Most steps, and the share of all rows that still wish to move at which no further step is made.
+STEPS, SETTLED = 16, 0.0005
 #: Rounds in which the chances of one step settle.
 ROUNDS = 100
 #: Share of a shard that the centres of a large group are planned to fill.
@@ -43,8 +44,9 @@ def _rows(docs: DataFrame, shards: int) -> DataFrame:
     """doc_id, size, checksum, text digest and start shard; the texts are read for this only."""
     text = text_of()
     out = docs.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-                      F.unhex(F.sha2(text.cast("binary"), 256)).alias("g"))
-    return out.withColumn("start", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(shards)).cast("int"))
+                      F.unhex(F.sha2(text.cast("binary"), 256)).alias("g"), F.monotonically_increasing_id().alias("number"))
+    # the number spreads rows that repeat doc_id and text, which no other column tells apart
+    return out.withColumn("start", F.pmod(F.xxhash64("doc_id", "size", "text_crc32", "number"), F.lit(shards)).cast("int"))
 
 
 def _chances(flows: list, loads: dict[int, int], target: float) -> dict[int, float]:
@@ -64,8 +66,8 @@ def _chances(flows: list, loads: dict[int, int], target: float) -> dict[int, flo
     return chance
 
 
-def _step(units: DataFrame, total: int, shards: int, number: int) -> DataFrame:
-    """One step of label propagation over units (g, start, n, shard)."""
+def _step(units: DataFrame, total: int, shards: int, number: int) -> tuple[DataFrame, int]:
+    """One step of label propagation over units (g, start, n, shard): (units after it, rows that wished to move)."""
     cells = units.groupBy("g", "shard").agg(F.sum("n").alias("n"))
     by_group = Window.partitionBy("g")  # at most ``shards`` rows each
     order = by_group.orderBy(F.desc("n"), F.xxhash64("g", "shard", F.lit(~number)), "shard")  # ties fall anew in each step
@@ -75,7 +77,8 @@ def _step(units: DataFrame, total: int, shards: int, number: int) -> DataFrame:
     ranked = ranked.withColumn("ranking", F.collect_list("shard").over(
         order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     moves = (ranked.where("rank > centres")
-             .select("g", "shard", "n", F.element_at("ranking", (F.pmod(F.col("rank") - 1, F.col("centres")) + 1).cast("int")).alias("to")))
+             .select("g", "shard", "n", F.element_at(
+                 "ranking", (F.col("centres") - F.pmod(F.col("rank") - 1, F.col("centres"))).cast("int")).alias("to")))
     moves = written(moves, "shard-moves")
     loads = {r["shard"]: r["n"] for r in units.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # at most ``shards`` rows
     flows = moves.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()  # at most ``shards`` squared
@@ -83,8 +86,9 @@ def _step(units: DataFrame, total: int, shards: int, number: int) -> DataFrame:
     quota = F.create_map(*[F.lit(x) for t in sorted(chance) for x in (t, chance[t])]).cast("map<int,double>")
     draw = F.pmod(F.xxhash64("g", "shard", F.lit(number)), F.lit(1_000_000)) / 1_000_000
     accepted = moves.where(draw < F.element_at(quota, F.col("to"))).select("g", "shard", "to")
+    wished = sum(r["n"] for r in flows)
     return written(units.join(accepted, ["g", "shard"], "left").select("g", "start", "n", F.coalesce("to", "shard").alias("shard")),
-                   "shard-units")
+                   "shard-units"), wished
 
 
 def _prefix(counts: DataFrame, by: list[str], order: list[str]) -> Column:
@@ -100,18 +104,22 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, steps: int = STEPS) ->
     cells = rows.groupBy("g", "start").agg(F.count(F.lit(1)).alias("n"))
     units = written(cells.withColumn("all", F.sum("n").over(Window.partitionBy("g"))).where("all > 1")
                     .select("g", "start", "n", F.col("start").alias("shard")), "shard-units")
+    before = None
     for number in range(steps):
-        units = _step(units, total, shards, number)
+        units, wished = _step(units, total, shards, number)
+        if wished <= SETTLED * total or wished == before:
+            break
+        before = wished
     labelled = rows.join(units.select("g", "start", F.col("shard").alias("label")), ["g", "start"], "left")
     buckets = max(1, total // (shards * BUCKET_ROWS))
     placed = written(labelled.select(
-        "doc_id", "size", "text_crc32", F.col("label").isNotNull().alias("linked"), F.coalesce("label", "start").alias("shard"),
+        "doc_id", "size", "text_crc32", "number", F.col("label").isNotNull().alias("linked"), F.coalesce("label", "start").alias("shard"),
         F.col("label").isNull().cast("int").alias("late"),
-        F.pmod(F.xxhash64(F.lit(7), "doc_id", "text_crc32"), F.lit(buckets)).cast("int").alias("bucket")), "shard-labels")
+        F.pmod(F.xxhash64(F.lit(7), "doc_id", "text_crc32", "number"), F.lit(buckets)).cast("int").alias("bucket")), "shard-labels")
     cell = ["shard", "late", "bucket"]
     counts = written(placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")), "shard-counts")
     starts = written(counts.select(*cell, _prefix(counts, ["shard"], ["late", "bucket"]).alias("before")), "shard-starts")
-    inside = F.row_number().over(Window.partitionBy(*cell).orderBy("doc_id", "size", "text_crc32"))
+    inside = F.row_number().over(Window.partitionBy(*cell).orderBy("doc_id", "size", "text_crc32", "number"))
     ranked = placed.withColumn("inside", inside).join(starts, cell).withColumn("rank", F.col("before") + F.col("inside") - 1).drop("inside", "before")
     # quotas and free places of the shards: arrays of ``shards`` numbers
     loads = counts.groupBy("shard").agg(F.sum("n").alias("n")).agg(

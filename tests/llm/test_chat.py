@@ -24,6 +24,24 @@ def test_assembled_batches_read_back():
         assert said == [t for r, t in rows if r == "assistant"]
 
 
+def test_long_batches_stay_small_in_memory():
+    """64 MB of content: the peak of the arrays is a few times that."""
+    import tracemalloc
+
+    content = np.frombuffer(("é</s>" + "x" * 1000).encode() * 66_000, np.uint8)
+    cuts = np.linspace(0, len(content) // 1007, 200).astype(np.int64) * 1007
+    cuts[-1] = len(content)
+    tracemalloc.start()
+    strings, loss = C.assemble(["user", "assistant"] * 99 + ["user"], cuts, content, np.arange(0, 199, 2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+    said = strings[0].as_py()
+    assert C.parse(said)[1][1].encode() == content[cuts[1]:cuts[2]].tobytes()
+    span = loss[0].as_py()[0]
+    assert C.unescape(said[span["start"]:span["end"]]).encode() == content[cuts[1]:cuts[2]].tobytes()
+
+
 def brute(rows):
     out = {}
     for conv in {r[0] for r in rows}:
@@ -42,6 +60,7 @@ def test_table(spark):
     rows += [(101, 0, None, None), (101, 1, "assistant", None), (102, None, "user", "x"), (102, 5, "assistant", "y" * 200_000),
              (None, 0, "user", "no id"), (None, 1, "assistant", "é")]
     rows += [(103, 0, "assistant", "same")] * 3
+    rows += [(104, 0, "user", "tie")] * 1000 + [(104, 1, "assistant", f"after {t}") for t in range(1)] + [(104, 2 + t, "user", f"{t}") for t in range(600)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
     for c in ("tie", "formatted", "loss", "n_turns"):
         from pyspark.sql import functions as F

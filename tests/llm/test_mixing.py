@@ -59,6 +59,34 @@ def test_all_columns_and_shuffled_order(spark):
     assert sum(a < b for a, b in zip(ids, ids[1:])) < 0.7 * len(ids)  # not in the order of the documents
 
 
+def test_high_rates_equal_exact_quantiles(spark):
+    """The counts at rates up to a million, within seconds, against sums of exact terms."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    rates = [0.0, 1e-9, 0.5, 19.9, 20.0, 333.3, 40_000.0, 1_000_000.0]
+    units = [1e-9, 0.0312, 0.5, 0.731, 0.99999]
+    began = time.time()
+    df = spark.createDataFrame([(r,) for r in rates], "rate double").select("rate", mixing._lowest().alias("lowest"), mixing._distribution().alias("cdf"))
+    got = {r["rate"]: [r["lowest"] + n for n in r["n"]] for r in df.select("rate", "lowest", F.array(*[
+        F.expr(f"size(filter(cdf, c -> c < {u!r}D))") for u in units]).alias("n")).collect()}
+    assert time.time() - began < 30
+    for rate in rates:
+        k, c, want = 0, 0.0, []
+        if rate:
+            k = max(0, int(rate - 14 * rate ** 0.5))
+        left = list(units)
+        while left and rate:
+            c += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) if rate < 1000 else math.exp(
+                k * math.log1p((rate - k) / k) + k - rate - (math.lgamma(k + 1) - (k * math.log(k) - k)))
+            while left and c >= left[0]:
+                want.append(k)
+                left.pop(0)
+            k += 1
+        assert got[rate] == (want or [0] * len(units))
+
+
 def test_empty_table(spark):
     assert mixing.mix_table(docs_frame(spark, [])).count() == 0
     assert mixing.mix_sources(docs_frame(spark, [])).count() == 0
