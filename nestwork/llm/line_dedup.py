@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import row_struct, small_batches, text_of, written
+from .common import quoted, row_struct, small_batches, text_of, written
 
 #: Keys with fewer code points never count as repeated.
 MIN_KEY = 10
@@ -171,7 +171,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents with the text of their kept lines and n_chars to match; all columns stay, null texts become empty."""
     done = apply_bitmaps(docs, keep_bitmaps(docs))
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return done.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return done.select(*[new[c].alias(c) if c in new else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns])
 
 
 def line_dedup_table(docs: DataFrame) -> DataFrame:

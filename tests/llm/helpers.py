@@ -6,7 +6,7 @@ import re
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use inside; as extra columns they must not disturb.
-CLASH = ["row", "key", "kept", "node", "bucket", "copy", "ld_doc", "q_words", "n_words", "d2", "c0", "t"]
+CLASH = ["row", "a`b.c", "key", "kept", "node", "bucket", "copy", "ld_doc", "q_words", "n_words", "d2", "c0", "t"]
 
 
 def docs_frame(spark, rows, extra=True):
