@@ -7,6 +7,7 @@ file path, name, size, block and modification time next to the data.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,6 +127,11 @@ def stream_all_strings(spark: SparkSession, path: str, max_files_per_trigger: in
     return src.withColumn("doc", doc).select("index_file_source_id", "doc.*")
 
 
+def rows_from_paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, index) rows of a short list of paths, as a job's parameters give it."""
+    return spark.createDataFrame([(p, i) for i, p in enumerate(paths)], "path string, index int")
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """A directory listing as a DataFrame; contents are pruned from the scan."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
