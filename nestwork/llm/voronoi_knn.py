@@ -4,21 +4,23 @@ The largest inner product becomes the nearest neighbour in one more dimension: d
 turn into (x, sqrt(M - |x|^2)) with M the largest squared norm, queries into (q, 0).  Data
 and queries are grouped by their nearest of at most ``MAX_PIVOTS`` pivots (a documented,
 hashed sample of rows; it steers work, not results).  Summaries of each group are its size,
-radii and the k + 1 smallest distances to its pivot over different vec_ids (of which one may be
-a query's own, and is left out for it).  From them each query gets an upper bound
+radii and the k + 1 rows nearest to its pivot (of which one may be the query itself, and is
+left out for it).  From them each query gets an upper bound
 for its k-th distance and, by the triangle inequality and the bisecting planes, a lower bound
 for each group; only groups that may hold an answer are searched.  Such groups are cut into
 blocks, met by the queries that need them, and solved there by one matrix product; the best k
 of all blocks are the answer.  Queries, not data, are copied to the groups: they are the
 smaller side, and a group with a third of all rows is just more blocks.
 
-Scores are exact integers: products use doubles only while every sum stays below 2^53.
+Scores are exact integers: products use doubles only while every sum stays below 2^53, and
+Python integers where a sum may leave a long (such scores are cut to the range of a long).
 
 Defined cases: vectors that are null, or hold null or non-finite components, and rows with a
-null vec_id take no part; vectors of unequal lengths are filled up with zeros; every row with
-another vec_id is a candidate, repeated rows as often as they occur; a vec_id that repeats
-is one query (its least vector); ties go to the smaller vec_id; an empty table gives an
-empty result; extra columns are ignored.
+null vec_id take no part; vectors of unequal lengths are filled up with zeros; every row is
+told apart by its place, so every row but the query's own is a candidate, repeated rows and
+rows with the query's vec_id too, as often as they occur, and a vec_id that repeats is as many
+queries, each with its own ranks; ties go to the smaller vec_id; an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,10 +45,11 @@ BLOCK = 2048
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """vec_id and integer vector ``v`` of all rows that take part."""
+    """vec_id, integer vector ``v`` and number ``row`` of all rows that take part; write it before it is read twice."""
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     v = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
-    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine).select("vec_id", v.alias("v"))
+    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine).select(
+        "vec_id", v.alias("v"), F.monotonically_increasing_id().alias("row"))
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
@@ -67,7 +70,10 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
     if most < 2.0 ** 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if most < 2.0 ** 62:
+        return a @ b.T
+    limits = np.iinfo(np.int64)
+    return np.clip(a.astype(object) @ b.astype(object).T, limits.min, limits.max).astype(np.int64)
 
 
 def _assigner(pivots: np.ndarray, top: float, data: bool) -> Callable:
@@ -91,8 +97,8 @@ def _assigner(pivots: np.ndarray, top: float, data: bool) -> Callable:
                 new = {"grp": pa.array(near.astype(np.int32)), "dist": pa.array(dist[np.arange(len(near)), near])}
             else:
                 new = {"dists": pa.array(list(dist), pa.list_(pa.float64()))}
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("v"), *new.values()],
-                                             names=["vec_id", "v", *new])
+            kept = ["vec_id", "v", "row"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *new.values()], names=[*kept, *new])
 
     return run
 
@@ -113,11 +119,15 @@ def _router(pivots: np.ndarray, top: float, groups: dict[int, tuple], k: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, to = [], []
-            for n, (query, dists) in enumerate(zip(batch.column("vec_id").to_pylist(), batch.column("dists").to_pylist())):
+            length = np.sqrt((_matrix(batch.column("v"), p.shape[1]).astype(np.float64) ** 2).sum(1))
+            vast = length * math.sqrt(top)  # no score of a query is larger
+            for n, (query, dists) in enumerate(zip(batch.column("row").to_pylist(), batch.column("dists").to_pylist())):
                 d = np.array(dists)
                 near = int(d.argmin())
                 bounds = (d[names[owner]] + small)[whose != query]
                 limit = np.partition(bounds, k - 1)[k - 1] if len(bounds) >= k else math.inf
+                if vast[n] >= 2.0 ** 60:  # scores may be cut to a long and then tie
+                    limit = math.inf
                 with np.errstate(divide="ignore", invalid="ignore"):
                     plane = (d[names] ** 2 - d[near] ** 2) / (2 * between[near, names])
                 plane = np.where(between[near, names] > slack, plane, 0)
@@ -127,8 +137,9 @@ def _router(pivots: np.ndarray, top: float, groups: dict[int, tuple], k: int) ->
                 to.append(hit)
             at = pa.array(np.concatenate(rows) if rows else np.empty(0, int))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id").take(at), batch.column("v").take(at),
-                 pa.array((np.concatenate(to) if to else np.empty(0)).astype(np.int32))], names=["query_id", "v", "grp"])
+                [batch.column("vec_id").take(at), batch.column("v").take(at), batch.column("row").take(at),
+                 pa.array((np.concatenate(to) if to else np.empty(0)).astype(np.int32))],
+                names=["query_id", "v", "query_row", "grp"])
 
     return run
 
@@ -139,12 +150,12 @@ def _solver(dims: int, k: int) -> Callable:
     def run(data: pa.Table, queries: pa.Table) -> pa.Table:
         ids = data.column("vec_id").to_numpy()
         order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        asked = queries.column("query_id").to_numpy()
-        n, rows, cols, best = len(ids), [], [], []
+        ids, row_of = ids[order], data.column("row").to_numpy()[order]
+        asked, asking = queries.column("query_id").to_numpy(), queries.column("query_row").to_numpy()
+        n, rows, who, cols, best = len(ids), [], [], [], []
         if n and len(asked):
             scores = _products(_matrix(queries.column("v"), dims), _matrix(data.column("v"), dims)[order])
-            own = ids[None, :] == asked[:, None]
+            own = row_of[None, :] == asking[:, None]
             lowest = np.iinfo(np.int64).min
             scores[own] = lowest
             kth = np.partition(scores, max(n - k, 0), axis=1)[:, max(n - k, 0)]
@@ -154,50 +165,54 @@ def _solver(dims: int, k: int) -> Callable:
             row, col, score = row[by], col[by], score[by]
             starts = np.searchsorted(row, np.arange(len(asked)))
             keep = np.arange(len(row)) - starts[row] < k
-            rows, cols, best = asked[row[keep]], ids[col[keep]], score[keep]
-        return pa.table({"query_id": pa.array(rows, pa.int64()), "vec_id": pa.array(cols, pa.int64()),
+            rows, who, cols, best = asked[row[keep]], asking[row[keep]], ids[col[keep]], score[keep]
+        return pa.table({"query_id": pa.array(rows, pa.int64()), "query_row": pa.array(who, pa.int64()), "vec_id": pa.array(cols, pa.int64()),
                          "score": pa.array(best, pa.int64())})
 
     return run
 
 
 def top_k(data: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best rows of ``data`` for every query; both have vec_id and ``v``."""
+    """(query_id, rank, vec_id, score): the k best rows of ``data`` for every row of ``queries``.
+
+    Both have vec_id, ``v`` and ``row``, a number that tells rows apart and under which a query
+    finds itself among the data (a negative one: it is not there); both are read more than once.
+    """
     spark = data.sparkSession
     small_batches(spark, 1024)
-    data = written(data, "knn-data")
     facts = data.select(F.size("v").alias("d"), F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x).alias("n2")).agg(
         F.count(F.lit(1)).alias("n"), F.max("d").alias("d"), F.max("n2").alias("top")).first()
     dims, top = max(1, facts["d"] or 1), facts["top"] or 0.0
     count = max(1, min(MAX_PIVOTS, int(math.sqrt(facts["n"]))))
     sample = data.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(count).select("v").toArrow()  # bounded by MAX_PIVOTS
     pivots = _matrix(sample.column("v"), dims) if sample.num_rows else np.zeros((1, dims), np.int64)
-    placed = written(data.mapInArrow(_assigner(pivots, top, True), "vec_id long, v array<long>, grp int, dist double")
-                     .withColumn("row", F.monotonically_increasing_id()), "knn-placed")
-    nearest = Window.partitionBy("grp").orderBy("dist", "vec_id")
-    smallest = (placed.groupBy("grp", "vec_id").agg(F.min("dist").alias("dist"))
-                .withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1)
-                .groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("dist", "vec_id"))).alias("small")))
+    placed = written(data.select("vec_id", "v", "row").mapInArrow(
+        _assigner(pivots, top, True), "vec_id long, v array<long>, row long, grp int, dist double"), "knn-placed")
+    # the rank is cut to k + 1 rows of each group in every task before the shuffle
+    nearest = F.row_number().over(Window.partitionBy("grp").orderBy("dist", "row"))
+    smallest = (placed.select("grp", "dist", "row").withColumn("r", nearest).where(F.col("r") <= k + 1)
+                .groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("dist", "row"))).alias("small")))
     summary = (placed.groupBy("grp").agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.count(F.lit(1)).alias("n"))
                .join(smallest, "grp"))
     # a row for each pivot, with k + 1 distances at most
     groups = {r["grp"]: (r["low"], r["high"], np.array([x["dist"] for x in r["small"]]), r["n"],
-                         np.array([x["vec_id"] for x in r["small"]], np.int64)) for r in summary.collect()}
-    asked = queries.groupBy(F.col("vec_id")).agg(F.min("v").alias("v"))
-    routed = written(asked.mapInArrow(_assigner(pivots, top, False), "vec_id long, v array<long>, dists array<double>")
-                     .mapInArrow(_router(pivots, top, groups, k), "query_id long, v array<long>, grp int"), "knn-routed")
+                         np.array([x["row"] for x in r["small"]], np.int64)) for r in summary.collect()}
+    routed = written(queries.select("vec_id", "v", "row").mapInArrow(
+        _assigner(pivots, top, False), "vec_id long, v array<long>, row long, dists array<double>")
+        .mapInArrow(_router(pivots, top, groups, k), "query_id long, v array<long>, query_row long, grp int"), "knn-routed")
     blocks = spark.createDataFrame([(g, max(1, -(-x[3] // BLOCK))) for g, x in groups.items()] or [(0, 1)], "grp int, blocks long")
     parts = routed.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     plan = written(blocks.join(parts, "grp"), "knn-plan")  # a row for each pivot
     number = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     left = (placed.join(plan, "grp")  # by row number: rows of one vec_id, or equal rows, are spread too
             .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks"))).withColumn("part", number("parts")))
-    right = (routed.join(plan, "grp").withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")))
+    right = (routed.join(plan, "grp").withColumn("part", F.pmod(F.xxhash64("query_row", "query_id"), F.col("parts")))
              .withColumn("block", number("blocks")))
     unit = ["grp", "block", "part"]
-    found = (left.select("vec_id", "v", *unit).groupBy(*unit).cogroup(right.select("query_id", "v", *unit).groupBy(*unit))
-             .applyInArrow(_solver(dims, k), "query_id long, vec_id long, score long"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = (left.select("vec_id", "v", "row", *unit).groupBy(*unit)
+             .cogroup(right.select("query_id", "v", "query_row", *unit).groupBy(*unit))
+             .applyInArrow(_solver(dims, k), "query_id long, query_row long, vec_id long, score long"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -209,15 +224,15 @@ def knn_table(embeddings: DataFrame) -> DataFrame:
 
 #: DuckDB's view of the same rows.
 ORACLE = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q, row_number() OVER () AS at FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 scored AS (
-  SELECT a.vec_id AS query_id, b.vec_id,
+  SELECT a.vec_id AS query_id, a.at, b.vec_id,
          list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+  FROM v a JOIN v b ON a.at <> b.at WHERE a.vec_id % 50 = 0),
 ranked AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
+  SELECT query_id, row_number() OVER (PARTITION BY at ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """

@@ -11,14 +11,11 @@ from nestwork.llm import voronoi_knn as V
 def brute(rows):
     good = [(i, [math.floor(256 * float(x)) for x in v]) for i, v, *_ in rows
             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
-    least = {}
-    for i, v in good:
-        if i % 50 == 0:
-            least[i] = min(least.get(i, v), v)
     out = []
-    for q, v in least.items():
-        scored = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q))[:5]
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    for n, (q, v) in enumerate(good):
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for m, (i, w) in enumerate(good) if m != n)[:5]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return sorted(out)
 
 
@@ -26,7 +23,7 @@ def frame(spark, rows):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<float>").repartition(3)
-    return df.withColumns({c: F.lit(1) for c in ("v", "grp", "dist", "block", "part", "query_id")})
+    return df.withColumns({c: F.lit(1) for c in ("v", "row", "grp", "dist", "block", "part", "query_id", "query_row")})
 
 
 @pytest.mark.parametrize("block", [2048, 16])
@@ -77,6 +74,16 @@ def test_huge_components_stay_exact(spark):
     assert sorted(map(tuple, V.knn_table(frame(spark, rows)).collect())) == brute(rows)
     a = np.array([[2 ** 29, 3]], np.int64)
     assert V._products(a, a)[0, 0] == 2 ** 58 + 9
+    b = np.array([[2 ** 40, 5], [-(2 ** 40), 0], [2 ** 20, 1]], np.int64)
+    most = 2 ** 63 - 1
+    assert V._products(b, b).tolist() == [[most, -most - 1, 2 ** 60 + 5], [-most - 1, most, -(2 ** 60)], [2 ** 60 + 5, -(2 ** 60), 2 ** 40 + 1]]
+
+
+def test_scores_beyond_a_long_are_cut(spark):
+    rows = [(i, [float(2 ** 50) * (i % 7 + 1), 1.0]) for i in range(80)]
+    most = 2 ** 63 - 1
+    want = [(q, r + 1, i, most) for q in (0, 50) for r, i in enumerate([i for i in range(80) if i != q][:5])]
+    assert sorted(map(tuple, V.knn_table(frame(spark, rows)).collect())) == want
 
 
 @pytest.mark.parametrize("rows", [[], [(50, [1.0])], [(1, [1.0])], [(50, [1.0]), (7, [0.5])]])
