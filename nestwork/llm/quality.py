@@ -2,10 +2,14 @@
 
 Base figures of each text are computed inside its row, without a shuffle.  Every text that
 passes the base rules then gets a vector of transformed statistics.  For each language and
-source, a minimum-covariance-determinant (MCD) fit gives a robust centre and scatter:
-starting from medians and median absolute deviations, each concentration step keeps the
-``SUBSET`` share of rows with the smallest Mahalanobis distance (a quantile sketch) and
-takes their mean and covariance.  Texts beyond ``CUTOFF`` are rejected.
+source, a minimum-covariance-determinant (MCD) fit gives a robust centre and scatter.  It has
+eight deterministic starts, all about the medians in units of the median absolute deviations:
+the sum of squares, the covariance of hyperbolic tangents, that of directions, and each
+statistic alone.  From
+each start, a concentration step keeps the ``SUBSET`` share of rows with the smallest
+Mahalanobis distance (a quantile sketch) and takes their mean and covariance; steps go on in
+each group until its determinant no longer falls, and the fit with the least determinant of
+all starts and steps is the group's.  Texts beyond ``CUTOFF`` are rejected.
 
 Scale: moments and quantiles are partial aggregates, so a source with a third of all rows
 sends a few rows per task.  Fits are one row per language and source in a written table,
@@ -20,6 +24,8 @@ empty result; extra columns are ignored by the statistics.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +33,13 @@ from .common import SPACE, row_struct, text_of, unpacked, written
 
 #: Share of a group's rows that a concentration step keeps.
 SUBSET = 0.75
-#: Concentration steps after the start from medians.
-STEPS = 3
+#: A start of a group has settled when a step lowers the logarithm of its determinant by no more.
+SETTLED = 1e-3
+#: Added to each variance of a start, in squared deviations, as a statistic may be constant.
+START_RIDGE = 0.01
+#: Variance that a start from one statistic gives to the others.
+ALONE = 1e6
+GROUP = ["g_lang", "g_source"]
 #: Factor that makes the covariance of the inner 75 % of a 5-variate normal consistent.
 CONSISTENCY = 1.41
 #: Rows of pooled scatter added to each group's own.
@@ -100,14 +111,13 @@ def _vector(df: DataFrame) -> DataFrame:
 
 def _moments(df: DataFrame, by: list[str]) -> DataFrame:
     """Count, sums and cross products of the statistics: one partial aggregate."""
-    pairs = [(a, b) for i, a in enumerate(STATS) for b in STATS[: i + 1]]
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), *[F.avg(s).alias(f"m_{s}") for s in STATS],
-        *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs])
+        *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in _pairs()])
 
 
 def _inverse(df: DataFrame) -> DataFrame:
-    """From c_* (scatter) the entries p_* of its inverse, by a Cholesky factor written out in columns."""
+    """From c_* (scatter) the entries p_* of its inverse and ``logdet``, by a Cholesky factor written out in columns."""
     d = range(len(STATS))
     c = lambda i, j: F.col(f"c_{STATS[i]}_{STATS[j]}")
     lo = lambda i, j: F.col(f"l_{i}_{j}")
@@ -122,54 +132,73 @@ def _inverse(df: DataFrame) -> DataFrame:
             df = df.withColumn(f"v_{i}_{j}", top / lo(i, i))
     entries = {f"p_{i}_{j}": sum((inv(k, i) * inv(k, j) for k in range(i, len(STATS))), F.lit(0.0))
                for i in d for j in range(i + 1)}
-    return df.withColumns(entries).select(
-        "g_lang", "g_source", *[F.col(f"m_{s}") for s in STATS], *list(entries))
+    entries["logdet"] = 2 * sum((F.log(lo(i, i)) for i in d), F.lit(0.0))
+    return df.withColumns(entries).select(*GROUP, "start", *[F.col(f"m_{s}") for s in STATS], *list(entries))
 
 
-def _distance(rows: DataFrame, fit: DataFrame) -> DataFrame:
-    """Squared Mahalanobis distance ``d2`` of each row to its group's fit."""
-    joined = rows.join(fit, ["g_lang", "g_source"], "left")
-    x = [F.col(s) - F.col(f"m_{s}") for s in STATS]
+def _distance(rows: DataFrame, fit: DataFrame, how: str = "inner", prefix: str = "") -> DataFrame:
+    """Squared Mahalanobis distance ``d2`` of each row to every fit of its group."""
+    joined = rows.join(fit, GROUP, how)
+    x = [F.col(prefix + s) - F.col(f"m_{s}") for s in STATS]
     terms = [(1.0 if i == j else 2.0) * F.col(f"p_{i}_{j}") * x[i] * x[j]
              for i in range(len(STATS)) for j in range(i + 1)]
     return joined.withColumn("d2", sum(terms[1:], terms[0])).drop(
-        *[f"m_{s}" for s in STATS], *[c for c in fit.columns if c.startswith("p_")])
+        "logdet", *[f"m_{s}" for s in STATS], *[c for c in fit.columns if c.startswith("p_")])
+
+
+def _pairs() -> list[tuple[str, str]]:
+    return [(a, b) for i, a in enumerate(STATS) for b in STATS[: i + 1]]
+
+
+def _prior(own: DataFrame) -> DataFrame:
+    """One row: the mean centre and scatter within groups, weighted by their rows."""
+    mean = lambda c: F.coalesce(F.sum(F.col("n") * F.col(c)) / F.sum("n"), F.lit(0.0)).alias(c)
+    return own.where("start = 0").agg(*[mean(f"c_{a}_{b}") for a, b in _pairs()], *[mean(f"m_{s}") for s in STATS])
 
 
-def _fit(inner: DataFrame, factor: float) -> DataFrame:
-    """Centre and inverse scatter per group from the rows of its subset."""
-    own = written(_moments(inner, ["g_lang", "g_source"]), "quality-moments")
-    pairs = [(a, b) for i, a in enumerate(STATS) for b in STATS[: i + 1]]
-    # one row: the mean scatter within groups, weighted by their rows
-    pool = own.agg(*[F.coalesce(F.sum(F.col("n") * F.col(f"c_{a}_{b}")) / F.sum("n"), F.lit(0.0)).alias(f"c_{a}_{b}")
-                     for a, b in pairs],
-                   *[F.coalesce(F.sum(F.col("n") * F.col(f"m_{s}")) / F.sum("n"), F.lit(0.0)).alias(f"m_{s}") for s in STATS])
+def _fit(own: DataFrame, pool: DataFrame) -> DataFrame:
+    """Centre, inverse scatter and determinant per group and start from the moments of its subset."""
     prior = pool.select(F.struct("*")).scalar()
     smooth = {f"m_{s}": (F.col("n") * F.col(f"m_{s}") + CENTRE_ROWS * prior[f"m_{s}"]) / (F.col("n") + CENTRE_ROWS) for s in STATS}
-    for a, b in pairs:
+    for a, b in _pairs():
         name = f"c_{a}_{b}"
-        mixed = (F.col("n") * F.col(name) + PRIOR_ROWS * prior[name]) / (F.col("n") + PRIOR_ROWS) * factor
+        mixed = (F.col("n") * F.col(name) + PRIOR_ROWS * prior[name]) / (F.col("n") + PRIOR_ROWS) * CONSISTENCY
         smooth[name] = mixed + (FLOORS[a] ** 2 if a == b else 0.0)
     return written(_inverse(own.withColumns(smooth)), "quality-fit")
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Distances for the first subset: medians and median absolute deviations, per statistic."""
-    by = ["g_lang", "g_source"]
-    mid = written(rows.groupBy(*by).agg(*[F.percentile_approx(s, 0.5, 1000).alias(f"a_{s}") for s in STATS]),
+def _starts(rows: DataFrame) -> DataFrame:
+    """Each row once for each start (0 to 7), with its distance."""
+    mid = written(rows.groupBy(*GROUP).agg(*[F.percentile_approx(s, 0.5, 1000).alias(f"a_{s}") for s in STATS]),
                   "quality-median")
-    off = rows.join(mid, by).withColumns({f"o_{s}": F.abs(F.col(s) - F.col(f"a_{s}")) for s in STATS})
-    mad = written(off.groupBy(*by).agg(*[F.percentile_approx(f"o_{s}", 0.5, 1000).alias(f"b_{s}") for s in STATS]),
-                  "quality-mad")
-    z = [F.pow(F.col(f"o_{s}") / (1.4826 * F.col(f"b_{s}") + FLOORS[s]), 2.0) for s in STATS]
-    return off.join(mad, by).withColumn("d2", sum(z[1:], z[0])).select(*rows.columns, "d2")
-
-
-def _subset(rows: DataFrame) -> DataFrame:
-    """Rows within the group's SUBSET quantile of the distance."""
-    by = ["g_lang", "g_source"]
+    off = rows.join(mid, GROUP).withColumns({f"o_{s}": F.abs(F.col(s) - F.col(f"a_{s}")) for s in STATS})
+    mad = written(off.groupBy(*GROUP, *[f"a_{s}" for s in STATS]).agg(
+        *[F.percentile_approx(f"o_{s}", 0.5, 1000).alias(f"b_{s}") for s in STATS]), "quality-mad")
+    z = [((F.col(s) - F.col(f"a_{s}")) / (1.4826 * F.col(f"b_{s}") + FLOORS[s])).alias(f"z_{s}") for s in STATS]
+    scaled = rows.join(mad, GROUP).select(*GROUP, *STATS, *z)
+    size = F.sqrt(sum((F.pow(f"z_{s}", F.lit(2.0)) for s in STATS), F.lit(0.0)))
+    bent = {1: {s: F.tanh(f"z_{s}") for s in STATS},
+            2: {s: F.when(size > 0, F.col(f"z_{s}") / size).otherwise(0.0) for s in STATS}}
+    shapes = written(scaled.groupBy(*GROUP).agg(
+        *[F.covar_pop(u[a], u[b]).alias(f"c{k}_{a}_{b}") for k, u in bent.items() for a, b in _pairs()]), "quality-shapes")
+
+    def shape(k: int, a: str, b: str) -> Column:
+        if k in bent:
+            return F.col(f"c{k}_{a}_{b}")
+        return F.lit(0.0 if a != b else 1.0 if k == 0 or a == STATS[k - 3] else ALONE)
+
+    fits = [shapes.select(*GROUP, F.lit(k).alias("start"), *[F.lit(0.0).alias(f"m_{s}") for s in STATS],
+                          *[(shape(k, a, b) + (START_RIDGE if a == b else 0.0)).alias(f"c_{a}_{b}") for a, b in _pairs()])
+            for k in range(3 + len(STATS))]
+    fit = written(_inverse(reduce(DataFrame.unionByName, fits)), "quality-start")
+    return _distance(scaled, fit, prefix="z_").select(*GROUP, "start", *STATS, "d2")
+
+
+def _inner(rows: DataFrame) -> DataFrame:
+    """Moments of the rows within the SUBSET quantile of the distance, for each group and start."""
+    by = [*GROUP, "start"]
     cut = written(rows.groupBy(*by).agg(F.percentile_approx("d2", SUBSET, 2000).alias("cut")), "quality-cut")
-    return rows.join(cut, by).where(F.col("d2") <= F.col("cut")).drop("cut", "d2")
+    return _moments(rows.join(cut, by).where(F.col("d2") <= F.col("cut")), by)
 
 
 def _keyed(figures: DataFrame, lang: Column, source: Column) -> DataFrame:
@@ -179,19 +208,34 @@ def _keyed(figures: DataFrame, lang: Column, source: Column) -> DataFrame:
 
 
 def group_fits(figures: DataFrame) -> DataFrame:
-    """MCD fits per language and source.  ``figures`` is scanned several times: pass a written table."""
-    rows = (_keyed(figures, F.col("lang"), F.col("source")).where(~F.col("base_failed"))
-            .select("g_lang", "g_source", *STATS))
-    near, fit = _start(rows), None
-    for _ in range(STEPS):
-        fit = _fit(_subset(near), CONSISTENCY)
-        near = _distance(rows, fit)
-    return fit
+    """MCD fits per language and source, with ``logdet`` of their scatter.
+
+    The pooled scatter that small groups lean on is that of the first subsets and stays the
+    same, so determinants of later steps can be compared.  Groups that have settled take no
+    further part; the driver learns only whether any is left.
+    """
+    rows = written(_keyed(figures, F.col("lang"), F.col("source")).where(~F.col("base_failed"))
+                   .select(*GROUP, *STATS), "quality-vectors")
+    first = written(_inner(_starts(rows)), "quality-moments")
+    pool = written(_prior(first), "quality-prior")
+    fits = [_fit(first, pool)]
+    live = fits[0]
+    while not live.isEmpty():
+        fits.append(_fit(_inner(_distance(rows, live)), pool))
+        old = fits[-2].select(*GROUP, "start", F.col("logdet").alias("old"))
+        live = written(fits[-1].join(old, [*GROUP, "start"]).where(F.col("logdet") < F.col("old") - SETTLED).drop("old"),
+                       "quality-live")
+    each = fits[0].withColumn("step", F.lit(0))
+    for n, fit in enumerate(fits[1:]):
+        each = each.unionByName(fit.withColumn("step", F.lit(n + 1)))
+    values = [c for c in fits[0].columns if c not in (*GROUP, "start")]
+    least = F.min_by(F.struct(*values), F.struct("logdet", "start", "step"))
+    return written(each.groupBy(*GROUP).agg(least.alias("fit")).select(*GROUP, "fit.*"), "quality-fit")
 
 
 def judged(figures: DataFrame, fit: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """Add base_failed, distance and kept to a table of text figures."""
-    out = _distance(_keyed(figures, F.col(lang), F.col(source)), fit)
+    out = _distance(_keyed(figures, F.col(lang), F.col(source)), fit, "left")
     # one comparison over both sides of the join: a filter on it stays above the join, and the
     # planner does not copy the figures' expressions into a predicate below it
     reach = F.when(F.col("base_failed"), F.lit(float("inf"))).otherwise(F.coalesce(F.col("d2"), F.lit(0.0)))

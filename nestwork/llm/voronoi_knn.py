@@ -225,14 +225,14 @@ def knn_table(embeddings: DataFrame) -> DataFrame:
 #: DuckDB's view of the same rows.
 ORACLE = """
 WITH v AS MATERIALIZED (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q, row_number() OVER () AS at FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q, row_number() OVER () AS place FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 scored AS (
-  SELECT a.vec_id AS query_id, a.at, b.vec_id,
+  SELECT a.vec_id AS query_id, a.place, b.vec_id,
          list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
-  FROM v a JOIN v b ON a.at <> b.at WHERE a.vec_id % 50 = 0),
+  FROM v a JOIN v b ON a.place <> b.place WHERE a.vec_id % 50 = 0),
 ranked AS (
-  SELECT query_id, row_number() OVER (PARTITION BY at ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
+  SELECT query_id, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
