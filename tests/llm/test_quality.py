@@ -1,11 +1,8 @@
 """Quality rules: base figures against brute force, verdicts on clean and odd texts."""
 
-import itertools
 import random
 from collections import Counter
 
-import numpy as np
-
 from nestwork.llm import quality
 
 from .helpers import docs_frame, prose, words_of
@@ -89,68 +86,3 @@ def test_nulls_and_empty_table(spark):
     empty = docs_frame(spark, [])
     assert quality.quality_table(empty).count() == 0
     assert quality.keep_good(empty).count() == 0
-
-
-FIGURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
-
-
-def vector(n, c, sym, lines, dup, rep):
-    return [np.log(n), np.log(c / n), np.sqrt(sym / c), dup / (lines + quality.EVEN_LINES), rep / (n + quality.EVEN_WORDS)]
-
-
-def figures(rng, odd):
-    n = int(rng.integers(100, 900))
-    shift = 3 if odd else 0
-    return (n * (1 + shift), int(n * (1 + shift) * rng.uniform(4.5, 5.5) * (1 + 0.8 * odd)), int(n * rng.uniform(0.01, 0.05)) + 40 * shift,
-            int(rng.integers(20, 60)), int(rng.integers(1, 6)) + 10 * odd, int(rng.integers(1, 30)) + 20 * shift)
-
-
-def test_fits_equal_a_brute_force_mcd(spark, monkeypatch):
-    """Groups of 20, five of them odd: the least determinant of all subsets of 15 rows, its mean and scatter."""
-    monkeypatch.setattr(quality, "PRIOR_ROWS", 0)
-    monkeypatch.setattr(quality, "CENTRE_ROWS", 0)
-    monkeypatch.setattr(quality, "FLOORS", {s: 1e-6 for s in quality.STATS})
-    rng = np.random.default_rng(4)
-    groups = {f"s{g}": [figures(rng, i < 5) for i in range(20)] for g in range(8)}
-    rows = [("en" if g != "s3" else None, g, *f) for g, fs in groups.items() for f in fs]
-    df = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"{c} long" for c in FIGURES))
-    got = {r["g_source"]: r for r in quality.group_fits(df).collect()}
-    assert set(got) == set(groups)
-    picks = np.array(list(itertools.combinations(range(20), 15)))
-    scatter = lambda y: quality.CONSISTENCY * np.cov(y.T, bias=True) + 1e-12 * np.eye(5)
-    equal = 0
-    for g, fs in groups.items():
-        x = np.array([vector(*f) for f in fs])
-        fit = got[g]
-        centre = np.array([fit[f"m_{s}"] for s in quality.STATS])
-        inverse = np.array([[fit[f"p_{max(i, j)}_{min(i, j)}"] for j in range(5)] for i in range(5)])
-        # the fit is the mean and scatter of 15 rows, and these are the 15 nearest to it: no step is left
-        near = x[np.argsort(np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre))[:15]]
-        np.testing.assert_allclose(centre, near.mean(0), rtol=1e-9, err_msg=g)
-        np.testing.assert_allclose(inverse @ scatter(near), np.eye(5), atol=1e-5, err_msg=g)
-        np.testing.assert_allclose(fit["logdet"], np.linalg.slogdet(scatter(near))[1], atol=1e-6)
-        off = x[picks] - x[picks].mean(1, keepdims=True)
-        best = x[picks[np.linalg.det(np.einsum("nki,nkj->nij", off, off)).argmin()]]
-        least = np.linalg.slogdet(scatter(best))[1]
-        assert fit["logdet"] >= least - 1e-6
-        equal += abs(fit["logdet"] - least) < 1e-6
-    assert equal >= 7, equal  # steps may end in a subset that only no single step betters
-
-
-def test_no_step_lowers_the_determinant_of_the_fit(spark):
-    """The fit is the least of all starts and steps, so one more step from it does not gain."""
-    rng = np.random.default_rng(6)
-    rows = [("en", "s", *figures(rng, i % 5 == 0)) for i in range(400)]
-    df = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"{c} long" for c in FIGURES))
-    fit = quality.group_fits(df).first()
-    x = np.array([vector(*r[2:]) for r in rows])
-    at = x - [fit[f"m_{s}"] for s in quality.STATS]
-    inverse = np.array([[fit[f"p_{max(i, j)}_{min(i, j)}"] for j in range(5)] for i in range(5)])
-    d2 = np.einsum("ni,ij,nj->n", at, inverse, at)
-    inner = x[d2 <= np.sort(d2)[int(quality.SUBSET * len(x)) - 1]]
-    own = np.cov(inner.T, bias=True)
-    assert (d2[::5] > quality.CUTOFF).all()  # planted
-    assert (d2 > quality.CUTOFF).mean() < 0.25
-    # the same subset again: its scatter, smoothed as the fit's, has no smaller determinant
-    smooth = (len(inner) + 0.0) / (len(inner) + quality.PRIOR_ROWS) * own * quality.CONSISTENCY + np.diag([f ** 2 for f in quality.FLOORS.values()])
-    assert np.linalg.slogdet(smooth)[1] <= fit["logdet"] + 1e-6  # the prior only adds
