@@ -21,28 +21,25 @@ from .change_log import change_log
 from .index_docs import index_documents
 from .rates_docs import rates_documents
 from .schemas import RATES_SCHEMA_WITH_CORRUPT
+from .tables import table, tasks_for
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
-def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
-                 key_col: str = "file_path", layout: Callable[[DataFrame, int], DataFrame] | None = None) -> DataFrame:
+def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Write ``build()`` once per application and source folder; read it back.
 
-    Documents are hash-spread over ``defaultParallelism`` files by their path:
-    every later stage explodes each document into many rows, so balanced input
-    files (not AQE-coalesced, skewed ones) decide its parallelism.  The hash
-    is deterministic, so a retried task writes the same rows."""
+    The builders hash-spread their rows over ``tasks_for`` tasks, a file each, and the documents are
+    parsed and written where they were grouped: every later stage explodes each document into many rows,
+    so balanced input files (not AQE-coalesced, skewed ones) decide its parallelism, and no file or task
+    grows with the table.  The hash is deterministic, so a retried task writes the same rows."""
     key = (spark.sparkContext.applicationId, name, sf_dir.rstrip("/"))
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, f"bronze-{name}")
-        n = max(1, spark.sparkContext.defaultParallelism)
-        df = build()
-        df = layout(df, n) if layout else df.repartition(n, key_col)
-        df.write.mode("overwrite").parquet(path)
+        build().write.mode("overwrite").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)
 
@@ -75,6 +72,8 @@ def change_log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     (_commit_version, event_id): each file holds a contiguous version range, so
     a version filter skips files and row groups from parquet statistics.  (A
     folder per version would explode at scale; statistics do not.)"""
-    return materialized(spark, "change_log", sf_dir, lambda: change_log(spark, sf_dir),
-                        layout=lambda df, n: df.repartitionByRange(n, "_commit_version", "event_id")
-                        .sortWithinPartitions("_commit_version", "event_id"))
+    def build():
+        n = tasks_for(table(spark, sf_dir, "events"))
+        return (change_log(spark, sf_dir).repartitionByRange(n, "_commit_version", "event_id")
+                .sortWithinPartitions("_commit_version", "event_id"))
+    return materialized(spark, "change_log", sf_dir, build)

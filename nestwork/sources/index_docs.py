@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import table, tasks_for
 
 # Fixed values of the fixture layout.
 LOCATION_PREFIX = "https://h/"
@@ -65,11 +65,13 @@ def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int =
     """One row per reporting_structure element, already placed in its document:
     (o_custkey, c_name, c_mktsegment, doc_part, o_orderkey, piece, element parts).
 
-    The rows are hash-partitioned once on (customer, document part); the
-    element grouping and the document grouping both reuse that partitioning."""
+    The rows are hash-partitioned once on (customer, document part), over tasks that
+    grow with the lines and orders; the element grouping, the document grouping and
+    what is written of them all reuse that partitioning."""
+    n_tasks = tasks_for(table(spark, sf_dir, "lineitem").select("l_orderkey").unionAll(table(spark, sf_dir, "orders").select("o_orderkey")))
     layout = _order_layout(spark, sf_dir, entries_per_element, elements_per_doc)
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", row_salt().alias("salt"))
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", row_salt().alias("salt")).repartition(n_tasks, "l_orderkey")
     entry = F.struct(
         F.col("l_linenumber").cast("string").alias("description"),
         F.concat(F.lit(LOCATION_PREFIX), F.col("l_partkey").cast("string"), F.lit("-"),
@@ -104,7 +106,7 @@ def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int =
     )
     return (
         file_rows.unionByName(plan_rows)
-        .repartition("o_custkey", "doc_part")
+        .repartition(n_tasks, "o_custkey", "doc_part")
         .groupBy("o_custkey", "c_name", "c_mktsegment", "doc_part", "o_orderkey", "piece")
         .agg(
             F.sort_array(F.collect_list("plan")).alias("reporting_plans"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .index_docs import _piece, row_salt
-from .tables import table
+from .tables import table, tasks_for
 
 # Fixed values of the fixture layout.
 ENTITY_TYPE = "health insurance issuer"
@@ -79,13 +79,15 @@ def rate_sort_key() -> list[str]:
 def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000) -> DataFrame:
     """Rows of (file_path, value) with ``value`` the JSON text of one rate file.
 
-    Lines join the per-part counts (a partial aggregate, one row per part) and
-    are grouped once by (part, piece); part names join the grouped files.
+    Lines join the per-part counts (a partial aggregate, one row per part), are spread by
+    (part, piece) as plain columns over tasks that grow with them, and grouped there;
+    part names join the grouped files.
     Provider fields all derive from the supplier key on the line, so no
     supplier join is needed."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_shipdate", row_salt().alias("salt"))
+    n_tasks = tasks_for(lines)
     per_part = lines.groupBy(F.col("l_partkey").alias("pk")).agg(F.count(F.lit(1)).alias("n_rates"))
     groups = F.array(F.struct(
         F.array(*[F.lit(b) + F.col("l_suppkey") for b in NPI_BASES]).alias("npi"),
@@ -100,9 +102,11 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
     provider = F.when(~inline & ~unresolved, F.struct(F.col("l_suppkey").alias("provider_group_id"), groups.alias("provider_groups")))
     keyed = (
         lines.join(per_part, lines.l_partkey == per_part.pk)
+        .withColumn("piece", _piece(F.col("n_rates"), F.col("salt"), rates_per_doc)).drop("pk", "n_rates", "salt")
+        .repartition(n_tasks, "l_partkey", "piece")
         .select(
             "l_partkey",
-            _piece(F.col("n_rates"), F.col("salt"), rates_per_doc).alias("piece"),
+            "piece",
             F.struct(*[F.col(c) for c in rate_sort_key()], rate.alias("r")).alias("keyed_rate"),
             provider.alias("provider"),
             F.col("l_shipdate"),

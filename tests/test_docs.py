@@ -41,3 +41,18 @@ def test_split_rate_documents_keep_every_rate(spark):
     n = docs.select(F.try_parse_json("value").alias("v")).select(F.explode(F.expr(
         "try_cast(try_variant_get(v, '$.in_network[0].negotiated_rates', 'variant') AS ARRAY<VARIANT>)"))).count()
     assert n == _counts()[0]
+
+
+def test_bronze_tasks_grow_with_the_tables(spark, monkeypatch):
+    """Tables of more rows are grouped and written by more tasks, with the same documents."""
+    from nestwork.sources import bronze, tables
+
+    monkeypatch.setattr(bronze, "_WRITTEN", {})
+    read = {"index": bronze.index_bronze_table, "rates": bronze.rates_bronze_table, "change_log": bronze.change_log_table}
+    few = {k: f(spark, SF_SMALL) for k, f in read.items()}
+    monkeypatch.setattr(bronze, "_WRITTEN", {})
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 100)
+    for k, f in read.items():
+        many, by = f(spark, SF_SMALL), ["event_id"] if k == "change_log" else ["file_path", "value"]
+        assert len(many.inputFiles()) > 2 * len(few[k].inputFiles())
+        assert sorted(map(tuple, many.select(by).collect())) == sorted(map(tuple, few[k].select(by).collect()))
