@@ -59,3 +59,28 @@ def object_entries(v: str) -> Column:
 def array_items(v: str) -> Column:
     """Array -> ARRAY<VARIANT>; NULL for anything else."""
     return F.expr(f"try_cast({v} AS ARRAY<VARIANT>)")
+
+
+#: Scalar types as ``schema_of_variant`` writes them; a null fits every type.
+SCALAR_TYPES = r"(?:STRING|BIGINT|DOUBLE|FLOAT|BOOLEAN|BINARY|DATE|TIMESTAMP(?:_NTZ)?|UUID|VOID|DECIMAL[(][0-9]+, ?[0-9]+[)])"
+
+
+def object_pattern(fields: dict[str, str], is_open: bool) -> str:
+    """Pattern of a ``schema_of_variant`` text: an object (or null) with any of ``fields``, each of its own pattern.
+
+    An open object may hold other scalar fields too.  Names that need quotes and objects of very many fields do not match."""
+    one = [f"{name}: {kind}" for name, kind in fields.items()]
+    if is_open:
+        known = "|".join(f"{name}: " for name in fields)
+        one.append(f"(?!{known})[A-Za-z_][A-Za-z0-9_]*: {SCALAR_TYPES}")
+    return f"(?>OBJECT<(?:(?>{'|'.join(one)})(?:, (?>{'|'.join(one)})){{0,100}}+)?>|VOID)"
+
+
+def array_pattern(item: str) -> str:
+    """An array (or null) whose items all match ``item``."""
+    return f"(?>ARRAY<{item}>|VOID)"
+
+
+def fits_sql(value: str, pattern: str) -> str:
+    """True where one pass over the VARIANT ``value`` shows that it matches; false means that it has to be walked."""
+    return f"coalesce(schema_of_variant({value}) RLIKE '^{pattern}$', false)"

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.variant import array_pattern, fits_sql, object_pattern
+
 # Enumerations declared by the contract.
 BILLING_CODE_TYPES = ["CPT", "HCPCS", "ICD", "MS-DRG", "R-DRG", "S-DRG", "APS-DRG", "AP-DRG", "APR-DRG",
                       "APC", "NDC", "HIPPS", "LOCAL", "EAPG", "CDT", "RC", "CSTM-ALL"]
@@ -173,9 +175,23 @@ TYPES: dict[str, dict[str, str]] = {
                           "additional_information": "string", "service_code": "[string]", "billing_code_modifier": "[string]"},
 }
 _KINDS = {"string": "^STRING$", "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$", "object": "^OBJECT", "array": "^ARRAY"}
+_PATTERNS = {"string": "(?:STRING|VOID)", "number": "(?:BIGINT|DOUBLE|FLOAT|VOID|DECIMAL[(][0-9]+, ?[0-9]+[)])"}
 _NODE = "STRUCT<rule: STRING, level: STRING, path: STRING, v: VARIANT>"
 
 
+def _level_pattern(level: str) -> str:
+    """Pattern of the ``schema_of_variant`` text of nodes of a level that hold no value of a wrong type, at any depth."""
+    fields = {}
+    for field, kind in TYPES[level].items():
+        if "." not in field and kind != "object":
+            fields[field] = array_pattern(_PATTERNS[kind[1:-1]]) if kind.startswith("[") else _PATTERNS[kind]
+        elif kind == "object":
+            inner = {f.split(".")[1]: _PATTERNS[k] for f, k in TYPES[level].items() if f.startswith(field + ".")}
+            fields[field] = object_pattern(inner, is_open=True)
+    fields |= {field: array_pattern(_level_pattern(child)) for child, (parent, field) in LEVELS.items() if parent == level}
+    return object_pattern(fields, is_open=True)
+
+
 def _type_checks(level: str) -> list[str]:
     """Arrays of found violations of one level's node ``v`` at ``path``; missing and null values have no type."""
     out = []
@@ -199,8 +215,10 @@ def _type_checks(level: str) -> list[str]:
     for child, (parent, field) in LEVELS.items():
         if parent == level:
             items = f"coalesce(try_cast(try_variant_get(v, '$.{field}', 'variant') AS ARRAY<VARIANT>), array())"
-            out.append(f"transform({items}, (x, i) -> struct(CAST(NULL AS STRING) AS rule, '{child}' AS level, "
-                       f"concat(path, '.{field}[', CAST(i AS STRING), ']') AS path, x AS v))")
+            # children that one pass shows to hold no wrong type are not walked
+            out.append(f"filter(transform({items}, (x, i) -> CASE WHEN NOT {fits_sql('x', _level_pattern(child))} THEN "
+                       f"struct(CAST(NULL AS STRING) AS rule, '{child}' AS level, "
+                       f"concat(path, '.{field}[', CAST(i AS STRING), ']') AS path, x AS v) END), f -> f IS NOT NULL)")
             out.append(f"filter(transform({items}, (x, i) -> CASE WHEN {wrong('x', 'object')} THEN "
                        f"struct('{child}.type' AS rule, CAST(NULL AS STRING) AS level, concat(path, '.{field}[', CAST(i AS STRING), ']') AS path, "
                        f"CAST(NULL AS VARIANT) AS v) END), f -> f IS NOT NULL)")
@@ -211,13 +229,16 @@ def type_audit(docs: DataFrame, doc: str = "doc", keep: Sequence[str] = ("file_p
     """One row per value whose JSON type is not the declared one: (keep..., rule, path).
 
     The VARIANT is read, since a typed reader has already made such a value NULL.  Documents are exploded level by level: each
-    step turns a node into its violations and its children, so no row holds more than one node's; no exchange.
+    step turns a node into its violations and those children whose schema shows a value to look for, so no row holds more
+    than one node's; no exchange.
     """
     keep = list(keep)
+    fits = fits_sql("v", _level_pattern("root"))
     nodes = docs.select(*keep, F.lit(None).cast("string").alias("rule"), F.lit("root").alias("level"), F.lit("$").alias("path"), F.col(doc).alias("v"))
     step = ["root"]
     while step:
-        cases = " ".join(f"WHEN level = '{x}' THEN concat({', '.join(_type_checks(x))})" for x in step)
+        cases = f"WHEN level = 'root' AND {fits} THEN CAST(array() AS ARRAY<{_NODE}>) " if step == ["root"] else ""
+        cases += " ".join(f"WHEN level = '{x}' THEN concat({', '.join(_type_checks(x))})" for x in step)
         nodes = nodes.select(*keep, F.explode(F.expr(
             f"CASE WHEN level IS NULL THEN array(struct(rule, level, path, v)) {cases} END")).alias("n")).select(*keep, "n.*")
         step = [x for x, (parent, _) in LEVELS.items() if parent in step]

@@ -59,3 +59,22 @@ def test_paths_point_at_the_element(spark):
     bad["in_network"][0]["negotiated_rates"][0]["negotiated_prices"][0]["billing_class"] = "BAD"
     assert ("negotiated_prices.billing_class.enum",
             "$.in_network[0].negotiated_rates[0].negotiated_prices[0].billing_class") in audit(spark, bad)
+
+
+def test_nodes_without_a_wrong_type_are_not_walked(spark):
+    """One pass tells which documents and nodes hold no wrong type; unknown fields and nulls are no fault."""
+    from pyspark.sql import functions as F
+
+    from nestwork.functions.variant import fits_sql
+
+    price = {"negotiated_rate": 1, "service_code": ["01"], "additional_information": None, "own": 2.5}
+    ok = {"version": "1", "other": True, "in_network": [{"name": "n", "negotiated_rates": [{"provider_references": [1], "negotiated_prices": [price, {
+        **price, "negotiated_rate": 1.25}]}, {"provider_groups": [{"npi": [], "tin": {"type": "ein"}}]}]}]}
+    bad = [{**ok, "version": 1}, {**ok, "in_network": [{"name": "n"}, 7]}, {**ok, "in_network": {"a": 1}}]
+    bad += [{**ok, "in_network": [{"negotiated_rates": [{"negotiated_prices": [price, {**price, k: v}]}]}]} for k, v in (
+        ("negotiated_rate", "1"), ("service_code", "01"), ("service_code", ["01", 2]), ("billing_class", {"a": 1}))]
+    df = spark.createDataFrame([(str(i), json.dumps(d)) for i, d in enumerate([ok, *bad])], "file_path string, value string")
+    df = df.select("file_path", F.try_parse_json("value").alias("doc"))
+    fits = {r[0]: r[1] for r in df.select("file_path", F.expr(fits_sql("doc", ct._level_pattern("root")))).collect()}
+    assert fits == {str(i): i == 0 for i in range(len(bad) + 1)}
+    assert sorted(r["file_path"] for r in ct.type_audit(df).collect()) == [str(i + 1) for i in range(len(bad))]
