@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import hash_key
+from ..functions.variant import SCALAR_TYPES, array_pattern, fits_sql, object_pattern
 
 RESCUED = "_rescued_data"
 #: Kinds of VARIANT values that a declared leaf takes; text takes any scalar, as the JSON reader does.
@@ -23,10 +24,25 @@ _KINDS = {T.LongType: "^BIGINT$", T.IntegerType: "^BIGINT$", T.DoubleType: "^(BI
           T.StringType: "^(?!OBJECT|ARRAY).*$"}
 
 
+#: The same kinds in the schema of a whole value, where the items of an array share one type.
+_PATTERNS = {T.LongType: "(?:BIGINT|VOID)", T.IntegerType: "(?:BIGINT|VOID)", T.BooleanType: "(?:BOOLEAN|VOID)", T.StringType: SCALAR_TYPES,
+             T.DoubleType: "(?:BIGINT|DOUBLE|FLOAT|VOID|DECIMAL[(][0-9]+, ?[0-9]+[)])"}
+
+
+def schema_pattern(kind: T.DataType) -> str:
+    """Pattern of the ``schema_of_variant`` text of values of which ``kind`` holds everything."""
+    if isinstance(kind, T.StructType):
+        return object_pattern({f.name: schema_pattern(f.dataType) for f in kind.fields}, is_open=False)
+    return array_pattern(schema_pattern(kind.elementType)) if isinstance(kind, T.ArrayType) else _PATTERNS[type(kind)]
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_NONE = "CAST(array() AS ARRAY<STRUCT<path: STRING, json: STRING>>)"
+
+
 def _found(value: str, path: str) -> str:
     return f"array(struct({path} AS path, to_json({value}) AS json))"
 
@@ -41,19 +57,19 @@ def surplus_sql(value: str, kind: T.DataType, path: str = "'$'", depth: int = 0)
         parts += [surplus_sql(f"{m}[{_quoted(f.name)}]", f.dataType, f"concat({p}, {_quoted('.' + f.name)})", depth + 1) for f in kind.fields]
         body = f"transform(array({path}), {p} -> concat({', '.join(parts)}))[0]"
         inner, bad = f"try_cast({value} AS MAP<STRING, VARIANT>)", _found(value, path)
-        return _bound(value, inner, m, body, bad)
+        # most values fit, which one pass over them tells; only others are walked
+        return f"CASE WHEN {fits_sql(value, schema_pattern(kind))} THEN {_NONE} ELSE {_bound(value, inner, m, body, bad)} END"
     if isinstance(kind, T.ArrayType):
         a, x, i = f"a{depth}", f"x{depth}", f"i{depth}"
         items = surplus_sql(x, kind.elementType, f"concat({path}, '[', CAST({i} AS STRING), ']')", depth + 1)
         return _bound(value, f"try_cast({value} AS ARRAY<VARIANT>)", a, f"flatten(transform({a}, ({x}, {i}) -> {items}))", _found(value, path))
     return (f"CASE WHEN {value} IS NULL OR is_variant_null({value}) OR schema_of_variant({value}) RLIKE {_quoted(_KINDS[type(kind)])} "
-            f"THEN CAST(array() AS ARRAY<STRUCT<path: STRING, json: STRING>>) ELSE {_found(value, path)} END")
+            f"THEN {_NONE} ELSE {_found(value, path)} END")
 
 
 def _bound(value: str, inner: str, name: str, body: str, bad: str) -> str:
     """``body`` over ``inner`` (bound once); nothing for missing and null values, ``bad`` for values of another kind."""
-    none = "CAST(array() AS ARRAY<STRUCT<path: STRING, json: STRING>>)"
-    return (f"CASE WHEN {value} IS NULL OR is_variant_null({value}) THEN {none} "
+    return (f"CASE WHEN {value} IS NULL OR is_variant_null({value}) THEN {_NONE} "
             f"ELSE transform(array({inner}), {name} -> CASE WHEN {name} IS NULL THEN {bad} ELSE {body} END)[0] END")
 
 

@@ -99,3 +99,14 @@ def test_documents_without_a_variant_are_chunked_from_their_typed_form(spark):
     assert results[0][-1] == [(p, 5, 3, 1, 1) for p in paths]
     scan = ch.with_typed_fallback(bronze(spark, [""]), "vdoc", "doc", "has_variant")
     assert "Exchange" not in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_values_that_do_not_fit_are_walked(spark):
+    """One pass tells that a document fits; whatever the plain walk rescues does not match the pattern."""
+    from nestwork.functions.variant import fits_sql
+
+    docs = [*DOCS, {**OK, "in_network": [{"negotiated_rates": []}, None, {}]}, {**OK, "in_network": [{"name": "n"}, {"name": 1}]}]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, value string").withColumn("v", F.try_parse_json("value"))
+    fits = {r["i"]: r["fits"] for r in df.select("i", F.expr(fits_sql("v", R.schema_pattern(RATES_SCHEMA))).alias("fits")).collect()}
+    assert fits[1] and fits[7] and fits[len(DOCS)]
+    assert not any(fits[i] for i, d in enumerate(docs) if plain(d, RATES_SCHEMA))
