@@ -12,10 +12,12 @@ from ..operators import reshape as rs
 from ..session import scratch_path
 from ..sources import catalog
 from ..sources.files import read_json, rows_from_paths, stream_whole_files
-from ..sources.sinks import append_table, stream_to_table, write_json_chunks, write_summary
-from ..sources.tables import table
+from ..sources.sinks import append_table, stream_to_table, write_document_files, write_json_chunks, write_summary
+from ..sources.tables import table, tasks_for
 from .index_plans import index_parsed
 
+#: Files of one document each that one task writes, at most and about.
+FILES_PER_TASK = 2000
 SUPPLIER = ["s_suppkey", "s_name", "s_nationkey"]
 
 
@@ -24,7 +26,7 @@ def q_json_readers(spark, sf_dir):
     root = scratch_path(spark, "json_readers")
     rows = table(spark, sf_dir, "supplier").select(*SUPPLIER)
     pretty = rows.select(F.to_json(F.struct(*SUPPLIER), {"pretty": "true"}).alias("value"))
-    pretty.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(f"{root}/documents")
+    write_document_files(pretty, f"{root}/documents", "value", tasks_for(rows, FILES_PER_TASK), compression="gzip")
     rows.write.json(f"{root}/lines")
     out = None
     for name, multi in (("documents", True), ("lines", False)):

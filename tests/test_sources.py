@@ -80,3 +80,25 @@ def test_json_chunks_cap_rows_per_file(spark, scratch):
     counts = (spark.read.json(scratch + "/chunks").groupBy(F.input_file_name().alias("f")).count().collect())
     assert sum(r["count"] for r in counts) == 2500
     assert max(r["count"] for r in counts) <= 1000 and len(counts) == 3
+
+
+def test_one_document_files_are_written_by_many_tasks(spark, scratch):
+    import os
+
+    from nestwork.sources.sinks import write_document_files
+
+    texts = spark.range(0, 40, 1, 1).selectExpr("concat('{\"a\":', id, '}') AS value")
+    write_document_files(texts, scratch, "value", 4)
+    names = [f for f in os.listdir(scratch.removeprefix("file:")) if f.startswith("part-")]
+    assert len(names) == 40 and len({n[:10] for n in names}) > 1
+    assert sorted(r.value for r in spark.read.text(scratch).collect()) == sorted(r.value for r in texts.collect())
+
+
+def test_settings_of_a_block_come_back(spark):
+    from nestwork.session import with_settings
+
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    with with_settings(spark, {key: "7", "nestwork.unset": "x"}):
+        assert spark.conf.get(key) == "7"
+    assert spark.conf.get(key) == before and spark.conf.get("nestwork.unset", None) is None
