@@ -15,7 +15,7 @@ from ..operators import rates as rt
 from ..operators import rescue
 from ..operators import reshape as rs
 from ..functions.keys import hash_key
-from ..session import scratch_path
+from ..session import scratch_path, with_settings
 from ..sources.change_log import change_log, with_truncate_at_middle
 from ..sources.chain import StreamDefinition, run_chain
 from ..sources.declared import Check, DeclaredColumn, DeclaredTable
@@ -23,8 +23,8 @@ from ..sources.files import read_lines, stream_all_strings, stream_lines, stream
 from ..sources.index_docs import with_index_faults
 from ..sources.bronze import index_bronze_table, rates_bronze_table
 from ..sources.schemas import RATES_SCHEMA
-from ..sources.sinks import stream_to_table
-from ..sources.tables import table
+from ..sources.sinks import MANY_FILES, stream_to_table
+from ..sources.tables import table, tasks_for
 from ..streaming.scd1 import Scd1Target
 from ..streaming.metrics import run_with_metrics
 from ..streaming.windows import closed_windows, latest_updates, tumbling_counts, updates_to_folder
@@ -171,17 +171,27 @@ def q_stream_late_rows(spark, sf_dir):
     return metrics.agg(total("rows_read").alias("n_read"), total("rows_dropped_by_watermark").alias("n_dropped"))
 
 
+#: Keys in one bucket of an SCD1 target, at most and about.
+ROWS_PER_BUCKET = 500_000
+
+
 def q_stream_pivot(spark, sf_dir):
     """(order, key, value) rows stream in by key, so the keys of an order come in different micro-batches; the pivot is
-    streaming aggregation state in update mode, and its updates go to a keyed target, the latest batch winning."""
+    streaming aggregation state in update mode, and its updates go to a keyed target, the latest batch winning.
+
+    Values are text, which Spark aggregates over sorted rows: those of a micro-batch are spread over tasks that grow with
+    them before they are sorted."""
     root = scratch_path(spark, "stream_pivot")
     docs = table(spark, sf_dir, "orders").select("o_orderkey", F.try_parse_json(F.to_json(F.struct(
         "o_custkey", "o_orderstatus", "o_orderpriority"))).alias("v"))
     kv = rs.explode_object(docs, "v", keep=["o_orderkey"]).select("o_orderkey", "key", F.col("value").cast("string").alias("value"))
     kv.repartitionByRange(3, "key").write.parquet(f"{root}/landing")
     src = spark.readStream.schema(kv.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
+    orders = table(spark, sf_dir, "orders")
+    src = src.repartition(tasks_for(orders), "o_orderkey")
     wide = rs.pivot_values(src, ["o_orderkey"], "key", "value", ORDER_KEYS)
-    target = Scd1Target(spark, f"{root}/target", ["o_orderkey"], ["batch"], columns=["o_orderkey", *ORDER_KEYS, "batch"], n_buckets=8)
+    target = Scd1Target(spark, f"{root}/target", ["o_orderkey"], ["batch"], columns=["o_orderkey", *ORDER_KEYS, "batch"],
+                        n_buckets=max(8, tasks_for(orders, ROWS_PER_BUCKET)))
 
     def upsert(batch, batch_id):
         target.apply_batch(batch.withColumns({"batch": F.lit(batch_id).cast("long"), "_change_type": F.lit("update_postimage")}), batch_id)
@@ -200,11 +210,11 @@ def index_changes(spark, sf_dir):
     at = lambda day: F.timestamp_seconds(F.lit(1_700_000_000 + 86_400 * day) + F.col("order_key") % 3600)
     kinds = [("insert", 0, "true", "file_description"), ("update_postimage", 1, "order_key % 3 = 0", "'amended'"),
              ("delete", 2, "order_key % 7 = 0", "file_description"), ("update_postimage", -1, "order_key % 5 = 0", "'stale'")]
-    out = None
-    for arrives, (kind, day, which, text) in enumerate(kinds):
-        part = rows.where(which).select("*", F.expr(text).alias("text"), at(day).alias("_commit_timestamp"), F.lit(kind).alias("_change_type"),
-                                        F.lit(arrives).alias("arrives"))
-        out = part if out is None else out.unionByName(part)
+    # all changes of a row come from one flatten of the documents
+    changes = F.array(*[F.when(F.expr(which), F.struct(
+        F.expr(text).alias("text"), at(day).alias("_commit_timestamp"), F.lit(kind).alias("_change_type"), F.lit(arrives).alias("arrives")))
+        for arrives, (kind, day, which, text) in enumerate(kinds)])
+    out = rows.select("*", F.explode(F.filter(changes, lambda c: c.isNotNull())).alias("c")).select(*rows.columns, "c.*")
     return out.drop("file_description").withColumnRenamed("text", "file_description")
 
 
@@ -217,8 +227,11 @@ def q_stream_index_apply(spark, sf_dir):
     log = index_changes(spark, sf_dir)
     log.repartitionByRange(8, "arrives", "order_key").write.parquet(f"{root}/changes")
     src = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/changes")
+    landed = spark.read.schema(log.schema).parquet(f"{root}/changes")
+    src = src.repartition(tasks_for(landed), *INDEX_KEY)
     src = src.withColumn("window_start", F.window("_commit_timestamp", "1 hour")["start"])
-    target = Scd1Target(spark, f"{root}/target", INDEX_KEY, ["window_start", "_commit_timestamp"], n_buckets=8, max_deltas=3,
+    target = Scd1Target(spark, f"{root}/target", INDEX_KEY, ["window_start", "_commit_timestamp"], max_deltas=3,
+                        n_buckets=max(8, tasks_for(landed, ROWS_PER_BUCKET)),
                         columns=[*INDEX_KEY, "allowed_amount_file_index_id", "file_description", "window_start", "_commit_timestamp", "_change_type"])
     q = (src.writeStream.foreachBatch(target.foreach_batch())
          .option("checkpointLocation", f"{root}/_checkpoints/apply").trigger(availableNow=True).start())
@@ -233,12 +246,15 @@ def q_stream_whole_files(spark, sf_dir):
     is dominated by creating thousands of tiny files; at scale, land JSON Lines
     (``q_stream_flatten``)."""
     root = scratch_path(spark, "stream_whole_files")
-    (index_bronze_table(spark, sf_dir).select("value").write.option("maxRecordsPerFile", 1)
+    (index_bronze_table(spark, sf_dir).select("value").write.options(**MANY_FILES).option("maxRecordsPerFile", 1)
      .text(f"{root}/landing"))
     src = stream_whole_files(spark, f"{root}/landing", max_files_per_trigger=5000)
     flat = fl.flatten_index(src.select("index_file_source_id", "value"))
     rows = flat.where(F.col("file_type").startswith("in_network")).select(*FLAT_OUT)
-    stream_to_table(rows, f"{root}/in_network", f"{root}/_checkpoints/in_network")
+    # Spark looks up the files of each micro-batch again, by default in a task for each file
+    lookups = str(4 * spark.sparkContext.defaultParallelism)
+    with with_settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": lookups}):
+        stream_to_table(rows, f"{root}/in_network", f"{root}/_checkpoints/in_network")
     return spark.read.parquet(f"{root}/in_network")
 
 
@@ -262,6 +278,8 @@ def _stream_rates(spark, sf_dir, status: str):
     root = scratch_path(spark, "stream_rates")
     land_rate_lines(spark, sf_dir, root)
     src = stream_lines(spark, f"{root}/landing/*", max_files_per_trigger=4)
+    # a gzipped file is read by one task: the lines of a micro-batch are parsed by all
+    src = src.repartition(2 * spark.sparkContext.defaultParallelism, "value")
     read = rescue.read_with_rescue(src, RATES_SCHEMA, keep=["index_file_source_id"])
     q = (read.writeStream.foreachBatch(rescue.split_writer(f"{root}/rates"))
          .option("checkpointLocation", f"{root}/_checkpoints/rates").trigger(availableNow=True).start())

@@ -183,3 +183,32 @@ def test_a_failing_pointer_read_is_raised(spark, scratch):
     target.spark = Broken
     with pytest.raises(Exception):
         target._pointer_at(0)
+
+
+def test_index_changes_flatten_the_documents_once(spark):
+    """All changes of a row come from one scan of the bronze table."""
+    from nestwork.plans.stream_plans import index_changes
+
+    log = index_changes(spark, "/root/testdata/sf0.001")
+    plan = log._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    kinds = {r["arrives"]: r["count"] for r in log.groupBy("arrives").count().collect()}
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where("o_orderstatus = 'F'")
+    assert kinds == {0: orders.count(), 1: orders.where("o_orderkey % 3 = 0").count(), 2: orders.where("o_orderkey % 7 = 0").count(),
+                     3: orders.where("o_orderkey % 5 = 0").count()}
+
+
+def test_a_pivot_stream_spreads_its_rows_before_it_sorts_them(spark, monkeypatch):
+    """The tasks that sort a micro-batch, and the buckets of the target, grow with the orders."""
+    from nestwork.plans import stream_plans
+    from nestwork.sources import tables
+    from nestwork.streaming.scd1 import Scd1Target
+
+    made = []
+    init = Scd1Target.__init__
+    monkeypatch.setattr(Scd1Target, "__init__", lambda self, *a, **k: (made.append(k["n_buckets"]), init(self, *a, **k))[1])
+    monkeypatch.setattr(stream_plans, "ROWS_PER_BUCKET", 100)
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 300)
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    out = stream_plans.q_stream_pivot(spark, "/root/testdata/sf0.001")
+    assert made == [-(-orders.count() // 100)] and out.count() == orders.count()
