@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import chunking as ch
-from ..sources.bronze import rates_bronze_table
+from ..sources.bronze import rates_variant_table
 from ..sources.rates_docs import BUNDLED, INLINE, UNRESOLVED, rate_sort_key
 from ..sources.tables import table
 
@@ -20,7 +20,7 @@ CLASS_CHUNK = 5
 
 def rate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rate files as VARIANT, or typed where the VARIANT parser refuses them."""
-    return ch.with_typed_fallback(rates_bronze_table(spark, sf_dir), "vdoc", "doc", "has_variant")
+    return ch.with_typed_fallback(rates_variant_table(spark, sf_dir), "vdoc", "doc", "has_variant")
 
 
 def landed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rates as rt
-from ..sources.bronze import rates_bronze_table
+from ..sources.bronze import rates_bronze_table, rates_typed_table
 from ..sources.rates_docs import BUNDLED, COVERED, INLINE, UNRESOLVED, rate_sort_key, with_type_faults
 from ..sources.tables import table
 
@@ -19,7 +19,7 @@ def rates_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def valid_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rate documents that passed the parse (stored typed, read leaf by leaf)."""
-    kept, _ = rt.split_valid(rates_bronze_table(spark, sf_dir).select("file_path", "doc"))
+    kept, _ = rt.split_valid(rates_typed_table(spark, sf_dir))
     return kept
 
 

@@ -37,7 +37,7 @@ def q_partition_sink(spark, sf_dir):
     root = scratch_path(spark, "partition_sink")
     chunks = ch.split_by_field(rate_docs(spark, sf_dir), PRICE_PATH, "billing_class", CLASS_CHUNK, typed="typed")
     out = chunks.select("category_dir", "file_path", "chunk_name", "n_objects", ch.chunk_json().alias("json"))
-    write_partitioned(out, f"{root}/by_category", ["category_dir"])
+    write_partitioned(out, f"{root}/by_category", ["category_dir"], compression="gzip")
     # the schema written is known: no inference pass; category_dir comes from the folders
     back = spark.read.schema("file_path string, chunk_name string, n_objects int, json string").json(
         f"{root}/by_category")

@@ -6,6 +6,7 @@ Writing cuts the lineage (no re-build of the documents per query, nothing
 kept in executor memory, so a lost executor costs a re-read, not a re-build),
 and the stored columns let Catalyst prune: the typed rate documents are read
 leaf by leaf (nested schema pruning), the parsed VARIANT is never re-parsed.
+Rate files are kept as text, and as typed and VARIANT forms of their own: a query pays for the form it reads.
 """
 
 from __future__ import annotations
@@ -16,18 +17,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
-from ..session import scratch_path
+from ..session import scratch_path, with_settings
 from .change_log import change_log
 from .index_docs import index_documents
 from .rates_docs import rates_documents
 from .schemas import RATES_SCHEMA_WITH_CORRUPT
 from .tables import table, tasks_for
 
+#: A VARIANT is stored as it is: all readers walk it whole, and shredding it into columns costs more than parsing it, on writing and on reading.
+WHOLE_VARIANTS = {"spark.sql.variant.inferShreddingSchema": "false"}
+
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
+def enough_partitions(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """A setting by which the joins under a builder have partitions that grow with the lines (AQE joins small ones and splits hot ones)."""
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return {"spark.sql.shuffle.partitions": str(max(now, tasks_for(table(spark, sf_dir, "lineitem"))))}
+
+
 def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Write ``build()`` once per application and source folder; read it back.
 
@@ -39,7 +49,9 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[]
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, f"bronze-{name}")
-        build().write.mode("overwrite").parquet(path)
+        built = build()
+        with with_settings(spark, WHOLE_VARIANTS | enough_partitions(spark, sf_dir)):
+            built.write.mode("overwrite").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)
 
@@ -54,17 +66,29 @@ def index_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rates_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file_path, value, doc typed struct with _corrupt_record, vdoc VARIANT, has_variant) per rate file.
+    """(file_path, value) per rate file."""
+    return materialized(spark, "rates", sf_dir, lambda: rates_documents(spark, sf_dir))
+
+
+def rates_typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_path, doc typed struct with _corrupt_record) per rate file; written only where a query reads the typed form."""
+    def build():
+        doc = F.from_json("value", RATES_SCHEMA_WITH_CORRUPT, JSON_OPTIONS)
+        return rates_bronze_table(spark, sf_dir).select("file_path", doc.alias("doc"))
+    return materialized(spark, "rates_typed", sf_dir, build)
+
+
+def rates_variant_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_path, doc, vdoc VARIANT, has_variant) per rate file.
 
-    ``has_variant`` is false for documents that the VARIANT parser refuses (too large, repeated keys): a
-    filter on it skips row groups by their statistics."""
+    ``has_variant`` is false for documents that the VARIANT parser refuses (too large, repeated keys): only
+    these are read by the typed parser too, into ``doc``, and a filter on it skips row groups by their statistics."""
     def build():
-        docs = rates_documents(spark, sf_dir)
-        parsed = docs.select("file_path", "value",
-                             F.from_json("value", RATES_SCHEMA_WITH_CORRUPT, JSON_OPTIONS).alias("doc"),
-                             F.try_parse_json("value").alias("vdoc"))
-        return parsed.withColumn("has_variant", F.col("vdoc").isNotNull())
-    return materialized(spark, "rates", sf_dir, build)
+        parsed = rates_bronze_table(spark, sf_dir).select("file_path", "value", F.try_parse_json("value").alias("vdoc"))
+        refused = F.when(F.col("vdoc").isNull(), F.col("value"))
+        return parsed.select("file_path", F.from_json(refused, RATES_SCHEMA_WITH_CORRUPT, JSON_OPTIONS).alias("doc"), "vdoc",
+                             F.col("vdoc").isNotNull().alias("has_variant"))
+    return materialized(spark, "rates_variant", sf_dir, build)
 
 
 def change_log_table(spark: SparkSession, sf_dir: str) -> DataFrame:

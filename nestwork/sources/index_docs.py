@@ -24,10 +24,14 @@ ALLOWED_DESCRIPTION = "allowed amount file"
 PLAN_ID_TYPE = "EIN"
 
 
+def n_pieces(count: Column, size: int) -> Column:
+    """Pieces of a group of ``count`` rows, ``size`` rows each on average at most."""
+    return F.greatest(F.lit(1), F.ceil(count / F.lit(size)))
+
+
 def _piece(count: Column, salt: Column, size: int) -> Column:
     """Piece number in [0, ceil(count/size)): 0 for every small group."""
-    n = F.greatest(F.lit(1), F.ceil(count / F.lit(size)))
-    return F.pmod(F.xxhash64(salt), n).cast("int")
+    return F.pmod(F.xxhash64(salt), n_pieces(count, size)).cast("int")
 
 
 def row_salt() -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .index_docs import _piece, row_salt
+from .index_docs import _piece, n_pieces, row_salt
 from .tables import table, tasks_for
 
 # Fixed values of the fixture layout.
@@ -81,7 +81,7 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
 
     Lines join the per-part counts (a partial aggregate, one row per part), are spread by
     (part, piece) as plain columns over tasks that grow with them, and grouped there;
-    part names join the grouped files.
+    part names, one row for each piece, are spread alike and join the grouped files where they are.
     Provider fields all derive from the supplier key on the line, so no
     supplier join is needed."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -117,7 +117,10 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
         F.sort_array(F.collect_set("provider")).alias("provider_references"),
         F.date_format(F.max("l_shipdate"), "yyyy-MM-dd").alias("last_updated_on"),
     )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    part = (table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+            .join(per_part, F.col("p_partkey") == F.col("pk"))
+            .withColumn("part_piece", F.explode(F.sequence(F.lit(0), n_pieces(F.col("n_rates"), rates_per_doc).cast("int") - 1)))
+            .drop("pk", "n_rates").repartition(n_tasks, "p_partkey", "part_piece").hint("shuffle_hash"))
     code = F.array(F.struct(F.lit("LOCAL").alias("billing_code_type"), F.lit("1").alias("billing_code_type_version"),
                             F.col("p_brand").alias("billing_code"), F.col("p_type").alias("description")))
     bundled, covered = F.expr(BUNDLED), F.expr(COVERED)
@@ -131,7 +134,7 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
         F.col("negotiated_rates"),
         F.when(bundled, code).alias("bundled_codes"), F.when(covered, code).alias("covered_services"),
     )
-    return docs.join(part, docs.l_partkey == part.p_partkey).select(
+    return docs.join(part, (docs.l_partkey == part.p_partkey) & (docs.piece == part.part_piece)).select(
         rates_file_path(F.col("l_partkey"), F.col("piece")).alias("file_path"),
         F.to_json(F.struct(
             F.col("p_brand").alias("reporting_entity_name"),

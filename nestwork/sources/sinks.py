@@ -67,13 +67,13 @@ def write_json_chunks(df: DataFrame, path: str, max_records: int = 1000, partiti
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "json",
-                      max_records: int | None = None) -> None:
+                      max_records: int | None = None, **options: str) -> None:
     """One folder per value of the (string) partition columns.
 
     No shuffle: the file writer sorts each task's rows by the partition
     columns and keeps one file open at a time, so a category holding a third of
     all rows is still written by every task in parallel (never by one task)."""
-    w = df.write.mode("overwrite").partitionBy(*partition_by)
+    w = df.write.mode("overwrite").options(**options).partitionBy(*partition_by)
     if max_records:
         w = w.option("maxRecordsPerFile", int(max_records))
     w.format(fmt).save(path)

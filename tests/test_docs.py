@@ -56,3 +56,39 @@ def test_bronze_tasks_grow_with_the_tables(spark, monkeypatch):
         many, by = f(spark, SF_SMALL), ["event_id"] if k == "change_log" else ["file_path", "value"]
         assert len(many.inputFiles()) > 2 * len(few[k].inputFiles())
         assert sorted(map(tuple, many.select(by).collect())) == sorted(map(tuple, few[k].select(by).collect()))
+
+
+def test_part_names_join_the_grouped_rate_files_without_moving_them(spark):
+    """However many parts there are, nothing that was grouped to documents is shuffled again."""
+    from nestwork.session import with_settings
+
+    with with_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = rates_documents(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+        done = rates_documents(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
+    before = done[:done.index("ObjectHashAggregate")]  # between the join and the documents
+    assert "Exchange" not in before and "Sort" not in before
+
+
+def test_repeated_parts_and_pieces_keep_their_documents(spark, scratch):
+    """A part that stands twice gives each piece of its files twice, as a join does."""
+    con = duckdb.connect()
+    import os
+    os.makedirs(scratch)
+    con.execute(f"COPY (SELECT * FROM '{SF_SMALL}/lineitem.parquet') TO '{scratch}/lineitem.parquet'")
+    con.execute(f"COPY (SELECT * FROM '{SF_SMALL}/part.parquet' UNION ALL SELECT * FROM '{SF_SMALL}/part.parquet' WHERE p_partkey % 3 = 0) TO '{scratch}/part.parquet'")
+    docs = rates_documents(spark, scratch, rates_per_doc=2).groupBy("file_path").count().collect()
+    assert len(docs) > 0
+    assert all(r["count"] == (2 if int(r.file_path.split("/")[1]) % 3 == 0 else 1) for r in docs)
+
+
+def test_stored_variants_are_whole_and_forms_are_written_when_read(spark, monkeypatch):
+    from nestwork.sources import bronze
+
+    monkeypatch.setattr(bronze, "_WRITTEN", {})
+    import pyarrow.parquet as pq
+    table_ = bronze.rates_variant_table(spark, SF_SMALL)
+    assert {name for _, name, _ in bronze._WRITTEN} == {"rates", "rates_variant"}
+    stored = pq.read_schema(table_.inputFiles()[0].removeprefix("file:").replace("///", "/")).field("vdoc").type
+    assert sorted(f.name for f in stored) == ["metadata", "value"]
+    assert bronze.rates_typed_table(spark, SF_SMALL).count() == table_.count()
