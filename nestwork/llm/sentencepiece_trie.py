@@ -29,7 +29,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Callable, Iterator
-from itertools import chain
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -42,7 +42,7 @@ from .common import quoted, small_batches
 
 MARK = "▁"
 #: Words and piece pairs remembered by a Python worker.
-MEMO_WORDS, MEMO_PAIRS = 1_000_000, 1_500_000
+MEMO_WORDS, MEMO_PAIRS = 1_390_000, 1_500_000
 #: Factor that joins two piece ids in one key; more than any vocabulary's size.
 PAIR = 1 << 24
 #: How much less an unknown character scores than the worst piece (unigram models).
@@ -91,16 +91,21 @@ class Pieces:
         self.names = {i: p for p, i in self.ids.items()}
         self.unk = sp.unk_id()
         self.longest = max(map(len, self.ids))
+        self.states = {piece: (i, len(piece), i * PAIR) for piece, i in self.ids.items()}
+        pairs = {p: s for p, s in self.states.items() if len(p) == 2}
         ends: dict[str, set[int]] = {}
         for piece in self.ids:
-            if len(piece) > 1:
-                ends.setdefault(piece[-2:], set()).add(len(piece))
-        self.lengths = {end: tuple(sorted(n, reverse=True)) for end, n in ends.items()}
+            if len(piece) > 2:
+                ends.setdefault(piece[-3:], set()).add(len(piece))
+        # what can end in three characters: lengths of longer pieces, longest first, then the states of the pieces of three and two
+        self.tails = {end: (tuple(sorted(n - {3}, reverse=True)), tuple(self.states[p] for p in (end, end[1:]) if p in self.states and len(p) > 1))
+                      for end, n in ends.items()}
+        self.pair_tails = {p: ((), (s,)) for p, s in pairs.items()}
         self.unk_score = min(self.scores) - UNKNOWN_PENALTY
         crossing = any(MARK in p.lstrip(MARK) for p in self.ids)
         self.words_of = re.compile(".+" if crossing else f"{MARK}*[^{MARK}]+|{MARK}+", re.S).findall
         self.pairs: dict[int, bool] = {}
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}
 
     def marked(self, text: str) -> str:
         """Normalised text with marks for spaces."""
@@ -122,9 +127,9 @@ class Pieces:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def follows(self, last: int, piece: int) -> bool:
-        """Whether ``piece`` can stand after ``last`` (-1: a word's start) in a BPE encoding."""
-        key = last * PAIR + piece
+    def follows(self, key: int) -> bool:
+        """Whether a piece can stand after another (-1: a word's start) in a BPE encoding; ``key`` joins the two."""
+        last, piece = divmod(key, PAIR)
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > MEMO_PAIRS:
@@ -141,8 +146,10 @@ class Pieces:
         states: list = []
         before = ""
         for word in sorted(words):
-            same, most = 0, min(len(word), len(before))
-            while same < most and word[same] == before[same]:
+            same = 0
+            for a, b in zip(word, before):
+                if a != b:
+                    break
                 same += 1
             del states[same:]
             extend(word, states)
@@ -150,26 +157,41 @@ class Pieces:
             before = word
 
     def _extend_bpe(self, word: str, states: list) -> None:
-        """States: (piece or -1 - character, its length).
+        """States: (piece or -1 - character, its length, the first part of the key of a pair that it begins).
 
-        Only lengths of pieces that end in the prefix's last two characters are tried, longest first.
+        Only lengths of pieces that end in the prefix's last three characters are tried, longest first.
         """
-        get, known, follows, lengths = self.ids.get, self.pairs.get, self.follows, self.lengths
+        get, tails, pair_tails, known, follows = self.states.get, self.tails.get, self.pair_tails.get, self.pairs.get, self.follows
+        keys = [-PAIR, *[s[2] for s in states]]  # of the state before each place; a word's start and unknown characters are alike
         for end in range(len(states) + 1, len(word) + 1):
-            for n in lengths.get(word[end - 2:end], ()) if end > 1 else ():
-                if n > end:
+            tail = tails(word[end - 3:end]) if end > 2 else None
+            if tail is None and end > 1:
+                tail = pair_tails(word[end - 2:end])
+            if tail is not None:
+                for n in tail[0]:
+                    if n > end:
+                        continue
+                    state = get(word[end - n:end])
+                    if state is not None:
+                        key = keys[end - n] + state[0]
+                        ok = known(key)
+                        if ok or ok is None and follows(key):
+                            break
+                else:
+                    for state in tail[1]:
+                        key = keys[end - state[1]] + state[0]
+                        ok = known(key)
+                        if ok or ok is None and follows(key):
+                            break
+                    else:
+                        state = None
+                if state is not None:
+                    states.append(state)
+                    keys.append(state[2])
                     continue
-                piece = get(word[end - n:end])
-                if piece is not None:
-                    last = states[end - n - 1][0] if end > n else -1
-                    if last < 0:
-                        last = -1
-                    ok = known(last * PAIR + piece)
-                    if ok or ok is None and follows(last, piece):
-                        states.append((piece, n))
-                        break
-            else:  # one character, which may be unknown
-                states.append((get(word[end - 1], -1 - ord(word[end - 1])), 1))
+            state = get(word[end - 1]) or (-1 - ord(word[end - 1]), 1, -PAIR)  # one character, which may be unknown
+            states.append(state)
+            keys.append(state[2])
 
     def _extend_unigram(self, word: str, states: list) -> None:
         """States: (piece or -1 - character, its length, the best score sum)."""
@@ -185,8 +207,8 @@ class Pieces:
                     best = (-1 - ord(word[end - 1]) if piece is None else piece, n, total)
             states.append(best)
 
-    def _path(self, word: str, states: list) -> tuple[int, ...]:
-        """The pieces back from the word's end; unknown characters as byte pieces."""
+    def _path(self, word: str, states: list) -> bytes:
+        """The pieces back from the word's end, as 32-bit integers; unknown characters as byte pieces."""
         out, end = [], len(word)
         while end:
             piece, n = states[end - 1][:2]
@@ -197,26 +219,27 @@ class Pieces:
             elif not out or out[-1] != self.unk:
                 out.append(self.unk)
             end -= n
-        return tuple(reversed(out))
+        out.reverse()
+        return pack(f"{len(out)}i", *out)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and flat ids of a batch of texts."""
         split = [self.words_of(self.marked(t)) for t in texts]
-        distinct = {w for words in split for w in words}
-        new = {w for w in distinct if w not in self.memo}
+        distinct = set().union(*split)
+        new = distinct.difference(self.memo)
         if len(self.memo) + len(new) > MEMO_WORDS:  # it will be emptied: the batch's known words are learnt again
             self.memo.clear()
             new = distinct
         if new:
             self.learn(new)
         get = self.memo.__getitem__
-        rows = [np.fromiter(chain.from_iterable(map(get, words)), np.int32) for words in split]
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-        return offsets, np.concatenate(rows) if rows else np.empty(0, np.int32)
+        rows = [b"".join(map(get, words)) for words in split]
+        offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
+        return offsets, np.frombuffer(b"".join(rows), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces put together, marks to spaces, byte pieces to characters."""
-        text = b"".join([self.raw[i] for i in ids]).decode("utf-8", "replace")
+        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text[:1] == " " else text
 
 

@@ -82,3 +82,12 @@ def test_table(spark):
     back = full.select("doc_id", S.decode(F.col("token_ids"), spark, S.default_model()).alias("text"))
     assert sorted(map(repr, map(tuple, back.collect()))) == sorted(repr((d, (t or "").replace("▁", " "))) for d, t in rows)
     assert S.token_table(docs_frame(spark, [])).count() == 0
+
+
+def test_states_of_long_words_try_only_pieces_that_end_there():
+    """Pieces of two and three characters are found by their end alone, longer ones by their length."""
+    pieces = S.Pieces(MODEL)
+    for end, (lengths, short) in pieces.tails.items():
+        assert all(n > 3 for n in lengths) and list(lengths) == sorted(lengths, reverse=True)
+        assert all(pieces.names[i] in (end, end[1:]) for i, _, _ in short)
+    assert all(len(p) < 2 or p[-2:] in pieces.pair_tails or p[-3:] in pieces.tails for p in pieces.ids)
