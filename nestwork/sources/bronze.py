@@ -49,20 +49,18 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[]
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, f"bronze-{name}")
-        built = build()
         with with_settings(spark, WHOLE_VARIANTS | enough_partitions(spark, sf_dir)):
-            built.write.mode("overwrite").parquet(path)
+            build().write.mode("overwrite").option("compression", "zstd").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)
 
 
 def index_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(index_file_source_id, file_path, value, doc VARIANT) per index file."""
+    """(index_file_source_id, file_path, value, doc VARIANT) per index file; the text is stored, the VARIANT is parsed where it is read."""
     def build():
         docs = index_documents(spark, sf_dir)
-        return docs.select(hash_key("file_path").alias("index_file_source_id"), "file_path", "value",
-                           F.try_parse_json("value").alias("doc"))
-    return materialized(spark, "index", sf_dir, build)
+        return docs.select(hash_key("file_path").alias("index_file_source_id"), "file_path", "value")
+    return materialized(spark, "index", sf_dir, build).withColumn("doc", F.try_parse_json("value"))
 
 
 def rates_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:

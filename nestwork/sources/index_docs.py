@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .tables import table, tasks_for
 
 # Fixed values of the fixture layout.
@@ -45,101 +46,123 @@ def index_file_path(custkey: Column, part: Column) -> Column:
     return F.concat(F.lit("index/"), custkey.cast("string"), F.lit("/part-"), part.cast("string"), F.lit(".json"))
 
 
-def _order_layout(spark: SparkSession, sf_dir: str, entries_per_element: int, elements_per_doc: int) -> DataFrame:
-    """Order-sized table: each order with its customer, its number of pieces and
-    the customer's number of elements (all counts are partial aggregations)."""
+def packed(text: Column) -> Column:
+    """A text of digits and ``,-;x`` with two characters in a byte (shuffles don't shorten digits)."""
+    codes = F.translate(text, ",-;x", "abcd")
+    return F.unhex(F.when(F.length(codes) % 2 == 1, F.concat(codes, F.lit("e"))).otherwise(codes))
+
+
+def unpacked(binary: Column) -> Column:
+    """The text, or texts one after another, that ``packed`` gave."""
+    return F.translate(F.hex(binary), "ABCDE", ",-;x")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def heavy_keys(rows: DataFrame, key: str, size: int, n_rows: int) -> DataFrame:
+    """(``key``, ``n``) of the keys whose ``n`` of ``rows`` add up to more than ``size``; about ``n_rows`` are expected.
+
+    Sums are built by hash buckets that hold a quarter of ``size`` on average, and by key only in buckets that hold more, so few
+    rows move.  Buckets and keys are stored: the size on disk decides whether they join by broadcast."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(max(1, 4 * n_rows // size)))
+    full = _stored(rows.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).where(F.col("n") > size).select("bucket"), f"buckets-{key}")
+    found = rows.withColumn("bucket", bucket).join(full, "bucket").groupBy(key).agg(F.sum("n").alias("n"))
+    return _stored(found.where(F.col("n") > size), f"heavy-{key}")
+
+
+def _pieces_of_orders(spark: SparkSession, sf_dir: str, entries_per_element: int) -> tuple[DataFrame, DataFrame]:
+    """Orders with their customer and number of pieces, and the orders of more than one piece with their lines (``n``)."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    heavy = heavy_keys(lines.where(F.col("o_orderkey").isNotNull()).withColumn("n", F.lit(1)), "o_orderkey", entries_per_element, lines.count())
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    per_order = (table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
-                 .agg(F.count(F.lit(1)).alias("n_lines")))
-    customer = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
-    x = (orders.join(per_order, "o_orderkey", "left").join(customer, "o_custkey")
-         .withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
-         .withColumn("n_pieces", F.greatest(F.lit(1), F.ceil(F.col("n_lines") / F.lit(entries_per_element)))))
-    per_cust = x.groupBy("o_custkey").agg(F.sum("n_pieces").alias("n_elements"))
-    return x.join(per_cust, "o_custkey")
+    orders = (orders.where(F.col("o_custkey").isNotNull()).join(heavy, "o_orderkey", "left")
+              .withColumn("n_pieces", F.coalesce(n_pieces(F.col("n"), entries_per_element), F.lit(1))).drop("n"))
+    return orders, heavy
 
 
-def _doc_part(n_elements_col: str, elements_per_doc: int) -> Column:
-    return _piece(F.col(n_elements_col), F.struct("o_orderkey", "piece"), elements_per_doc)
+def _heavy_customers(spark: SparkSession, sf_dir: str, orders: DataFrame, elements_per_doc: int) -> DataFrame:
+    """Customers of more than one document with their elements (``n``); one that stands twice has each element twice."""
+    customer = table(spark, sf_dir, "customer").groupBy(F.col("c_custkey").alias("o_custkey")).agg(F.count(F.lit(1)).alias("times"))
+    twice = _stored(customer.where((F.col("times") > 1) & F.col("o_custkey").isNotNull()), "repeated-customers")
+    elements = orders.join(twice, "o_custkey", "left").select(
+        "o_custkey", (F.col("n_pieces") * F.coalesce("times", F.lit(1))).alias("n"))
+    return heavy_keys(elements, "o_custkey", elements_per_doc, table(spark, sf_dir, "orders").count())
 
 
-def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int = 1000,
-                   elements_per_doc: int = 1000) -> DataFrame:
-    """One row per reporting_structure element, already placed in its document:
-    (o_custkey, c_name, c_mktsegment, doc_part, o_orderkey, piece, element parts).
+def index_elements(spark: SparkSession, sf_dir: str, entries_per_element: int = 1000, elements_per_doc: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """Rows of the reporting_structure elements, with their document: (o_custkey, doc_part, o_orderkey, piece, plans, lines),
+    and the documents of each customer: (o_custkey, doc_part, c_name, c_mktsegment, times).
 
-    The rows are hash-partitioned once on (customer, document part), over tasks that
-    grow with the lines and orders; the element grouping, the document grouping and
-    what is written of them all reuse that partitioning."""
+    Lines move to their order as packed numbers, over tasks that grow with the lines and orders, and with it to its
+    document; names of customers, one row for each document, are spread alike and join the grouped documents where they are.
+    Which line goes to which piece, and which piece to which document, is known before they move (``heavy_keys``), so the
+    rows of a hot order or customer go to many tasks."""
     n_tasks = tasks_for(table(spark, sf_dir, "lineitem").select("l_orderkey").unionAll(table(spark, sf_dir, "orders").select("o_orderkey")))
-    layout = _order_layout(spark, sf_dir, entries_per_element, elements_per_doc)
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", row_salt().alias("salt")).repartition(n_tasks, "l_orderkey")
-    entry = F.struct(
-        F.col("l_linenumber").cast("string").alias("description"),
-        F.concat(F.lit(LOCATION_PREFIX), F.col("l_partkey").cast("string"), F.lit("-"),
-                 F.col("l_suppkey").cast("string"), F.lit(".json.gz")).alias("location"),
-    )
-    keys = ["o_custkey", "c_name", "c_mktsegment", "o_orderkey"]
-    file_rows = (
-        lines.join(layout.select(*keys, "n_pieces", "n_elements"), lines.l_orderkey == F.col("o_orderkey"))
-        .withColumn("piece", F.pmod(F.xxhash64("salt"), F.col("n_pieces")).cast("int"))
-        .select(*keys, "piece", _doc_part("n_elements", elements_per_doc).alias("doc_part"),
-                entry.alias("file"),
-                F.lit(None).cast("struct<plan_name:string,plan_id_type:string,plan_id:string,plan_market_type:string>").alias("plan"),
-                F.lit(None).cast("struct<description:string,location:string>").alias("allowed"))
-    )
-    plan = F.struct(
-        F.col("o_orderpriority").alias("plan_name"),
-        F.lit(PLAN_ID_TYPE).alias("plan_id_type"),
-        F.col("o_orderkey").cast("string").alias("plan_id"),
-        F.col("o_orderstatus").alias("plan_market_type"),
-    )
-    allowed = F.when(
-        F.col("o_orderstatus") == "F",
-        F.struct(F.lit(ALLOWED_DESCRIPTION).alias("description"),
-                 F.concat(F.lit(ALLOWED_PREFIX), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("location")),
-    )
-    # every piece of a split order carries its plan; the allowed-amount file stands on the first only
-    pieces = F.explode(F.sequence(F.lit(0), F.col("n_pieces").cast("int") - 1))
-    plan_rows = layout.withColumn("piece", pieces).select(
-        *keys, "piece", _doc_part("n_elements", elements_per_doc).alias("doc_part"),
-        F.lit(None).cast("struct<description:string,location:string>").alias("file"),
-        plan.alias("plan"), F.when(F.col("piece") == 0, allowed).alias("allowed"),
-    )
-    return (
-        file_rows.unionByName(plan_rows)
-        .repartition(n_tasks, "o_custkey", "doc_part")
-        .groupBy("o_custkey", "c_name", "c_mktsegment", "doc_part", "o_orderkey", "piece")
-        .agg(
-            F.sort_array(F.collect_list("plan")).alias("reporting_plans"),
-            F.sort_array(F.collect_list("file")).alias("in_network_files"),
-            F.max("allowed").alias("allowed_amount_file"),
-        )
-    )
+    orders, heavy_orders = _pieces_of_orders(spark, sf_dir, entries_per_element)
+    heavy_customers = _heavy_customers(spark, sf_dir, orders, elements_per_doc)
+    none = F.lit("x")
+    line = F.concat(F.coalesce(F.col("l_linenumber").cast("string"), none), F.lit(","),
+                    F.coalesce(F.concat(F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string")), none), F.lit(";"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), packed(line).alias("line"), row_salt().alias("salt"))
+    lines = (lines.where(F.col("o_orderkey").isNotNull()).join(heavy_orders, "o_orderkey", "left")
+             .select("o_orderkey", F.coalesce(_piece(F.col("n"), F.col("salt"), entries_per_element), F.lit(0)).alias("piece"), "line")
+             .repartition(n_tasks, "o_orderkey", "piece")
+             .groupBy("o_orderkey", "piece").agg(F.listagg("line").alias("lines")))
+    # every piece of a split order carries its plan
+    pieces = orders.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("n_pieces").cast("int") - 1))).join(heavy_customers, "o_custkey", "left")
+    doc_part = F.coalesce(_piece(F.col("n"), F.struct("o_orderkey", "piece"), elements_per_doc), F.lit(0))
+    pieces = (pieces.select("o_orderkey", "piece", "o_custkey", doc_part.alias("doc_part"), F.struct("o_orderpriority", "o_orderstatus").alias("plan"))
+              .repartition(n_tasks, "o_orderkey", "piece")
+              .groupBy("o_orderkey", "piece", "o_custkey", "doc_part").agg(F.collect_list("plan").alias("plans")))
+    elements = pieces.join(lines, ["o_orderkey", "piece"], "left").repartition(n_tasks, "o_custkey", "doc_part")
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    n_docs = F.coalesce(n_pieces(F.col("n"), elements_per_doc), F.lit(1)).cast("int")
+    customer = (customer.join(heavy_customers, "o_custkey", "left")
+                .withColumn("doc_part", F.explode(F.sequence(F.lit(0), n_docs - 1)))
+                .select("o_custkey", "doc_part", "c_name", "c_mktsegment").repartition(n_tasks, "o_custkey", "doc_part")
+                .groupBy("o_custkey", "doc_part", "c_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("times")))
+    return elements, customer
+
+
+def _element(x: Column, times: Column) -> Column:
+    """The reporting_structure element of a row of ``index_elements``."""
+    plan = F.transform(x["plans"], lambda p: F.struct(
+        p["o_orderpriority"].alias("plan_name"), F.lit(PLAN_ID_TYPE).alias("plan_id_type"),
+        x["o_orderkey"].cast("string").alias("plan_id"), p["o_orderstatus"].alias("plan_market_type")))
+    texts = F.filter(F.split(F.coalesce(unpacked(x["lines"]), F.lit("")), ";"), lambda t: t != "")
+    none = F.lit("x")
+    entry = F.transform(texts, lambda t: F.struct(
+        F.nullif(F.substring_index(t, ",", 1), none).alias("description"),
+        F.concat(F.lit(LOCATION_PREFIX), F.nullif(F.substring_index(t, ",", -1), none), F.lit(".json.gz")).alias("location")))
+    # the allowed-amount file stands on the first piece only
+    allowed = F.when((x["piece"] == 0) & F.exists(x["plans"], lambda p: p["o_orderstatus"] == "F"), F.struct(
+        F.lit(ALLOWED_DESCRIPTION).alias("description"), F.concat(F.lit(ALLOWED_PREFIX), x["o_orderkey"].cast("string"), F.lit(".json")).alias("location")))
+    return F.struct(F.sort_array(_repeated(plan, times)).alias("reporting_plans"),
+                    F.sort_array(_repeated(entry, times * F.size(x["plans"]))).alias("in_network_files"),
+                    allowed.alias("allowed_amount_file"))
+
+
+def _repeated(items: Column, times: Column) -> Column:
+    """Orders and customers that stand twice give each entry twice, as a join does."""
+    return F.when(times == 1, items).otherwise(F.flatten(F.array_repeat(items, times.cast("int"))))
 
 
 def index_documents(spark: SparkSession, sf_dir: str, entries_per_element: int = 1000,
                     elements_per_doc: int = 1000) -> DataFrame:
     """Rows of (file_path, value) where ``value`` is the JSON text of one index file."""
-    elements = index_elements(spark, sf_dir, entries_per_element, elements_per_doc)
-    element = F.struct(
-        F.col("o_orderkey"), F.col("piece"),
-        F.struct(
-            F.when(F.size("reporting_plans") > 0, F.col("reporting_plans")).alias("reporting_plans"),
-            F.col("in_network_files"),
-            F.col("allowed_amount_file"),
-        ).alias("e"),
-    )
-    docs = (elements.groupBy("o_custkey", "c_name", "c_mktsegment", "doc_part")
-            .agg(F.sort_array(F.collect_list(element)).alias("rs")))
-    return docs.select(
+    elements, customer = index_elements(spark, sf_dir, entries_per_element, elements_per_doc)
+    docs = (elements.groupBy("o_custkey", "doc_part")
+            .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "piece", "plans", "lines"))).alias("rs")))
+    return docs.join(customer.hint("shuffle_hash"), ["o_custkey", "doc_part"]).select(
         index_file_path(F.col("o_custkey"), F.col("doc_part")).alias("file_path"),
         F.to_json(F.struct(
             F.col("c_name").alias("reporting_entity_name"),
             F.col("c_mktsegment").alias("reporting_entity_type"),
-            F.transform("rs", lambda x: x["e"]).alias("reporting_structure"),
+            F.transform("rs", lambda x: _element(x, F.col("times"))).alias("reporting_structure"),
         )).alias("value"),
     )
 

@@ -92,3 +92,84 @@ def test_stored_variants_are_whole_and_forms_are_written_when_read(spark, monkey
     stored = pq.read_schema(table_.inputFiles()[0].removeprefix("file:").replace("///", "/")).field("vdoc").type
     assert sorted(f.name for f in stored) == ["metadata", "value"]
     assert bronze.rates_typed_table(spark, SF_SMALL).count() == table_.count()
+
+
+def _tables(scratch, **rows):
+    import os
+
+    con = duckdb.connect()
+    os.makedirs(scratch)
+    for name, select in rows.items():
+        con.execute(f"COPY ({select}) TO '{scratch}/{name}.parquet'")
+
+
+def test_repeated_and_null_rows_of_index_files(spark, scratch):
+    """Orders and customers that stand twice give their entries twice, orders without lines an empty list; a null is left out."""
+    _tables(scratch,
+            lineitem="SELECT * FROM (VALUES (1, 7, 8, 2), (1, 7, 8, 10), (1, NULL, 8, 1), (2, -5, 6, NULL), (NULL, 1, 1, 1), (9, 1, 1, 1)) "
+                     "t(l_orderkey, l_partkey, l_suppkey, l_linenumber)",
+            orders="SELECT * FROM (VALUES (1, 1, 'F', 'a'), (1, 1, 'O', 'b'), (2, 2, NULL, NULL), (3, 2, 'F', 'c'), (NULL, 2, 'O', 'd'), (4, NULL, 'F', 'e'), (5, 8, 'F', 'f')) "
+                   "t(o_orderkey, o_custkey, o_orderstatus, o_orderpriority)",
+            customer="SELECT * FROM (VALUES (1, 'x', 's'), (2, 'y', NULL), (2, 'y', NULL), (3, 'z', 's'), (NULL, 'n', 's')) t(c_custkey, c_name, c_mktsegment)")
+    import json
+    docs = {r.file_path: json.loads(r.value) for r in index_documents(spark, scratch).collect()}
+    plan = lambda name, key, kind: {k: v for k, v in zip(
+        ("plan_name", "plan_id_type", "plan_id", "plan_market_type"), (name, "EIN", key, kind)) if v is not None}
+    file = lambda text, place: {k: v for k, v in (("description", text), ("location", place)) if v is not None}
+    allowed = lambda key: {"description": "allowed amount file", "location": f"https://h/allowed/{key}.json"}
+    one = [file("1", None), file("10", "https://h/7-8.json.gz"), file("2", "https://h/7-8.json.gz")]
+    assert docs == {
+        "index/1/part-0.json": {"reporting_entity_name": "x", "reporting_entity_type": "s", "reporting_structure": [
+            {"reporting_plans": [plan("a", "1", "F"), plan("b", "1", "O")], "in_network_files": [f for f in one for _ in range(2)],
+             "allowed_amount_file": allowed(1)}]},
+        "index/2/part-0.json": {"reporting_entity_name": "y", "reporting_structure": [
+            {"reporting_plans": [plan("d", None, "O")] * 2, "in_network_files": []},
+            {"reporting_plans": [plan(None, "2", None)] * 2, "in_network_files": [file(None, "https://h/-5-6.json.gz")] * 2},
+            {"reporting_plans": [plan("c", "3", "F")] * 2, "in_network_files": [], "allowed_amount_file": allowed(3)}]},
+    }
+
+
+def test_lines_move_to_index_files_as_packed_numbers(spark):
+    """No name, prefix or row number goes with a line to its order and its document."""
+    from nestwork.sources.index_docs import index_elements
+
+    elements, customer = index_elements(spark, SF_SMALL)
+    kinds = dict(elements.dtypes)
+    assert kinds["lines"] == "binary" and not {"c_name", "c_mktsegment", "salt"} & set(kinds)
+    n, size = elements.agg(F.sum(F.size("plans")), F.sum(F.length("lines"))).first()
+    n_lines = _counts()[0]
+    assert n == _counts()[1] and size <= 8 * n_lines
+    assert {"c_name", "c_mktsegment"} <= set(customer.columns)
+
+
+def test_packed_texts_come_back(spark):
+    from nestwork.sources.index_docs import packed, unpacked
+
+    texts = ["1,12-3;", "12,-1--2;", "x,x;", "4,9223372036854775807-0;", "3,x;"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r.u for r in df.orderBy("i").select(unpacked(packed(F.col("t"))).alias("u")).collect()] == texts
+    both = df.groupBy().agg(F.listagg(packed(F.col("t"))).alias("b")).select(unpacked(F.col("b")).alias("u")).first().u
+    assert sorted(both.split(";")) == sorted(["", *(t[:-1] for t in texts)])
+
+
+def test_heavy_keys_are_exact_and_few(spark):
+    """Keys above the size with their sums, however the others share their buckets."""
+    from nestwork.sources.index_docs import heavy_keys
+
+    rows = spark.range(5000).select(F.when(F.col("id") < 3000, F.col("id") % 3).otherwise(F.col("id")).alias("k"), F.lit(1).alias("n"))
+    assert {(r.k, r.n) for r in heavy_keys(rows, "k", 999, 5000).collect()} == {(0, 1000), (1, 1000), (2, 1000)}
+    assert heavy_keys(rows, "k", 1000, 5000).count() == 0
+    assert {(r.k, r.n) for r in heavy_keys(rows, "k", 999, 1).collect()} == {(0, 1000), (1, 1000), (2, 1000)}
+
+
+def test_index_bronze_stores_the_text_only(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from nestwork.sources import bronze
+
+    monkeypatch.setattr(bronze, "_WRITTEN", {})
+    stored = bronze.index_bronze_table(spark, SF_SMALL)
+    meta = pq.ParquetFile(stored.inputFiles()[0].removeprefix("file:").replace("///", "/"))
+    assert meta.schema_arrow.names == ["index_file_source_id", "file_path", "value"]
+    assert meta.metadata.row_group(0).column(2).compression == "ZSTD"
+    assert stored.where(F.col("doc").isNull()).count() == 0
