@@ -3,7 +3,7 @@
 ``column_profile`` computes every column's statistics in ONE aggregation
 (partial aggregation map-side, one tiny exchange) and stacks the single result
 row into one row per column.  ``array_paths`` walks documents level by level
-with one generator per level: a node is recorded once (without its value) and
+with one generator per level: an array is recorded once (without its value) and
 its children are expanded, so the plan is a straight chain with no re-scan.
 """
 
@@ -74,15 +74,11 @@ def merged_profile(parts: DataFrame) -> DataFrame:
 
 
 _CHILDREN = """
-CASE WHEN _v IS NULL THEN array() ELSE concat(
-  array(struct(_path AS path, CAST(NULL AS VARIANT) AS v, true AS rec,
-               try_cast(_v AS ARRAY<VARIANT>) IS NOT NULL AS is_array)),
-  coalesce(transform(map_entries(try_cast(_v AS MAP<STRING, VARIANT>)),
-      e -> struct(CASE WHEN _path = '' THEN e.key ELSE _path || '.' || e.key END AS path, e.value AS v,
-                  false AS rec, false AS is_array)), array()),
-  coalesce(transform(try_cast(_v AS ARRAY<VARIANT>),
-      x -> struct(CASE WHEN _path = '' THEN 'item' ELSE _path || '.item' END AS path, x AS v,
-                  false AS rec, false AS is_array)), array())) END"""
+CASE WHEN _items IS NOT NULL THEN concat(
+  array(struct(_path AS path, CAST(NULL AS VARIANT) AS v, true AS rec)),
+  transform(_items, x -> struct(CASE WHEN _path = '' THEN 'item' ELSE _path || '.item' END AS path, x AS v, false AS rec)))
+ELSE coalesce(transform(map_entries(try_cast(_v AS MAP<STRING, VARIANT>)),
+  e -> struct(CASE WHEN _path = '' THEN e.key ELSE _path || '.' || e.key END AS path, e.value AS v, false AS rec)), array()) END"""
 
 
 def nesting(docs: DataFrame, doc: str = "doc") -> int:
@@ -102,17 +98,14 @@ def array_paths(docs: DataFrame, doc: str = "doc", key: str = "file_path", limit
     documents that contain it, at any depth.  ``limit`` keeps the first paths in
     path order (L1); by default every path is returned."""
     levels = nesting(docs, doc)
-    nodes = docs.select(F.col(key).alias("_key"), F.lit("").alias("_path"), F.col(doc).alias("_v"),
-                        F.lit(False).alias("_rec"), F.lit(False).alias("_arr"))
+    nodes = docs.select(F.col(key).alias("_key"), F.lit("").alias("_path"), F.col(doc).alias("_v"), F.lit(False).alias("_rec"))
     for _ in range(levels + 1):
-        nodes = nodes.select("_key", F.explode(
+        nodes = nodes.withColumn("_items", F.expr("try_cast(_v AS ARRAY<VARIANT>)")).select("_key", F.explode(
             F.when(F.col("_rec"), F.array(F.struct(F.col("_path").alias("path"), F.lit(None).cast("variant").alias("v"),
-                                                   F.lit(True).alias("rec"), F.col("_arr").alias("is_array"))))
+                                                   F.lit(True).alias("rec"))))
             .otherwise(F.expr(_CHILDREN))).alias("n")).select(
-            "_key", F.col("n.path").alias("_path"), F.col("n.v").alias("_v"),
-            F.col("n.rec").alias("_rec"), F.col("n.is_array").alias("_arr"))
-        nodes = nodes.where(~F.col("_rec") | F.col("_arr"))  # recorded leaves and objects are done
-    found = nodes.where(F.col("_rec") & F.col("_arr")).select(
+            "_key", F.col("n.path").alias("_path"), F.col("n.v").alias("_v"), F.col("n.rec").alias("_rec"))
+    found = nodes.where(F.col("_rec")).select(
         "_key", F.when(F.col("_path") == "", F.lit("item")).otherwise(F.concat("_path", F.lit(".item"))).alias("path"))
     out = (found.distinct().groupBy("path").agg(F.count(F.lit(1)).alias("n_docs"))
            .withColumn("depth", F.size(F.filter(F.split("path", r"\."), lambda x: x == "item"))))

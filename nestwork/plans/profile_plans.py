@@ -32,8 +32,8 @@ def q_profile_parts(spark, sf_dir):
 
 
 def q_json_array_paths(spark, sf_dir):
-    docs = index_parsed(spark, sf_dir)
-    return pf.array_paths(docs, key="index_file_source_id").select("path", "depth", "n_docs")
+    # a document is known by its path too, which is shorter to move than the key made of it
+    return pf.array_paths(index_parsed(spark, sf_dir), key="file_path").select("path", "depth", "n_docs")
 
 
 def q_json_root_types(spark, sf_dir):

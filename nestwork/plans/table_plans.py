@@ -84,7 +84,7 @@ def q_column_helpers(spark, sf_dir):
 
 def q_first_array_paths(spark, sf_dir):
     """L1: the first two array paths of the index files, in path order."""
-    return pf.array_paths(index_parsed(spark, sf_dir), key="index_file_source_id", limit=2).select("path", "depth", "n_docs")
+    return pf.array_paths(index_parsed(spark, sf_dir), key="file_path", limit=2).select("path", "depth", "n_docs")
 
 
 def q_stream_clean_source(spark, sf_dir):
