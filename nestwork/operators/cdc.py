@@ -42,10 +42,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                    columns: Sequence[str] | None = None) -> DataFrame:
     """The row with the greatest ``order_by`` per key (partial aggregation).
 
-    Truncate marks and update preimages are not rows of a key and are left out."""
+    Truncate marks and update preimages are not rows of a key and are left out.  Where ``order_by`` holds every
+    column kept, the greatest ``order_by`` is the row, and nothing else moves."""
     if "_change_type" in df.columns:
         df = df.where(~F.coalesce(F.col("_change_type").isin("truncate", "update_preimage"), F.lit(False)))
     columns = [c for c in (columns or df.columns) if c not in keys]
+    if set(columns) <= set(order_by):
+        return df.groupBy(*keys).agg(F.max(F.struct(*order_by)).alias("_r")).select(*keys, *[F.col("_r")[c].alias(c) for c in columns])
     order = F.struct(*[F.col(c) for c in order_by], F.xxhash64(*[F.col(c) for c in df.columns]))
     return (df.groupBy(*keys).agg(F.max_by(F.struct(*columns), order).alias("_r"))
             .select(*keys, "_r.*"))

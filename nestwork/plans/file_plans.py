@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as nm
@@ -66,19 +66,29 @@ def latest_results(spark, sf_dir):
     return cdc.latest_per_key(res, ["file_location"], ["attempt", "status"], ["attempt", "status"])
 
 
+def located_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In-network files as (id, file_location), ready to move: the key as 32 bytes, not as the 64 digits that ``file_id`` gives again."""
+    rows = fl.in_network_file_index(flat_index(spark, sf_dir))
+    return rows.select(F.unhex("in_network_file_index_id").alias("id"), "file_location")
+
+
+def file_id() -> Column:
+    return F.lower(F.hex("id")).alias("in_network_file_index_id")
+
+
 def q_pending_files(spark, sf_dir):
     """In-network files with a location and no download result yet."""
-    rows = fl.in_network_file_index(flat_index(spark, sf_dir)).where(F.col("file_location").isNotNull())
+    rows = located_files(spark, sf_dir).where(F.col("file_location").isNotNull())
     done = download_results(spark, sf_dir).select("file_location")
-    return rows.join(done, "file_location", "left_anti").select("in_network_file_index_id", "file_location")
+    return rows.join(done, "file_location", "left_anti").select(file_id(), "file_location")
 
 
 def q_file_status(spark, sf_dir):
     """Every in-network file with its latest download result (or none)."""
-    rows = fl.in_network_file_index(flat_index(spark, sf_dir))
+    rows = located_files(spark, sf_dir)
     latest = latest_results(spark, sf_dir)
     return rows.join(latest, "file_location", "left").select(
-        "in_network_file_index_id", "file_location",
+        file_id(), "file_location",
         F.col("status").alias("download_status"), F.col("attempt").alias("download_attempts"))
 
 

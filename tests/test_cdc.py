@@ -102,3 +102,26 @@ def test_changes_between_sees_a_truncate(spark):
     after = {(r["k"], r["v"], r["_change_type"]) for r in cdc.changes_between(log, ["k"], ["s"], ["v"], 1).collect()}
     assert after == {(3, "c", "insert")}
     assert {r["k"] for r in cdc.latest_per_key(log, ["k"], ["s"]).collect()} == {1, 2, 3}
+
+
+def test_latest_per_key_of_ordered_columns_moves_them_once(spark):
+    """Where the order holds every kept column, the greatest order is the row: no second copy and no hash."""
+    rows = spark.createDataFrame([(1, 1, "b"), (1, 2, "a"), (1, 2, None), (2, None, "x"), (2, None, "y")], "k int, a int, s string")
+    out = cdc.latest_per_key(rows, ["k"], ["a", "s"], ["s", "a"])
+    assert out.columns == ["k", "s", "a"] and {tuple(r) for r in out.collect()} == {(1, "a", 2), (2, "y", None)}
+    assert "max_by" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_file_keys_move_as_bytes(spark):
+    """The joins with download results move keys of 32 bytes and give them back as they were."""
+    from nestwork.operators import flatten as fl
+    from nestwork.plans import file_plans as fp
+
+    from .conftest import SF_SMALL
+
+    rows = fp.located_files(spark, SF_SMALL)
+    assert dict(rows.dtypes)["id"] == "binary" and rows.where(F.length("id") != 32).count() == 0
+    want = fl.in_network_file_index(fp.flat_index(spark, SF_SMALL)).select("in_network_file_index_id")
+    got = fp.q_file_status(spark, SF_SMALL).select("in_network_file_index_id")
+    assert sorted(r[0] for r in got.collect()) == sorted(r[0] for r in want.collect())
+    assert got.where(F.length("in_network_file_index_id") != 64).count() == 0
