@@ -18,7 +18,7 @@ def index_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze rows with the stored VARIANT (no re-parse)."""
+    """Bronze rows with the VARIANT, parsed as they are read."""
     return index_bronze_table(spark, sf_dir).select("index_file_source_id", "file_path", "doc")
 
 

@@ -5,7 +5,8 @@ its bronze stage as a stored table too).
 Writing cuts the lineage (no re-build of the documents per query, nothing
 kept in executor memory, so a lost executor costs a re-read, not a re-build),
 and the stored columns let Catalyst prune: the typed rate documents are read
-leaf by leaf (nested schema pruning), the parsed VARIANT is never re-parsed.
+leaf by leaf (nested schema pruning), the VARIANT of rate files is never re-parsed.
+Index files are kept as text and parsed where they are read: a VARIANT beside it doubles what is written.
 Rate files are kept as text, and as typed and VARIANT forms of their own: a query pays for the form it reads.
 """
 
