@@ -15,7 +15,7 @@ from ..operators import rates as rt
 from ..operators import rescue
 from ..operators import reshape as rs
 from ..functions.keys import hash_key
-from ..session import scratch_path, with_settings
+from ..session import NO_OLD_SHUFFLES, scratch_path, with_settings
 from ..sources.change_log import change_log, with_truncate_at_middle
 from ..sources.chain import StreamDefinition, run_chain
 from ..sources.declared import Check, DeclaredColumn, DeclaredTable
@@ -23,7 +23,7 @@ from ..sources.files import read_lines, stream_all_strings, stream_lines, stream
 from ..sources.index_docs import with_index_faults
 from ..sources.bronze import index_bronze_table, rates_bronze_table
 from ..sources.schemas import RATES_SCHEMA
-from ..sources.sinks import MANY_FILES, stream_to_table
+from ..sources.sinks import FILES_PER_TASK, stream_to_table, write_document_files
 from ..sources.tables import table, tasks_for
 from ..streaming.scd1 import Scd1Target
 from ..streaming.metrics import run_with_metrics
@@ -239,6 +239,11 @@ def q_stream_index_apply(spark, sf_dir):
     return target.current().select("allowed_amount_file_index_id", "file_location", "file_description")
 
 
+#: The log of the files that a stream has read is written anew, as one, every so many micro-batches (10 by default): its
+#: bytes grow with the square of the files.
+FEW_LOG_COPIES = {"spark.sql.streaming.fileSource.log.compactInterval": "100"}
+
+
 def q_stream_whole_files(spark, sf_dir):
     """S1-S4 with file semantics: every index document is its own file (written
     with ``maxRecordsPerFile=1``, no driver loop), streamed back whole
@@ -246,20 +251,22 @@ def q_stream_whole_files(spark, sf_dir):
     is dominated by creating thousands of tiny files; at scale, land JSON Lines
     (``q_stream_flatten``)."""
     root = scratch_path(spark, "stream_whole_files")
-    (index_bronze_table(spark, sf_dir).select("value").write.options(**MANY_FILES).option("maxRecordsPerFile", 1)
-     .text(f"{root}/landing"))
+    docs = index_bronze_table(spark, sf_dir).select("value")
+    with with_settings(spark, NO_OLD_SHUFFLES):
+        write_document_files(docs, f"{root}/landing", "value", tasks_for(docs, FILES_PER_TASK), compression="gzip")
     src = stream_whole_files(spark, f"{root}/landing", max_files_per_trigger=5000)
     flat = fl.flatten_index(src.select("index_file_source_id", "value"))
     rows = flat.where(F.col("file_type").startswith("in_network")).select(*FLAT_OUT)
+    # a scan makes a task of 32 small files at most, and each task a file: a few tasks for each core do both sooner
+    tasks = 4 * spark.sparkContext.defaultParallelism
     # Spark looks up the files of each micro-batch again, by default in a task for each file
-    lookups = str(4 * spark.sparkContext.defaultParallelism)
-    with with_settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": lookups}):
-        stream_to_table(rows, f"{root}/in_network", f"{root}/_checkpoints/in_network")
+    with with_settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)} | FEW_LOG_COPIES):
+        stream_to_table(rows.coalesce(tasks), f"{root}/in_network", f"{root}/_checkpoints/in_network")
     return spark.read.parquet(f"{root}/in_network")
 
 
 def land_rate_lines(spark, sf_dir, root: str) -> None:
-    """Rate files as JSON Lines, half of them gzipped, with saved web pages among them.
+    """Rate files as JSON Lines, half of them gzipped and half in LZ4, with saved web pages among them.
 
     By part number, one in twenty each: a further root field, a further field inside an item, a price that is text, and a text cut off."""
     docs = rates_bronze_table(spark, sf_dir).select(F.split("file_path", "/")[1].cast("long").alias("pk"), "value")

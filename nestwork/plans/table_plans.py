@@ -12,12 +12,10 @@ from ..operators import reshape as rs
 from ..session import scratch_path
 from ..sources import catalog
 from ..sources.files import read_json, rows_from_paths, stream_whole_files
-from ..sources.sinks import append_table, stream_to_table, write_document_files, write_json_chunks, write_summary
+from ..sources.sinks import FILES_PER_TASK, append_table, stream_to_table, write_document_files, write_json_chunks, write_summary
 from ..sources.tables import table, tasks_for
 from .index_plans import index_parsed
 
-#: Files of one document each that one task writes, at most and about.
-FILES_PER_TASK = 2000
 SUPPLIER = ["s_suppkey", "s_name", "s_nationkey"]
 
 

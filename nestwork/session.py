@@ -24,6 +24,11 @@ _LOCAL_CONF = {
 }
 
 
+#: Shuffle files go when the job that made them ends, not when the driver happens to collect its garbage; for blocks of
+#: whole jobs (a written table, a stream), whose shuffles nothing reads later.
+NO_OLD_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "nestwork") -> SparkSession:
     """Return the active session, or build a local one for tests and benches."""
     active = SparkSession.getActiveSession()

@@ -15,8 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 #: For writers of very many files into a new folder: each task moves its own files when it commits, instead of
-#: the driver moving all of them one by one; the folder is read only after the job has ended.
-MANY_FILES = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+#: the driver moving all of them one by one; the folder is read only after the job has ended.  In a local folder
+#: (other stores are not concerned) files come without checksum files, which double the files and the time.
+MANY_FILES = {"mapreduce.fileoutputcommitter.algorithm.version": "2",
+              "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+#: Files of one document each that one task writes, at most and about.
+FILES_PER_TASK = 2000
 
 
 def write_document_files(texts: DataFrame, path: str, key: str, tasks: int, **options: str) -> None:
@@ -28,6 +33,8 @@ def stream_to_table(df: DataFrame, path: str, checkpoint: str, partition_by: Seq
                     fmt: str = "parquet", query_name: str | None = None, wait: bool = True) -> StreamingQuery:
     """Append a stream to a table folder, processing what is available now."""
     w = df.writeStream.format(fmt).option("checkpointLocation", checkpoint).outputMode("append")
+    if fmt == "parquet":
+        w = w.option("compression", "zstd")  # keys are hex text, of which the default codec saves nothing
     if partition_by:
         w = w.partitionBy(*partition_by)
     if query_name:
@@ -59,11 +66,11 @@ def append_table(df: DataFrame, name: str) -> None:
     df.write.mode("append").saveAsTable(name)
 
 
-def write_json_chunks(df: DataFrame, path: str, max_records: int = 1000, partitions: int | None = None) -> None:
+def write_json_chunks(df: DataFrame, path: str, max_records: int = 1000, partitions: int | None = None, **options: str) -> None:
     """K4/K6: JSON files of at most ``max_records`` rows each (no counting pass)."""
     if partitions:
         df = df.repartition(partitions)
-    df.write.mode("overwrite").options(**MANY_FILES).option("maxRecordsPerFile", int(max_records)).json(path)
+    df.write.mode("overwrite").options(**MANY_FILES, **options).option("maxRecordsPerFile", int(max_records)).json(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "json",
