@@ -111,7 +111,8 @@ def split_writer(root: str):
     A replayed batch overwrites its own folder."""
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = F.when(F.col("reason").isNull(), "kept").otherwise("quarantine")
-        batch.withColumn("status", kept).write.mode("overwrite").partitionBy("status").parquet(f"{root}/batch={batch_id}")
+        (batch.withColumn("status", kept).write.mode("overwrite").option("compression", "zstd").partitionBy("status")
+         .parquet(f"{root}/batch={batch_id}"))
     return write
 
 

@@ -276,21 +276,24 @@ def land_rate_lines(spark, sf_dir, root: str) -> None:
              .when(kind == 3, F.regexp_replace(v, r'^(.*?"negotiated_rate":)[0-9.E]+', r'$1"n/a"'))
              .when(kind == 4, F.expr("substring(value, 1, length(value) - 2)")).otherwise(v))
     pages = table(spark, sf_dir, "pages").select(F.regexp_replace("html", r"[\r\n]+", " ").alias("value"))
-    docs.where("pk % 2 = 0").select(value.alias("value")).unionByName(pages).write.text(f"{root}/landing/plain")
+    docs.where("pk % 2 = 0").select(value.alias("value")).unionByName(pages).write.option("compression", "lz4").text(f"{root}/landing/lz4")
     docs.where("pk % 2 = 1").select(value.alias("value")).write.option("compression", "gzip").text(f"{root}/landing/gz")
 
 
 def _stream_rates(spark, sf_dir, status: str):
-    """The landed lines streamed, compared with the declared schema, and each micro-batch split."""
+    """The landed lines streamed, compared with the declared schema, and each micro-batch split.
+
+    Landed files go once the batch that read them is written: nothing else reads them."""
     root = scratch_path(spark, "stream_rates")
     land_rate_lines(spark, sf_dir, root)
-    src = stream_lines(spark, f"{root}/landing/*", max_files_per_trigger=4)
-    # a gzipped file is read by one task: the lines of a micro-batch are parsed by all
+    src = stream_lines(spark, f"{root}/landing/*", max_files_per_trigger=4, clean_source="delete")
+    # a compressed file is read by one task: the lines of a micro-batch are parsed by all
     src = src.repartition(2 * spark.sparkContext.defaultParallelism, "value")
     read = rescue.read_with_rescue(src, RATES_SCHEMA, keep=["index_file_source_id"])
-    q = (read.writeStream.foreachBatch(rescue.split_writer(f"{root}/rates"))
-         .option("checkpointLocation", f"{root}/_checkpoints/rates").trigger(availableNow=True).start())
-    q.awaitTermination()
+    with with_settings(spark, NO_OLD_SHUFFLES):
+        q = (read.writeStream.foreachBatch(rescue.split_writer(f"{root}/rates"))
+             .option("checkpointLocation", f"{root}/_checkpoints/rates").trigger(availableNow=True).start())
+        q.awaitTermination()
     return rescue.split_table(spark, f"{root}/rates", read.schema, status)
 
 

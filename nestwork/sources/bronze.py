@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
-from ..session import scratch_path, with_settings
+from ..session import NO_OLD_SHUFFLES, scratch_path, with_settings
 from .change_log import change_log
 from .index_docs import index_documents
 from .rates_docs import rates_documents
@@ -50,7 +50,7 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[]
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, f"bronze-{name}")
-        with with_settings(spark, WHOLE_VARIANTS | enough_partitions(spark, sf_dir)):
+        with with_settings(spark, WHOLE_VARIANTS | NO_OLD_SHUFFLES | enough_partitions(spark, sf_dir)):
             build().write.mode("overwrite").option("compression", "zstd").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)

@@ -58,9 +58,9 @@ def read_whole_files(spark: SparkSession, path: str, glob: str | None = None) ->
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                 glob: str | None = None) -> DataFrame:
+                 glob: str | None = None, clean_source: str = "off", archive_dir: str | None = None) -> DataFrame:
     """One row per line (JSON Lines documents), with bronze columns."""
-    r = _file_source_options(spark.readStream.format("text"), max_files_per_trigger, glob)
+    r = _file_source_options(spark.readStream.format("text"), max_files_per_trigger, glob, clean_source, archive_dir)
     return _bronze_columns(r.load(path))
 
 

@@ -63,3 +63,36 @@ def test_whole_files_are_written_by_many_tasks_and_streamed_by_few(spark, scratc
     assert len(written) <= 4 * spark.sparkContext.defaultParallelism and _codecs(f"{scratch}/out-stream_whole_files/in_network") == {"ZSTD"}
     rows = out.collect()
     assert len(rows) == 72 and {r.reporting_entity_name for r in rows} == {f"c{i}" for i in range(12)}
+
+
+def test_rate_lines_and_their_stream_are_compressed(spark, scratch, sf):
+    assert stream_plans.q_stream_rates(spark, sf).count() == 56  # lines of parts whose number modulo 20 is not 1 to 4
+    landed = [f for f in _files(f"{scratch}/out-stream_rates/landing") if f.startswith("part-")]
+    assert landed and {f.rsplit(".", 1)[1] for f in landed} <= {"gz", "lz4"}
+    assert _codecs(f"{scratch}/out-stream_rates/rates") == {"ZSTD"}
+    bad = stream_plans.rescue.split_table(spark, f"{scratch}/out-stream_rates/rates", spark.read.parquet(
+        f"{scratch}/out-stream_rates/rates/batch=0").drop("status").schema, "quarantine")
+    assert bad.count() == 8 + 3
+
+
+def test_lines_that_were_streamed_can_be_deleted(spark, scratch):
+    spark.range(0, 30, 1, 3).selectExpr("CAST(id AS STRING) AS value").write.text(f"{scratch}/landing")
+    src = stream_lines(spark, f"{scratch}/landing", max_files_per_trigger=1, clean_source="delete")
+    q = (src.select("value").writeStream.format("parquet").option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start(f"{scratch}/out"))
+    q.awaitTermination()
+    assert spark.read.parquet(f"{scratch}/out").count() == 30
+    assert len([f for f in _files(f"{scratch}/landing") if f.startswith("part-")]) <= 1  # the last batch's file may stay
+
+
+def test_bronze_tables_leave_no_shuffle_files(spark, monkeypatch, sf):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    shuffled = lambda: {f for d in folders for f in _files(d.getPath()) if f.startswith("shuffle_") and f.endswith(".data")}
+    before = shuffled()
+    rates, index = bronze.rates_bronze_table(spark, sf), bronze.index_bronze_table(spark, sf)
+    for _ in range(50):  # executors delete them in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert rates.count() == 40 and index.count() == 12
