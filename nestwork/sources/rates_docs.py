@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .index_docs import _piece, n_pieces, row_salt
+from .index_docs import _piece, heavy_keys, n_pieces, row_salt
 from .tables import table, tasks_for
 
 # Fixed values of the fixture layout.
@@ -79,7 +79,7 @@ def rate_sort_key() -> list[str]:
 def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000) -> DataFrame:
     """Rows of (file_path, value) with ``value`` the JSON text of one rate file.
 
-    Lines join the per-part counts (a partial aggregate, one row per part), are spread by
+    Which parts need several pieces is known before lines move (``heavy_keys``), so lines move once: they are spread by
     (part, piece) as plain columns over tasks that grow with them, and grouped there;
     part names, one row for each piece, are spread alike and join the grouped files where they are.
     Provider fields all derive from the supplier key on the line, so no
@@ -88,7 +88,8 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_shipdate", row_salt().alias("salt"))
     n_tasks = tasks_for(lines)
-    per_part = lines.groupBy(F.col("l_partkey").alias("pk")).agg(F.count(F.lit(1)).alias("n_rates"))
+    parts = table(spark, sf_dir, "lineitem").select("l_partkey", F.lit(1).alias("n")).where(F.col("l_partkey").isNotNull())
+    heavy = heavy_keys(parts, "l_partkey", rates_per_doc, lines.count())
     groups = F.array(F.struct(
         F.array(*[F.lit(b) + F.col("l_suppkey") for b in NPI_BASES]).alias("npi"),
         F.struct(F.lit("ein").alias("type"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0").alias("value")).alias("tin"),
@@ -101,8 +102,8 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
     )
     provider = F.when(~inline & ~unresolved, F.struct(F.col("l_suppkey").alias("provider_group_id"), groups.alias("provider_groups")))
     keyed = (
-        lines.join(per_part, lines.l_partkey == per_part.pk)
-        .withColumn("piece", _piece(F.col("n_rates"), F.col("salt"), rates_per_doc)).drop("pk", "n_rates", "salt")
+        lines.where(F.col("l_partkey").isNotNull()).join(heavy, "l_partkey", "left")
+        .withColumn("piece", F.coalesce(_piece(F.col("n"), F.col("salt"), rates_per_doc), F.lit(0))).drop("n", "salt")
         .repartition(n_tasks, "l_partkey", "piece")
         .select(
             "l_partkey",
@@ -118,9 +119,9 @@ def rates_documents(spark: SparkSession, sf_dir: str, rates_per_doc: int = 1000)
         F.date_format(F.max("l_shipdate"), "yyyy-MM-dd").alias("last_updated_on"),
     )
     part = (table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-            .join(per_part, F.col("p_partkey") == F.col("pk"))
-            .withColumn("part_piece", F.explode(F.sequence(F.lit(0), n_pieces(F.col("n_rates"), rates_per_doc).cast("int") - 1)))
-            .drop("pk", "n_rates").repartition(n_tasks, "p_partkey", "part_piece").hint("shuffle_hash"))
+            .join(heavy.withColumnRenamed("l_partkey", "p_partkey"), "p_partkey", "left")
+            .withColumn("part_piece", F.explode(F.sequence(F.lit(0), F.coalesce(n_pieces(F.col("n"), rates_per_doc), F.lit(1)).cast("int") - 1)))
+            .drop("n").repartition(n_tasks, "p_partkey", "part_piece").hint("shuffle_hash"))
     code = F.array(F.struct(F.lit("LOCAL").alias("billing_code_type"), F.lit("1").alias("billing_code_type_version"),
                             F.col("p_brand").alias("billing_code"), F.col("p_type").alias("description")))
     bundled, covered = F.expr(BUNDLED), F.expr(COVERED)

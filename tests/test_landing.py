@@ -75,6 +75,13 @@ def test_rate_lines_and_their_stream_are_compressed(spark, scratch, sf):
     assert bad.count() == 8 + 3
 
 
+def test_rates_quarantine_holds_every_fault(spark, scratch, sf):
+    rows = stream_plans.q_rates_quarantine(spark, sf).collect()
+    assert len(rows) == 8 + 3 and _codecs(f"{scratch}/out-stream_rates/rates") == {"ZSTD"}
+    assert sorted(r.rescued_path or "" for r in rows) == [""] * 5 + sorted(
+        2 * ["$.vendor_note", "$.in_network[0].surcharge", "$.in_network[0].negotiated_rates[0].negotiated_prices[0].negotiated_rate"])
+
+
 def test_lines_that_were_streamed_can_be_deleted(spark, scratch):
     spark.range(0, 30, 1, 3).selectExpr("CAST(id AS STRING) AS value").write.text(f"{scratch}/landing")
     src = stream_lines(spark, f"{scratch}/landing", max_files_per_trigger=1, clean_source="delete")
@@ -96,3 +103,11 @@ def test_bronze_tables_leave_no_shuffle_files(spark, monkeypatch, sf):
         time.sleep(0.2)
     assert not shuffled() - before
     assert rates.count() == 40 and index.count() == 12
+
+
+def test_rate_lines_move_once(spark, sf):
+    """Neither the counts of their parts nor the parts' names make the lines move again before they are grouped."""
+    from nestwork.sources.rates_docs import rates_documents
+
+    plan = rates_documents(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(l_partkey") == 1
