@@ -21,12 +21,12 @@ CHUNK_ROWS = 1000
 def _write_index_chunks(spark, sf_dir):
     root = scratch_path(spark, "chunk_sink")
     rows = fl.in_network_file_index(flat_index(spark, sf_dir))
-    write_json_chunks(rows, f"{root}/in_network", max_records=CHUNK_ROWS)
+    write_json_chunks(rows, f"{root}/in_network", max_records=CHUNK_ROWS, compression="gzip")
     return root, rows.schema
 
 
 def q_chunk_sink(spark, sf_dir):
-    """K4: in-network rows as JSON files of at most 1,000 rows, read back."""
+    """K4: in-network rows as gzipped JSON files of at most 1,000 rows, read back."""
     root, schema = _write_index_chunks(spark, sf_dir)
     return spark.read.schema(schema).json(f"{root}/in_network")
 
@@ -50,7 +50,7 @@ def q_manifest(spark, sf_dir):
     root, schema = _write_index_chunks(spark, sf_dir)
     files = list_files(spark, f"{root}/in_network", glob="part-*")
     checks = files.agg(F.count_if(~qa.passes("length > 0")).alias("n_empty"),
-                       F.count_if(~F.col("path").endswith(".json")).alias("n_not_json"))
+                       F.count_if(~F.col("path").endswith(".json.gz")).alias("n_not_json"))
     back = spark.read.schema(schema).json(f"{root}/in_network").groupBy(F.col("_metadata.file_path").alias("f")).agg(
         F.count(F.lit(1)).alias("n"))
     sizes = back.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count_if(F.col("n") > CHUNK_ROWS).alias("n_too_long"))

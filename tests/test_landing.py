@@ -105,6 +105,12 @@ def test_bronze_tables_leave_no_shuffle_files(spark, monkeypatch, sf):
     assert rates.count() == 40 and index.count() == 12
 
 
+def test_chunk_files_are_gzipped_and_listed_whole(spark, scratch, sf):
+    rows = sink_plans.q_chunk_sink(spark, sf).collect()
+    names = [f for f in _files(f"{scratch}/out-chunk_sink/in_network") if "part-" in f]
+    assert len(rows) == 72 and names and all(f.startswith("part-") and f.endswith(".json.gz") for f in names)
+
+
 def test_rate_lines_move_once(spark, sf):
     """Neither the counts of their parts nor the parts' names make the lines move again before they are grouped."""
     from nestwork.sources.rates_docs import rates_documents
