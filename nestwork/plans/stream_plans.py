@@ -44,13 +44,18 @@ def q_stream_flatten(spark, sf_dir):
     The landed files are listed beside the result: every row's source id must be the key of one of them, and every
     row key that of its fields."""
     root = scratch_path(spark, "stream_flatten")
-    index_bronze_table(spark, sf_dir).select("value").write.text(f"{root}/landing")
-    src = stream_lines(spark, f"{root}/landing", max_files_per_trigger=4)
-    rows = fl.in_network_file_index(fl.flatten_index(src.select("index_file_source_id", "value")))
-    stream_to_table(rows, f"{root}/in_network", f"{root}/_checkpoints/in_network")
+    index_bronze_table(spark, sf_dir).select("value").write.option("compression", "gzip").text(f"{root}/landing")
+    src = stream_lines(spark, f"{root}/landing", max_files_per_trigger=4).select("index_file_source_id", "value")
+    # a gzipped file is read by one task: the documents of a micro-batch are flattened by all
+    src = src.repartition(2 * spark.sparkContext.defaultParallelism, "value")
+    rows = fl.in_network_file_index(fl.flatten_index(src))
+    with with_settings(spark, NO_OLD_SHUFFLES):
+        stream_to_table(rows, f"{root}/in_network", f"{root}/_checkpoints/in_network")
     out = spark.read.schema(rows.schema).parquet(f"{root}/in_network")
     landed = read_lines(spark, f"{root}/landing").groupBy("index_file_source_id").agg(F.count(F.lit(1)).alias("n_documents"))
-    known = out.join(landed, "index_file_source_id", "left")
+    # a row for each landed file: stored, its size tells before the join that the rows need not move to it
+    landed.write.parquet(f"{root}/landed")
+    known = out.join(spark.read.schema(landed.schema).parquet(f"{root}/landed"), "index_file_source_id", "left")
     return known.select(*FLAT_OUT, F.col("n_documents").isNotNull().alias("source_known"),
                         F.col("in_network_file_index_id").eqNullSafe(hash_key(
                             "index_file_source_id", "reporting_entity_name", "reporting_entity_type", "file_type", "file_description",

@@ -65,6 +65,17 @@ def test_whole_files_are_written_by_many_tasks_and_streamed_by_few(spark, scratc
     assert len(rows) == 72 and {r.reporting_entity_name for r in rows} == {f"c{i}" for i in range(12)}
 
 
+def test_stream_flatten_lands_and_writes_little(spark, scratch, sf):
+    """Gzipped lines, keys in zstd, and the list of landed files is stored, so that its size tells how it joins."""
+    out = stream_plans.q_stream_flatten(spark, sf)
+    landed = [f for f in _files(f"{scratch}/out-stream_flatten/landing") if f.startswith("part-")]
+    assert landed and all(f.endswith(".txt.gz") for f in landed)
+    assert _codecs(f"{scratch}/out-stream_flatten/in_network") == {"ZSTD"}
+    assert any("/landed/" in f for f in out.inputFiles()) and not any("/landing/" in f for f in out.inputFiles())
+    rows = out.collect()
+    assert len(rows) == 72 and all(r.source_known and r.key_holds for r in rows)
+
+
 def test_rate_lines_and_their_stream_are_compressed(spark, scratch, sf):
     assert stream_plans.q_stream_rates(spark, sf).count() == 56  # lines of parts whose number modulo 20 is not 1 to 4
     landed = [f for f in _files(f"{scratch}/out-stream_rates/landing") if f.startswith("part-")]
