@@ -122,6 +122,11 @@ def test_chunk_files_are_gzipped_and_listed_whole(spark, scratch, sf):
     assert len(rows) == 72 and names and all(f.startswith("part-") and f.endswith(".json.gz") for f in names)
 
 
+def test_manifest_counts_gzipped_chunks(spark, scratch, sf):
+    assert sink_plans.q_manifest(spark, sf).first().asDict() == {"n_rows": 72, "n_too_long": 0, "n_empty": 0, "n_not_json": 0}
+    assert all(f.endswith(".json.gz") for f in _files(f"{scratch}/out-chunk_sink/in_network") if "part-" in f)
+
+
 def test_rate_lines_move_once(spark, sf):
     """Neither the counts of their parts nor the parts' names make the lines move again before they are grouped."""
     from nestwork.sources.rates_docs import rates_documents
