@@ -262,7 +262,7 @@ def q_stream_whole_files(spark, sf_dir):
     src = stream_whole_files(spark, f"{root}/landing", max_files_per_trigger=5000)
     flat = fl.flatten_index(src.select("index_file_source_id", "value"))
     rows = flat.where(F.col("file_type").startswith("in_network")).select(*FLAT_OUT)
-    # a scan makes a task of 32 small files at most, and each task a file: a few tasks for each core do both sooner
+    # a scan makes a task of 32 small files at most, and each task a file: a few tasks for each core write fewer files
     tasks = 4 * spark.sparkContext.defaultParallelism
     # Spark looks up the files of each micro-batch again, by default in a task for each file
     with with_settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)} | FEW_LOG_COPIES):
